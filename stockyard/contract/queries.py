@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from stockyard.contract.fixture_sql import mean, percent, rounded, typed
 from stockyard.dataset import Dataset
 from stockyard.operators import ledger
 from stockyard.plans import cases, customer, hierarchies, inventory, kpi, sales, supplier, views, warehouse, windows
+from stockyard.session import require_conf
 from stockyard.sources.tpch import load_tpch
 
 
@@ -24,20 +26,24 @@ class Entry:
 
 def plain_types(df: DataFrame) -> DataFrame:
     """Output types both engines share: whole numbers as bigint, exact decimals as double."""
-    columns = []
-    for item in df.schema.fields:
-        column = F.col(f"`{item.name}`")
-        if isinstance(item.dataType, T.DecimalType):
-            column = column.cast("double")
-        elif isinstance(item.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
-            column = column.cast("bigint")
-        columns.append(column.alias(item.name))
-    return df.select(*columns)
+    casts = {
+        item.name: F.col(item.name).cast("double" if isinstance(item.dataType, T.DecimalType) else "bigint")
+        for item in df.schema.fields
+        if isinstance(item.dataType, (T.DecimalType, T.IntegerType, T.ShortType, T.ByteType))
+    }
+    return df.withColumns(casts) if casts else df
+
+
+@lru_cache(maxsize=1)
+def _dataset(application: str, sf_dir: str) -> Dataset:
+    """Tables are lazy plans; queries of one session share them."""
+    return load_tpch(SparkSession.active(), sf_dir)
 
 
 def runner(entry: Entry) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return plain_types(entry.plan(load_tpch(spark, sf_dir)))
+        require_conf(spark)
+        return plain_types(entry.plan(_dataset(spark.sparkContext.applicationId, sf_dir)))
 
     return run
 

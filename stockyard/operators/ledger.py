@@ -24,44 +24,35 @@ LEDGER_COLUMNS = (
 )
 
 
-def movement_id(movement_type: str, reference: Column) -> Column:
-    return reference * 10 + (MOVEMENT_TYPES.index(movement_type) + 1)
+def movement_code(movement_type: str) -> int:
+    """Last digit of a movement id; the digits before it are the reference."""
+    return MOVEMENT_TYPES.index(movement_type) + 1
 
 
 def _entries(
-    df: DataFrame,
-    movement_type: str,
-    reference_type: str,
-    *,
-    warehouse: str,
-    quantity: Column,
-    reference: str,
-    date: str,
+    df: DataFrame, movement_type: str, reference_type: str, *, warehouse: str, quantity: str, reference: str, date: str
 ) -> DataFrame:
-    return df.select(
-        movement_id(movement_type, F.col(reference)).alias("movement_id"),
+    return df.selectExpr(
+        f"{reference} * 10 + {movement_code(movement_type)} as movement_id",
         "product_id",
-        F.col(warehouse).alias("warehouse_id"),
-        F.lit(movement_type).alias("movement_type"),
-        quantity.cast("int").alias("quantity"),
-        F.col(reference).cast("bigint").alias("reference_id"),
-        F.lit(reference_type).alias("reference_type"),
-        F.col(date).cast("timestamp_ntz").alias("movement_date"),
+        f"{warehouse} as warehouse_id",
+        f"'{movement_type}' as movement_type",
+        f"cast({quantity} as int) as quantity",
+        f"cast({reference} as bigint) as reference_id",
+        f"'{reference_type}' as reference_type",
+        f"cast({date} as timestamp_ntz) as movement_date",
     )
 
 
 def receipts(ds: Dataset) -> DataFrame:
     """Received purchase lines with a quantity, on the delivery date."""
-    headers = ds.purchase_orders.filter(F.col("status") == "received").select(
-        "po_id", "warehouse_id", "actual_delivery_date"
-    )
-    lines = ds.purchase_order_items.filter(F.col("quantity_received") > 0)
+    headers = ds.purchase_orders.filter("status = 'received'").select("po_id", "warehouse_id", "actual_delivery_date")
     return _entries(
-        lines.join(headers, "po_id"),
+        ds.purchase_order_items.filter("quantity_received > 0").join(headers, "po_id"),
         "inbound",
         "purchase_order",
         warehouse="warehouse_id",
-        quantity=F.col("quantity_received"),
+        quantity="quantity_received",
         reference="po_item_id",
         date="actual_delivery_date",
     )
@@ -69,38 +60,36 @@ def receipts(ds: Dataset) -> DataFrame:
 
 def shipments(ds: Dataset) -> DataFrame:
     """Lines of shipped or delivered sales, on the shipping date."""
-    headers = ds.sales_orders.filter(F.col("status").isin("shipped", "delivered")).select(
-        "so_id", "warehouse_id", "ship_date"
-    )
+    headers = ds.sales_orders.filter("status in ('shipped', 'delivered')").select("so_id", "warehouse_id", "ship_date")
     return _entries(
         ds.sales_order_items.join(headers, "so_id"),
         "outbound",
         "sales_order",
         warehouse="warehouse_id",
-        quantity=-F.col("quantity"),
+        quantity="-quantity",
         reference="so_item_id",
         date="ship_date",
     )
 
 
-def _transfer_leg(ds: Dataset, movement_type: str, warehouse: str, sign: int) -> DataFrame:
+def _transfer_leg(ds: Dataset, movement_type: str, warehouse: str, quantity: str) -> DataFrame:
     return _entries(
-        ds.stock_transfers.filter(F.col("status") == "completed"),
+        ds.stock_transfers.filter("status = 'completed'"),
         movement_type,
         "transfer",
         warehouse=warehouse,
-        quantity=F.col("quantity") * sign,
+        quantity=quantity,
         reference="transfer_id",
         date="transfer_date",
     )
 
 
 def transfers_out(ds: Dataset) -> DataFrame:
-    return _transfer_leg(ds, "transfer_out", "from_warehouse_id", -1)
+    return _transfer_leg(ds, "transfer_out", "from_warehouse_id", "-quantity")
 
 
 def transfers_in(ds: Dataset) -> DataFrame:
-    return _transfer_leg(ds, "transfer_in", "to_warehouse_id", 1)
+    return _transfer_leg(ds, "transfer_in", "to_warehouse_id", "quantity")
 
 
 def derive_movements(ds: Dataset) -> DataFrame:

@@ -9,18 +9,30 @@ from __future__ import annotations
 from datetime import datetime
 from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from stockyard.dataset import Dataset
-from stockyard.operators.ledger import derive_movements, movement_id
+from stockyard.operators.ledger import derive_movements, movement_code
 from stockyard.session import require_conf
 
 AS_OF = datetime(2001, 8, 2)
 LINES_PER_ORDER = 1_000_000
 WAREHOUSES = 25
-STOCKED_AT = 5  # warehouses that keep a given product
+
+# Declared, never inferred: inference would run one job for each read.
+SOURCE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
 # Job titles below the three managers.
 JOB_TITLES = (
@@ -37,7 +49,18 @@ JOB_TITLES = (
 @lru_cache(maxsize=32)
 def _row_counts(path: str, table: str) -> int:
     """Footer-only count of a read-only source table."""
-    return SparkSession.active().read.parquet(f"{path}/{table}.parquet").count()
+    reader = SparkSession.active().read.schema(SOURCE_SCHEMAS[table])
+    return reader.parquet(f"{path}/{table}.parquet").count()
+
+
+# A category id is spelled by the first two letters of the type, a child's also by the brand number.
+ROOT_CATEGORY = "cast(ascii(p_type) * 100 + ascii(substr(p_type, 2)) as bigint)"
+CHILD_CATEGORY = f"{ROOT_CATEGORY} * 1000 + cast(substr(p_brand, 7) as bigint)"
+FOUNDED = "timestamp_ntz '1995-01-01 00:00:00'"
+LINE_ORDER = (
+    "l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, "
+    "l_linestatus, l_shipdate"
+)
 
 
 def load_tpch(spark: SparkSession, path: str, as_of: datetime = AS_OF) -> Dataset:
@@ -49,6 +72,7 @@ class _Mapping:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
+        self._frames: dict[str, DataFrame] = {}
 
     def dataset(self, as_of: datetime) -> Dataset:
         names = (
@@ -66,249 +90,217 @@ class _Mapping:
         return ds
 
     def _read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{table}.parquet")
+        if table not in self._frames:
+            reader = self.spark.read.schema(SOURCE_SCHEMAS[table])
+            self._frames[table] = reader.parquet(f"{self.path}/{table}.parquet")
+        return self._frames[table]
 
-    def _count(self, table: str) -> Column:
-        return F.lit(_row_counts(self.path, table)).cast("bigint")
+    def _count(self, table: str) -> str:
+        return f"{_row_counts(self.path, table)}L"
 
     def _warehouses(self) -> DataFrame:
-        nation, region = self._read("nation"), self._read("region")
-        n = F.col("n_nationkey")
-        return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-            (n + 1).cast("bigint").alias("warehouse_id"),
-            F.concat(F.lit("Warehouse "), "n_name").alias("name"),
-            F.lit(None).cast("string").alias("address"),
-            F.col("n_name").alias("city"),
-            F.lit(None).cast("string").alias("state"),
-            F.col("r_name").alias("country"),
-            (self._count("part") * (140 + 10 * (n % 5))).cast("int").alias("capacity_units"),
-            _stamp("1995-01-01"),
+        region = self._read("region").withColumnRenamed("r_regionkey", "n_regionkey")
+        return (
+            self._read("nation")
+            .join(region, "n_regionkey")
+            .selectExpr(
+                "cast(n_nationkey + 1 as bigint) as warehouse_id",
+                "concat('Warehouse ', n_name) as name",
+                "cast(null as string) as address",
+                "n_name as city",
+                "cast(null as string) as state",
+                "r_name as country",
+                f"cast({self._count('part')} * (140 + 10 * (n_nationkey % 5)) as int) as capacity_units",
+                f"{FOUNDED} as created_at",
+            )
         )
 
     def _employees(self) -> DataFrame:
-        e = F.col("c_custkey")
-        titles = F.array(*[F.lit(t) for t in JOB_TITLES])
-        return self._read("customer").select(
-            (e + 1).alias("employee_id"),
-            (F.col("c_nationkey") + 1).cast("bigint").alias("warehouse_id"),
-            F.when(e >= 3, F.expr("(c_custkey - 1) div 3 + 1")).alias("manager_id"),
-            F.concat(F.lit("First"), e % 20).alias("first_name"),
-            F.concat(F.lit("Last"), e % 7).alias("last_name"),
-            F.concat(F.lit("e"), e, F.lit("@staff.example")).alias("email"),
-            F.lit(None).cast("string").alias("phone"),
-            F.when(e < 3, "Warehouse Manager").otherwise(F.get(titles, (e % 7).cast("int"))).alias("job_title"),
-            F.date_add(F.lit("1990-01-01").cast("date"), (e % 1800).cast("int")).alias("hire_date"),
-            _stamp("1995-01-01"),
+        titles = ", ".join(f"'{t}'" for t in JOB_TITLES)
+        return self._read("customer").selectExpr(
+            "c_custkey + 1 as employee_id",
+            "cast(c_nationkey + 1 as bigint) as warehouse_id",
+            "case when c_custkey >= 3 then (c_custkey - 1) div 3 + 1 end as manager_id",
+            "concat('First', c_custkey % 20) as first_name",
+            "concat('Last', c_custkey % 7) as last_name",
+            "concat('e', c_custkey, '@staff.example') as email",
+            "cast(null as string) as phone",
+            f"""case when c_custkey < 3 then 'Warehouse Manager'
+                else elt(cast(c_custkey % 7 + 1 as int), {titles}) end as job_title""",
+            "date_add(date '1990-01-01', cast(c_custkey % 1800 as int)) as hire_date",
+            f"{FOUNDED} as created_at",
         )
 
     def _product_categories(self) -> DataFrame:
         part = self._read("part")
-        roots = part.select(
-            _root_category().alias("category_id"),
-            F.col("p_type").alias("name"),
-            F.lit(None).cast("bigint").alias("parent_category_id"),
-        ).distinct()
-        children = part.select(
-            _child_category().alias("category_id"),
-            F.concat("p_type", F.lit(" "), "p_brand").alias("name"),
-            _root_category().alias("parent_category_id"),
-        ).distinct()
-        return roots.unionByName(children)
+        roots = part.selectExpr(
+            f"{ROOT_CATEGORY} as category_id", "p_type as name", "cast(null as bigint) as parent_category_id"
+        )
+        children = part.selectExpr(
+            f"{CHILD_CATEGORY} as category_id",
+            "concat(p_type, ' ', p_brand) as name",
+            f"{ROOT_CATEGORY} as parent_category_id",
+        )
+        return roots.distinct().unionByName(children.distinct())
 
     def _suppliers(self) -> DataFrame:
-        supplier, nation = self._read("supplier"), self._read("nation")
-        s = F.col("s_suppkey")
-        return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select(
-            (s + 1).alias("supplier_id"),
-            F.col("s_name").alias("name"),
-            F.lit(None).cast("string").alias("contact_name"),
-            F.lit(None).cast("string").alias("email"),
-            F.lit(None).cast("string").alias("phone"),
-            F.col("n_name").alias("country"),
-            F.when(s % 10 != 9, (F.lit(20) + s * 7 % 31) * F.lit("0.1").cast("decimal(2,1)"))
-            .cast("decimal(2,1)")
-            .alias("rating"),
-            _stamp("1995-01-01"),
+        nation = self._read("nation").withColumnRenamed("n_nationkey", "s_nationkey")
+        return (
+            self._read("supplier")
+            .join(nation, "s_nationkey")
+            .selectExpr(
+                "s_suppkey + 1 as supplier_id",
+                "s_name as name",
+                "cast(null as string) as contact_name",
+                "cast(null as string) as email",
+                "cast(null as string) as phone",
+                "n_name as country",
+                "case when s_suppkey % 10 != 9 then cast((20 + s_suppkey * 7 % 31) * 0.1 as decimal(2,1)) end as rating",
+                f"{FOUNDED} as created_at",
+            )
         )
 
     def _products(self) -> DataFrame:
-        p = F.col("p_partkey")
-        price = F.col("p_retailprice").cast("decimal(10,2)")
-        return self._read("part").select(
-            (p + 1).alias("product_id"),
-            F.concat(F.lit("SKU"), p).alias("sku"),
-            F.concat("p_name", F.lit(" "), "p_brand").alias("name"),
-            _child_category().alias("category_id"),
-            (p % self._count("supplier") + 1).alias("supplier_id"),
-            price.alias("unit_price"),
-            (price - (100 + p % 400)).cast("decimal(10,2)").alias("unit_cost"),
-            (5 + F.col("p_size") % 46).cast("int").alias("reorder_level"),
-            (50 + p % 151).cast("int").alias("reorder_qty"),
-            _stamp("1995-01-01"),
+        return self._read("part").selectExpr(
+            "p_partkey + 1 as product_id",
+            "concat('SKU', p_partkey) as sku",
+            "concat(p_name, ' ', p_brand) as name",
+            f"{CHILD_CATEGORY} as category_id",
+            f"p_partkey % {self._count('supplier')} + 1 as supplier_id",
+            "cast(p_retailprice as decimal(10,2)) as unit_price",
+            "cast(cast(p_retailprice as decimal(10,2)) - (100 + p_partkey % 400) as decimal(10,2)) as unit_cost",
+            "5 + p_size % 46 as reorder_level",
+            "cast(50 + p_partkey % 151 as int) as reorder_qty",
+            f"{FOUNDED} as created_at",
         )
 
     def _customers(self) -> DataFrame:
-        customer, nation = self._read("customer"), self._read("nation")
-        e, market = F.col("c_custkey"), F.col("c_mktsegment")
-        return customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
-            (e + 1).alias("customer_id"),
-            F.col("c_name").alias("name"),
-            F.concat(F.lit("c"), e, F.lit("@mail.example")).alias("email"),
-            F.lit(None).cast("string").alias("phone"),
-            F.lit(None).cast("string").alias("address"),
-            F.lit(None).cast("string").alias("city"),
-            F.col("n_name").alias("country"),
-            F.when(market.isin("AUTOMOBILE", "HOUSEHOLD"), "retail")
-            .when((market == "BUILDING") & (e % 2 == 0), "wholesale")
-            .when(market == "MACHINERY", "enterprise")
-            .otherwise("online")
-            .alias("segment"),
-            _stamp("1995-01-01"),
+        nation = self._read("nation").withColumnRenamed("n_nationkey", "c_nationkey")
+        return (
+            self._read("customer")
+            .join(nation, "c_nationkey")
+            .selectExpr(
+                "c_custkey + 1 as customer_id",
+                "c_name as name",
+                "concat('c', c_custkey, '@mail.example') as email",
+                "cast(null as string) as phone",
+                "cast(null as string) as address",
+                "cast(null as string) as city",
+                "n_name as country",
+                """case when c_mktsegment in ('AUTOMOBILE', 'HOUSEHOLD') then 'retail'
+                    when c_mktsegment = 'BUILDING' and c_custkey % 2 = 0 then 'wholesale'
+                    when c_mktsegment = 'MACHINERY' then 'enterprise' else 'online' end as segment""",
+                f"{FOUNDED} as created_at",
+            )
         )
 
     def _sales_orders(self) -> DataFrame:
-        k, c = F.col("o_orderkey"), F.col("o_custkey")
-        ordered = F.col("o_orderdate").cast("date")
-        return self._read("orders").select(
-            (k + 1).alias("so_id"),
-            F.when(c % 50 == 0, c + 2).otherwise(c + 1).alias("customer_id"),
-            (c % WAREHOUSES + 1).alias("warehouse_id"),
-            ((c + k) % self._count("customer") + 1).alias("employee_id"),
-            ordered.alias("order_date"),
-            F.when(k % 20 > 1, F.date_add(ordered, (k % 5 + 1).cast("int"))).alias("ship_date"),
-            F.when(k % 20 == 0, "cancelled")
-            .when(k % 20 == 1, "pending")
-            .when(k % 20 <= 3, "shipped")
-            .otherwise("delivered")
-            .alias("status"),
-            F.col("o_orderdate").alias("created_at"),
+        return self._read("orders").selectExpr(
+            "o_orderkey + 1 as so_id",
+            "o_custkey + if(o_custkey % 50 = 0, 2, 1) as customer_id",
+            f"o_custkey % {WAREHOUSES} + 1 as warehouse_id",
+            f"(o_custkey + o_orderkey) % {self._count('customer')} + 1 as employee_id",
+            "cast(o_orderdate as date) as order_date",
+            """case when o_orderkey % 20 > 1
+                then date_add(cast(o_orderdate as date), cast(o_orderkey % 5 + 1 as int)) end as ship_date""",
+            """case when o_orderkey % 20 = 0 then 'cancelled' when o_orderkey % 20 = 1 then 'pending'
+                when o_orderkey % 20 <= 3 then 'shipped' else 'delivered' end as status""",
+            "o_orderdate as created_at",
         )
 
     def _sales_order_items(self) -> DataFrame:
-        return self._lines().select(
-            "so_item_id",
-            F.col("order_id").alias("so_id"),
+        return self._lines().selectExpr(
+            "line_id as so_item_id",
+            "order_id as so_id",
             "product_id",
             "quantity",
-            F.expr("cast(cents * 0.01 as decimal(10,2))").alias("unit_price"),
-            F.round(F.col("l_discount") * 100).cast("decimal(4,2)").alias("discount_pct"),
+            "cast(cents * 0.01 as decimal(10,2)) as unit_price",
+            "cast(round(l_discount * 100) as decimal(4,2)) as discount_pct",
         )
 
     def _purchase_orders(self) -> DataFrame:
-        k, c = F.col("o_orderkey"), F.col("o_custkey")
-        ordered = F.col("o_orderdate").cast("date")
-        return self._read("orders").select(
-            (k + 1).alias("po_id"),
-            (k % self._count("supplier") + 1).alias("supplier_id"),
-            (c % WAREHOUSES + 1).alias("warehouse_id"),
-            (k * 3 % self._count("customer") + 1).alias("employee_id"),
-            ordered.alias("order_date"),
-            F.date_add(ordered, (5 + c % 17).cast("int")).alias("expected_delivery_date"),
-            F.when(k % 20 > 3, F.date_add(ordered, (3 + c % 17 + (c + k) % 13).cast("int"))).alias(
-                "actual_delivery_date"
-            ),
-            F.when(k % 20 == 0, "pending")
-            .when(k % 20 <= 2, "shipped")
-            .when(k % 20 == 3, "cancelled")
-            .otherwise("received")
-            .alias("status"),
-            F.col("o_orderdate").alias("created_at"),
+        return self._read("orders").selectExpr(
+            "o_orderkey + 1 as po_id",
+            f"o_orderkey % {self._count('supplier')} + 1 as supplier_id",
+            f"o_custkey % {WAREHOUSES} + 1 as warehouse_id",
+            f"o_orderkey * 3 % {self._count('customer')} + 1 as employee_id",
+            "cast(o_orderdate as date) as order_date",
+            "date_add(cast(o_orderdate as date), cast(5 + o_custkey % 17 as int)) as expected_delivery_date",
+            """case when o_orderkey % 20 > 3 then date_add(cast(o_orderdate as date),
+                cast(3 + o_custkey % 17 + (o_custkey + o_orderkey) % 13 as int)) end as actual_delivery_date""",
+            """case when o_orderkey % 20 = 0 then 'pending' when o_orderkey % 20 <= 2 then 'shipped'
+                when o_orderkey % 20 = 3 then 'cancelled' else 'received' end as status""",
+            "o_orderdate as created_at",
         )
 
     def _purchase_order_items(self) -> DataFrame:
-        state = F.col("l_orderkey") % 20
-        return self._lines().select(
-            F.col("so_item_id").alias("po_item_id"),
-            F.col("order_id").alias("po_id"),
+        return self._lines().selectExpr(
+            "line_id as po_item_id",
+            "order_id as po_id",
             "product_id",
-            (F.col("quantity") * 10).alias("quantity_ordered"),
-            (F.col("quantity") * F.when(state > 3, 10).when(state.isin(1, 2), 5).otherwise(0)).alias(
-                "quantity_received"
-            ),
-            F.expr("cast((cents * 6 div 10) * 0.01 as decimal(10,2))").alias("unit_cost"),
+            "quantity * 10 as quantity_ordered",
+            """quantity * case when l_orderkey % 20 > 3 then 10 when l_orderkey % 20 in (1, 2) then 5 else 0 end
+                as quantity_received""",
+            "cast((cents * 6 div 10) * 0.01 as decimal(10,2)) as unit_cost",
         )
 
     def _lines(self) -> DataFrame:
         """Lines with their id and whole-cent price; the id is a position inside its order."""
-        place = W.partitionBy("l_orderkey").orderBy(
-            "l_linenumber",
-            "l_partkey",
-            "l_suppkey",
-            "l_quantity",
-            "l_extendedprice",
-            "l_discount",
-            "l_tax",
-            "l_returnflag",
-            "l_linestatus",
-            "l_shipdate",
-        )
-        return (
-            self._read("lineitem")
-            .withColumn("so_item_id", F.col("l_orderkey") * LINES_PER_ORDER + F.row_number().over(place))
-            .withColumn("order_id", F.col("l_orderkey") + 1)
-            .withColumn("product_id", F.col("l_partkey") + 1)
-            .withColumn("quantity", F.col("l_quantity").cast("int"))
-            .withColumn("cents", F.expr("cast(round(l_extendedprice * 100) as bigint) div cast(l_quantity as bigint)"))
-        )
+        if "lines" not in self._frames:
+            self._frames["lines"] = self._read("lineitem").selectExpr(
+                f"l_orderkey * {LINES_PER_ORDER} + row_number() over (partition by l_orderkey order by {LINE_ORDER})"
+                " as line_id",
+                "l_orderkey",
+                "l_orderkey + 1 as order_id",
+                "l_partkey + 1 as product_id",
+                "cast(l_quantity as int) as quantity",
+                "cast(round(l_extendedprice * 100) as bigint) div cast(l_quantity as bigint) as cents",
+                "l_discount",
+            )
+        return self._frames["lines"]
 
     def _inventory(self) -> DataFrame:
-        shelves = F.sequence(F.lit(0), F.lit(STOCKED_AT - 1))
-        seed = (F.col("p_partkey") * 37 + F.col("n") * 101).alias("seed")
-        on_hand = F.when((F.col("p_partkey") + F.col("n")) % 4 == 0, seed % 8).otherwise(seed % 2001)
+        """Each part is stocked at five warehouses, every fifth beginning with ``part % 5``."""
         return (
             self._read("part")
-            .select("p_partkey", F.explode(shelves).alias("shelf"))
-            .withColumn("n", F.col("p_partkey") % 5 + F.col("shelf") * 5)
-            .withColumn("quantity_on_hand", on_hand.cast("int"))
-            .select(
-                (F.col("p_partkey") * WAREHOUSES + F.col("n") + 1).alias("inventory_id"),
-                (F.col("p_partkey") + 1).alias("product_id"),
-                (F.col("n") + 1).alias("warehouse_id"),
-                "quantity_on_hand",
-                (F.col("quantity_on_hand") % 200).alias("quantity_reserved"),
-                F.lit("2001-08-01 00:00:00").cast("timestamp_ntz").alias("last_updated"),
+            .selectExpr("p_partkey as p", "explode(transform(array(0, 1, 2, 3, 4), shelf -> p_partkey % 5 + 5 * shelf)) as n")
+            .selectExpr("p", "n", "cast((p * 37 + n * 101) % if((p + n) % 4 = 0, 8, 2001) as int) as on_hand")
+            .selectExpr(
+                f"p * {WAREHOUSES} + n + 1 as inventory_id",
+                "p + 1 as product_id",
+                "n + 1 as warehouse_id",
+                "on_hand as quantity_on_hand",
+                "on_hand % 200 as quantity_reserved",
+                "timestamp_ntz '2001-08-01 00:00:00' as last_updated",
             )
         )
 
     def _stock_transfers(self) -> DataFrame:
-        k, c = F.col("o_orderkey"), F.col("o_custkey")
-        return self._read("orders").select(
-            (k + 1).alias("transfer_id"),
-            (k % self._count("part") + 1).alias("product_id"),
-            (c % WAREHOUSES + 1).alias("from_warehouse_id"),
-            ((c + 1 + c % 23) % WAREHOUSES + 1).alias("to_warehouse_id"),
-            (k * 11 % self._count("customer") + 1).alias("employee_id"),
-            (10 + k % 291).cast("int").alias("quantity"),
-            F.col("o_orderdate").cast("date").alias("transfer_date"),
-            F.when(c % 10 < 8, "completed").when(c % 10 == 8, "in_transit").otherwise("cancelled").alias("status"),
+        return self._read("orders").selectExpr(
+            "o_orderkey + 1 as transfer_id",
+            f"o_orderkey % {self._count('part')} + 1 as product_id",
+            f"o_custkey % {WAREHOUSES} + 1 as from_warehouse_id",
+            f"(o_custkey + 1 + o_custkey % 23) % {WAREHOUSES} + 1 as to_warehouse_id",
+            f"o_orderkey * 11 % {self._count('customer')} + 1 as employee_id",
+            "cast(10 + o_orderkey % 291 as int) as quantity",
+            "cast(o_orderdate as date) as transfer_date",
+            """case when o_custkey % 10 < 8 then 'completed' when o_custkey % 10 = 8 then 'in_transit'
+                else 'cancelled' end as status""",
         )
 
     def _adjustments(self) -> DataFrame:
         """Error events stand for stock corrections; the model derives none by itself."""
-        k = F.col("event_id")
         return (
             self._read("events")
-            .filter(F.col("event_type") == "error")
-            .select(
-                movement_id("adjustment", k).alias("movement_id"),
-                (k % self._count("part") + 1).alias("product_id"),
-                (F.col("user_id") % WAREHOUSES + 1).alias("warehouse_id"),
-                F.lit("adjustment").alias("movement_type"),
-                (-(k % 5 + 1)).cast("int").alias("quantity"),
-                k.alias("reference_id"),
-                F.lit("adjustment").alias("reference_type"),
-                (F.col("ts") - F.expr("INTERVAL 23 YEARS")).alias("movement_date"),
+            .filter("event_type = 'error'")
+            .selectExpr(
+                f"event_id * 10 + {movement_code('adjustment')} as movement_id",
+                f"event_id % {self._count('part')} + 1 as product_id",
+                f"user_id % {WAREHOUSES} + 1 as warehouse_id",
+                "'adjustment' as movement_type",
+                "cast(-(event_id % 5 + 1) as int) as quantity",
+                "event_id as reference_id",
+                "'adjustment' as reference_type",
+                "ts - interval 23 years as movement_date",
             )
         )
-
-
-def _stamp(date: str) -> Column:
-    return F.lit(f"{date} 00:00:00").cast("timestamp_ntz").alias("created_at")
-
-
-def _root_category() -> Column:
-    return F.expr("cast(ascii(p_type) * 100 + ascii(substr(p_type, 2)) as bigint)")
-
-
-def _child_category() -> Column:
-    return F.expr("(ascii(p_type) * 100 + ascii(substr(p_type, 2))) * 1000 + cast(substr(p_brand, 7) as bigint)")
