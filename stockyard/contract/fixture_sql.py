@@ -8,42 +8,46 @@ PARTS = "(SELECT count(*) FROM part)"
 SUPPLIERS = "(SELECT count(*) FROM supplier)"
 PEOPLE = "(SELECT count(*) FROM customer)"
 
+FOUNDED = "TIMESTAMP '1995-01-01' AS created_at"
 _ROOT = "(ascii(p_type) * 100 + ascii(substr(p_type, 2)))::BIGINT"
 _CHILD = f"({_ROOT} * 1000 + substr(p_brand, 7)::BIGINT)"
 
 TABLE_SQL: dict[str, str] = {
     "warehouses": f"""
-        SELECT (n_nationkey + 1)::BIGINT AS warehouse_id, 'Warehouse ' || n_name AS name, n_name AS city,
-               r_name AS country, ({PARTS} * (140 + 10 * (n_nationkey % 5)))::INT AS capacity_units
+        SELECT (n_nationkey + 1)::BIGINT AS warehouse_id, 'Warehouse ' || n_name AS name, NULL::VARCHAR AS address, n_name AS city, NULL::VARCHAR AS state,
+               r_name AS country, ({PARTS} * (140 + 10 * (n_nationkey % 5)))::INT AS capacity_units, {FOUNDED}
         FROM nation, region WHERE n_regionkey = r_regionkey""",
-    "employees": """
+    "employees": f"""
         SELECT c_custkey + 1 AS employee_id, (c_nationkey + 1)::BIGINT AS warehouse_id,
                CASE WHEN c_custkey >= 3 THEN (c_custkey - 1) // 3 + 1 END AS manager_id,
                'First' || (c_custkey % 20) AS first_name, 'Last' || (c_custkey % 7) AS last_name,
+               'e' || c_custkey || '@staff.example' AS email, NULL::VARCHAR AS phone,
                CASE WHEN c_custkey < 3 THEN 'Warehouse Manager' ELSE
                  (['Inventory Clerk', 'Forklift Operator', 'Shipping Coordinator', 'Receiving Associate',
                    'Logistics Analyst', 'Warehouse Supervisor', 'Picker/Packer'])[(c_custkey % 7 + 1)::INT]
-               END AS job_title
+               END AS job_title, DATE '1990-01-01' + (c_custkey % 1800)::INT AS hire_date, {FOUNDED}
         FROM customer""",
     "product_categories": f"""
         SELECT DISTINCT {_ROOT} AS category_id, p_type AS name, NULL::BIGINT AS parent_category_id FROM part
         UNION ALL
         SELECT DISTINCT {_CHILD}, p_type || ' ' || p_brand, {_ROOT} FROM part""",
-    "suppliers": """
-        SELECT s_suppkey + 1 AS supplier_id, s_name AS name, n_name AS country,
-               CASE WHEN s_suppkey % 10 != 9 THEN ((20 + s_suppkey * 7 % 31) * 0.1)::DECIMAL(2,1) END AS rating
+    "suppliers": f"""
+        SELECT s_suppkey + 1 AS supplier_id, s_name AS name, NULL::VARCHAR AS contact_name, NULL::VARCHAR AS email,
+               NULL::VARCHAR AS phone, n_name AS country,
+               CASE WHEN s_suppkey % 10 != 9 THEN ((20 + s_suppkey * 7 % 31) * 0.1)::DECIMAL(2,1) END AS rating, {FOUNDED}
         FROM supplier, nation WHERE s_nationkey = n_nationkey""",
     "products": f"""
-        SELECT p_partkey + 1 AS product_id, p_name || ' ' || p_brand AS name, {_CHILD} AS category_id,
+        SELECT p_partkey + 1 AS product_id, 'SKU' || p_partkey AS sku, p_name || ' ' || p_brand AS name, {_CHILD} AS category_id,
                p_partkey % {SUPPLIERS} + 1 AS supplier_id, p_retailprice::DECIMAL(10,2) AS unit_price,
                (p_retailprice::DECIMAL(10,2) - (100 + p_partkey % 400))::DECIMAL(10,2) AS unit_cost,
-               5 + p_size % 46 AS reorder_level, 50 + p_partkey % 151 AS reorder_qty
+               5 + p_size % 46 AS reorder_level, 50 + p_partkey % 151 AS reorder_qty, {FOUNDED}
         FROM part""",
-    "customers": """
-        SELECT c_custkey + 1 AS customer_id, c_name AS name, n_name AS country,
+    "customers": f"""
+        SELECT c_custkey + 1 AS customer_id, c_name AS name, 'c' || c_custkey || '@mail.example' AS email,
+               NULL::VARCHAR AS phone, NULL::VARCHAR AS address, NULL::VARCHAR AS city, n_name AS country,
                CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'HOUSEHOLD') THEN 'retail'
                     WHEN c_mktsegment = 'BUILDING' AND c_custkey % 2 = 0 THEN 'wholesale'
-                    WHEN c_mktsegment = 'MACHINERY' THEN 'enterprise' ELSE 'online' END AS segment
+                    WHEN c_mktsegment = 'MACHINERY' THEN 'enterprise' ELSE 'online' END AS segment, {FOUNDED}
         FROM customer, nation WHERE c_nationkey = n_nationkey""",
     "sales_orders": f"""
         SELECT o_orderkey + 1 AS so_id,

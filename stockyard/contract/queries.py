@@ -593,23 +593,23 @@ CASES = {
     ),
 }
 
-_LTV = """SELECT c.customer_id, c.name, c.segment, sum(v.order_total) AS lifetime_value, count(*) AS order_count
+LTV = """SELECT c.customer_id, c.name, c.segment, sum(v.order_total) AS lifetime_value, count(*) AS order_count
           FROM customers c INNER JOIN order_value v USING (customer_id)
           WHERE v.status <> 'cancelled' GROUP BY ALL"""
-_LEDGER = (
+LEDGER_COLUMNS = (
     "movement_id:i product_id:i warehouse_id:i movement_type:s quantity:i reference_id:i reference_type:s movement_date:t"
 )
 
 
 def _ledger_check(kind: str) -> str:
-    return typed(_LEDGER, f"SELECT * FROM inventory_movements WHERE movement_type = '{kind}'")
+    return typed(LEDGER_COLUMNS, f"SELECT * FROM inventory_movements WHERE movement_type = '{kind}'")
 
 
-_PERFORMANCE = f"""SELECT s.supplier_id, s.name, s.rating, {mean("sum(d.days)", "count(d.days)", 1)}
+PERFORMANCE = f"""SELECT s.supplier_id, s.name, s.rating, {mean("sum(d.days)", "count(d.days)", 1)}
                             AS avg_lead_time_days,
                           {percent("count_if(NOT d.late)", "count(*)", 1)} AS on_time_pct
                    FROM suppliers s INNER JOIN delivery d USING (supplier_id) GROUP BY ALL"""
-_UTILIZATION = f"""SELECT w.warehouse_id, w.name, w.capacity_units, coalesce(u.units, 0) AS units_stored,
+UTILIZATION = f"""SELECT w.warehouse_id, w.name, w.capacity_units, coalesce(u.units, 0) AS units_stored,
                           {percent("coalesce(u.units, 0)", "w.capacity_units", 1)} AS utilization_pct
                    FROM warehouses w
                    LEFT JOIN (SELECT warehouse_id, sum(quantity_on_hand) AS units FROM inventory GROUP BY 1) u
@@ -655,7 +655,7 @@ VIEWS = {
         ),
     ),
     "v05_customer_ltv": Entry(
-        views.customer_ltv, typed("customer_id:i name:s segment:s lifetime_value:f order_count:i", _LTV)
+        views.customer_ltv, typed("customer_id:i name:s segment:s lifetime_value:f order_count:i", LTV)
     ),
     "v06_daily_revenue": Entry(
         views.daily_revenue,
@@ -663,7 +663,7 @@ VIEWS = {
     ),
     "v07_warehouse_utilization": Entry(
         views.warehouse_utilization,
-        typed("warehouse_id:i name:s capacity_units:i units_stored:i utilization_pct:f", _UTILIZATION),
+        typed("warehouse_id:i name:s capacity_units:i units_stored:i utilization_pct:f", UTILIZATION),
     ),
     "v08_employee_productivity": Entry(
         views.employee_productivity,
@@ -671,7 +671,7 @@ VIEWS = {
     ),
     "v09_supplier_performance": Entry(
         views.supplier_performance,
-        typed("supplier_id:i name:s rating:f avg_lead_time_days:f on_time_pct:f", _PERFORMANCE),
+        typed("supplier_id:i name:s rating:f avg_lead_time_days:f on_time_pct:f", PERFORMANCE),
     ),
     "v10_supplier_spend": Entry(
         views.supplier_spend,
@@ -689,7 +689,7 @@ LEDGER = {
     "l4_transfers_in": Entry(ledger.transfers_in, _ledger_check("transfer_in")),
     "l5_ledger": Entry(
         ledger.derive_movements,
-        typed(_LEDGER, "SELECT * FROM inventory_movements WHERE movement_type <> 'adjustment'"),
+        typed(LEDGER_COLUMNS, "SELECT * FROM inventory_movements WHERE movement_type <> 'adjustment'"),
     ),
 }
 

@@ -44,7 +44,9 @@ def dashboard_kpis(ds: Dataset, snapshot: DataFrame | None = None) -> DataFrame:
     revenue = views.daily_revenue(ds).filter(recent).agg(F.sum("revenue").alias("revenue_30d"))
     value = views.inventory_value_by_warehouse(ds).agg(F.sum("inventory_value"))
     low = snapshot.agg(F.count_if("needs_reorder"))
-    lead = views.supplier_performance(ds).agg(rounded(F.avg("avg_lead_time_days"), 1))
+    timed = F.count("avg_lead_time_days")
+    mean = F.sum("avg_lead_time_days").cast("double") / F.nullif(timed, F.lit(0)).cast("double")
+    lead = views.supplier_performance(ds).agg(rounded(mean, 1))
     return revenue.select(
         "revenue_30d",
         value.scalar().alias("total_inventory_value"),

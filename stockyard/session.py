@@ -39,17 +39,18 @@ def require_conf(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder named by the session; make one up only for a local master."""
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder named by the session; one is made up only for a local master."""
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
-        return
+        return context.getCheckpointDir()
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="stockyard-checkpoint-")
     context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -58,5 +59,5 @@ def materialize(df: DataFrame) -> DataFrame:
     Needed where row placement (partition numbers) must not change when a lost task is run
     again, and between the rounds of an iteration.
     """
-    ensure_checkpoint_dir(df.sparkSession)
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

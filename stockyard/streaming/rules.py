@@ -93,8 +93,9 @@ def live_daily_revenue(lines: DataFrame, orders: DataFrame, lateness: str = "1 d
     batch refresh remains the reference.
     """
     live = orders.filter(F.col("status") != "cancelled").select("so_id")
+    timed = lines.withColumn("ordered_at", F.col("ordered_at").cast("timestamp"))
     return (
-        lines.withWatermark("ordered_at", lateness)
+        timed.withWatermark("ordered_at", lateness)
         .join(live, "so_id")
         .groupBy(F.window("ordered_at", "1 day").alias("day"))
         .agg(sum_net().alias("revenue"))
