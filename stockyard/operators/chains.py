@@ -36,14 +36,13 @@ def chain_reach(
     before = W.partitionBy(SLOT, *keys).orderBy(instant).rowsBetween(W.unboundedPreceding, -1)
     last = steps - 1
 
-    # Inside a slot: plain[i] counts i-step chains of any rows, local[i] those begun in the slot.
+    # Inside a slot: plain_i counts i-step chains of any rows, local_i those begun in the slot.
     grown = placed
     for step in range(1, last + 1):
-        feed = F.col("begun") if step == 1 else F.col("rows") * F.col(f"local_{step - 1}")
-        grown = grown.withColumn(f"local_{step}", _sum_before(feed, before))
-    for step in range(1, last):
-        feed = F.col("rows") if step == 1 else F.col("rows") * F.col(f"plain_{step - 1}")
-        grown = grown.withColumn(f"plain_{step}", _sum_before(feed, before))
+        feeds = {f"local_{step}": F.col("begun") if step == 1 else F.col("rows") * F.col(f"local_{step - 1}")}
+        if step < last:
+            feeds[f"plain_{step}"] = F.col("rows") if step == 1 else F.col("rows") * F.col(f"plain_{step - 1}")
+        grown = grown.select("*", *[_sum_before(feed, before).alias(name) for name, feed in feeds.items()])
 
     totals = {"all_local_1": _total(F.col("begun"))}
     for step in range(2, last + 1):

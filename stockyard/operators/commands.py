@@ -6,12 +6,14 @@ the appended rows and the rejected commands. A command is applied whole or not a
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from stockyard.dataset import Dataset
 from stockyard.functions.dates import day, instant
@@ -179,8 +181,8 @@ def transfer_stock(ds: Dataset, commands: DataFrame, in_turn: int = 50_000) -> C
     """Transfers (command_id, command_ts, product_id, from_warehouse_id, to_warehouse_id, quantity,
     employee_id), each accepted exactly if the source has enough available stock at its turn.
 
-    Products are independent. One with at most ``in_turn`` commands is worked off command by command
-    in one group; a larger one, which may hold any share of the batch, by bracketing rounds.
+    Products are independent. Those with at most ``in_turn`` commands are worked off command by
+    command; a larger one, which may hold any share of the batch, by bracketing rounds.
     """
     valid, rejected = _static_transfer_checks(ds, commands)
     valid = materialize(valid.withColumn("accepted", F.lit(False)))
@@ -257,25 +259,42 @@ def _static_transfer_checks(ds: Dataset, commands: DataFrame) -> tuple[DataFrame
 
 
 def _settle_in_turn(commands: DataFrame, free: DataFrame) -> DataFrame:
-    """Each product's commands in order against its running stock; groups of bounded size."""
-
-    def settle(wanted: pd.DataFrame, stock: pd.DataFrame) -> pd.DataFrame:
-        left = dict(zip(stock["warehouse_id"], stock["free"]))
-        wanted = wanted.sort_values(["command_ts", "command_id"])
-        verdicts = []
-        for source, target, quantity in zip(
-            wanted["from_warehouse_id"], wanted["to_warehouse_id"], wanted["quantity"]
-        ):
-            enough = left.get(source, 0) >= quantity
-            if enough:
-                left[source] -= quantity
-                left[target] = left.get(target, 0) + quantity
-            verdicts.append(enough)
-        return wanted.assign(accepted=verdicts)
+    """Each product's commands in order against its running stock.
 
-    return (
-        commands.groupBy("product_id").cogroup(free.groupBy("product_id")).applyInPandas(settle, commands.schema)
+    A task streams its products one after the other and remembers the stock of one product only.
+    """
+    columns = commands.columns
+    blank = {f.name: F.lit(0).cast(f.dataType) for f in commands.schema.fields if f.dataType != TimestampNTZType()}
+    opening = free.select(*STOCK_KEY, "free").withColumns(
+        {**blank, "product_id": F.col("product_id"), "from_warehouse_id": F.col("warehouse_id"), "phase": F.lit(0)}
     )
+    asked = commands.withColumns({"free": F.lit(0).cast("bigint"), "phase": F.lit(1)})
+    queue = (
+        asked.unionByName(opening.drop("warehouse_id"), allowMissingColumns=True)
+        .repartition("product_id")
+        .sortWithinPartitions("product_id", "phase", "command_ts", "command_id")
+    )
+
+    def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        product, left = None, {}
+        for batch in batches:
+            verdicts = []
+            fields = ("product_id", "phase", "from_warehouse_id", "to_warehouse_id", "quantity", "free")
+            for current, phase, source, target, quantity, stock in zip(*(batch[f] for f in fields)):
+                if current != product:
+                    product, left = current, {}
+                if phase == 0:
+                    left[source] = stock
+                    verdicts.append(False)
+                    continue
+                enough = left.get(source, 0) >= quantity
+                if enough:
+                    left[source] -= quantity
+                    left[target] = left.get(target, 0) + quantity
+                verdicts.append(enough)
+            yield batch.assign(accepted=verdicts).loc[batch["phase"] == 1, columns]
+
+    return queue.mapInPandas(settle, commands.schema)
 
 
 def _settle_in_rounds(opened: DataFrame, free: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from stockyard.dataset import Dataset
 from stockyard.functions.dates import day_of_week
 from stockyard.operators.chains import chain_rows, repeat_rows
 from stockyard.operators.hierarchy import rooted
+from stockyard.session import materialize
 
 MOVEMENT = (
     "movement_id",
@@ -92,7 +93,7 @@ def movement_chain(ds: Dataset, limit: int | None = 100, steps: int = 5) -> Data
         return repeat_rows(rows, "occurrences").select(*MOVEMENT, "step").orderBy(*order)
     first = moves.filter(_is_inbound()).select(*key).orderBy(*key).limit(limit)
     bound = first.agg(F.when(F.count("*") == limit, F.max(F.struct(*key)))).scalar()
-    near = moves.filter(bound.isNull() | (F.struct(*key) <= bound))
+    near = materialize(moves.filter(bound.isNull() | (F.struct(*key) <= bound)))
     rows = chain_rows(near, key[:2], key[2], _is_inbound(), steps)
     head = rows.orderBy(*order).limit(limit)
     capped = head.withColumn("occurrences", F.least("occurrences", F.lit(limit)))
