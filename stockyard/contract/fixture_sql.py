@@ -60,8 +60,10 @@ TABLE_SQL: dict[str, str] = {
                o_orderdate AS created_at
         FROM orders""",
     "tpch_lines": """
-        SELECT l_orderkey * 1000000 + row_number() OVER (
-                 PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+        SELECT l_orderkey * 1000000 + (l_partkey + l_suppkey + l_linenumber + l_quantity::BIGINT) % 64
+                 + 64 * row_number() OVER (
+                 PARTITION BY l_orderkey, (l_partkey + l_suppkey + l_linenumber + l_quantity::BIGINT) % 64
+                 ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
                    l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS line_id,
                l_orderkey, l_orderkey + 1 AS order_id, l_partkey + 1 AS product_id, l_quantity::INT AS quantity,
                round(l_extendedprice * 100)::BIGINT // l_quantity::BIGINT AS cents, l_discount

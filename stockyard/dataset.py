@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stockyard.schema import TABLES
 
@@ -21,12 +22,14 @@ class Dataset:
         spark: SparkSession,
         tables: Mapping[str, DataFrame | Callable[[], DataFrame]],
         as_of: datetime,
+        ledger_since: Callable[[Column], DataFrame] | None = None,
     ):
         unknown = set(tables) - set(TABLES)
         if unknown:
             raise ValueError(f"unknown tables: {sorted(unknown)}")
         self.spark = spark
         self.as_of = as_of
+        self._ledger_since = ledger_since
         self._sources = dict(tables)
         self._built: dict[str, DataFrame] = {}
 
@@ -49,7 +52,13 @@ class Dataset:
 
     def replace(self, **tables: DataFrame) -> Dataset:
         """The same dataset with some tables exchanged."""
-        return Dataset(self.spark, {**self._sources, **self._built, **tables}, self.as_of)
+        pruned = None if "inventory_movements" in tables else self._ledger_since
+        return Dataset(self.spark, {**self._sources, **self._built, **tables}, self.as_of, pruned)
+
+    def movements_since(self, bound: Column) -> DataFrame:
+        """Ledger rows strictly after an instant; a stored ledger opens only the months concerned."""
+        rows = self._ledger_since(bound) if self._ledger_since else self.inventory_movements
+        return rows.filter(F.col("movement_date") > bound)
 
     def register_views(self) -> None:
         for name in self.names:

@@ -25,6 +25,11 @@ def month_of(date: str | Column) -> Column:
     return F.trunc(date, "MM")
 
 
+def month_label(date: str | Column) -> Column:
+    """Name of a month partition, for example ``2023_01``."""
+    return F.date_format(date, "yyyy_MM")
+
+
 def year_of(date: str | Column) -> Column:
     return F.trunc(date, "YEAR")
 

@@ -101,4 +101,4 @@ def derive_movements(ds: Dataset) -> DataFrame:
 
 def outbound_since(ds: Dataset, bound: Column) -> DataFrame:
     """Outbound rows strictly after an instant (no upper bound)."""
-    return ds.inventory_movements.filter((F.col("movement_type") == "outbound") & (F.col("movement_date") > bound))
+    return ds.movements_since(bound).filter(F.col("movement_type") == "outbound")

@@ -17,9 +17,9 @@ def dead_stock(ds: Dataset) -> DataFrame:
 
 def warehouse_movements_30d(ds: Dataset, warehouse_id: int = 3) -> DataFrame:
     """Movements of one warehouse in 30 days; no row, rather than 0, if there were none."""
-    recent = F.col("movement_date") > before(ds.as_of, "30 DAYS")
     return (
-        ds.inventory_movements.filter((F.col("warehouse_id") == warehouse_id) & recent)
+        ds.movements_since(before(ds.as_of, "30 DAYS"))
+        .filter(F.col("warehouse_id") == warehouse_id)
         .groupBy("warehouse_id")
         .agg(F.count("*").alias("movements"))
     )

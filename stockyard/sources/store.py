@@ -12,7 +12,7 @@ import uuid
 from collections.abc import Iterable, Mapping
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,7 +67,14 @@ class SnapshotStore:
     def dataset(self, as_of: datetime) -> Dataset:
         """All published tables of the model, as of one manifest."""
         tables = {n: p for n, p in self.manifest()["tables"].items() if n in TABLES}
-        return Dataset(self.spark, {n: self._shaped(n, self.open(p, n)) for n, p in tables.items()}, as_of)
+        opened = {n: self.open(p, n) for n, p in tables.items()}  # folders are listed once
+        frames = {n: self._shaped(n, df) for n, df in opened.items()}
+
+        def ledger_since(bound: Column) -> DataFrame:
+            months = F.col(MONTH) >= month_of(bound.cast("date"))
+            return self._shaped(LEDGER, opened[LEDGER].filter(months))
+
+        return Dataset(self.spark, frames, as_of, ledger_since if LEDGER in tables else None)
 
     def ledger_between(self, start: date | None = None, end: date | None = None) -> DataFrame:
         """Movements from ``start`` up to but without ``end``, opening only the months concerned.

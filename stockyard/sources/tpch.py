@@ -57,6 +57,9 @@ def _row_counts(path: str, table: str) -> int:
 ROOT_CATEGORY = "cast(ascii(p_type) * 100 + ascii(substr(p_type, 2)) as bigint)"
 CHILD_CATEGORY = f"{ROOT_CATEGORY} * 1000 + cast(substr(p_brand, 7) as bigint)"
 FOUNDED = "timestamp_ntz '1995-01-01 00:00:00'"
+# Lines of an order are numbered inside 64 parts of it, so that a huge order is not one window group.
+LINE_PARTS = 64
+LINE_PART = f"(l_partkey + l_suppkey + l_linenumber + cast(l_quantity as bigint)) % {LINE_PARTS}"
 LINE_ORDER = (
     "l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, "
     "l_linestatus, l_shipdate"
@@ -245,11 +248,11 @@ class _Mapping:
         )
 
     def _lines(self) -> DataFrame:
-        """Lines with their id and whole-cent price; the id is a position inside its order."""
+        """Lines with their id and whole-cent price; the id combines order, part and place in the part."""
         if "lines" not in self._frames:
             self._frames["lines"] = self._read("lineitem").selectExpr(
-                f"l_orderkey * {LINES_PER_ORDER} + row_number() over (partition by l_orderkey order by {LINE_ORDER})"
-                " as line_id",
+                f"l_orderkey * {LINES_PER_ORDER} + {LINE_PART} + {LINE_PARTS} * cast(row_number() over "
+                f"(partition by l_orderkey, {LINE_PART} order by {LINE_ORDER}) as bigint) as line_id",
                 "l_orderkey",
                 "l_orderkey + 1 as order_id",
                 "l_partkey + 1 as product_id",
