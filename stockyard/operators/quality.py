@@ -1,7 +1,8 @@
 """Integrity rules as a distributed report.
 
-Per table one aggregate pass covers every row rule; keys and references are grouped before they
-are compared, so a key that fills a third of a table is one row per task in the shuffle.
+Per table one aggregate pass covers every row rule. Keys and references are tagged with their rule
+and grouped before they are compared, so a key that fills a third of a table is one row per task in
+the shuffle.
 """
 
 from __future__ import annotations
@@ -14,78 +15,110 @@ from pyspark.sql import types as T
 
 from stockyard.dataset import Dataset
 from stockyard.functions.dates import instant
-from stockyard.schema import NOW, TABLES, ForeignKey, Table
+from stockyard.schema import NOW, TABLES, Table
 
 
 def validate(ds: Dataset) -> DataFrame:
     """One row per rule: table, rule, kind, violations, sample_key (one offending key)."""
-    parts = []
-    for name in ds.names:
-        spec, rows = TABLES[name], getattr(ds, name)
-        parts.append(_row_rules(spec, rows))
-        for key in (spec.primary_key, *spec.unique):
-            parts.append(_unique(spec, rows, key))
-        for fk in spec.foreign_keys:
-            if ds.has(fk.table):
-                parts.append(_reference(spec, rows, fk, getattr(ds, fk.table)))
-    return reduce(DataFrame.unionByName, parts)
+    parts = [_row_rules(TABLES[name], getattr(ds, name)) for name in ds.names]
+    return reduce(DataFrame.unionByName, [*parts, _unique_keys(ds), _references(ds)])
 
 
 def _row_rules(spec: Table, rows: DataFrame) -> DataFrame:
-    broken: list[tuple[str, str, Column]] = []
+    """Rules that concern one row: required values, text lengths and checks, in one pass."""
+    broken: list[tuple[str, str, str]] = []
     for column in spec.columns:
         if column.required:
-            broken.append((f"{column.name}_not_null", "not_null", F.col(column.name).isNull()))
+            broken.append((f"{column.name}_not_null", "not_null", f"{column.name} is null"))
         if column.max_length and isinstance(column.type, T.StringType):
-            broken.append((f"{column.name}_length", "length", F.length(column.name) > column.max_length))
+            broken.append((f"{column.name}_length", "length", f"length({column.name}) > {column.max_length}"))
     for rule, predicate in spec.checks.items():
         # A check that evaluates to unknown is satisfied.
-        broken.append((rule, "check", ~F.coalesce(F.expr(predicate), F.lit(True))))
-    key = F.col(spec.id_column).cast("string")
+        broken.append((rule, "check", f"not coalesce({predicate}, true)"))
+    key = f"cast({spec.id_column} as string)"
     counted = rows.agg(
         *[
-            F.struct(F.count_if(test).alias("n"), F.min(F.when(test, key)).alias("key")).alias(f"r{i}")
+            F.expr(f"struct(count_if({test}) as n, min(case when {test} then {key} end) as key) as r{i}")
             for i, (_, _, test) in enumerate(broken)
         ]
     )
-    lines = [
-        F.struct(
-            F.lit(spec.name).alias("table"),
-            F.lit(rule).alias("rule"),
-            F.lit(kind).alias("kind"),
-            F.col(f"r{i}.n").alias("violations"),
-            F.col(f"r{i}.key").alias("sample_key"),
-        )
+    lines = ", ".join(
+        f"struct('{spec.name}' as table, '{rule}' as rule, '{kind}' as kind, r{i}.n as violations, "
+        f"r{i}.key as sample_key)"
         for i, (rule, kind, _) in enumerate(broken)
-    ]
-    return counted.select(F.inline(F.array(*lines)))
-
-
-def _unique(spec: Table, rows: DataFrame, key: tuple[str, ...]) -> DataFrame:
-    """Surplus rows of repeated keys; a key with a NULL part never repeats."""
-    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
-    text = F.concat_ws(",", *[F.col(c).cast("string") for c in key])
-    repeated = rows.filter(known).groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1")
-    kind = "primary_key" if key == spec.primary_key else "unique"
-    return repeated.agg(
-        F.lit(spec.name).alias("table"),
-        F.lit("_".join(key) + "_unique").alias("rule"),
-        F.lit(kind).alias("kind"),
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("violations"),
-        F.min(text).alias("sample_key"),
     )
+    return counted.selectExpr(f"inline(array({lines}))")
+
+
+def _unique_keys(ds: Dataset) -> DataFrame:
+    """Surplus rows of repeated keys; a key with a NULL part never repeats.
+
+    All keys of all tables go through one shuffle, and each table is read once for its keys.
+    """
+    rules: list[tuple[str, str, str]] = []
+    parts = []
+    for name in ds.names:
+        spec = TABLES[name]
+        keys = []
+        for columns in (spec.primary_key, *spec.unique):
+            kind = "primary_key" if columns == spec.primary_key else "unique"
+            known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+            text = F.concat_ws(",", *[F.col(c).cast("string") for c in columns])
+            keys.append(_tagged(len(rules), F.when(known, text)))
+            rules.append((name, "_".join(columns) + "_unique", kind))
+        parts.append(getattr(ds, name).select(F.inline(F.array(*keys))))
+    counted = reduce(DataFrame.unionByName, parts).filter("key is not null").groupBy("rule_no", "key").count()
+    found = (
+        counted.filter("count > 1")
+        .groupBy("rule_no")
+        .agg(F.sum(F.col("count") - 1).alias("violations"), F.min("key").alias("sample_key"))
+    )
+    return _with_all_rules(ds, rules, found)
 
 
-def _reference(spec: Table, rows: DataFrame, fk: ForeignKey, parent: DataFrame) -> DataFrame:
-    """Rows that refer to nothing; NULL refers to nothing and is allowed."""
-    used = rows.filter(F.col(fk.column).isNotNull()).groupBy(F.col(fk.column).alias("_ref")).agg(F.count("*").alias("n"))
-    known = parent.select(F.col(fk.key).alias("_ref"))
-    return used.join(known, "_ref", "left_anti").agg(
-        F.lit(spec.name).alias("table"),
-        F.lit(f"{fk.column}_exists").alias("rule"),
-        F.lit("foreign_key").alias("kind"),
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("violations"),
-        F.min(F.col("_ref").cast("string")).alias("sample_key"),
+def _references(ds: Dataset) -> DataFrame:
+    """Rows that refer to nothing; NULL refers to nothing and is allowed.
+
+    Every reference of every table is checked by one anti join of (rule, key) pairs.
+    """
+    rules: list[tuple[str, str, str]] = []
+    wanted: dict[str, list[Column]] = {}
+    offered: dict[str, list[Column]] = {}
+    for name in ds.names:
+        for fk in TABLES[name].foreign_keys:
+            if ds.has(fk.table):
+                wanted.setdefault(name, []).append(_tagged(len(rules), F.col(fk.column).cast("bigint")))
+                offered.setdefault(fk.table, []).append(_tagged(len(rules), F.col(fk.key).cast("bigint")))
+                rules.append((name, f"{fk.column}_exists", "foreign_key"))
+    if not rules:
+        return _with_all_rules(ds, rules, None)
+
+    def gathered(columns: dict[str, list[Column]]) -> DataFrame:
+        pairs = [getattr(ds, name).select(F.inline(F.array(*tags))) for name, tags in columns.items()]
+        return reduce(DataFrame.unionByName, pairs).filter("key is not null")
+
+    used = gathered(wanted).groupBy("rule_no", "key").count()
+    found = (
+        used.join(gathered(offered), ["rule_no", "key"], "left_anti")
+        .groupBy("rule_no")
+        .agg(F.sum("count").alias("violations"), F.min(F.col("key").cast("string")).alias("sample_key"))
+    )
+    return _with_all_rules(ds, rules, found)
+
+
+def _tagged(rule_no: int, key: Column) -> Column:
+    return F.struct(F.lit(rule_no).alias("rule_no"), key.alias("key"))
+
+
+def _with_all_rules(ds: Dataset, rules: list[tuple[str, str, str]], found: DataFrame | None) -> DataFrame:
+    """The findings, with a zero for each rule that found nothing (one row per rule on both sides)."""
+    names = ds.spark.createDataFrame(
+        [(i, *rule) for i, rule in enumerate(rules)], "rule_no int, table string, rule string, kind string"
+    )
+    if found is None:
+        found = ds.spark.createDataFrame([], "rule_no int, violations bigint, sample_key string")
+    return names.join(found, "rule_no", "left").select(
+        "table", "rule", "kind", F.coalesce("violations", F.lit(0).cast("bigint")).alias("violations"), "sample_key"
     )
 
 
