@@ -93,7 +93,7 @@ def live_daily_revenue(lines: DataFrame, orders: DataFrame, lateness: str = "1 d
     batch refresh remains the reference.
     """
     live = orders.filter(F.col("status") != "cancelled").select("so_id")
-    timed = lines.withColumn("ordered_at", F.col("ordered_at").cast("timestamp"))
+    timed = lines.withColumn("ordered_at", F.col("ordered_at").cast("timestamp_ltz"))
     return (
         timed.withWatermark("ordered_at", lateness)
         .join(live, "so_id")
