@@ -67,8 +67,10 @@ def with_ranks(df: DataFrame, value: str, tie_break: Sequence[str], *, descendin
     # Only the first and the last value of a slot can continue in a neighbour.
     bounds = F.struct(F.col(value).alias("edge"), "_first", "_last")
     edges = (
-        local.groupBy(SLOT)
-        .agg(F.min_by(bounds, "position").alias("head"), F.max_by(bounds, "position").alias("tail"))
+        placed.groupBy(SLOT, value)
+        .agg(F.min("position").alias("_first"), F.max("position").alias("_last"))
+        .groupBy(SLOT)
+        .agg(F.min_by(bounds, "_first").alias("head"), F.max_by(bounds, "_last").alias("tail"))
         .select(F.inline(F.array("head", "tail")))
         .groupBy("edge")
         .agg(F.min("_first").alias("_edge_first"), F.max("_last").alias("_edge_last"))
