@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockyard.llm import bpe, exact_dedup, line_dedup, packing, quality_rules, url_filters
+from stockyard.llm import bpe, exact_dedup, line_dedup, ngram_join, packing, quality_rules, url_filters
 from stockyard.llm.common import table
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
@@ -33,6 +37,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_bpe": op2_bpe,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_quality_rules": op5_quality_rules,

@@ -13,8 +13,6 @@ third of all rows is combined in every task before it is shuffled.
 
 from __future__ import annotations
 
-import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,8 +20,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockyard.llm.common import BLANKS, saved, text_of
+from stockyard.llm.common import saved, text_of
 from stockyard.llm.line_dedup import without_lines
+from stockyard.llm.shingles import WordHashes, hash64, window_hashes, words_of
 
 MIN_WORDS = 20
 MAX_REPEATED = 30  # percent of the words
@@ -32,35 +31,6 @@ MIN_DOCS, SHARE, VARIETY = 10, 0.01, 0.5
 #: A document is depleted if removed lines leave fewer than MIN_WORDS words or under this share of its words.
 LEFT = 0.3
 SYMBOLS = "#*$%&|<>"
-_WORDS = re.compile(r"[^\x20\x09-\x0D]+").findall
-_BLANK = str.maketrans("", "", BLANKS)
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _hash64(data: str) -> int:
-    return int.from_bytes(hashlib.blake2b(data.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
-
-
-class _WordHashes(dict):
-    """Hash of a word, kept for the words met so far; emptied when large."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        value = self[word] = _hash64(word) & 0xFFFFFFFFFFFFFFFF
-        return value
-
-
-def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
-    """A 64-bit hash of every run of ``size`` words."""
-    n = len(words) - size + 1
-    if n <= 0:
-        return np.zeros(0, dtype=np.uint64)
-    out = np.zeros(n, dtype=np.uint64)
-    for i in range(size):
-        out = (out * _MIX) ^ words[i : i + n]
-        out ^= out >> np.uint64(29)
-    return out * _MIX
 
 
 def repeated_words(words: np.ndarray, size: int = WINDOW) -> int:
@@ -85,20 +55,20 @@ def measured(docs: DataFrame) -> DataFrame:
     """Base statistics, signature and hashed lines of every row."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = _WordHashes()
+        known = WordHashes()
         for frame in frames:
             rows = []
             for text in frame["text"]:
-                words = _WORDS(text)
-                hashed = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+                words = words_of(text)
+                hashed = known.of(words)
                 seen, dup, hashes, counts, numbers = set(), 0, [], [], []
                 for number, line in enumerate(text.split("\n")):
-                    inner = line.split() if line.isascii() else _WORDS(line)
+                    inner = line.split() if line.isascii() else words_of(line)
                     if not inner:
                         continue
                     dup += line in seen
                     seen.add(line)
-                    hashes.append(_hash64(" ".join(inner).lower()))
+                    hashes.append(hash64(" ".join(inner).lower()))
                     counts.append(len(inner))
                     numbers.append(number)
                 shingles = window_hashes(hashed, min(5, len(hashed))) if len(hashed) else hashed
