@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockyard.llm import bpe, exact_dedup, language_id, line_dedup, ngram_join, packing, quality_classifier, quality_rules, url_filters
+from stockyard.llm import bpe, exact_dedup, html_extraction, language_id, line_dedup, ngram_join, packing, quality_classifier, quality_rules, url_filters
 from stockyard.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"))[0].drop("text_hash")
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extracted(table(spark, sf_dir, "pages"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identified(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ QUERIES = {
     "op3_quality_classifier": op3_quality_classifier,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_quality_rules": op5_quality_rules,
+    "op6_html_extraction": op6_html_extraction,
     "op7_language_id": op7_language_id,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_substring_dedup": op9_substring_dedup,
