@@ -33,6 +33,11 @@ _RUNS = re.compile(f"[^{_SPACE}]+").findall
 _OTHER_BLANKS = re.compile("[\x1c-\x1f]").search
 
 
+def runs_of(text: str) -> list[str]:
+    """What stands between white space."""
+    return _RUNS(text) if _OTHER_BLANKS(text) else text.split()
+
+
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
@@ -132,7 +137,7 @@ class Bpe:
         if len(self.known_words) > KEPT:
             self.known_words.clear()
         known = self.known
-        runs = _RUNS(text) if _OTHER_BLANKS(text) else text.split()
+        runs = runs_of(text)
         for run in {*runs}.difference(known):
             known[run] = self._run(run)
         return b"".join(map(known.__getitem__, runs))

@@ -34,6 +34,19 @@ def text_of(df: DataFrame) -> Column:
     return F.coalesce(df["text"].cast("string"), F.lit(""))
 
 
+def with_row(docs: DataFrame, **extra: Column) -> DataFrame:
+    """``row`` (all columns of ``docs``), ``doc_id`` and ``extra``: whatever ``docs`` calls its columns, nothing clashes."""
+    return docs.select(F.expr("struct(*)").alias("row"), F.col("doc_id"), *[c.alias(n) for n, c in extra.items()])
+
+
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose (doc_id, hash of the text) is not in ``dropped`` (doc_id, text_hash)."""
+    gone = dropped.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
+    rows = with_row(docs, text_hash=F.xxhash64(text_of(docs)))
+    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("text_hash") == F.col("gone_hash"))
+    return rows.join(gone, same, "left_anti").select("row.*")
+
+
 def buckets(spark: SparkSession, times: int = 2) -> int:
     """A number of hash buckets that grows with the partitions the cluster uses."""
     return max(8, times * int(spark.conf.get("spark.sql.shuffle.partitions", "200")))

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockyard.llm.common import BLANKS, saved, text_of
+from stockyard.llm.common import BLANKS, saved, text_of, with_row
 
 HASH_CHUNK = 4096  # bytes; 255 * 2^31 * 4096 stays below 2^53, so float64 products are exact
 COMPARE_CHUNK = 65_536  # characters per compared row
@@ -163,6 +163,22 @@ def exact_duplicates(docs: DataFrame, primes=PRIMES) -> DataFrame:
     )
 
 
+def kept_documents(docs: DataFrame) -> DataFrame:
+    """The rows that stay, with their columns: one of each class of equal texts."""
+    text = text_of(docs)
+    told = exact_duplicates(docs).groupBy(F.col("doc_id").alias("told_id"), F.col("n_points").alias("told_points"), F.col("text_sha256").alias("told_sha"))
+    told = saved(told.agg(F.max("kept").alias("stays"), F.count("*").alias("repeats")).filter("not stays or repeats > 1"))
+    rows = with_row(docs, n_points=F.length(text).cast("long"), sha=F.sha2(F.translate(text, BLANKS, ""), 256))
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("told_id")) & (F.col("n_points") == F.col("told_points")) & (F.col("sha") == F.col("told_sha"))
+    )
+    stays = rows.join(told, same, "left_anti")
+    repeated = told.filter("stays")
+    if not repeated.isEmpty():  # wholly repeated rows: one of each
+        stays = stays.unionByName(rows.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "n_points", "sha"]))
+    return stays.select("row.*")
+
+
 ORACLE = r"""
 WITH t AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,

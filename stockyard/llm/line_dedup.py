@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockyard.llm.common import saved, text_of
+from stockyard.llm.common import saved, text_of, with_row
 
 #: Passages of over 50 words.
 MIN_WORDS = 51
@@ -80,19 +80,24 @@ def without_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
 
     A null text stays null; n_chars, where it is there, is counted anew for changed texts.
     """
-    cut = lines.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
-        F.collect_set("unit").alias("_cut")  # at most the lines of one text
+    cut = lines.groupBy(F.col("doc_id").alias("cut_id"), F.col("text_hash").alias("cut_hash")).agg(
+        F.collect_set("unit").alias("cut")  # at most the lines of one text
     )
-    marked = docs.withColumn("_mark", F.xxhash64(text_of(docs)))
-    joined = marked.join(cut, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_hash")), "left")
+    rows = with_row(docs, text_hash=F.xxhash64(text_of(docs)))
+    joined = rows.join(cut, F.col("doc_id").eqNullSafe(F.col("cut_id")) & (F.col("text_hash") == F.col("cut_hash")), "left")
     left = F.array_join(
-        F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains(F.col("_cut"), i.cast("long"))), "\n"
+        F.filter(F.split("row.text", "\n", -1), lambda x, i: ~F.array_contains(F.col("cut"), i.cast("long"))), "\n"
     )
-    changed = F.col("_cut").isNotNull()
-    out = joined.withColumn("text", F.when(changed, left).otherwise(F.col("text")))
+    changed = F.col("row").withField("text", left)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        changed = changed.withField("n_chars", F.length(left).cast(docs.schema["n_chars"].dataType))
+    out = joined.select(F.when(F.col("cut").isNull(), F.col("row")).otherwise(changed).alias("row"))
+    return out.select("row.*")
+
+
+def kept_documents(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """All rows of ``docs`` with later occurrences of long lines cut out of their texts."""
+    return without_lines(docs, repeated_units(docs, min_words).select("doc_id", "text_hash", "unit"))
 
 
 _LINES = r"""

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockyard.llm.common import saved, streamed_groups, text_of
+from stockyard.llm.common import saved, streamed_groups, text_of, without
 from stockyard.llm.components import components
 from stockyard.llm.shingles import MIX, WordHashes, shingle_set, words_of
 
@@ -262,3 +262,8 @@ def similar(
         "doc_id", "text_hash", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("kept")
     )
     return joined.select("doc_id", "text_hash", F.col("first.doc_id").alias("class_id"), "n_links", stays.alias("kept")).unionByName(empty)
+
+
+def kept_documents(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose text stands for its class."""
+    return without(docs, similar(docs).filter(~F.col("kept")))

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockyard.llm.common import saved, text_of
+from stockyard.llm.common import saved, text_of, without
 from stockyard.llm.line_dedup import without_lines
 from stockyard.llm.shingles import WordHashes, hash64, window_hashes, words_of
 
@@ -150,7 +150,4 @@ def judged(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, vari
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The documents that pass, with their columns, boilerplate lines cut out of the text."""
     verdicts, removed = judged(docs)
-    failed = verdicts.filter(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h")).distinct()
-    marked = docs.withColumn("_m", F.xxhash64(text_of(docs)))
-    stays = marked.join(failed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_m") == F.col("_h")), "left_anti")
-    return without_lines(stays.drop("_m"), removed)
+    return without_lines(without(docs, verdicts.filter(~F.col("kept"))), removed)
