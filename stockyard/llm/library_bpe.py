@@ -1,4 +1,8 @@
-"""Ids by the tokenizers library, with runs between blanks remembered."""
+"""Ids by the tokenizers library, with runs between blanks remembered.
+
+Words repeat, so the library is asked once for each new word of a batch; the words of a request share one text, and the
+word-end mark of their last tokens tells them apart again.
+"""
 
 from __future__ import annotations
 
@@ -7,10 +11,30 @@ import unicodedata
 from array import array
 from functools import lru_cache
 
-from stockyard.llm.bpe import KEPT, runs_of
+import numpy as np
+
+from stockyard.llm.bpe import runs_of
 
 #: Marks that end a run as a token of their own, so that "word," is "word" and ",".
 _MARKS = ".,;:!?"
+_TOGETHER = 64
+
+
+class Recent(dict):
+    """A memory of what was used lately: when it is full, what the last filling has not used is forgotten."""
+
+    def __init__(self, kept: int = 400_000):
+        self.kept, self.before = kept, {}
+
+    def absent(self, keys: set[str]) -> set[str]:
+        """The keys that are not known; the others are held until the next call."""
+        if len(self) > self.kept:
+            self.before = dict(self)
+            self.clear()
+        fresh = keys.difference(self)
+        for key in fresh & self.before.keys():
+            self[key] = self.before[key]
+        return fresh.difference(self)
 
 
 class Library:
@@ -21,38 +45,56 @@ class Library:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.parts: dict[str, bytes] = {mark: self._ids([mark])[0] for mark in _MARKS}
-        self.runs: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
+        self.words, self.others, self.runs = Recent(), Recent(), Recent()
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
+    def _learn_words(self, words: list[str]) -> None:
+        groups = [words[i : i + _TOGETHER] for i in range(0, len(words), _TOGETHER)]
+        for group, ids in zip(groups, self._ids([" ".join(g) for g in groups])):
+            data, ends = array("I", ids).tobytes(), (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+            if len(ends) != len(group):
+                raise ValueError("the vocabulary does not mark the ends of words")
+            start = 0
+            for word, end in zip(group, ends):
+                self.words[word] = data[start:end]
+                start = end
 
     def _learn(self, runs: set[str]) -> None:
-        split = {}
+        plain, other = {}, {}
         for run in runs:
             word = run.rstrip(_MARKS)
             # Only plain words part from their marks: case and composition must leave them letters.
-            if word and word.lower().isalpha() and (run.isascii() or unicodedata.is_normalized("NFC", word)):
-                split[run] = (word.lower() if run.isascii() else word, run[len(word) :])
+            if word.isalpha() and (run.isascii() or word.lower().isalpha() and unicodedata.is_normalized("NFC", word)):
+                plain[run] = (word.lower() if run.isascii() else word, run[len(word) :])
             else:
-                split[run] = (run, "")
-        fresh = list({part for pair in split.values() for part in pair if part}.difference(self.parts))
-        self.parts.update(zip(fresh, self._ids(fresh)))
-        self.parts[""] = b""
-        for run, (word, marks) in split.items():
-            self.runs[run] = self.parts[word] + self.parts[marks]
+                other[run] = run
+        self._learn_words(list(self.words.absent({word for word, _ in plain.values()})))
+        fresh = list(self.others.absent({*other.values(), *(marks for _, marks in plain.values())}))
+        self.others.update(zip(fresh, (array("I", ids).tobytes() for ids in self._ids(fresh))))
+        for run, (word, marks) in plain.items():
+            self.runs[run] = self.words[word] + self.others[marks] if marks else self.words[word]
+        for run in other:
+            self.runs[run] = self.others[run]
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        if len(self.runs) > KEPT or len(self.parts) > KEPT:
-            self.runs.clear()
-            self.parts.clear()
         runs = runs_of(text)
-        if fresh := {*runs}.difference(self.runs):
+        if fresh := self.runs.absent({*runs}):
             self._learn(fresh)
         return b"".join(map(self.runs.__getitem__, runs))
 
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        cut = [runs_of(text) for text in texts]
+        if fresh := self.runs.absent({run for runs in cut for run in runs}):
+            self._learn(fresh)
+        known = self.runs.__getitem__
+        return [b"".join(map(known, runs)) for runs in cut]
+
 
 @lru_cache(maxsize=4)
 def load(path: str) -> Library:

@@ -24,11 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stockyard.llm import bpe
+from stockyard.llm import library_bpe
+from stockyard.llm.bpe import vocabulary_path
 from stockyard.llm.common import buckets, saved, text_of
 
 CAPACITY = 2048
 END = 0
+TEXTS = 500  # coded together
 
 
 class Plan:
@@ -127,16 +129,18 @@ class Plan:
 
 def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every row's tokens and end mark, cut only above the capacity."""
-    path = path or bpe.vocabulary_path()
+    path = path or vocabulary_path()
     end = END.to_bytes(4, "little")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder = bpe.load(path)
+        coder = library_bpe.load(path)
         step = 4 * capacity
         for frame in frames:
             rows = []
-            for doc_id, text in zip(frame["doc_id"].astype("Int64"), frame["text"]):
-                ids = coder.encode(text) + end
+            texts = frame["text"].tolist()
+            coded = (ids for a in range(0, len(texts), TEXTS) for ids in coder.encode_many(texts[a : a + TEXTS]))
+            for doc_id, ids in zip(frame["doc_id"].astype("Int64"), coded):
+                ids += end
                 for at in range(0, len(ids), step):
                     part = ids[at : at + step]
                     rows.append((doc_id, at // step, at // 4, len(part) // 4, zlib.crc32(part)))

@@ -28,7 +28,7 @@ MIN_WORDS = 20
 MAX_REPEATED = 30  # percent of the words
 WINDOW = 8
 MIN_DOCS, SHARE, VARIETY = 10, 0.01, 0.5
-#: A document is depleted if removed lines leave fewer than MIN_WORDS words or under this share of its words.
+#: A document is depleted if the removed lines leave under this share of its words.
 LEFT = 0.3
 SYMBOLS = "#*$%&|<>"
 
@@ -133,7 +133,7 @@ def judged(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, vari
     lost = removed.groupBy(F.col("_row").alias("_of")).agg(F.sum("words").alias("n_removed_words"))
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     rest = F.col("n_words") - F.col("n_removed_words")
-    depleted = (F.col("n_removed_words") > 0) & ((rest < MIN_WORDS) | (rest < left * F.col("n_words")))
+    depleted = (F.col("n_removed_words") > 0) & (rest < left * F.col("n_words"))
     verdicts = (
         stats.join(lost, F.col("_row") == F.col("_of"), "left")
         .withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0)).cast("long"))
