@@ -164,15 +164,15 @@ def test_base_counts(docs_of, odd_rows):
 
 
 def test_boilerplate_goes_and_copies_stay(docs_of):
-    notice = "all rights reserved by the owner of this site"
+    notice = "all rights in this page and in whatever it links to are reserved by the owner of the site until further notice"
     copy = prose(7, 80)
     rows = [(i, f"{notice}\n{prose(100 + i, 60)}", "en", "s") for i in range(30)]
-    rows += [(50 + i, f"{notice.upper()}\n{prose(200 + i, 15)}", "en", "s") for i in range(3)]  # depleted
+    rows += [(50 + i, f"{notice.upper()}\n{prose(200 + i, 5)}", "en", "s") for i in range(3)]  # depleted
     rows += [(100 + i, f"{copy}\n{prose(8, 40)}", "en", "s") for i in range(40)]  # copies of one document
     rows += [(200 + i, f"{notice}\n{prose(300 + i, 60)}", "en", "t") for i in range(5)]  # rare on this host
     verdicts, removed = quality_rules.judged(docs_of(rows), min_docs=10, share=0.01)
     got = {v.doc_id: v for v in verdicts.collect()}
-    assert all(got[i].kept and got[i].n_removed_words == 9 for i in range(30))
+    assert all(got[i].kept and got[i].n_removed_words == 22 for i in range(30))
     assert not any(got[50 + i].kept or got[50 + i].base_failed for i in range(3))
     assert all(got[100 + i].kept and not got[100 + i].n_removed_words for i in range(40))
     assert all(got[200 + i].kept and not got[200 + i].n_removed_words for i in range(5))
