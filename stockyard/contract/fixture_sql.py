@@ -15,16 +15,16 @@ _CHILD = f"({_ROOT} * 1000 + substr(p_brand, 7)::BIGINT)"
 TABLE_SQL: dict[str, str] = {
     "warehouses": f"""
         SELECT (n_nationkey + 1)::BIGINT AS warehouse_id, 'Warehouse ' || n_name AS name, NULL::VARCHAR AS address, n_name AS city, NULL::VARCHAR AS state,
-               r_name AS country, ({PARTS} * (140 + 10 * (n_nationkey % 5)))::INT AS capacity_units, {FOUNDED}
+               r_name AS country, ({PARTS} * (140 + 10 * (n_nationkey % 5)))::BIGINT AS capacity_units, {FOUNDED}
         FROM nation, region WHERE n_regionkey = r_regionkey""",
     "employees": f"""
         SELECT c_custkey + 1 AS employee_id, (c_nationkey + 1)::BIGINT AS warehouse_id,
                CASE WHEN c_custkey >= 3 THEN (c_custkey - 1) // 3 + 1 END AS manager_id,
                'First' || (c_custkey % 20) AS first_name, 'Last' || (c_custkey % 7) AS last_name,
                'e' || c_custkey || '@staff.example' AS email, NULL::VARCHAR AS phone,
-               CASE WHEN c_custkey < 3 THEN 'Warehouse Manager' ELSE
-                 (['Inventory Clerk', 'Forklift Operator', 'Shipping Coordinator', 'Receiving Associate',
-                   'Logistics Analyst', 'Warehouse Supervisor', 'Picker/Packer'])[(c_custkey % 7 + 1)::INT]
+               CASE WHEN c_custkey < 3 THEN 'Site Head' ELSE
+                 (['Stock Keeper', 'Truck Loader', 'Dock Planner', 'Goods Inspector', 'Route Analyst', 'Floor Lead',
+                   'Order Packer'])[(c_custkey % 7 + 1)::INT]
                END AS job_title, DATE '1990-01-01' + (c_custkey % 1800)::INT AS hire_date, {FOUNDED}
         FROM customer""",
     "product_categories": f"""
@@ -59,15 +59,18 @@ TABLE_SQL: dict[str, str] = {
                     WHEN 3 THEN 'shipped' ELSE 'delivered' END AS status,
                o_orderdate AS created_at
         FROM orders""",
+    # Ids told apart by counting: a line's place among its order's lines of the same remainder.
+    "line_parts": """
+        SELECT *, (l_partkey + l_suppkey + l_linenumber + l_quantity::BIGINT) % parts AS remainder
+        FROM lineitem, (SELECT greatest(64, max(n) // 65536 + 1) AS parts
+                        FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey))""",
+    "line_room": "SELECT max(n) AS room FROM (SELECT count(*) AS n FROM line_parts GROUP BY l_orderkey, remainder)",
     "tpch_lines": """
-        SELECT l_orderkey * 1000000 + (l_partkey + l_suppkey + l_linenumber + l_quantity::BIGINT) % 64
-                 + 64 * row_number() OVER (
-                 PARTITION BY l_orderkey, (l_partkey + l_suppkey + l_linenumber + l_quantity::BIGINT) % 64
-                 ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
-                   l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS line_id,
+        SELECT (l_orderkey * parts + remainder) * room + place - min(place) OVER (PARTITION BY l_orderkey, remainder) AS line_id,
                l_orderkey, l_orderkey + 1 AS order_id, l_partkey + 1 AS product_id, l_quantity::INT AS quantity,
                round(l_extendedprice * 100)::BIGINT // l_quantity::BIGINT AS cents, l_discount
-        FROM lineitem""",
+        FROM (SELECT *, row_number() OVER (ORDER BY l_orderkey, remainder, l_linenumber, l_partkey, l_suppkey, l_quantity,
+                l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS place FROM line_parts), line_room""",
     "sales_order_items": """
         SELECT line_id AS so_item_id, order_id AS so_id, product_id, quantity,
                (cents * 0.01)::DECIMAL(10,2) AS unit_price, round(l_discount * 100)::DECIMAL(4,2) AS discount_pct
@@ -192,14 +195,17 @@ def typed(columns: str, body: str, **local: str) -> str:
     return with_tables(f"SELECT {', '.join(casts)} FROM ({body.strip()}) AS answer", **local)
 
 
-def rounded(expression: str, digits: int) -> str:
-    """Half away from zero, as exact decimals do it."""
-    return f"round(CAST({expression} AS DECIMAL(30, 10)), {digits})"
+def quotient(part: str, whole: str, digits: int, times: int = 1) -> str:
+    """Half away from zero: the whole part of the quotient, one more if twice the remainder reaches the divisor."""
+    over = f"(CAST(CAST({part} AS DECIMAL(28, 6)) * CAST(1000000 AS DECIMAL(7, 0)) AS HUGEINT) * {times * 10**digits})"
+    under = f"CAST(CAST({whole} AS DECIMAL(28, 6)) * CAST(1000000 AS DECIMAL(7, 0)) AS HUGEINT)"
+    up = f"(CASE WHEN 2 * abs({over} % {under}) >= abs({under}) THEN sign({over}) * sign({under}) ELSE 0 END)"
+    return f"(CAST({over} // {under} + {up} AS DOUBLE) / {10**digits})"
 
 
 def percent(part: str, whole: str, digits: int) -> str:
-    return rounded(f"CAST(100 AS DOUBLE) * CAST({part} AS DOUBLE) / nullif(CAST({whole} AS DOUBLE), 0)", digits)
+    return quotient(part, f"nullif({whole}, 0)", digits, 100)
 
 
 def mean(total: str, count: str, digits: int) -> str:
-    return rounded(f"CAST({total} AS DOUBLE) / CAST({count} AS DOUBLE)", digits)
+    return quotient(total, count, digits)

@@ -309,11 +309,21 @@ COMMANDS = {
 # --- streams ---------------------------------------------------------------------------------
 
 
+FILES_A_BATCH = 2
+
+
+def _split(ds: Dataset, table: str) -> str:
+    """A copy of a source table in several files, so that a stream over it has several micro-batches."""
+    folder = f"{_fresh_folder(ds)}/{table}"
+    source = ds.spark.read.schema(SOURCE_SCHEMAS[table]).parquet(f"{ds.origin}/{table}.parquet")
+    source.repartition(max(6, ds.spark.sparkContext.defaultParallelism)).write.parquet(folder)
+    return folder
+
+
 def _line_stream(ds: Dataset) -> DataFrame:
     """The supplied lines as a file stream, shaped like sales lines."""
-    folder = ds.sales_order_items.inputFiles()[0].rsplit("/", 1)[0]
-    reader = ds.spark.readStream.schema(SOURCE_SCHEMAS["lineitem"]).option("pathGlobFilter", "lineitem.parquet")
-    return reader.parquet(folder).selectExpr(
+    reader = ds.spark.readStream.schema(SOURCE_SCHEMAS["lineitem"]).option("maxFilesPerTrigger", FILES_A_BATCH)
+    return reader.parquet(_split(ds, "lineitem")).selectExpr(
         "l_orderkey + 1 as so_id",
         "l_partkey + 1 as product_id",
         "cast(l_quantity as int) as quantity",
@@ -410,7 +420,7 @@ def damaged(ds: Dataset) -> Dataset:
         customers=ds.customers.withColumn("segment", F.expr("case segment when 'online' then 'web' else segment end")),
         stock_transfers=ds.stock_transfers.withColumn("to_warehouse_id", F.col("to_warehouse_id") + 1),
         employees=ds.employees.withColumns(
-            {"manager_id": F.col("manager_id") - 2, "job_title": F.expr("nullif(job_title, 'Logistics Analyst')")}
+            {"manager_id": F.col("manager_id") - 2, "job_title": F.expr("nullif(job_title, 'Route Analyst')")}
         ),
     )
 
@@ -421,7 +431,7 @@ _DAMAGE = {
     "products": "SELECT * REPLACE ('SKU' || (product_id // 2) AS sku, (unit_cost - 500)::DECIMAL(10,2) AS unit_cost)",
     "customers": "SELECT * REPLACE (CASE segment WHEN 'online' THEN 'web' ELSE segment END AS segment)",
     "stock_transfers": "SELECT * REPLACE (to_warehouse_id + 1 AS to_warehouse_id)",
-    "employees": "SELECT * REPLACE (manager_id - 2 AS manager_id, nullif(job_title, 'Logistics Analyst') AS job_title)",
+    "employees": "SELECT * REPLACE (manager_id - 2 AS manager_id, nullif(job_title, 'Route Analyst') AS job_title)",
 }
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockyard.contract.fixture_sql import mean, percent, rounded, typed
+from stockyard.contract.fixture_sql import mean, percent, quotient, typed
 from stockyard.dataset import Dataset
 from stockyard.operators import ledger
 from stockyard.plans import cases, customer, hierarchies, inventory, kpi, sales, supplier, views, warehouse, windows
@@ -389,7 +389,7 @@ WINDOWS |= {
         typed(
             "employee_id:i orders_handled:i percentile:f",
             f"""SELECT employee_id, orders_handled,
-                       {rounded("percent_rank() OVER (ORDER BY orders_handled)", 3)} AS percentile
+                       {quotient("rank() OVER (ORDER BY orders_handled) - 1", "nullif(count(*) OVER () - 1, 0)", 3)} AS percentile
                 FROM (SELECT employee_id, count(*) AS orders_handled FROM sales_orders GROUP BY employee_id)""",
         ),
     ),
@@ -398,7 +398,7 @@ WINDOWS |= {
         typed(
             "so_id:i order_total:f cume_dist:f",
             f"""SELECT so_id, gross_total AS order_total,
-                       {rounded("cume_dist() OVER (ORDER BY gross_total)", 3)} AS cume_dist
+                       {quotient("count(*) OVER (ORDER BY gross_total)", "count(*) OVER ()", 3)} AS cume_dist
                 FROM order_value""",
         ),
     ),
@@ -525,7 +525,7 @@ KPI = {
         kpi.inventory_turnover,
         typed(
             "inventory_turnover_ratio:f",
-            f"""SELECT {rounded("cost::DOUBLE / (stock.value::DOUBLE / stock.n)", 2)} AS inventory_turnover_ratio
+            f"""SELECT {quotient("cost * stock.n", "stock.value", 2)} AS inventory_turnover_ratio
                 FROM (SELECT sum(s.quantity * p.unit_cost) AS cost
                       FROM live_sale s INNER JOIN products p USING (product_id)
                       WHERE s.order_date > {NOW} - INTERVAL 1 YEAR),

@@ -23,12 +23,14 @@ class Dataset:
         tables: Mapping[str, DataFrame | Callable[[], DataFrame]],
         as_of: datetime,
         ledger_since: Callable[[Column], DataFrame] | None = None,
+        origin: str | None = None,
     ):
         unknown = set(tables) - set(TABLES)
         if unknown:
             raise ValueError(f"unknown tables: {sorted(unknown)}")
         self.spark = spark
         self.as_of = as_of
+        self.origin = origin  # the folder of the source tables, for those who stream them
         self._ledger_since = ledger_since
         self._sources = dict(tables)
         self._built: dict[str, DataFrame] = {}
@@ -53,7 +55,7 @@ class Dataset:
     def replace(self, **tables: DataFrame) -> Dataset:
         """The same dataset with some tables exchanged."""
         pruned = None if "inventory_movements" in tables else self._ledger_since
-        return Dataset(self.spark, {**self._sources, **self._built, **tables}, self.as_of, pruned)
+        return Dataset(self.spark, {**self._sources, **self._built, **tables}, self.as_of, pruned, self.origin)
 
     def movements_since(self, bound: Column) -> DataFrame:
         """Ledger rows strictly after an instant; a stored ledger opens only the months concerned."""

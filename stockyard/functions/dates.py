@@ -26,7 +26,7 @@ def month_of(date: str | Column) -> Column:
 
 
 def month_label(date: str | Column) -> Column:
-    """Name of a month partition, for example ``2023_01``."""
+    """A month's name, for example ``2023_01``."""
     return F.date_format(date, "yyyy_MM")
 
 

@@ -32,18 +32,30 @@ def sum_discount() -> Column:
     return F.sum(gross_amount() * F.col("discount_pct")) * _hundredth()
 
 
-def percent_of(part: Column, whole: Column, digits: int) -> Column:
-    """``100 * part / whole`` rounded half away from zero; NULL for a zero whole."""
-    share = F.lit(100.0) * part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0))
-    return rounded(share, digits)
+_SCALE = 6  # no amount of the model has more decimals
+
+
+def _whole(value: Column) -> Column:
+    """A whole number or decimal as a count of millionths, exactly."""
+    millionths = value.cast(f"decimal(38,{_SCALE})") * F.lit(10**_SCALE).cast("decimal(7,0)")
+    return millionths.cast("decimal(38,0)")
 
 
-def rounded(value: Column, digits: int) -> Column:
-    """Round a double half away from zero the way exact decimals round.
+def quotient(part: Column, whole: Column, digits: int, times: int = 1) -> Column:
+    """``times * part / whole`` rounded half away from zero, in whole-number arithmetic.
 
-    The detour over ten decimals restores a tie such as 0.125 that a quotient misses by one bit.
+    For whole numbers and decimals. A zero ``whole`` is an error, as it is in SQL.
     """
-    return F.round(value.cast("decimal(38,10)"), digits)
+    over, under = _whole(part), _whole(whole)
+    doubled = F.abs(over) * F.lit(2 * times * 10**digits).cast("decimal(10,0)") + F.abs(under)
+    size = F.call_function("div", doubled, F.abs(under) * F.lit(2).cast("decimal(1,0)"))
+    signed = F.when((over < 0) != (under < 0), -size).otherwise(size)
+    return signed.cast("decimal(20,0)") * F.lit(str(10.0**-digits)).cast(f"decimal({digits + 1},{digits})")
+
+
+def percent_of(part: Column, whole: Column, digits: int) -> Column:
+    """``100 * part / whole`` rounded half away from zero; NULL for a zero whole."""
+    return quotient(part, F.nullif(whole, F.lit(0).cast("decimal(1,0)")), digits, 100)
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

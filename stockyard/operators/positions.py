@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from stockyard.functions.money import quotient
 from stockyard.session import materialize
 
 SLOT = "_slot"
@@ -89,13 +90,13 @@ def rank() -> Column:
     return F.col("tie_first")
 
 
-def percent_rank() -> Column:
+def percent_rank(digits: int) -> Column:
     rows = F.col("total")
-    return F.when(rows > 1, (F.col("tie_first") - 1).cast("double") / (rows - 1).cast("double")).otherwise(0.0)
+    return F.coalesce(quotient(F.col("tie_first") - 1, F.nullif(rows - 1, F.lit(0).cast("bigint")), digits), F.lit(0))
 
 
-def cume_dist() -> Column:
-    return F.col("tie_last").cast("double") / F.col("total").cast("double")
+def cume_dist(digits: int) -> Column:
+    return quotient(F.col("tie_last"), F.col("total"), digits)
 
 
 def ntile(tiles: int) -> Column:

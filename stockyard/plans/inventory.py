@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stockyard.dataset import Dataset
 from stockyard.functions.dates import before, day
-from stockyard.functions.money import rounded
+from stockyard.functions.money import quotient
 from stockyard.functions.ordering import ascending, descending, some, top
 from stockyard.operators.ledger import outbound_since
 from stockyard.plans import views
@@ -116,7 +116,7 @@ def stockout_risk(ds: Dataset, limit: int | None = 50, days: int = 7) -> DataFra
             "warehouse_id",
             "quantity_on_hand",
             (units.cast("double") / F.lit(30.0)).alias("daily_avg_out"),
-            rounded((on_hand * 30).cast("double") / units.cast("double"), 1).alias("days_of_cover"),
+            quotient(on_hand * 30, units, 1).alias("days_of_cover"),
         )
     )
     return top(risky, limit, ascending("days_of_cover"), ascending("product_id"), ascending("warehouse_id"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stockyard.dataset import Dataset
 from stockyard.functions.dates import before, lead_days
-from stockyard.functions.money import rounded, sum_net
+from stockyard.functions.money import quotient, sum_net
 from stockyard.functions.ordering import ascending, descending, top
 from stockyard.plans.views import active, received
 
@@ -28,7 +28,7 @@ def kpi_snapshot(ds: Dataset) -> DataFrame:
         F.sum(F.col("quantity_on_hand") * F.col("unit_cost")).alias("value"),
         F.count_if(F.col("quantity_on_hand") < F.col("reorder_level")).alias("low"),
     )
-    lead = received(ds.purchase_orders).agg(rounded(F.avg(lead_days()), 1))
+    lead = received(ds.purchase_orders).agg(quotient(F.sum(lead_days()), F.nullif(F.count(lead_days()), F.lit(0)), 1))
     return sold.select(
         "revenue_30d",
         orders.scalar().alias("orders_30d"),
@@ -41,9 +41,8 @@ def kpi_snapshot(ds: Dataset) -> DataFrame:
 def gross_margin(ds: Dataset, limit: int | None = 20) -> DataFrame:
     """A price of zero is an error, as in SQL."""
     price, cost = F.col("unit_price"), F.col("unit_cost")
-    margin = F.lit(100.0) * (price - cost).cast("double") / price.cast("double")
     priced = ds.products.select(
-        "product_id", "name", "unit_price", "unit_cost", rounded(margin, 1).alias("gross_margin_pct")
+        "product_id", "name", "unit_price", "unit_cost", quotient(price - cost, price, 1, 100).alias("gross_margin_pct")
     )
     return top(priced, limit, descending("gross_margin_pct"), ascending("name"), ascending("product_id")).drop(
         "product_id"
@@ -52,9 +51,9 @@ def gross_margin(ds: Dataset, limit: int | None = 20) -> DataFrame:
 
 def fulfillment_rate(ds: Dataset) -> DataFrame:
     """Delivered share of active orders; no active order is a division by zero."""
-    delivered = F.count_if(F.col("status") == "delivered").cast("double")
-    live = F.count_if(F.col("status") != "cancelled").cast("double")
-    return ds.sales_orders.agg(rounded(F.lit(100.0) * delivered / live, 2).alias("fulfillment_rate_pct"))
+    delivered = F.count_if(F.col("status") == "delivered")
+    live = F.count_if(F.col("status") != "cancelled")
+    return ds.sales_orders.agg(quotient(delivered, live, 2, 100).alias("fulfillment_rate_pct"))
 
 
 def inventory_turnover(ds: Dataset) -> DataFrame:
@@ -65,10 +64,12 @@ def inventory_turnover(ds: Dataset) -> DataFrame:
         .groupBy("product_id")
         .agg(F.sum("quantity").alias("units"))
         .join(costs, "product_id")
-        .agg(F.sum(F.col("units") * F.col("unit_cost")).cast("double").alias("cost"))
+        .agg(F.sum(F.col("units") * F.col("unit_cost")).alias("cost"))
     )
-    value = F.sum(F.col("quantity_on_hand") * F.col("unit_cost")).cast("double")
-    mean = ds.inventory.join(costs, "product_id").agg(value / F.nullif(F.count("*"), F.lit(0)).cast("double"))
-    return sold.select(
-        rounded(F.col("cost") / F.nullif(mean.scalar(), F.lit(0.0)), 2).alias("inventory_turnover_ratio")
+    stock = ds.inventory.join(costs, "product_id").agg(
+        F.sum(F.col("quantity_on_hand") * F.col("unit_cost")).alias("value"), F.count("*").alias("rows")
     )
+    value, rows = stock.select("value").scalar(), stock.select("rows").scalar()
+    by_value = sold.select("cost", F.nullif(value, F.lit(0)).alias("value"), rows.alias("rows"))
+    ratio = quotient(F.col("cost").cast("decimal(24,2)") * F.col("rows"), F.col("value"), 2)
+    return by_value.select(ratio.alias("inventory_turnover_ratio"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stockyard.dataset import Dataset
 from stockyard.functions.dates import before, instant, month_of
-from stockyard.functions.money import rounded
+from stockyard.functions.money import quotient
 from stockyard.plans import views
 from stockyard.sources.store import SnapshotStore
 
@@ -45,8 +45,7 @@ def dashboard_kpis(ds: Dataset, snapshot: DataFrame | None = None) -> DataFrame:
     value = views.inventory_value_by_warehouse(ds).agg(F.sum("inventory_value"))
     low = snapshot.agg(F.count_if("needs_reorder"))
     timed = F.count("avg_lead_time_days")
-    mean = F.sum("avg_lead_time_days").cast("double") / F.nullif(timed, F.lit(0)).cast("double")
-    lead = views.supplier_performance(ds).agg(rounded(mean, 1))
+    lead = views.supplier_performance(ds).agg(quotient(F.sum("avg_lead_time_days"), F.nullif(timed, F.lit(0)), 1))
     return revenue.select(
         "revenue_30d",
         value.scalar().alias("total_inventory_value"),

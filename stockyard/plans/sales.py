@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stockyard.dataset import Dataset
 from stockyard.functions.dates import month_of, year_of
-from stockyard.functions.money import percent_of, rounded, sum_discount, sum_net
+from stockyard.functions.money import percent_of, quotient, sum_discount, sum_net
 from stockyard.functions.ordering import ascending, descending, top
 from stockyard.plans.views import active, order_revenue, order_totals
 
@@ -82,11 +82,10 @@ def aov_by_segment(ds: Dataset) -> DataFrame:
         .groupBy("customer_id")
         .agg(F.sum("order_total").alias("value"), F.count("*").alias("orders"))
     )
-    value, orders = F.sum("value").cast("double"), F.sum("orders").cast("double")
     return (
         per_customer.join(ds.customers.select("customer_id", "segment"), "customer_id")
         .groupBy("segment")
-        .agg(rounded(value / orders, 2).alias("avg_order_value"))
+        .agg(quotient(F.sum("value"), F.sum("orders"), 2).alias("avg_order_value"))
         .orderBy(descending("avg_order_value"), ascending("segment"))
     )
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stockyard.dataset import Dataset
 from stockyard.functions.dates import lead_days
-from stockyard.functions.money import percent_of, rounded
+from stockyard.functions.money import percent_of, quotient
 from stockyard.functions.ordering import ascending, descending, top
 from stockyard.operators.positions import rank, with_ranks
 from stockyard.plans.views import received, spend_by_supplier
@@ -33,10 +33,10 @@ def _named(ds: Dataset, per_supplier: DataFrame) -> DataFrame:
 
 
 def supplier_lead_time(ds: Dataset) -> DataFrame:
-    mean = F.sum("days").cast("double") / F.nullif(F.sum("dated"), F.lit(0)).cast("double")
+    mean = quotient(F.sum("days"), F.nullif(F.sum("dated"), F.lit(0)), 1)
     return (
         _named(ds, _deliveries(ds))
-        .agg(rounded(mean, 1).alias("avg_lead_time_days"))
+        .agg(mean.alias("avg_lead_time_days"))
         .orderBy(ascending("avg_lead_time_days"), ascending("name"))
     )
 

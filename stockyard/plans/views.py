@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stockyard.dataset import Dataset
 from stockyard.functions.dates import before, lead_days
-from stockyard.functions.money import percent_of, rounded, sum_gross, sum_net
+from stockyard.functions.money import percent_of, quotient, sum_gross, sum_net
 from stockyard.operators.ledger import outbound_since
 
 
@@ -123,7 +123,7 @@ def supplier_performance(ds: Dataset) -> DataFrame:
         received(ds.purchase_orders)
         .groupBy("supplier_id")
         .agg(
-            rounded(F.avg(lead_days()), 1).alias("avg_lead_time_days"),
+            quotient(F.sum(lead_days()), F.nullif(F.count(lead_days()), F.lit(0)), 1).alias("avg_lead_time_days"),
             percent_of(on_time, F.count("*"), 1).alias("on_time_pct"),
         )
     )

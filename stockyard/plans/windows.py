@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stockyard.dataset import Dataset
-from stockyard.functions.money import rounded, sum_gross
+from stockyard.functions.money import quotient, sum_gross
 from stockyard.functions.ordering import ascending, some, top
 from stockyard.operators.positions import cume_dist, ntile, percent_rank, with_ranks
 from stockyard.plans.views import active
@@ -52,13 +52,12 @@ def order_gap(ds: Dataset, limit: int | None = 50) -> DataFrame:
     by_time = (ascending("customer_id"), ascending("order_date"), ascending("so_id"))
     if limit is not None:
         orders = orders.orderBy(*by_time).limit(limit)  # the row before a chosen one is chosen too
-    days = orders.groupBy("customer_id", "order_date").agg(F.min("so_id").alias("so_id"))
+    days = orders.groupBy("customer_id", "order_date").agg(F.count("*").alias("orders"))
     previous = F.lag("order_date").over(W.partitionBy("customer_id").orderBy("order_date"))
-    gaps = days.select("so_id", F.datediff("order_date", previous).alias("gap"), F.lit(True).alias("opens_day"))
-    return orders.join(gaps, "so_id", "left").select(
-        "customer_id",
-        "order_date",
-        F.when(F.col("opens_day"), F.col("gap")).otherwise(0).alias("days_since_prev_order"),
+    gaps = days.select("customer_id", "order_date", "orders", F.datediff("order_date", previous).alias("gap"))
+    repeats = F.sequence(F.lit(1), F.col("orders").cast("int"))  # the orders of one customer on one day
+    return gaps.select("customer_id", "order_date", "gap", F.explode(repeats).alias("nth")).select(
+        "customer_id", "order_date", F.when(F.col("nth") == 1, F.col("gap")).otherwise(0).alias("days_since_prev_order")
     )
 
 
@@ -81,14 +80,14 @@ def rolling_7day_revenue(ds: Dataset, limit: int | None = 60) -> DataFrame:
         .agg(F.sum("value").alias("revenue"))
     )
     week = W.orderBy("day").rowsBetween(-6, 0)  # one row per calendar day
-    mean = F.sum("revenue").over(week).cast("double") / F.count("revenue").over(week).cast("double")
-    return top(days.select("day", "revenue", rounded(mean, 2).alias("rolling_7day_avg")), limit, ascending("day"))
+    sums = days.select("day", "revenue", F.sum("revenue").over(week).alias("sum"), F.count("revenue").over(week).alias("n"))
+    return top(sums.select("day", "revenue", quotient(F.col("sum"), F.col("n"), 2).alias("rolling_7day_avg")), limit, ascending("day"))
 
 
 def employee_percentile(ds: Dataset) -> DataFrame:
     handled = ds.sales_orders.groupBy("employee_id").agg(F.count("*").alias("orders_handled"))
     ranked = with_ranks(handled, "orders_handled", ["employee_id"])
-    return ranked.select("employee_id", "orders_handled", rounded(percent_rank(), 3).alias("percentile"))
+    return ranked.select("employee_id", "orders_handled", percent_rank(3).alias("percentile"))
 
 
 def order_value_cume_dist(ds: Dataset, limit: int | None = 50) -> DataFrame:
@@ -100,4 +99,4 @@ def order_value_cume_dist(ds: Dataset, limit: int | None = 50) -> DataFrame:
     )
     ranked = with_ranks(valued, "order_total", ["so_id"])
     chosen = ranked if limit is None else ranked.orderBy("position").limit(limit)
-    return chosen.select("so_id", "order_total", rounded(cume_dist(), 3).alias("cume_dist"))
+    return chosen.select("so_id", "order_total", cume_dist(3).alias("cume_dist"))

@@ -89,7 +89,7 @@ _ALL = (
             _col("city", TEXT, True, max_length=100),
             _col("state", TEXT, max_length=100),
             _col("country", TEXT, True, max_length=100),
-            _col("capacity_units", INT, True),
+            _col("capacity_units", BIG, True),
             _CREATED,
         ),
         ("warehouse_id",),

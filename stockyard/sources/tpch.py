@@ -7,16 +7,16 @@ no join and at most one shuffle (line numbering) to a plan, and none where the l
 from __future__ import annotations
 
 from datetime import datetime
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
 from stockyard.dataset import Dataset
 from stockyard.operators.ledger import derive_movements, movement_code
 from stockyard.session import require_conf
 
 AS_OF = datetime(2001, 8, 2)
-LINES_PER_ORDER = 1_000_000
 WAREHOUSES = 25
 
 # Declared, never inferred: inference would run one job for each read.
@@ -34,36 +34,22 @@ SOURCE_SCHEMAS = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
 }
 
-# Job titles below the three managers.
-JOB_TITLES = (
-    "Inventory Clerk",
-    "Forklift Operator",
-    "Shipping Coordinator",
-    "Receiving Associate",
-    "Logistics Analyst",
-    "Warehouse Supervisor",
-    "Picker/Packer",
-)
-
-
-@lru_cache(maxsize=32)
-def _row_counts(path: str, table: str) -> int:
-    """Footer-only count of a read-only source table."""
-    reader = SparkSession.active().read.schema(SOURCE_SCHEMAS[table])
-    return reader.parquet(f"{path}/{table}.parquet").count()
+HEAD_TITLE = "Site Head"
+JOB_TITLES = ("Stock Keeper", "Truck Loader", "Dock Planner", "Goods Inspector", "Route Analyst", "Floor Lead", "Order Packer")
 
 
 # A category id is spelled by the first two letters of the type, a child's also by the brand number.
 ROOT_CATEGORY = "cast(ascii(p_type) * 100 + ascii(substr(p_type, 2)) as bigint)"
 CHILD_CATEGORY = f"{ROOT_CATEGORY} * 1000 + cast(substr(p_brand, 7) as bigint)"
 FOUNDED = "timestamp_ntz '1995-01-01 00:00:00'"
-# Lines of an order are numbered inside 64 parts of it, so that a huge order is not one window group.
-LINE_PARTS = 64
-LINE_PART = f"(l_partkey + l_suppkey + l_linenumber + cast(l_quantity as bigint)) % {LINE_PARTS}"
+# Lines are numbered inside parts of their order, more of them where the largest order needs it, so that a huge order is
+# many window groups. An id is (order, part, place) with room for the fullest part: ids cannot meet, and one that
+# outgrows 64 bits is an error.
+LINES_PER_PART, LEAST_PARTS = 65_536, 64
+LINE_MARK = "l_partkey + l_suppkey + l_linenumber + cast(l_quantity as bigint)"
 LINE_ORDER = (
-    "l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, "
-    "l_linestatus, l_shipdate"
-)
+    "l_linenumber l_partkey l_suppkey l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate"
+).split()
 
 
 def load_tpch(spark: SparkSession, path: str, as_of: datetime = AS_OF) -> Dataset:
@@ -76,6 +62,7 @@ class _Mapping:
         self.spark = spark
         self.path = path
         self._frames: dict[str, DataFrame] = {}
+        self._counts: dict[str, int] = {}
 
     def dataset(self, as_of: datetime) -> Dataset:
         names = (
@@ -89,6 +76,7 @@ class _Mapping:
                 "inventory_movements": lambda: derive_movements(ds).unionByName(self._adjustments()),
             },
             as_of,
+            origin=self.path,
         )
         return ds
 
@@ -99,7 +87,10 @@ class _Mapping:
         return self._frames[table]
 
     def _count(self, table: str) -> str:
-        return f"{_row_counts(self.path, table)}L"
+        """Footer-only count, read once for each dataset."""
+        if table not in self._counts:
+            self._counts[table] = self._read(table).count()
+        return f"{self._counts[table]}L"
 
     def _warehouses(self) -> DataFrame:
         region = self._read("region").withColumnRenamed("r_regionkey", "n_regionkey")
@@ -113,7 +104,7 @@ class _Mapping:
                 "n_name as city",
                 "cast(null as string) as state",
                 "r_name as country",
-                f"cast({self._count('part')} * (140 + 10 * (n_nationkey % 5)) as int) as capacity_units",
+                f"cast({self._count('part')} * (140 + 10 * (n_nationkey % 5)) as bigint) as capacity_units",
                 f"{FOUNDED} as created_at",
             )
         )
@@ -128,7 +119,7 @@ class _Mapping:
             "concat('Last', c_custkey % 7) as last_name",
             "concat('e', c_custkey, '@staff.example') as email",
             "cast(null as string) as phone",
-            f"""case when c_custkey < 3 then 'Warehouse Manager'
+            f"""case when c_custkey < 3 then '{HEAD_TITLE}'
                 else elt(cast(c_custkey % 7 + 1 as int), {titles}) end as job_title""",
             "date_add(date '1990-01-01', cast(c_custkey % 1800 as int)) as hire_date",
             f"{FOUNDED} as created_at",
@@ -248,11 +239,22 @@ class _Mapping:
         )
 
     def _lines(self) -> DataFrame:
-        """Lines with their id and whole-cent price; the id combines order, part and place in the part."""
+        """Lines with their id and whole-cent price.
+
+        The two counts that lay ids out are scalar subqueries: a plan that drops the id runs neither them nor the window.
+        """
         if "lines" not in self._frames:
-            self._frames["lines"] = self._read("lineitem").selectExpr(
-                f"l_orderkey * {LINES_PER_ORDER} + {LINE_PART} + {LINE_PARTS} * cast(row_number() over "
-                f"(partition by l_orderkey, {LINE_PART} order by {LINE_ORDER}) as bigint) as line_id",
+            lines = self._read("lineitem")
+            largest = lines.groupBy("l_orderkey").agg(F.count("*").alias("n")).agg(
+                F.greatest(F.lit(LEAST_PARTS), F.max("n").cast("bigint") / LINES_PER_PART + 1).cast("bigint")
+            )
+            parts = F.coalesce(largest.scalar(), F.lit(LEAST_PARTS)).cast("bigint")
+            marked = lines.withColumn("part", F.pmod(F.expr(LINE_MARK), parts)).withColumn("parts", parts)
+            room = marked.groupBy("l_orderkey", "part").agg(F.count("*").alias("n")).agg(F.max("n"))
+            place = F.row_number().over(W.partitionBy("l_orderkey", "part").orderBy(*LINE_ORDER)).cast("bigint")
+            line_id = (F.col("l_orderkey") * F.col("parts") + F.col("part")) * room.scalar() + place - 1
+            self._frames["lines"] = marked.withColumn("line_id", line_id).selectExpr(
+                "line_id",
                 "l_orderkey",
                 "l_orderkey + 1 as order_id",
                 "l_partkey + 1 as product_id",

@@ -32,16 +32,17 @@ def test_ranks_equal_sql_windows(spark, no_coalescing, descending):
     got = with_ranks(df, "value", ["id"], descending=descending).select(
         "id",
         rank().alias("r"),
-        percent_rank().alias("p"),
-        cume_dist().alias("c"),
+        percent_rank(3).alias("p"),
+        cume_dist(3).alias("c"),
         ntile(7).alias("t"),
         "position",
     )
     df.createOrReplaceTempView("ranked_values")
     order = "value desc nulls first" if descending else "value asc nulls last"
     want = spark.sql(
-        f"""select id, cast(rank() over (order by {order}) as bigint) r, percent_rank() over (order by {order}) p,
-                   cume_dist() over (order by {order}) c, cast(ntile(7) over (order by {order}, id) as bigint) t,
+        f"""select id, cast(rank() over (order by {order}) as bigint) r,
+                   cast(round(cast(percent_rank() over (order by {order}) as decimal(20,12)), 3) as decimal(24,3)) p,
+                   cast(round(cast(cume_dist() over (order by {order}) as decimal(20,12)), 3) as decimal(24,3)) c, cast(ntile(7) over (order by {order}, id) as bigint) t,
                    cast(row_number() over (order by {order}, id) as bigint) position
             from ranked_values"""
     )
