@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockyard.contract.fixture_sql import mean, typed
-from stockyard.contract.queries import LEDGER_COLUMNS, LTV, NOW, PERFORMANCE, UTILIZATION, Entry
+from stockyard.contract.queries import LEDGER_COLUMNS, LTV, NOW, PERFORMANCE, UTILIZATION, Entry, recursive
 from stockyard.dataset import Dataset
 from stockyard.operators import commands, quality
 from stockyard.plans import benchmarks, matviews, serving
@@ -211,6 +211,37 @@ _REORDERS = {
                   WHERE i.quantity_on_hand < p.reorder_level AND p.reorder_qty > 60"""
 }
 
+# One command of each product after the other; the state is the product's stock as a list by warehouse.
+_TRANSFERS_IN_TURN = recursive(
+    typed(
+        "command_id:i outcome:s quantity_on_hand:i",
+        """SELECT f.command_id, CASE WHEN f.enough THEN 'completed' ELSE 'insufficient stock' END AS outcome,
+                  CASE WHEN i.product_id IS NOT NULL OR list_contains(e.filled, f.source)
+                       THEN e.stock[f.source] + coalesce(i.quantity_reserved, 0) END AS quantity_on_hand
+           FROM fold f INNER JOIN fold_end e USING (product_id)
+           LEFT JOIN inventory i ON i.product_id = f.product_id AND i.warehouse_id = f.source
+           WHERE f.n > 0""",
+        turn="""SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY transfer_date, transfer_id) AS n FROM stock_transfers""",
+        opening="""SELECT p.product_id, list(coalesce(i.quantity_on_hand - i.quantity_reserved, 0) ORDER BY w.warehouse_id) AS stock
+                   FROM (SELECT DISTINCT product_id FROM turn) p CROSS JOIN warehouses w
+                   LEFT JOIN inventory i ON i.product_id = p.product_id AND i.warehouse_id = w.warehouse_id
+                   GROUP BY p.product_id""",
+        fold="""SELECT product_id, 0 AS n, NULL::BIGINT AS command_id, NULL::BIGINT AS source, NULL::BOOLEAN AS enough,
+                       stock::BIGINT[] AS stock, []::BIGINT[] AS filled
+                FROM opening
+                UNION ALL
+                SELECT f.product_id, f.n + 1, c.transfer_id, c.from_warehouse_id, f.stock[c.from_warehouse_id] >= c.quantity,
+                       CASE WHEN f.stock[c.from_warehouse_id] >= c.quantity
+                            THEN list_transform(f.stock, lambda x, k: x + CASE k WHEN c.to_warehouse_id THEN c.quantity
+                                                                           WHEN c.from_warehouse_id THEN -c.quantity ELSE 0 END)
+                            ELSE f.stock END,
+                       CASE WHEN f.stock[c.from_warehouse_id] >= c.quantity THEN list_append(f.filled, c.to_warehouse_id)
+                            ELSE f.filled END
+                FROM fold f INNER JOIN turn c ON c.product_id = f.product_id AND c.n = f.n + 1""",
+        fold_end="SELECT product_id, arg_max(stock, n) AS stock, arg_max(filled, n) AS filled FROM fold GROUP BY product_id",
+    )
+)
+
 COMMANDS = {
     "m1_receive_inventory": Entry(
         lambda ds: commands.receive_inventory(ds, receipt_commands(ds))
@@ -254,7 +285,7 @@ COMMANDS = {
             **_RECEIPTS,
         ),
     ),
-    "m2_transfer_stock": Entry(transfer_outcomes),
+    "m2_transfer_stock": Entry(transfer_outcomes, _TRANSFERS_IN_TURN),
     "m3_create_orders": Entry(
         lambda ds: commands.create_purchase_orders(ds, reorder_commands(ds))
         .appended["purchase_orders"]

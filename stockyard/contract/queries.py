@@ -414,14 +414,14 @@ _CHAIN_LOCAL = {
 }
 
 
-def _recursive(sql: str) -> str:
+def recursive(sql: str) -> str:
     return sql.replace("WITH ", "WITH RECURSIVE ", 1)
 
 
 HIERARCHY = {
     "q38_org_chart": Entry(
         hierarchies.org_chart,
-        _recursive(
+        recursive(
             typed(
                 "employee_id:i manager_id:i name:s depth:i",
                 """SELECT e.employee_id, e.manager_id, e.first_name || ' ' || e.last_name AS name, r.depth
@@ -455,7 +455,7 @@ HIERARCHY = {
     ),
     "q41_movement_chain": Entry(
         hierarchies.movement_chain,
-        _recursive(
+        recursive(
             typed(
                 "movement_id:i product_id:i warehouse_id:i movement_type:s quantity:i movement_date:t step:i",
                 """SELECT m.*, x.step
@@ -468,7 +468,7 @@ HIERARCHY = {
     ),
     "q41_movement_chain_steps": Entry(
         hierarchies.movement_chain_steps,
-        _recursive(
+        recursive(
             typed(
                 "movement_id:i product_id:i warehouse_id:i movement_type:s quantity:i movement_date:t step:i "
                 "occurrences:f",

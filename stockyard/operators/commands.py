@@ -18,7 +18,7 @@ from pyspark.sql.types import TimestampNTZType
 from stockyard.dataset import Dataset
 from stockyard.functions.dates import day, instant
 from stockyard.operators.ids import assign_ids
-from stockyard.operators.positions import with_running_sums
+from stockyard.operators.positions import SLOT, place, with_running_sums
 from stockyard.operators.quality import with_defaults
 from stockyard.session import materialize
 
@@ -177,29 +177,22 @@ def complete_purchase_orders(ds: Dataset, items: DataFrame, touched: DataFrame)
 _LEG_ORDER = ["phase", "command_ts", "command_id"]
 
 
-def transfer_stock(ds: Dataset, commands: DataFrame, in_turn: int = 50_000) -> Changes:
+def transfer_stock(ds: Dataset, commands: DataFrame) -> Changes:
     """Transfers (command_id, command_ts, product_id, from_warehouse_id, to_warehouse_id, quantity,
     employee_id), each accepted exactly if the source has enough available stock at its turn.
-
-    Products are independent. Those with at most ``in_turn`` commands are worked off command by
-    command; a larger one, which may hold any share of the batch, by bracketing rounds.
     """
     valid, rejected = _static_transfer_checks(ds, commands)
-    valid = materialize(valid.withColumn("accepted", F.lit(False)))
-    needed = valid.select(
+    placed = place(valid, *[F.col(c).asc() for c in ("product_id", "command_ts", "command_id")])
+    placed = placed.select(*valid.columns, SLOT, F.lit(False).alias("accepted"))
+    needed = placed.select(
         "product_id", F.explode(F.array("from_warehouse_id", "to_warehouse_id")).alias("warehouse_id")
     ).distinct()
     free = ds.inventory.select(
         *STOCK_KEY, (F.col("quantity_on_hand") - F.col("quantity_reserved")).cast("bigint").alias("free")
     ).join(needed, STOCK_KEY, "left_semi")
-    large = materialize(valid.groupBy("product_id").count().filter(F.col("count") > in_turn).select("product_id"))
-    done = _settle_in_turn(valid.join(large, "product_id", "left_anti"), free)
-    if not large.isEmpty():
-        busy_free = materialize(free.join(large, "product_id", "left_semi"))
-        done = done.unionByName(_settle_in_rounds(valid.join(large, "product_id", "left_semi"), busy_free))
-    done = materialize(done)
+    done = materialize(_settle(placed, materialize(free)))
     short = done.filter("not accepted").select("command_id", F.lit("insufficient stock").alias("reason"))
-    done = done.filter("accepted")
+    done = done.filter("accepted").drop(SLOT)
     rejects = rejected.unionByName(short)
 
     transfers = assign_ids(done, "transfer_id", ds.stock_transfers, F.col("command_ts").asc(), F.col("command_id").asc())
@@ -258,19 +251,69 @@ def _static_transfer_checks(ds: Dataset, commands: DataFrame) -> tuple[DataFrame
     return valid, checked.filter("reason is not null").select("command_id", "reason")
 
 
-def _settle_in_turn(commands: DataFrame, free: DataFrame) -> DataFrame:
-    """Each product's commands in order against its running stock.
+def _settle(opened: DataFrame, free: DataFrame) -> DataFrame:
+    """All commands with their outcome in ``accepted``. Products are independent.
+
+    Commands lie in slots by (product, time, id). A round works off, for every product, the first
+    slot that still holds an open command, command by command from the exact stock at its start;
+    then the commands behind it are bracketed. So rounds are at most the slots one product spans
+    (one for most), whatever the commands do, and no task holds more than one slot of a product.
+    """
+    finished: list[DataFrame] = []
+    while True:
+        first = opened.filter("not accepted").groupBy("product_id").agg(F.min(SLOT).alias("first"))
+        waiting = materialize(opened.join(first, "product_id"))
+        if waiting.isEmpty():
+            return reduce(DataFrame.unionByName, finished, opened)
+        moved = waiting.filter(F.col("accepted") & (F.col(SLOT) < F.col("first"))).select(
+            "product_id", F.inline(F.array(_flow("from_warehouse_id", -1), _flow("to_warehouse_id", 1)))
+        )
+        opening = free.unionByName(moved).groupBy(*STOCK_KEY).agg(F.sum("free").alias("free"))
+        opening = opening.join(first.select("product_id"), "product_id", "left_semi")
+        folded = materialize(_fold(waiting.filter(F.col(SLOT) == F.col("first")).drop("first"), opening))
+        finished.append(folded.filter("not accepted"))
+        behind = waiting.filter(F.col(SLOT) != F.col("first")).drop("first")
+        live, over = _still_open(folded.filter("accepted").unionByName(behind), behind)
+        finished.append(over)
+        opened = materialize(live)
+        if not opened.isEmpty():
+            judged = materialize(_judge(opened, free))
+            finished.append(judged.filter("verdict = 'short'").drop("verdict"))
+            kept = judged.filter("verdict != 'short'").withColumn("accepted", F.expr("verdict = 'enough'")).drop("verdict")
+            live, over = _still_open(kept, kept)
+            finished.append(over)
+            opened = materialize(live)
+
+
+def _flow(warehouse: str, sign: int) -> Column:
+    return F.struct(F.col(warehouse).alias("warehouse_id"), (F.col("quantity").cast("bigint") * sign).alias("free"))
+
+
+def _still_open(commands: DataFrame, among: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Commands of products with an open command in ``among``, and those of the others."""
+    products = among.filter("not accepted").select("product_id").distinct()
+    return commands.join(products, "product_id", "left_semi"), commands.join(products, "product_id", "left_anti")
+
+
+def _fold(commands: DataFrame, opening: DataFrame) -> DataFrame:
+    """One slot of each product: its commands in order against the running stock.
 
     A task streams its products one after the other and remembers the stock of one product only.
     """
     columns = commands.columns
     blank = {f.name: F.lit(0).cast(f.dataType) for f in commands.schema.fields if f.dataType != TimestampNTZType()}
-    opening = free.select(*STOCK_KEY, "free").withColumns(
-        {**blank, "product_id": F.col("product_id"), "from_warehouse_id": F.col("warehouse_id"), "phase": F.lit(0)}
+    stock = opening.select(*STOCK_KEY, "free").withColumns(
+        {
+            **blank,
+            "accepted": F.lit(False),
+            "product_id": F.col("product_id"),
+            "from_warehouse_id": F.col("warehouse_id"),
+            "phase": F.lit(0),
+        }
     )
     asked = commands.withColumns({"free": F.lit(0).cast("bigint"), "phase": F.lit(1)})
     queue = (
-        asked.unionByName(opening.drop("warehouse_id"), allowMissingColumns=True)
+        asked.unionByName(stock.drop("warehouse_id"), allowMissingColumns=True)
         .repartition("product_id")
         .sortWithinPartitions("product_id", "phase", "command_ts", "command_id")
     )
@@ -279,17 +322,17 @@ def _settle_in_turn(commands: DataFrame, free: DataFrame) -> DataFrame:
         product, left = None, {}
         for batch in batches:
             verdicts = []
-            fields = ("product_id", "phase", "from_warehouse_id", "to_warehouse_id", "quantity", "free")
-            for current, phase, source, target, quantity, stock in zip(*(batch[f] for f in fields)):
+            fields = ("product_id", "phase", "from_warehouse_id", "to_warehouse_id", "quantity", "free", "accepted")
+            for current, phase, source, target, quantity, stock, settled in zip(*(batch[f] for f in fields)):
                 if current != product:
                     product, left = current, {}
                 if phase == 0:
                     left[source] = stock
                     verdicts.append(False)
                     continue
-                enough = left.get(source, 0) >= quantity
+                enough = settled or left.get(source, 0) >= quantity
                 if enough:
-                    left[source] -= quantity
+                    left[source] = left.get(source, 0) - quantity
                     left[target] = left.get(target, 0) + quantity
                 verdicts.append(enough)
             yield batch.assign(accepted=verdicts).loc[batch["phase"] == 1, columns]
@@ -297,27 +340,12 @@ def _settle_in_turn(commands: DataFrame, free: DataFrame) -> DataFrame:
     return queue.mapInPandas(settle, commands.schema)
 
 
-def _settle_in_rounds(opened: DataFrame, free: DataFrame) -> DataFrame:
-    """The same outcome without a task per product.
+def _judge(opened: DataFrame, free: DataFrame) -> DataFrame:
+    """Verdict of each command: enough, short or open.
 
-    Every round brackets the stock a command finds: at least what remains if all open earlier
-    commands drain it and none fills it, at most the reverse. Brackets are running sums per
-    (product, warehouse); a command outside its bracket is settled. The earliest open command of a
-    product has a bracket of width zero, so each round settles some, and usually nearly all.
+    The stock a command finds is at least what remains if all open earlier commands drain it and
+    none fills it, at most the reverse. A command outside this bracket is settled.
     """
-    finished: list[DataFrame] = []
-    while not opened.filter("not accepted").isEmpty():
-        judged = materialize(_judge(opened, free))
-        finished.append(judged.filter("verdict = 'short'").drop("verdict"))
-        live = judged.filter("verdict != 'short'").withColumn("accepted", F.expr("verdict = 'enough'")).drop("verdict")
-        waiting = live.filter("not accepted").select("product_id").distinct()
-        finished.append(live.join(waiting, "product_id", "left_anti"))
-        opened = materialize(live.join(waiting, "product_id", "left_semi"))
-    return reduce(DataFrame.unionByName, [opened, *finished])
-
-
-def _judge(opened: DataFrame, free: DataFrame) -> DataFrame:
-    """Verdict of each command: enough, short or open."""
     command = F.struct(*opened.columns)
     quantity = F.col("quantity").cast("bigint")
     nothing = F.lit(0).cast("bigint")

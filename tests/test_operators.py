@@ -11,15 +11,6 @@ from stockyard.operators.hierarchy import rooted
 from stockyard.operators.positions import cume_dist, ntile, percent_rank, rank, with_ranks, with_running_sums
 
 
-@pytest.fixture(scope="module")
-def no_coalescing(spark):
-    """Keep several slots even for a few rows, so that keys and ties span them."""
-    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    yield
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
-
-
 def hot_rows(n, seed):
     """A third of the rows share one value."""
     rng = random.Random(seed)
