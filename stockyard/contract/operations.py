@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from functools import reduce
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockyard.contract.fixture_sql import mean, typed
+from stockyard.contract.fixture_sql import mean, typed, with_tables
+from stockyard.contract.queries import ENTRIES as QUERIES
 from stockyard.contract.queries import LEDGER_COLUMNS, LTV, NOW, PERFORMANCE, UTILIZATION, Entry, recursive
 from stockyard.dataset import Dataset
 from stockyard.operators import commands, quality
-from stockyard.plans import benchmarks, matviews, serving
-from stockyard.schema import TABLES
+from stockyard.functions.dates import month_label
+from stockyard.plans import benchmarks, cases, customer, inventory, matviews, sales, serving, supplier, warehouse
+from stockyard.schema import LOAD_ORDER, TABLES
 from stockyard.session import shared_folder
-from stockyard.sources.csv import next_ids, read_csv, save_csv
-from stockyard.sources.store import LEDGER, SnapshotStore
+from stockyard.sources.csv import as_dictionaries, load_folder, next_ids, read_csv, save_csv
+from stockyard.sources.store import LEDGER, SnapshotStore, repartition_ledger
 from stockyard.sources.tpch import SOURCE_SCHEMAS
 from stockyard.streaming import rules
 
@@ -51,14 +56,21 @@ _STATUS = """SELECT *, quantity_on_hand - quantity_reserved AS quantity_availabl
 
 
 def _served(name: str):
-    """Refresh everything into a new store and read one summary back."""
+    """Read one summary of a refreshed store."""
 
-    def plan(ds: Dataset) -> DataFrame:
+    return lambda ds: _refreshed(ds).read(name)
+
+
+_STORES: WeakKeyDictionary[Dataset, SnapshotStore] = WeakKeyDictionary()
+
+
+def _refreshed(ds: Dataset) -> SnapshotStore:
+    """A store with all summaries, refreshed once for each dataset."""
+    if ds not in _STORES:
         store = _fresh_store(ds)
         matviews.refresh_all(ds, store)
-        return store.read(name)
-
-    return plan
+        _STORES[ds] = store
+    return _STORES[ds]
 
 
 SUMMARIES = {
@@ -365,13 +377,18 @@ def _line_stream(ds: Dataset) -> DataFrame:
     )
 
 
-def streamed_shipping_months(ds: Dataset) -> DataFrame:
-    """Month totals kept by a stream (month of the line's own date), read back when it has caught up."""
+def _ordered_lines(ds: Dataset) -> DataFrame:
+    """The line stream with the order's date as event time."""
+    dates = ds.sales_orders.select("so_id", F.col("order_date").cast("timestamp_ntz").alias("ordered_at"))
+    return _line_stream(ds).drop("ordered_at").join(dates, "so_id")
+
+
+def _caught_up(ds: Dataset, totals: DataFrame, name: str) -> DataFrame:
+    """Running totals kept by a stream over several micro-batches, read back when it has caught up."""
     store = _fresh_store(ds)
-    totals = rules.live_monthly_revenue(_line_stream(ds), ds.sales_orders)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        store.commit({"live_months": batch}, {"stream_live_months": batch_id})
+        store.commit({name: batch}, {f"stream_{name}": batch_id})
 
     query = (
         totals.writeStream.outputMode("complete")
@@ -381,7 +398,27 @@ def streamed_shipping_months(ds: Dataset) -> DataFrame:
         .start()
     )
     query.awaitTermination()
-    return store.read("live_months")
+    return store.read(name)
+
+
+def streamed_negative_stock(ds: Dataset) -> DataFrame:
+    folder = f"{_fresh_folder(ds)}/deltas"
+    deltas = shipped_deltas(ds)
+    deltas.repartition(6).write.parquet(folder)
+    stream = ds.spark.readStream.schema(deltas.schema).option("maxFilesPerTrigger", FILES_A_BATCH).parquet(folder)
+    return _caught_up(ds, rules.negative_stock_stream(stream, ds.inventory), "negative_stock")
+
+
+def streamed_receipts(ds: Dataset) -> DataFrame:
+    """Purchase orders after all receipts came in by several micro-batches."""
+    store, folder = _fresh_store(ds), f"{_fresh_folder(ds)}/receipts"
+    names = ("purchase_orders", "purchase_order_items", "inventory", "inventory_movements")
+    store.commit({n: getattr(ds, n) for n in names})
+    asked = receipt_commands(ds)
+    asked.repartition(4).write.parquet(folder)
+    stream = ds.spark.readStream.schema(asked.schema).option("maxFilesPerTrigger", FILES_A_BATCH).parquet(folder)
+    rules.receive_stream(stream, store, f"{store.root}/progress", lambda: ds.as_of).awaitTermination()
+    return store.read("purchase_orders").select("po_id", "status", "actual_delivery_date")
 
 
 def streamed_reservations(ds: Dataset) -> DataFrame:
@@ -389,10 +426,11 @@ def streamed_reservations(ds: Dataset) -> DataFrame:
     store = _fresh_store(ds)
     store.commit({"inventory": ds.inventory, "sales_orders": ds.sales_orders})
 
+    def step(now: Dataset, rows: DataFrame) -> tuple[dict, dict]:
+        return {"inventory": commands.reserve_for_sales(now, rows)}, {}
+
     def each(batch: DataFrame, batch_id: int) -> None:
-        rules.apply_once(
-            store, "reserve", batch_id, batch, ds.as_of, lambda now, rows: {"inventory": commands.reserve_for_sales(now, rows)}
-        )
+        rules.apply_once(store, "reserve", batch_id, batch, ds.as_of, step)
 
     query = (
         _line_stream(ds)
@@ -407,16 +445,24 @@ def streamed_reservations(ds: Dataset) -> DataFrame:
 
 STREAMS = {
     "tmv_monthly_revenue_stream": Entry(
-        streamed_shipping_months,
+        lambda ds: _caught_up(ds, rules.live_monthly_revenue(_ordered_lines(ds), ds.sales_orders), "live_months"),
+        typed("month:d revenue:f", "SELECT month, revenue FROM monthly"),
+    ),
+    "tmv_daily_revenue_stream": Entry(
+        lambda ds: _caught_up(ds, rules.live_daily_revenue(_ordered_lines(ds), ds.sales_orders), "live_days"),
+        typed("order_date:d revenue:f", "SELECT order_date, sum(net) AS revenue FROM live_sale GROUP BY order_date"),
+    ),
+    "tinv_stream": Entry(
+        streamed_negative_stock,
         typed(
-            "month:d revenue:f",
-            """SELECT date_trunc('month', l.l_shipdate)::DATE AS month,
-                      sum(l.l_quantity::INT * ((round(l.l_extendedprice * 100)::BIGINT // l.l_quantity::BIGINT) * 0.01)::DECIMAL(10,2)
-                          * (100 - round(l.l_discount * 100)::DECIMAL(4,2)) * 0.01) AS revenue
-               FROM lineitem l INNER JOIN sales_orders o ON o.so_id = l.l_orderkey + 1
-               WHERE o.status <> 'cancelled' GROUP BY 1""",
+            "product_id:i warehouse_id:i quantity_after:i",
+            """SELECT i.product_id, i.warehouse_id, i.quantity_on_hand + sum(m.quantity) AS quantity_after
+               FROM inventory i INNER JOIN inventory_movements m USING (product_id, warehouse_id)
+               WHERE m.movement_type = 'outbound' GROUP BY i.product_id, i.warehouse_id, i.quantity_on_hand
+               HAVING quantity_after < 0""",
         ),
     ),
+    "tpo_receive_stream": Entry(streamed_receipts, COMMANDS["tpo_purchase_completion"].check),
     "tsale_reserve_stream": Entry(
         streamed_reservations,
         typed(
@@ -574,4 +620,120 @@ FILES = {
     ),
 }
 
-ENTRIES: dict[str, Entry] = {**SUMMARIES, **BENCHMARKS, **COMMANDS, **STREAMS, **INTEGRITY, **FILES}
+# --- whole results and stored paths ----------------------------------------------------------
+
+
+def whole_load(ds: Dataset) -> DataFrame:
+    """All twelve tables through CSV, checked, published and read back: rows and id sums."""
+    folder, store = _fresh_folder(ds), _fresh_store(ds)
+    for name in LOAD_ORDER:
+        save_csv(getattr(ds, name), f"{folder}/{name}.csv")
+    load_folder(ds.spark, folder, store, ds.as_of)
+    loaded = store.dataset(ds.as_of)
+    parts = [
+        getattr(loaded, name).agg(
+            F.lit(name).alias("table_name"), F.count("*").alias("rows"), F.sum(TABLES[name].id_column).cast("bigint").alias("ids")
+        )
+        for name in LOAD_ORDER
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def moved_ledger(ds: Dataset) -> DataFrame:
+    """Rows and units per month after the move to month folders."""
+    store = _fresh_store(ds)
+    repartition_ledger(store, ds.inventory_movements)
+    month = month_label(F.col("movement_date").cast("date")).alias("month")
+    return store.read(LEDGER).groupBy(month).agg(F.count("*").alias("rows"), F.sum("quantity").alias("units"))
+
+
+def stored(ds: Dataset, *names: str) -> Dataset:
+    """The same data read from a store, with its layout and pruning."""
+    store = _fresh_store(ds)
+    store.commit({name: getattr(ds, name) for name in names})
+    return store.dataset(ds.as_of)
+
+
+def incremental_sales(ds: Dataset) -> DataFrame:
+    """Month totals refreshed for the early orders, then added to for the late ones, twice."""
+    store = _fresh_store(ds)
+    split = F.col("so_id") % 3 == 0
+    matviews.refresh(ds.replace(sales_orders=ds.sales_orders.filter(~split)), store, "mv_monthly_sales")
+    for _ in range(2):
+        matviews.add_new_sales(store, ds.replace(sales_orders=ds.sales_orders.filter(split)), 1)
+    return store.read("mv_monthly_sales")
+
+
+def _unlimited(name: str, plan) -> dict[str, Entry]:
+    """A top list without its limit."""
+    check = {**QUERIES, **BENCHMARKS}[name].check
+    whole = re.sub(r"ORDER BY [^()]*? LIMIT 20", "", check)
+    assert whole != check
+    return {f"{name}_all": Entry(lambda ds: plan(ds, limit=None), whole)}
+
+
+WHOLE = {
+    **_unlimited("q07_best_sellers", sales.best_sellers),
+    **_unlimited("q11_fast_movers", inventory.fast_movers),
+    **_unlimited("q12_slow_movers", inventory.slow_movers),
+    **_unlimited("q19_employee_orders", warehouse.employee_orders),
+    **_unlimited("q23_supplier_spend_top", supplier.supplier_spend_top),
+    **_unlimited("q26_customer_ltv_top", customer.customer_ltv_top),
+    **_unlimited("q46_popular_understocked", cases.popular_understocked),
+    **_unlimited("b3_customer_ltv", benchmarks.customer_ltv),
+    "q50_same_title_pair_counts": Entry(
+        cases.same_title_pair_counts,
+        typed(
+            "job_title:s warehouse_a:i warehouse_b:i pairs:i",
+            """SELECT a.job_title, least(a.warehouse_id, b.warehouse_id) AS warehouse_a,
+                      greatest(a.warehouse_id, b.warehouse_id) AS warehouse_b, count(*) AS pairs
+               FROM employees a INNER JOIN employees b
+                 ON a.job_title = b.job_title AND a.warehouse_id <> b.warehouse_id AND a.employee_id < b.employee_id
+               GROUP BY 1, 2, 3""",
+        ),
+    ),
+    "mv2_inventory_snapshot_stored": Entry(_served("mv_inventory_snapshot"), SUMMARIES["mv2_inventory_snapshot"].check),
+    "mv5_warehouse_summary_stored": Entry(_served("mv_warehouse_summary"), SUMMARIES["mv5_warehouse_summary"].check),
+    "mv1_monthly_sales_incremental": Entry(incremental_sales, typed("month:d revenue:f order_count:i", _MONTHS)),
+    "b1_dead_stock_stored": Entry(
+        lambda ds: benchmarks.dead_stock(stored(ds, "inventory", "products", LEDGER)), BENCHMARKS["b1_dead_stock"].check
+    ),
+    "b2_warehouse_movements_30d_stored": Entry(
+        lambda ds: benchmarks.warehouse_movements_30d(stored(ds, LEDGER)), BENCHMARKS["b2_warehouse_movements_30d"].check
+    ),
+    "s2_whole_load": Entry(
+        whole_load,
+        typed(
+            "table_name:s rows:i ids:i",
+            " UNION ALL ".join(
+                f"SELECT '{name}' AS table_name, count(*) AS rows, sum({TABLES[name].id_column}) AS ids FROM {name}"
+                for name in LOAD_ORDER
+            ),
+        ),
+    ),
+    "s6_ledger_moved_to_months": Entry(
+        moved_ledger,
+        typed(
+            "month:s rows:i units:i",
+            """SELECT strftime(movement_date, '%Y_%m') AS month, count(*) AS rows, sum(quantity) AS units
+               FROM inventory_movements GROUP BY 1""",
+        ),
+    ),
+    "s8_rows_as_json": Entry(
+        lambda ds: as_dictionaries(ds.product_categories),
+        with_tables("""SELECT CAST(to_json({'category_id': category_id, 'name': name, 'parent_category_id': parent_category_id}) AS VARCHAR)
+                         AS value FROM product_categories"""),
+    ),
+    "k8_delete_purchase_orders": Entry(
+        lambda ds: quality.delete_with_lines(
+            ds, "purchase_orders", ds.purchase_orders.filter("status = 'cancelled'")
+        ).purchase_order_items,
+        typed(
+            "po_item_id:i po_id:i product_id:i quantity_ordered:i quantity_received:i unit_cost:f",
+            """SELECT * FROM purchase_order_items
+               WHERE po_id NOT IN (SELECT po_id FROM purchase_orders WHERE status = 'cancelled')""",
+        ),
+    ),
+}
+
+ENTRIES: dict[str, Entry] = {**SUMMARIES, **BENCHMARKS, **COMMANDS, **STREAMS, **INTEGRITY, **FILES, **WHOLE}

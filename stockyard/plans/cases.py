@@ -92,6 +92,18 @@ def never_bought_by_wholesale(ds: Dataset, limit: int | None = 50) -> DataFrame:
     return some(names, limit, ascending("name"))
 
 
+def same_title_pair_counts(ds: Dataset) -> DataFrame:
+    """How many pairs of one job title there are for each two warehouses: all pairs, counted from heads per title and place."""
+    heads = ds.employees.filter("job_title is not null").groupBy("job_title", "warehouse_id").agg(F.count("*").alias("heads"))
+    a = heads.select("job_title", F.col("warehouse_id").alias("warehouse_a"), F.col("heads").alias("heads_a"))
+    b = heads.select("job_title", F.col("warehouse_id").alias("warehouse_b"), F.col("heads").alias("heads_b"))
+    return (
+        a.join(b, "job_title")  # a row for each title and warehouse on either side
+        .filter("warehouse_a < warehouse_b")
+        .select("job_title", "warehouse_a", "warehouse_b", (F.col("heads_a") * F.col("heads_b")).alias("pairs"))
+    )
+
+
 def same_title_pairs(ds: Dataset, limit: int | None = 50) -> DataFrame:
     """Pairs of employees with one job title in different warehouses, smaller id first.
 

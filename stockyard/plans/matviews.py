@@ -100,30 +100,39 @@ def refresh_all(ds: Dataset, store: SnapshotStore) -> list[str]:
     return list(SUMMARIES)
 
 
-def _publish(store: SnapshotStore, name: str, df: DataFrame, ds: Dataset) -> int:
-    staged = store.stage({name: df})
+def _publish(
+    store: SnapshotStore, name: str, df: DataFrame, ds: Dataset, meta: dict | None = None, current: dict | None = None
+) -> int:
+    staged = store.stage({name: df}, current)
     key = SUMMARIES[name].key
     if key:
         written = store.open(staged[name])
         repeated = written.groupBy(*key).count().filter("count > 1").limit(1).collect()
         if repeated:
             raise ValueError(f"{name}: key {tuple(repeated[0])[:-1]} occurs more than once")
-    return store.publish(staged, {f"refreshed_{name}": ds.as_of.isoformat(sep=" ")})
+    return store.publish(staged, {f"refreshed_{name}": ds.as_of.isoformat(sep=" "), **(meta or {})})
 
 
-def add_new_sales(store: SnapshotStore, new_sales: Dataset) -> int:
+def add_new_sales(store: SnapshotStore, new_sales: Dataset, batch: int) -> int | None:
     """Fold orders that were not there before (headers with their lines) into the month totals.
 
-    Sums are additive, so this equals a full refresh while stored orders do not change.
+    Sums are additive, so this equals a full refresh while stored orders do not change. Batches are numbered upwards; one that
+    is already in changes nothing.
     """
-    name = "mv_monthly_sales"
-    merged = (
-        store.read(name)
-        .unionByName(monthly_sales(new_sales))
-        .groupBy("month")
-        .agg(F.sum("revenue").cast("decimal(38,6)").alias("revenue"), F.sum("order_count").alias("order_count"))
-    )
-    return _publish(store, name, merged, new_sales)
+    name, mark = "mv_monthly_sales", "sales_added"
+
+    def once(current: dict) -> int | None:
+        if current["meta"].get(mark, -1) >= batch:
+            return None
+        merged = (
+            store.open(current["tables"][name])
+            .unionByName(monthly_sales(new_sales))
+            .groupBy("month")
+            .agg(F.sum("revenue").cast("decimal(38,6)").alias("revenue"), F.sum("order_count").alias("order_count"))
+        )
+        return _publish(store, name, merged, new_sales, {mark: batch}, current)
+
+    return store.retried(once)
 
 
 def patch_inventory(ds: Dataset, store: SnapshotStore, changed: DataFrame) -> int:

@@ -1,17 +1,21 @@
-"""Versioned Parquet tables behind one atomically replaced manifest.
+"""Versioned Parquet tables behind one small manifest per version.
 
-A commit writes new folders for the tables it changes and then renames a small manifest over the
-old one. Readers see the state before or after, never half of it; a failed commit leaves folders
-nothing refers to. One writer at a time.
+A commit writes new folders for the tables it changes and then publishes the next manifest, which fails if somebody else
+has published that version meanwhile. Readers see the state before or after, never half of it; a failed commit leaves
+folders nothing refers to.
+
+Rows that a stream appends go to a folder of their batch inside the table's added rows. The manifest records each stream's
+last batch, and later ones are not visible, so a batch writes as much as it holds and a repeated one replaces itself.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from datetime import date, datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +26,20 @@ from stockyard.schema import TABLES
 
 LEDGER = "inventory_movements"
 MONTH = "movement_month"
-_MANIFEST = "_manifest.json"
+_MANIFEST = "_manifest-"
+STREAM, BATCH = "_of_stream", "_of_batch"
+
+
+class VersionConflict(RuntimeError):
+    """Another writer has published the version this one was going to publish."""
+
+
+class Staged(dict):
+    """Name -> unpublished folder, and the version they were made from."""
+
+    def __init__(self, version: int):
+        super().__init__()
+        self.version = version
 
 
 class SnapshotStore:
@@ -33,12 +50,13 @@ class SnapshotStore:
     # --- reading ---------------------------------------------------------------------------
 
     def manifest(self) -> dict:
-        """``{"version": n, "tables": {name: path}, "meta": {...}}``"""
-        path = self._path(f"{self.root}/{_MANIFEST}")
-        files = self._files()
-        if not files.exists(path):
-            return {"version": 0, "tables": {}, "meta": {}}
-        stream = files.open(path)
+        """``{"version": n, "tables": {name: path}, "added": {name: path}, "meta": {...}}``"""
+        root, files = self._path(self.root), self._files()
+        found = files.listStatus(root) if files.exists(root) else []
+        last = max((s.getPath().getName() for s in found if s.getPath().getName().startswith(_MANIFEST)), default=None)
+        if last is None:
+            return {"version": 0, "tables": {}, "added": {}, "meta": {}}
+        stream = files.open(self._path(f"{self.root}/{last}"))
         try:
             text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
@@ -55,19 +73,37 @@ class SnapshotStore:
         return self.spark.read.schema(schema).parquet(path)
 
     def has(self, name: str) -> bool:
-        return name in self.manifest()["tables"]
+        current = self.manifest()
+        return name in current["tables"] or name in current["added"]
+
+    def _visible(self, name: str, current: dict) -> DataFrame:
+        """A table with what streams have added to it, up to their recorded batches."""
+        base, added = current["tables"].get(name), current["added"].get(name)
+        if base is None and added is None:
+            raise KeyError(f"{name} was never published in {self.root}")
+        if added is None:
+            return self.open(base, name)
+        reader = self.spark.read
+        if name in TABLES:
+            marks = [T.StructField(STREAM, T.StringType()), T.StructField(BATCH, T.LongType())]
+            month = [T.StructField(MONTH, T.DateType())] if name == LEDGER else []
+            reader = reader.schema(T.StructType([*TABLES[name].schema.fields, *month, *marks]))
+        done = F.lit(False)
+        for mark, batch in current["meta"].items():
+            if mark.startswith("stream_"):
+                done = done | ((F.col(STREAM) == mark.removeprefix("stream_")) & (F.col(BATCH) <= batch))
+        rows = reader.parquet(added).filter(done).drop(STREAM, BATCH)
+        return rows if base is None else self.open(base, name).unionByName(rows)
 
     def read(self, name: str) -> DataFrame:
         """The published version of a table or snapshot."""
-        found = self.manifest()["tables"].get(name)
-        if found is None:
-            raise KeyError(f"{name} was never published in {self.root}")
-        return self._shaped(name, self.open(found, name))
+        return self._shaped(name, self._visible(name, self.manifest()))
 
-    def dataset(self, as_of: datetime) -> Dataset:
+    def dataset(self, as_of: datetime, current: dict | None = None) -> Dataset:
         """All published tables of the model, as of one manifest."""
-        tables = {n: p for n, p in self.manifest()["tables"].items() if n in TABLES}
-        opened = {n: self.open(p, n) for n, p in tables.items()}  # folders are listed once
+        current = current or self.manifest()
+        tables = [n for n in TABLES if n in current["tables"] or n in current["added"]]
+        opened = {n: self._visible(n, current) for n in tables}  # folders are listed once
         frames = {n: self._shaped(n, df) for n, df in opened.items()}
 
         def ledger_since(bound: Column) -> DataFrame:
@@ -81,7 +117,7 @@ class SnapshotStore:
 
         The month folder is derived from the date, so its bounds have to be stated beside it.
         """
-        rows = self.open(self.manifest()["tables"][LEDGER], LEDGER)
+        rows = self._visible(LEDGER, self.manifest())
         if start is not None:
             rows = rows.filter((F.col("movement_date") >= F.lit(start)) & (F.col(MONTH) >= month_of(F.lit(start))))
         if end is not None:
@@ -90,10 +126,10 @@ class SnapshotStore:
 
     # --- writing ---------------------------------------------------------------------------
 
-    def stage(self, tables: Mapping[str, DataFrame]) -> dict[str, str]:
-        """Write unpublished folders; returns name -> path."""
-        version = self.manifest()["version"] + 1
-        staged = {}
+    def stage(self, tables: Mapping[str, DataFrame], current: dict | None = None) -> Staged:
+        """Write unpublished folders; returns name -> path. ``current``: the manifest the tables were made from."""
+        staged = Staged((current or self.manifest())["version"])
+        version = staged.version + 1
         for name, df in tables.items():
             path = f"{self.root}/{name}/v{version:08d}-{uuid.uuid4().hex[:8]}"
             if name in TABLES:
@@ -105,12 +141,36 @@ class SnapshotStore:
             staged[name] = path
         return staged
 
-    def publish(self, staged: Mapping[str, str], meta: Mapping[str, object] | None = None) -> int:
-        """Point the manifest at staged folders; ``meta`` entries are merged."""
+    def add(self, name: str, rows: DataFrame, stream: str, batch_id: int, current: dict) -> str:
+        """Write one batch's new rows beside a table; they show once a manifest records the batch.
+
+        Returns the folder of the table's added rows. Only the batch is written, and writing it again replaces it.
+        """
+        base = current["tables"].get(name, f"{self.root}/{name}/v{0:08d}")
+        folder = current["added"].get(name, f"{base}-added")
+        path = f"{folder}/{STREAM}={stream}/{BATCH}={batch_id}"
+        if name in TABLES:
+            rows = rows.select(*[F.col(c.name).cast(c.type) for c in TABLES[name].columns])
+        writer = rows.write
+        if name == LEDGER:
+            writer = rows.withColumn(MONTH, month_of("movement_date")).write.partitionBy(MONTH)
+        writer.mode("overwrite").parquet(path)
+        return folder
+
+    def publish(
+        self, staged: Staged, meta: Mapping[str, object] | None = None, added: Mapping[str, str] | None = None
+    ) -> int:
+        """Point the next manifest at staged folders; ``meta`` entries are merged.
+
+        A table that is staged whole holds all its rows; what was added to the old one is no longer read.
+        """
         current = self.manifest()
+        if current["version"] != staged.version:
+            raise VersionConflict(f"{self.root} is at version {current['version']}, not {staged.version}")
         updated = {
-            "version": current["version"] + 1,
+            "version": staged.version + 1,
             "tables": {**current["tables"], **staged},
+            "added": {**{n: p for n, p in current["added"].items() if n not in staged}, **(added or {})},
             "meta": {**current["meta"], **(meta or {})},
         }
         jvm = self.spark._jvm
@@ -120,29 +180,43 @@ class SnapshotStore:
             out.write(bytearray(json.dumps(updated).encode()))
         finally:
             out.close()
-        target = self._path(f"{self.root}/{_MANIFEST}")
+        target = self._path(f"{self.root}/{_MANIFEST}{updated['version']:012d}.json")
         context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), self._hadoop())
         rename = jvm.org.apache.hadoop.fs.Options.Rename
-        overwrite = self.spark.sparkContext._gateway.new_array(rename, 1)
-        overwrite[0] = rename.OVERWRITE
-        context.rename(draft, target, overwrite)
+        never = self.spark.sparkContext._gateway.new_array(rename, 1)
+        never[0] = rename.NONE  # an existing manifest is never replaced
+        try:
+            context.rename(draft, target, never)
+        except Py4JJavaError as error:
+            if "AlreadyExists" in str(error.java_exception):
+                raise VersionConflict(f"{self.root}: version {updated['version']} was published meanwhile") from error
+            raise
         return updated["version"]
 
-    def commit(self, tables: Mapping[str, DataFrame], meta: Mapping[str, object] | None = None) -> int:
-        return self.publish(self.stage(tables), meta)
-
-    def append(self, name: str, rows: DataFrame) -> DataFrame:
-        """Published rows plus new ones, to be committed as the next version."""
-        return self.read(name).unionByName(rows) if self.has(name) else rows
+    def commit(
+        self, tables: Mapping[str, DataFrame], meta: Mapping[str, object] | None = None, current: dict | None = None
+    ) -> int:
+        return self.publish(self.stage(tables, current), meta)
+
+    def retried(self, step: Callable[[dict], int | None], attempts: int = 5) -> int | None:
+        """Run ``step`` on the current manifest, and again on the next one if another writer was first."""
+        for left in reversed(range(attempts)):
+            try:
+                return step(self.manifest())
+            except VersionConflict:
+                if not left:
+                    raise
+        return None
 
     def expire(self, names: Iterable[str] | None = None) -> list[str]:
         """Delete version folders the manifest does not name; run it when no reader is active."""
-        current = self.manifest()["tables"]
-        files, removed = self._files(), []
+        manifest = self.manifest()
+        current, files, removed = manifest["tables"], self._files(), []
         for name in names or current:
+            used = {str(p).rsplit("/", 1)[1] for p in (current[name], manifest["added"].get(name, "/")) if p}
             for status in files.listStatus(self._path(f"{self.root}/{name}")):
                 path = status.getPath()
-                if not str(current[name]).endswith(f"/{path.getName()}"):
+                if path.getName() not in used:
                     files.delete(path, True)
                     removed.append(f"{self.root}/{name}/{path.getName()}")
         return removed

@@ -6,6 +6,7 @@ number, so a batch that is delivered again after a failure changes nothing.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from datetime import datetime
 
@@ -17,23 +18,37 @@ from stockyard.dataset import Dataset
 from stockyard.functions.dates import month_of
 from stockyard.functions.money import sum_net
 from stockyard.operators.commands import STOCK_KEY, receive_inventory, reserve_for_sales
+from stockyard.session import materialize
 from stockyard.sources.store import SnapshotStore
 
-Step = Callable[[Dataset, DataFrame], dict[str, DataFrame]]
+#: Tables to replace, and rows to add to tables.
+Step = Callable[[Dataset, DataFrame], tuple[dict[str, DataFrame], dict[str, DataFrame]]]
+ALL_NOW = {"availableNow": True}
+WAITING = "lines_without_order"
 
 
 def apply_once(store: SnapshotStore, stream: str, batch_id: int, batch: DataFrame, as_of: datetime, step: Step) -> bool:
-    """Apply a micro-batch to the published tables unless its number is already recorded."""
+    """Apply a micro-batch to the published tables unless its number is already recorded.
+
+    Added rows cost a write of the batch; tables are replaced only where the step says so. If another writer publishes first, the
+    step runs again on what that one has published.
+    """
     mark = f"stream_{stream}"
-    if store.manifest()["meta"].get(mark, -1) >= batch_id:
-        return False
-    changed = step(store.dataset(as_of), batch)
-    store.commit(changed, {mark: batch_id})
-    return True
+
+    def once(current: dict) -> int | None:
+        if current["meta"].get(mark, -1) >= batch_id:
+            return None
+        tables, added = step(store.dataset(as_of, current), batch)
+        staged = store.stage(tables, current)
+        folders = {name: store.add(name, rows, stream, batch_id, current) for name, rows in added.items()}
+        return store.publish(staged, {mark: batch_id}, folders)
+
+    return store.retried(once) is not None
 
 
 def _run(
-    source: DataFrame, store: SnapshotStore, stream: str, checkpoint: str, clock: Callable[[], datetime], step: Step
+    source: DataFrame, store: SnapshotStore, stream: str, checkpoint: str, clock: Callable[[], datetime], step: Step,
+    trigger: dict,
 ) -> StreamingQuery:
     def each(batch: DataFrame, batch_id: int) -> None:
         apply_once(store, stream, batch_id, batch, clock(), step)
@@ -41,38 +56,43 @@ def _run(
     return (
         source.writeStream.queryName(stream)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .foreachBatch(each)
         .start()
     )
 
 
 def reserve_stream(
-    lines: DataFrame, store: SnapshotStore, checkpoint: str, clock: Callable[[], datetime]
+    lines: DataFrame, store: SnapshotStore, checkpoint: str, clock: Callable[[], datetime], trigger: dict = ALL_NOW
 ) -> StreamingQuery:
-    """New sales lines are stored and reserve stock at their order's warehouse."""
+    """New sales lines are stored and reserve stock at their order's warehouse.
 
-    def step(ds: Dataset, batch: DataFrame) -> dict[str, DataFrame]:
-        columns = ds.sales_order_items.columns
-        return {
-            "inventory": reserve_for_sales(ds, batch),
-            "sales_order_items": ds.sales_order_items.unionByName(batch.select(*columns)),
-        }
+    A line that comes before its order waits for it, in a table of its own, and is tried again with every batch.
+    """
+
+    def step(ds: Dataset, batch: DataFrame) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+        arrived = batch.select(*ds.sales_order_items.columns)
+        if store.has(WAITING):
+            arrived = arrived.unionByName(store.read(WAITING))
+        orders = ds.sales_orders.select("so_id")
+        known = materialize(arrived.join(orders, "so_id", "left_semi"))
+        early = arrived.join(orders, "so_id", "left_anti")
+        return {"inventory": reserve_for_sales(ds, known), WAITING: early}, {"sales_order_items": known}
 
-    return _run(lines, store, "reserve", checkpoint, clock, step)
+    return _run(lines, store, "reserve", checkpoint, clock, step, trigger)
 
 
 def receive_stream(
-    receipts: DataFrame, store: SnapshotStore, checkpoint: str, clock: Callable[[], datetime]
+    receipts: DataFrame, store: SnapshotStore, checkpoint: str, clock: Callable[[], datetime], trigger: dict = ALL_NOW
 ) -> StreamingQuery:
     """Receipts raise stock, extend the ledger and complete purchase orders; rejects are kept."""
 
-    def step(ds: Dataset, batch: DataFrame) -> dict[str, DataFrame]:
+    def step(ds: Dataset, batch: DataFrame) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
         changes = receive_inventory(ds, batch)
-        rejects = store.append("receive_rejects", changes.rejects)
-        return {**changes.tables, "receive_rejects": rejects}
+        added = {**changes.appended, "receive_rejects": changes.rejects}
+        return {name: df for name, df in changes.tables.items() if name not in added}, added
 
-    return _run(receipts, store, "receive", checkpoint, clock, step)
+    return _run(receipts, store, "receive", checkpoint, clock, step, trigger)
 
 
 def negative_stock_stream(deltas: DataFrame, inventory: DataFrame) -> DataFrame:
@@ -89,8 +109,8 @@ def negative_stock_stream(deltas: DataFrame, inventory: DataFrame) -> DataFrame:
 def live_daily_revenue(lines: DataFrame, orders: DataFrame, lateness: str = "1 day") -> DataFrame:
     """Revenue per order day of active orders. Lines need an event time ``ordered_at``.
 
-    State of a day is dropped once the watermark passes it; later lines are ignored here, so the
-    batch refresh remains the reference.
+    State of a day is dropped once the watermark passes it; later lines are not in the result, so the batch refresh
+    remains the reference and ``dropped_lines`` tells how many there were.
     """
     live = orders.filter(F.col("status") != "cancelled").select("so_id")
     timed = lines.withColumn("ordered_at", F.col("ordered_at").cast("timestamp_ltz"))
@@ -111,3 +131,9 @@ def live_monthly_revenue(lines: DataFrame, orders: DataFrame) -> DataFrame:
         .groupBy(month_of(F.col("ordered_at").cast("date")).alias("month"))
         .agg(sum_net().alias("revenue"))
     )
+
+
+def dropped_lines(query: StreamingQuery) -> int:
+    """Rows behind the watermark that a query's recent batches left out."""
+    progress = [json.loads(p.json) for p in query.recentProgress]
+    return sum(state.get("numRowsDroppedByWatermark", 0) for p in progress for state in p.get("stateOperators", []))

@@ -57,7 +57,8 @@ def test_incremental_equals_full(spark, ds, tmp_path):
         purchase_orders=ds.purchase_orders.filter((F.col("supplier_id") != 3) | (F.col("po_id") < 700)),
     )
     matviews.refresh_all(before, store)
-    matviews.add_new_sales(store, ds.replace(sales_orders=late))
+    assert matviews.add_new_sales(store, ds.replace(sales_orders=late), 1)
+    assert matviews.add_new_sales(store, ds.replace(sales_orders=late), 1) is None
     assert same(store.read("mv_monthly_sales"), matviews.monthly_sales(ds))
     matviews.patch_inventory(ds, store, ds.inventory.filter("product_id % 7 = 0"))
     assert same(store.read("mv_inventory_snapshot"), matviews.inventory_snapshot(ds))
@@ -94,7 +95,7 @@ def test_reserve_stream_equals_batch_and_replays_safely(spark, ds, tmp_path):
     assert same(store.read("inventory"), expected)
     assert store.read("sales_order_items").count() == 6000
     assert store.manifest()["meta"]["stream_reserve"] == 2
-    again = rules.apply_once(store, "reserve", 2, new, ds.as_of, lambda d, b: {"inventory": d.inventory.limit(0)})
+    again = rules.apply_once(store, "reserve", 2, new, ds.as_of, lambda d, b: ({"inventory": d.inventory.limit(0)}, {}))
     assert not again and same(store.read("inventory"), expected)
 
 
