@@ -51,6 +51,11 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
+def _ascii_only(pattern: str) -> str:
+    """The same word pattern for texts of ASCII characters, in the classes of the plain ``re`` module."""
+    return pattern.replace(r"[\p{L}]", "[a-z]").replace(r"[\p{N}]", "[0-9]").replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9")
+
+
 class Bpe:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -68,7 +73,7 @@ class Bpe:
         for token, number in [*self.ids.items(), *special.items()]:
             self.strings[number] = token
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace(r"\s", _SPACE)
-        self.words = regex.compile(split, regex.V0).findall
+        self._any, self._ascii = regex.compile(split, regex.V0).findall, re.compile(_ascii_only(split), re.ASCII).findall
         symbols = byte_symbols()
         self.inner = [self.ids[s] for s in symbols]
         self.last = [self.ids[s + self.end] for s in symbols]
@@ -124,11 +129,16 @@ class Bpe:
             self.special[part].to_bytes(4, "little") if part in self.special else self._plain(part) for part in self.cut(run)
         )
 
+    @staticmethod
+    def plain(text: str) -> str:
+        """Composed and in lower case, letter by letter: no final form of sigma."""
+        return text.lower() if text.isascii() else unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+
+    def words(self, text: str) -> list[str]:
+        return self._ascii(text) if text.isascii() else self._any(text)
+
     def _plain(self, part: str) -> bytes:
-        if not part.isascii():
-            # Case is mapped letter by letter: no final form of sigma.
-            part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
-        return b"".join(map(self._word, self.words(part.lower())))
+        return b"".join(map(self._word, self.words(self.plain(part))))
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""

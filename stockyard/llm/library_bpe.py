@@ -1,4 +1,4 @@
-"""Ids by the tokenizers library, with runs between blanks remembered.
+"""Ids by the tokenizers library, with words remembered.
 
 Words repeat, so the library is asked once for each new word of a batch; the words of a request share one text, and the
 word-end mark of their last tokens tells them apart again.
@@ -7,23 +7,22 @@ word-end mark of their last tokens tells them apart again.
 from __future__ import annotations
 
 import os
-import unicodedata
+import re
 from array import array
 from functools import lru_cache
 
 import numpy as np
 
-from stockyard.llm.bpe import runs_of
+from stockyard.llm import bpe
 
-#: Marks that end a run as a token of their own, so that "word," is "word" and ",".
-_MARKS = ".,;:!?"
 _TOGETHER = 64
+_KEPT = 600_000
 
 
 class Recent(dict):
     """A memory of what was used lately: when it is full, what the last filling has not used is forgotten."""
 
-    def __init__(self, kept: int = 400_000):
+    def __init__(self, kept: int = _KEPT):
         self.kept, self.before = kept, {}
 
     def absent(self, keys: set[str]) -> set[str]:
@@ -32,9 +31,11 @@ class Recent(dict):
             self.before = dict(self)
             self.clear()
         fresh = keys.difference(self)
-        for key in fresh & self.before.keys():
-            self[key] = self.before[key]
-        return fresh.difference(self)
+        if self.before:
+            found = fresh.intersection(self.before)
+            self.update((key, self.before[key]) for key in found)
+            fresh -= found
+        return fresh
 
 
 class Library:
@@ -45,55 +46,36 @@ class Library:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        own = bpe.load(path)
+        self.words_of, self.plain = own.words, own.plain
+        self.special = re.compile("|".join(map(re.escape, own.special))).search
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.ends[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
-        self.words, self.others, self.runs = Recent(), Recent(), Recent()
+        self.ends[[number for token, number in vocabulary.items() if token.endswith(own.end)]] = True
+        self.known = Recent()
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn_words(self, words: list[str]) -> None:
+    def _learn(self, words: list[str]) -> None:
         groups = [words[i : i + _TOGETHER] for i in range(0, len(words), _TOGETHER)]
         for group, ids in zip(groups, self._ids([" ".join(g) for g in groups])):
             data, ends = array("I", ids).tobytes(), (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
             if len(ends) != len(group):
                 raise ValueError("the vocabulary does not mark the ends of words")
-            start = 0
-            for word, end in zip(group, ends):
-                self.words[word] = data[start:end]
-                start = end
-
-    def _learn(self, runs: set[str]) -> None:
-        plain, other = {}, {}
-        for run in runs:
-            word = run.rstrip(_MARKS)
-            # Only plain words part from their marks: case and composition must leave them letters.
-            if word.isalpha() and (run.isascii() or word.lower().isalpha() and unicodedata.is_normalized("NFC", word)):
-                plain[run] = (word.lower() if run.isascii() else word, run[len(word) :])
-            else:
-                other[run] = run
-        self._learn_words(list(self.words.absent({word for word, _ in plain.values()})))
-        fresh = list(self.others.absent({*other.values(), *(marks for _, marks in plain.values())}))
-        self.others.update(zip(fresh, (array("I", ids).tobytes() for ids in self._ids(fresh))))
-        for run, (word, marks) in plain.items():
-            self.runs[run] = self.words[word] + self.others[marks] if marks else self.words[word]
-        for run in other:
-            self.runs[run] = self.others[run]
-
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        runs = runs_of(text)
-        if fresh := self.runs.absent({*runs}):
-            self._learn(fresh)
-        return b"".join(map(self.runs.__getitem__, runs))
+            self.known.update((word, data[a:b]) for word, a, b in zip(group, [0, *ends], ends))
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
-        cut = [runs_of(text) for text in texts]
-        if fresh := self.runs.absent({run for runs in cut for run in runs}):
-            self._learn(fresh)
-        known = self.runs.__getitem__
-        return [b"".join(map(known, runs)) for runs in cut]
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        # A text that spells a special token goes to the library whole.
+        cut = [None if self.special(text) else self.words_of(self.plain(text)) for text in texts]
+        if fresh := self.known.absent({word for words in cut if words for word in words}):
+            self._learn(list(fresh))
+        known = self.known.__getitem__
+        return [
+            array("I", self._ids([text])[0]).tobytes() if words is None else b"".join(map(known, words))
+            for text, words in zip(texts, cut)
+        ]
 
 
 @lru_cache(maxsize=4)
