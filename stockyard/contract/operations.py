@@ -16,11 +16,11 @@ from stockyard.contract.queries import LEDGER_COLUMNS, LTV, NOW, PERFORMANCE, UT
 from stockyard.dataset import Dataset
 from stockyard.operators import commands, quality
 from stockyard.functions.dates import month_label
-from stockyard.plans import benchmarks, cases, customer, inventory, matviews, sales, serving, supplier, warehouse
+from stockyard.plans import benchmarks, cases, customer, inventory, kpi, matviews, sales, serving, supplier, warehouse
 from stockyard.schema import LOAD_ORDER, TABLES
 from stockyard.session import shared_folder
 from stockyard.sources.csv import as_dictionaries, load_folder, next_ids, read_csv, save_csv
-from stockyard.sources.store import LEDGER, SnapshotStore, repartition_ledger
+from stockyard.sources.store import LEDGER, LINES, ORDERS, SnapshotStore, repartition_ledger
 from stockyard.sources.tpch import SOURCE_SCHEMAS
 from stockyard.streaming import rules
 
@@ -701,6 +701,20 @@ WHOLE = {
     "b2_warehouse_movements_30d_stored": Entry(
         lambda ds: benchmarks.warehouse_movements_30d(stored(ds, LEDGER)), BENCHMARKS["b2_warehouse_movements_30d"].check
     ),
+    "q42_kpi_snapshot_stored": Entry(
+        lambda ds: kpi.kpi_snapshot(stored(ds, ORDERS, LINES, "products", "inventory", "purchase_orders")),
+        QUERIES["q42_kpi_snapshot"].check,
+    ),
+    "q45_inventory_turnover_stored": Entry(
+        lambda ds: kpi.inventory_turnover(stored(ds, ORDERS, LINES, "products", "inventory")),
+        QUERIES["q45_inventory_turnover"].check,
+    ),
+    "mv4_dashboard_kpis_stored": Entry(
+        lambda ds: matviews.dashboard_kpis(
+            stored(ds, ORDERS, LINES, "products", "inventory", "purchase_orders", "suppliers", "warehouses")
+        ),
+        SUMMARIES["mv4_dashboard_kpis"].check,
+    ),
     "s2_whole_load": Entry(
         whole_load,
         typed(

@@ -22,7 +22,7 @@ class Dataset:
         spark: SparkSession,
         tables: Mapping[str, DataFrame | Callable[[], DataFrame]],
         as_of: datetime,
-        ledger_since: Callable[[Column], DataFrame] | None = None,
+        months_since: Callable[[str, Column], DataFrame] | None = None,
         origin: str | None = None,
     ):
         unknown = set(tables) - set(TABLES)
@@ -31,7 +31,7 @@ class Dataset:
         self.spark = spark
         self.as_of = as_of
         self.origin = origin  # the folder of the source tables, for those who stream them
-        self._ledger_since = ledger_since
+        self._months_since = months_since
         self._sources = dict(tables)
         self._built: dict[str, DataFrame] = {}
 
@@ -54,13 +54,24 @@ class Dataset:
 
     def replace(self, **tables: DataFrame) -> Dataset:
         """The same dataset with some tables exchanged."""
-        pruned = None if "inventory_movements" in tables else self._ledger_since
+        pruned = None if {"inventory_movements", "sales_orders", "sales_order_items"} & set(tables) else self._months_since
         return Dataset(self.spark, {**self._sources, **self._built, **tables}, self.as_of, pruned, self.origin)
 
     def movements_since(self, bound: Column) -> DataFrame:
         """Ledger rows strictly after an instant; a stored ledger opens only the months concerned."""
-        rows = self._ledger_since(bound) if self._ledger_since else self.inventory_movements
-        return rows.filter(F.col("movement_date") > bound)
+        return self._since("inventory_movements", bound).filter(F.col("movement_date") > bound)
+
+    def sales_since(self, bound: Column) -> tuple[DataFrame, DataFrame]:
+        """Sales orders dated strictly after an instant (a date is its midnight), and lines among which theirs are.
+
+        Stored orders and lines open only the months concerned. Join the two on so_id.
+        """
+        orders = self._since("sales_orders", bound).filter(F.col("order_date").cast("timestamp_ntz") > bound)
+        return orders, self._since("sales_order_items", bound)
+
+    def _since(self, name: str, bound: Column) -> DataFrame:
+        stored = self._months_since and name in self._sources
+        return self._months_since(name, bound) if stored else getattr(self, name)
 
     def register_views(self) -> None:
         for name in self.names:

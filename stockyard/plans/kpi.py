@@ -12,17 +12,13 @@ from stockyard.functions.ordering import ascending, descending, top
 from stockyard.plans.views import active, received
 
 
-def _since(ds: Dataset, interval: str):
-    """Active orders dated strictly after the bound; a date stands for its midnight."""
-    recent = F.col("order_date").cast("timestamp_ntz") > before(ds.as_of, interval)
-    return active(ds.sales_orders).filter(recent)
-
-
 def kpi_snapshot(ds: Dataset) -> DataFrame:
     """One row. A sum over nothing is NULL, a count over nothing is 0."""
-    recent = _since(ds, "30 DAYS").select("so_id")
-    sold = ds.sales_order_items.join(recent, "so_id").agg(sum_net().alias("revenue_30d"))
-    orders = recent.agg(F.count("*"))
+    orders, lines = ds.sales_since(before(ds.as_of, "30 DAYS"))
+    recent = active(orders).select("so_id")
+    per_order = lines.groupBy("so_id").agg(sum_net().alias("total"))
+    sold = per_order.join(recent, "so_id").agg(F.sum("total").alias("revenue_30d"))
+    count = recent.agg(F.count("*"))
     costs = ds.products.select("product_id", "unit_cost", "reorder_level")
     stock = ds.inventory.join(costs, "product_id").agg(
         F.sum(F.col("quantity_on_hand") * F.col("unit_cost")).alias("value"),
@@ -31,7 +27,7 @@ def kpi_snapshot(ds: Dataset) -> DataFrame:
     lead = received(ds.purchase_orders).agg(quotient(F.sum(lead_days()), F.nullif(F.count(lead_days()), F.lit(0)), 1))
     return sold.select(
         "revenue_30d",
-        orders.scalar().alias("orders_30d"),
+        count.scalar().alias("orders_30d"),
         stock.select("value").scalar().alias("total_inventory_value"),
         stock.select("low").scalar().alias("products_below_reorder"),
         lead.scalar().alias("avg_supplier_lead_time"),
@@ -59,8 +55,11 @@ def fulfillment_rate(ds: Dataset) -> DataFrame:
 def inventory_turnover(ds: Dataset) -> DataFrame:
     """A year's cost of goods over the mean value of an inventory row."""
     costs = ds.products.select("product_id", "unit_cost")
+    orders, lines = ds.sales_since(before(ds.as_of, "1 YEAR"))
+    # Summed per order and product first: a huge order is one partial sum per task before it meets its header.
+    units = lines.groupBy("so_id", "product_id").agg(F.sum("quantity").alias("quantity"))
     sold = (
-        ds.sales_order_items.join(_since(ds, "1 YEAR").select("so_id"), "so_id")
+        units.join(active(orders).select("so_id"), "so_id")
         .groupBy("product_id")
         .agg(F.sum("quantity").alias("units"))
         .join(costs, "product_id")

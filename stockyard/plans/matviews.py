@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stockyard.dataset import Dataset
 from stockyard.functions.dates import before, instant, month_of
-from stockyard.functions.money import quotient
+from stockyard.functions.money import quotient, sum_net
 from stockyard.plans import views
 from stockyard.sources.store import SnapshotStore
 
@@ -40,8 +40,10 @@ def dashboard_kpis(ds: Dataset, snapshot: DataFrame | None = None) -> DataFrame:
     The lead time is the mean of the rounded means per supplier, unlike the KPI query's overall mean.
     """
     snapshot = inventory_snapshot(ds) if snapshot is None else snapshot
-    recent = F.col("order_date").cast("timestamp_ntz") > before(ds.as_of, "30 DAYS")
-    revenue = views.daily_revenue(ds).filter(recent).agg(F.sum("revenue").alias("revenue_30d"))
+    orders, lines = ds.sales_since(before(ds.as_of, "30 DAYS"))
+    totals = lines.groupBy("so_id").agg(sum_net().alias("total"))
+    recent = totals.join(views.active(orders).select("so_id"), "so_id")
+    revenue = recent.agg(F.sum("total").alias("revenue_30d"))
     value = views.inventory_value_by_warehouse(ds).agg(F.sum("inventory_value"))
     low = snapshot.agg(F.count_if("needs_reorder"))
     timed = F.count("avg_lead_time_days")

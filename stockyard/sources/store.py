@@ -26,6 +26,12 @@ from stockyard.schema import TABLES
 
 LEDGER = "inventory_movements"
 MONTH = "movement_month"
+ORDERS, LINES = "sales_orders", "sales_order_items"
+ORDER_MONTH = "order_month"
+#: Month folders; a line lies in the month of its order.
+MONTHS = {LEDGER: MONTH, ORDERS: ORDER_MONTH, LINES: ORDER_MONTH}
+#: How the files of a month are sorted, so that row groups can be skipped.
+SORTED = {LEDGER: ("warehouse_id", "movement_date"), ORDERS: ("order_date", "so_id"), LINES: ("so_id",)}
 _MANIFEST = "_manifest-"
 STREAM, BATCH = "_of_stream", "_of_batch"
 
@@ -67,10 +73,7 @@ class SnapshotStore:
         """A version folder; tables of the model are read with their declared schema."""
         if name not in TABLES:
             return self.spark.read.parquet(path)
-        schema = TABLES[name].schema
-        if name == LEDGER:
-            schema = T.StructType([*schema.fields, T.StructField(MONTH, T.DateType())])
-        return self.spark.read.schema(schema).parquet(path)
+        return self.spark.read.schema(_stored_schema(name)).parquet(path)
 
     def has(self, name: str) -> bool:
         current = self.manifest()
@@ -86,8 +89,7 @@ class SnapshotStore:
         reader = self.spark.read
         if name in TABLES:
             marks = [T.StructField(STREAM, T.StringType()), T.StructField(BATCH, T.LongType())]
-            month = [T.StructField(MONTH, T.DateType())] if name == LEDGER else []
-            reader = reader.schema(T.StructType([*TABLES[name].schema.fields, *month, *marks]))
+            reader = reader.schema(T.StructType([*_stored_schema(name).fields, *marks]))
         done = F.lit(False)
         for mark, batch in current["meta"].items():
             if mark.startswith("stream_"):
@@ -106,11 +108,10 @@ class SnapshotStore:
         opened = {n: self._visible(n, current) for n in tables}  # folders are listed once
         frames = {n: self._shaped(n, df) for n, df in opened.items()}
 
-        def ledger_since(bound: Column) -> DataFrame:
-            months = F.col(MONTH) >= month_of(bound.cast("date"))
-            return self._shaped(LEDGER, opened[LEDGER].filter(months))
+        def months_since(name: str, bound: Column) -> DataFrame:
+            return self._shaped(name, opened[name].filter(F.col(MONTHS[name]) >= month_of(bound.cast("date"))))
 
-        return Dataset(self.spark, frames, as_of, ledger_since if LEDGER in tables else None)
+        return Dataset(self.spark, frames, as_of, months_since)
 
     def ledger_between(self, start: date | None = None, end: date | None = None) -> DataFrame:
         """Movements from ``start`` up to but without ``end``, opening only the months concerned.
@@ -132,12 +133,10 @@ class SnapshotStore:
         version = staged.version + 1
         for name, df in tables.items():
             path = f"{self.root}/{name}/v{version:08d}-{uuid.uuid4().hex[:8]}"
-            if name in TABLES:
-                df = df.select(*[F.col(c.name).cast(c.type) for c in TABLES[name].columns])
-            if name == LEDGER:
-                write_by_month(df, path)
+            if name in MONTHS:
+                write_by_month(name, self._in_months(name, df, tables.get(ORDERS), current), path)
             else:
-                df.write.parquet(path)
+                _typed(name, df).write.parquet(path)
             staged[name] = path
         return staged
 
@@ -149,14 +148,27 @@ class SnapshotStore:
         base = current["tables"].get(name, f"{self.root}/{name}/v{0:08d}")
         folder = current["added"].get(name, f"{base}-added")
         path = f"{folder}/{STREAM}={stream}/{BATCH}={batch_id}"
-        if name in TABLES:
-            rows = rows.select(*[F.col(c.name).cast(c.type) for c in TABLES[name].columns])
-        writer = rows.write
-        if name == LEDGER:
-            writer = rows.withColumn(MONTH, month_of("movement_date")).write.partitionBy(MONTH)
-        writer.mode("overwrite").parquet(path)
+        if name in MONTHS:
+            write_by_month(name, self._in_months(name, rows, None, current), path)
+        else:
+            _typed(name, rows).write.mode("overwrite").parquet(path)
         return folder
 
+    def _in_months(self, name: str, rows: DataFrame, orders: DataFrame | None, current: dict | None) -> DataFrame:
+        """Rows with the month of their folder; a line without an order has none."""
+        rows = _typed(name, rows)
+        if name == LEDGER:
+            return rows.withColumn(MONTH, month_of("movement_date"))
+        if name == ORDERS:
+            return rows.withColumn(ORDER_MONTH, month_of("order_date"))
+        current = current or self.manifest()
+        if orders is None and (ORDERS in current["tables"] or ORDERS in current["added"]):
+            orders = self._visible(ORDERS, current)
+        if orders is None:
+            return rows.withColumn(ORDER_MONTH, F.lit(None).cast("date"))
+        dates = orders.select("so_id", month_of("order_date").alias(ORDER_MONTH))
+        return rows.join(dates, "so_id", "left").select(*rows.columns, ORDER_MONTH)
+
     def publish(
         self, staged: Staged, meta: Mapping[str, object] | None = None, added: Mapping[str, str] | None = None
     ) -> int:
@@ -236,17 +248,24 @@ class SnapshotStore:
         return self._path(self.root).getFileSystem(self._hadoop())
 
 
-def write_by_month(movements: DataFrame, path: str) -> None:
-    """Month folders; files sorted by warehouse and date so row groups can be skipped.
+def _stored_schema(name: str) -> T.StructType:
+    month = [T.StructField(MONTHS[name], T.DateType())] if name in MONTHS else []
+    return T.StructType([*TABLES[name].schema.fields, *month])
+
+
+def _typed(name: str, df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(c.name).cast(c.type) for c in TABLES[name].columns]) if name in TABLES else df
+
 
-    ``rebalance`` gathers small months into few files and splits a month that holds a large share
-    of the rows over several tasks.
-    """
+def write_by_month(name: str, rows: DataFrame, path: str) -> None:
+    """``rebalance`` gathers small months into few files and splits a month that holds a large share of the rows over
+    several tasks."""
+    month = MONTHS[name]
     (
-        movements.withColumn(MONTH, month_of("movement_date"))
-        .hint("rebalance", MONTH)
-        .sortWithinPartitions(MONTH, "warehouse_id", "movement_date")
-        .write.partitionBy(MONTH)
+        rows.hint("rebalance", month)
+        .sortWithinPartitions(month, *SORTED[name])
+        .write.mode("overwrite")
+        .partitionBy(month)
         .parquet(path)
     )
 
