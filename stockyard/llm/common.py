@@ -47,11 +47,6 @@ def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return rows.join(gone, same, "left_anti").select("row.*")
 
 
-def buckets(spark: SparkSession, times: int = 2) -> int:
-    """A number of hash buckets that grows with the partitions the cluster uses."""
-    return max(8, times * int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-
-
 def streamed_groups(frames: Iterable[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
     """Consecutive rows with equal keys, across the batches of a sorted partition; one group is held at a time."""
     held: list[pd.DataFrame] = []

@@ -8,8 +8,8 @@ these reach the driver. There whole runs of equal bins are filled at once:
 2. Shorter ones, from the longest down, best-fit the smallest gap that holds them; a new bin opens when none does.
 
 Each step either uses up a length or a run of bins, so the plan has a size bound of its own, whatever the input. It is
-broadcast; every piece looks up its place by its rank among the pieces of its length. Ranks come from hash buckets, so a
-length that a third of all pieces share is numbered in as many tasks as there are buckets.
+broadcast; every piece looks up its place by its rank among the pieces of its length. Ranks come from hash buckets of about
+``NUMBERED`` pieces, so a length that a third of all pieces share is numbered in as many groups as it needs.
 """
 
 from __future__ import annotations
@@ -26,11 +26,12 @@ from pyspark.sql import functions as F
 
 from stockyard.llm import library_bpe
 from stockyard.llm.bpe import vocabulary_path
-from stockyard.llm.common import buckets, saved, text_of
+from stockyard.llm.common import saved, text_of
 
 CAPACITY = 2048
 END = 0
 TEXTS = 500  # coded together
+NUMBERED = 50_000  # pieces of one length that are numbered in one group
 
 
 class Plan:
@@ -158,11 +159,14 @@ def packed(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     rows.
     """
     spark = cut.sparkSession
-    dealt = saved(cut.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets(spark)))))
+    cut = saved(cut)
+    histogram = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # capacity rows at most
+    spread = [(length, -(-n // NUMBERED)) for length, n in histogram.items()]
+    buckets = spark.createDataFrame(spread, "length long, _buckets long")
+    dealt = cut.join(F.broadcast(buckets), "length").withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.col("_buckets")))
     counts = dealt.groupBy("length", "_bucket").agg(F.count("*").alias("_n"))
     earlier = W.partitionBy("length").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)  # a row per bucket
-    offsets = saved(counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))))
-    histogram = {r["length"]: r["n"] for r in offsets.groupBy("length").agg(F.sum("_n").alias("n")).collect()}  # capacity rows at most
+    offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     runs = spark.sparkContext.broadcast(Plan(histogram, capacity).lookup())
     inside = W.partitionBy("length", "_bucket").orderBy("doc_id", "piece")
     ranked = (
