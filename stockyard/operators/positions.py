@@ -65,16 +65,16 @@ def with_ranks(df: DataFrame, value: str, tie_break: Sequence[str], *, descendin
     local = placed.withColumn("_first", F.min("position").over(ties)).withColumn(
         "_last", F.max("position").over(ties)
     )
-    # Only the first and the last value of a slot can continue in a neighbour.
-    bounds = F.struct(F.col(value).alias("edge"), "_first", "_last")
+    # Only the first and the last value of a slot can continue in a neighbour: their runs, and nothing else, are
+    # gathered across slots, by aggregates that combine before they shuffle.
+    held = F.struct(F.col(value).alias("value"))
+    ends = placed.groupBy(SLOT).agg(F.min_by(held, "position").alias("_head"), F.max_by(held, "position").alias("_tail"))
+    outer = F.col(value).eqNullSafe(F.col("_head.value")) | F.col(value).eqNullSafe(F.col("_tail.value"))
     edges = (
-        placed.groupBy(SLOT, value)
-        .agg(F.min("position").alias("_first"), F.max("position").alias("_last"))
-        .groupBy(SLOT)
-        .agg(F.min_by(bounds, "_first").alias("head"), F.max_by(bounds, "_last").alias("tail"))
-        .select(F.inline(F.array("head", "tail")))
-        .groupBy("edge")
-        .agg(F.min("_first").alias("_edge_first"), F.max("_last").alias("_edge_last"))
+        placed.join(F.broadcast(ends), SLOT)
+        .filter(outer)
+        .groupBy(F.col(value).alias("edge"))
+        .agg(F.min("position").alias("_edge_first"), F.max("position").alias("_edge_last"))
     )
     total = placed.agg(F.max("position")).scalar()
     return (
