@@ -53,27 +53,36 @@ def _row_rules(spec: Table, rows: DataFrame) -> DataFrame:
 def _unique_keys(ds: Dataset) -> DataFrame:
     """Surplus rows of repeated keys; a key with a NULL part never repeats.
 
-    All keys of all tables go through one shuffle, and each table is read once for its keys.
+    All number keys of all tables go through one shuffle as numbers, the others through a second one.
     """
     rules: list[tuple[str, str, str]] = []
-    parts = []
+    numbers, texts = [], []
     for name in ds.names:
         spec = TABLES[name]
-        keys = []
+        number_keys, text_keys = [], []
         for columns in (spec.primary_key, *spec.unique):
             kind = "primary_key" if columns == spec.primary_key else "unique"
-            known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
-            text = F.concat_ws(",", *[F.col(c).cast("string") for c in columns])
-            keys.append(_tagged(len(rules), F.when(known, text)))
+            if len(columns) == 1 and isinstance(spec.column(columns[0]).type, (T.LongType, T.IntegerType)):
+                number_keys.append(_tagged(len(rules), F.col(columns[0]).cast("bigint")))
+            else:
+                known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+                text = F.concat_ws(",", *[F.col(c).cast("string") for c in columns])
+                text_keys.append(_tagged(len(rules), F.when(known, text)))
             rules.append((name, "_".join(columns) + "_unique", kind))
-        parts.append(getattr(ds, name).select(F.inline(F.array(*keys))))
-    counted = reduce(DataFrame.unionByName, parts).filter("key is not null").groupBy("rule_no", "key").count()
-    found = (
+        for keys, parts in ((number_keys, numbers), (text_keys, texts)):
+            if keys:
+                parts.append(getattr(ds, name).select(F.inline(F.array(*keys))))
+    found = [_repeats(reduce(DataFrame.unionByName, parts)) for parts in (numbers, texts) if parts]
+    return _with_all_rules(ds, rules, reduce(DataFrame.unionByName, found) if found else None)
+
+
+def _repeats(keys: DataFrame) -> DataFrame:
+    counted = keys.filter("key is not null").groupBy("rule_no", "key").count()
+    return (
         counted.filter("count > 1")
         .groupBy("rule_no")
-        .agg(F.sum(F.col("count") - 1).alias("violations"), F.min("key").alias("sample_key"))
+        .agg(F.sum(F.col("count") - 1).alias("violations"), F.min(F.col("key").cast("string")).alias("sample_key"))
     )
-    return _with_all_rules(ds, rules, found)
 
 
 def _references(ds: Dataset) -> DataFrame:
