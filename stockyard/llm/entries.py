@@ -41,7 +41,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.repeated_units(table(spark, sf_dir, "documents")).drop("text_hash")
+    return line_dedup.repeated_units(table(spark, sf_dir, "documents"))
 
 
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +62,5 @@ QUERIES = {
 }
 ORACLE_SQL = {
     "op8_exact_dedup": exact_dedup.ORACLE,
-    "op9_substring_dedup": line_dedup.oracle(),
     "op10_url_filters": url_filters.ORACLE,
 }

@@ -1,78 +1,159 @@
-"""Substring dedup by line hashing.
-
-Units are lines. A unit of at least ``MIN_WORDS`` words is normalised (lower case, blanks collapsed) and hashed to 128
-bits; digests are grouped globally by a min aggregate, which combines before the shuffle, so a line held by a third of
-all documents is one partial row per task. The occurrence with the smallest (doc_id, unit) stays and every other one is
-reported with its offsets in the original text.
+"""Substring dedup by paragraph hashing.
+
+Texts fall into small units at line breaks, sentence ends, capital letters and, in long units, at words picked by their hash: places
+that a passage brings with it wherever it stands, also in the middle of another line. A *paragraph* is the shortest run of
+whole units with at least ``PARAGRAPH`` words that begins at a unit. Paragraphs are normalised (lower case, blanks
+collapsed) and hashed; digests are grouped globally by a min aggregate, which combines before the shuffle. The occurrence
+with the smallest (doc_id, position) stays. All others are marked, marks that touch are joined, and joined marks
+of at least ``MARKED`` words are removed, with their offsets in the original text retained. The words behind a passage's
+last whole paragraph stay: fewer than one unit holds.
+
+A passage held by a third of all documents is one partial row per task in the grouping, and the join back has two stored
+sides, which adaptive execution splits.
 """
 
 from __future__ import annotations
 
-import hashlib
-import re
 from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stockyard.llm.common import saved, text_of, with_row
+from stockyard.llm.shingles import WordHashes, words_of
 
-#: Passages of over 50 words.
-MIN_WORDS = 51
-_WORDS = re.compile(r"[^\x20\x09-\x0D]+").findall
+#: Passages of over 50 words are to be found; of 51 words at least so many are marked, the rest is less than a unit.
+MARKED = 40
+#: Words of a hashed paragraph at least.
+PARAGRAPH = 25
+LONG_UNIT, PICKED = 16, np.uint64(8)
 _LAST = 2**63 - 1
-
-
-def long_lines(text: str, min_words: int) -> Iterator[tuple[int, int, int, str]]:
-    """(line number, start, length, digest) of the lines with enough words."""
-    start = 0
-    for number, line in enumerate(text.split("\n")):
-        if len(line) >= 2 * min_words - 1:  # fewer characters cannot hold so many words
-            words = _WORDS(line)
-            if len(words) >= min_words:
-                yield number, start, len(line), hashlib.md5(" ".join(words).lower().encode()).hexdigest()
-        start += len(line) + 1
-
-
-def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, text_hash, unit, start, length (code points in the original text), digest."""
+_BASE = 0x9E3779B97F4A7C15
+_BACK = pow(_BASE, -1, 2**64)
+
+
+@lru_cache(maxsize=1)
+def _capitals() -> np.ndarray:
+    return np.array([chr(c).isupper() for c in range(0x110000)])
+
+
+@lru_cache(maxsize=1)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hash base and of its inverse modulo 2^64."""
+    out = np.ones((2, size), dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for row, base in zip(out, (_BASE, _BACK)):
+            row[1:] = np.multiply.accumulate(np.full(size - 1, base, dtype=np.uint64))
+    return out[0], out[1]
+
+
+def word_spans(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points, and where each word starts and ends."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    inner = np.zeros(len(codes) + 2, dtype=np.int8)
+    inner[1:-1] = ~((codes == 32) | ((codes >= 9) & (codes <= 13)))
+    edge = np.diff(inner)
+    return codes, np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
+def unit_starts(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """The words that begin a unit."""
+    breaks = np.cumsum(codes == 10)
+    capital = _capitals()
+    second = np.minimum(starts + 1, len(codes) - 1)
+    begins = capital[codes[starts]] & ~capital[codes[second]]  # not in texts that are all capitals
+    begins[0] = True
+    begins[1:] |= np.isin(codes[ends[:-1] - 1], [33, 46, 58, 59, 63]) | (breaks[starts[1:]] != breaks[ends[:-1] - 1])
+    begins[1:] &= hashes[1:] != hashes[:-1]  # nor at every repetition of a word
+    at = np.flatnonzero(begins)
+    long = np.repeat(np.diff(np.r_[at, len(starts)]) > LONG_UNIT, np.diff(np.r_[at, len(starts)]))
+    begins |= long & (hashes % PICKED == 0)
+    return np.flatnonzero(begins)
+
+
+def paragraphs(text: str, known: WordHashes, least: int = PARAGRAPH) -> tuple[np.ndarray, ...]:
+    """Digest, first word, word behind the last, start and end offset of every paragraph."""
+    hashes = known.of(words_of(text.lower()))
+    n = len(hashes)
+    if n < least:
+        return tuple(np.zeros(0, dtype=np.int64) for _ in range(5))
+    codes, starts, ends = word_spans(text)
+    at = np.r_[unit_starts(codes, starts, ends, hashes), n]
+    forward = np.searchsorted(at, at[:-1] + least)  # the unit end that completes a run from each start
+    first = np.flatnonzero(forward < len(at))
+    a, b = at[first], at[forward[first]]
+    power, inverse = _powers(1 << max(16, int(n).bit_length()))
+    sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(hashes * power[:n])])
+    digest = (sums[b] - sums[a]) * inverse[a]
+    digest = (digest ^ (digest >> np.uint64(32)) ^ (b - a).astype(np.uint64)) * np.uint64(_BASE)
+    return digest.astype(np.int64), a, b, starts[a], ends[b - 1]
+
+
+def units(docs: DataFrame, least: int = PARAGRAPH) -> DataFrame:
+    """digest, doc_id, place and size of every paragraph: its first word and offset, and its words and code points, two in a number each."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = WordHashes()
         for frame in frames:
             ids = frame["doc_id"].astype("Int64")
-            found = [
-                (doc_id, mark, *line)
-                for doc_id, mark, text in zip(ids, frame["text_hash"], frame["text"])
-                for line in long_lines(text, min_words)
-            ]
-            out = pd.DataFrame(found, columns=["doc_id", "text_hash", "unit", "start", "length", "digest"])
-            yield out.astype({"doc_id": "Int64"})
+            found = [paragraphs(t, known, least) for t in frame["text"]]
+            if not found:
+                continue
+            digest, lo, hi, start, stop = (np.concatenate([f[k] for f in found]) for k in range(5))
+            owner = ids.repeat([len(f[0]) for f in found]).reset_index(drop=True)
+            yield pd.DataFrame({"digest": digest, "doc_id": owner, "place": lo << 32 | start, "size": hi - lo << 32 | stop - start})
 
     text = text_of(docs)
-    schema = "doc_id long, text_hash long, unit long, start long, length long, digest string"
-    return docs.select("doc_id", F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInPandas(run, schema)
+    return docs.select("doc_id", text.alias("text")).mapInPandas(run, "digest long, doc_id long, place long, size long")
 
 
-def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Occurrences to remove: doc_id, text_hash, unit, start, length, kept_doc_id, kept_unit, occurrences.
+def repeated_units(docs: DataFrame, min_words: int = MARKED, least: int = PARAGRAPH) -> DataFrame:
+    """Passages to remove: doc_id, start, length, n_words, kept_doc_id.
 
-    The earliest occurrence has the smallest doc_id (null last), then the smallest line number. Repeated rows of one
-    document tie and are one occurrence, so all of them keep it. Null and empty texts have no units; no rows give no rows.
-    Of ``docs`` only doc_id and text are read.
+    start and length are code points in the original text; kept_doc_id is the document that keeps the passage's beginning.
+    The earliest occurrence has the smallest doc_id (null last), then the smallest position; an occurrence that overlaps the
+    earliest one in its own text is left alone. Repeated rows of one document tie and are one occurrence, so all of them keep
+    it. Null and short texts have no paragraphs; no rows give no rows. Of ``docs`` only doc_id and text are read.
     """
-    found = saved(units(docs, min_words))
-    rank = F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("at"), "unit", "doc_id")
-    groups = found.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("occurrences")).filter("occurrences > 1")
-    later = (F.coalesce("doc_id", F.lit(_LAST)) > F.col("first.at")) | (F.col("unit") > F.col("first.unit"))
-    return (
-        found.join(groups, "digest")
-        .filter(later)
-        .select(
-            "doc_id", "text_hash", "unit", "start", "length",
-            F.col("first.doc_id").alias("kept_doc_id"), F.col("first.unit").alias("kept_unit"), "occurrences",
+    found = saved(units(docs, least))
+    # Most paragraphs stand alone: they are counted out before anything but their digest is grouped.
+    repeated = saved(found.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest"))
+    own = F.coalesce("doc_id", F.lit(_LAST))
+    known = saved(
+        found.join(repeated, "digest").select(
+            "digest", "doc_id", own.alias("own"), F.shiftright("place", 32).alias("lo"), F.col("place").bitwiseAND(2**32 - 1).alias("start"),
+            F.shiftright("size", 32).alias("words"), F.col("size").bitwiseAND(2**32 - 1).alias("length"),
         )
     )
+    groups = saved(known.groupBy("digest").agg(F.min(F.struct("own", "lo", "words")).alias("first")))
+    later = (F.col("own") > F.col("first.own")) | (F.col("lo") >= F.col("first.lo") + F.col("first.words"))
+    marks = (
+        known.join(groups, "digest")
+        .filter(later)
+        .select("doc_id", "lo", (F.col("lo") + F.col("words")).alias("hi"), "start", (F.col("start") + F.col("length")).alias("stop"), F.col("first.own").alias("kept"))
+        .distinct()
+    )
+    # Marks of one text that touch or overlap are one passage: at most the paragraphs of a text in a window.
+    order = W.partitionBy("doc_id").orderBy("lo", "hi")
+    before = F.max("hi").over(order.rowsBetween(W.unboundedPreceding, -1))
+    opened = marks.withColumn("opens", F.coalesce(F.col("lo") > before, F.lit(True)).cast("int"))
+    joined = opened.withColumn("passage", F.sum("opens").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    spans = joined.groupBy("doc_id", "passage").agg(
+        F.min("start").alias("start"), F.max("stop").alias("stop"), (F.max("hi") - F.min("lo")).alias("n_words"), F.min_by("kept", "lo").alias("kept")
+    )
+    return spans.filter(F.col("n_words") >= min_words).select(
+        "doc_id", "start", (F.col("stop") - F.col("start")).alias("length"), "n_words", F.nullif("kept", F.lit(_LAST)).alias("kept_doc_id")
+    )
+
+
+def _with_text(row, text, docs: DataFrame):
+    """``row`` with another text, and its n_chars counted anew where there is one."""
+    row = row.withField("text", text)
+    return row.withField("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else row
 
 
 def without_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
@@ -88,35 +169,31 @@ def without_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
     left = F.array_join(
         F.filter(F.split("row.text", "\n", -1), lambda x, i: ~F.array_contains(F.col("cut"), i.cast("long"))), "\n"
     )
-    changed = F.col("row").withField("text", left)
-    if "n_chars" in docs.columns:
-        changed = changed.withField("n_chars", F.length(left).cast(docs.schema["n_chars"].dataType))
+    changed = _with_text(F.col("row"), left, docs)
     out = joined.select(F.when(F.col("cut").isNull(), F.col("row")).otherwise(changed).alias("row"))
     return out.select("row.*")
 
 
-def kept_documents(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """All rows of ``docs`` with later occurrences of long lines cut out of their texts."""
-    return without_lines(docs, repeated_units(docs, min_words).select("doc_id", "text_hash", "unit"))
-
+def without_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """``docs`` with its columns, the spans (doc_id, start, length; apart from each other) cut out of their texts.
 
-_LINES = r"""
-  SELECT doc_id, u - 1 AS unit, line, trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm
-  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS u FROM {docs})
-"""
+    A span beyond the end of a text that shares its doc_id with another cuts nothing.
+    """
+    cut = spans.groupBy(F.col("doc_id").alias("cut_id")).agg(
+        F.array_sort(F.collect_set(F.struct("start", "length"))).alias("cut")  # at most the passages of one text
+    )
+    joined = with_row(docs).join(cut, F.col("doc_id").eqNullSafe(F.col("cut_id")), "left")
+    # Between the end of one span and the start of the next.
+    ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("cut", lambda s: s["start"] + s["length"]))
+    begins = F.concat(F.transform("cut", lambda s: s["start"]), F.array(F.length("row.text").cast("long")))
+    pieces = F.zip_with(
+        ends, begins, lambda a, b: F.substring(F.col("row.text"), (a + 1).cast("int"), F.greatest(b - a, F.lit(0)).cast("int"))
+    )
+    changed = _with_text(F.col("row"), F.array_join(pieces, ""), docs)
+    out = joined.select(F.when(F.col("cut").isNull() | F.col("row.text").isNull(), F.col("row")).otherwise(changed).alias("row"))
+    return out.select("row.*")
 
 
-def oracle(docs: str = "documents", min_words: int = MIN_WORDS) -> str:
-    return f"""
-WITH lines AS ({_LINES.format(docs=docs)}), placed AS (
-  SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY unit ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
-         AS start FROM lines
-), ranked AS (
-  SELECT *, first_value(doc_id) OVER w AS kept_doc_id, first_value(unit) OVER w AS kept_unit, row_number() OVER w AS nth,
-         count(*) OVER (PARTITION BY norm) AS occurrences
-  FROM placed WHERE len(string_split(norm, ' ')) >= {min_words} WINDOW w AS (PARTITION BY norm ORDER BY doc_id, unit)
-)
-SELECT doc_id, CAST(unit AS BIGINT) AS unit, CAST(start AS BIGINT) AS start, length(line) AS length, kept_doc_id,
-       CAST(kept_unit AS BIGINT) AS kept_unit, occurrences FROM ranked WHERE nth > 1
-"""
+def kept_documents(docs: DataFrame, min_words: int = MARKED) -> DataFrame:
+    """All rows of ``docs`` with later occurrences of long passages cut out of their texts."""
+    return without_spans(docs, repeated_units(docs, min_words))

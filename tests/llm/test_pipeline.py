@@ -6,13 +6,13 @@ from collections import Counter
 import corpus_pipeline
 from llm_texts import prose
 from test_large_operators import near_copies, places, similar_by_force
-from test_small_operators import base_counts, lines_to_cut, squeezed
+from test_small_operators import base_counts, passages_to_cut, sentences, squeezed
 
-from stockyard.llm import bpe
+from stockyard.llm import bpe, line_dedup
 
 
 def test_stages(spark, docs_of, odd_rows, tmp_path):
-    passage = prose(900, 60)
+    passage = sentences(900, 60)
     rows = odd_rows + [(100 + i, t, "en", "s") for i, t in enumerate(near_copies(3, 10, 150, 1))]
     rows += [(200 + i, f"{prose(500 + i, 40)}\n{passage}", "en", "s") for i in range(5)] + [(300, "spam " * 50, "en", "s")]
     docs = docs_of(rows)
@@ -30,9 +30,9 @@ def test_stages(spark, docs_of, odd_rows, tmp_path):
     assert Counter(squeezed(r[1]) for r in exact) == Counter({squeezed(r[1]) for r in quality})
     classes = similar_by_force(exact)
     assert Counter(r[0] for r in near) == Counter({c for _, c, _ in classes})
-    gone = {(doc_id, unit) for doc_id, unit, *_ in lines_to_cut(near, 51)}
-    want = Counter((r[0], "\n".join(x for i, x in enumerate(r[1].split("\n")) if (r[0], i) not in gone)) for r in near)
-    assert Counter((r[0], r[1]) for r in cut) == want and gone
+    gone = {r[0]: r for r in passages_to_cut(near, line_dedup.PARAGRAPH, line_dedup.MARKED)}
+    texts = {r[0]: r[1] if r[0] not in gone else r[1][: gone[r[0]][1]] + r[1][sum(gone[r[0]][1:3]) :] for r in near}
+    assert {r[0]: r[1] for r in cut} == texts and len(cut) == len(near) and set(gone) == {201, 202, 203, 204}
     packed = docs.collect()
     places(packed)
     coder = bpe.load(bpe.vocabulary_path())

@@ -1,6 +1,7 @@
 """Url filters, exact dedup, line dedup and quality rules against brute force and on odd input."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -10,6 +11,7 @@ from llm_texts import prose
 from pyspark.sql import functions as F
 
 from stockyard.llm import common, entries, exact_dedup, line_dedup, quality_rules, url_filters
+from stockyard.llm.shingles import WordHashes
 
 BLANK = "\x20\x09\x0a\x0b\x0c\x0d"
 
@@ -108,33 +110,87 @@ def test_exact_documents(docs_of, odd_rows):
 # --- line dedup
 
 
-def lines_to_cut(rows, least):
-    first, out = {}, []
+def passages_to_cut(rows, least, marked):
+    """The definition, paragraph by paragraph, with whole texts in place of digests."""
+    first, found = {}, []
     order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
     for doc_id, text, *_ in order:
-        start = 0
-        for unit, line in enumerate((text or "").split("\n")):
-            words = re.findall(r"[^\x20\x09-\x0D]+", line)
-            if len(words) >= least:
-                at = first.setdefault(" ".join(words).lower(), (doc_id, unit))
-                if at != (doc_id, unit):
-                    out.append((doc_id, unit, start, len(line), *at))
-            start += len(line) + 1
-    return out
-
-
-def test_lines(docs_of, odd_rows):
-    a, b = prose(4, 30), prose(5, 12)
-    rows = odd_rows + [(20, f"{a}\nshort\n{b}"), (21, f"head é\n{b}\n{a.upper()}\n{a}"), (22, f"\n\n  {a.replace(' ', '  ')} \n"), (23, b), (23, b)]
+        words = list(re.finditer(r"[^\x20\x09-\x0D]+", text or ""))
+        if not words:
+            continue
+        codes, starts, ends = line_dedup.word_spans(text)
+        assert [(m.start(), m.end()) for m in words] == list(zip(starts.tolist(), ends.tolist()))
+        known = WordHashes()
+        begins = line_dedup.unit_starts(codes, starts, ends, known.of([m[0] for m in re.finditer(r"[^\x20\x09-\x0D]+", text.lower())])).tolist()
+        for a in begins:
+            b = next((e for e in [*begins, len(words)] if e - a >= least), None)
+            if b:
+                key = " ".join(m[0] for m in words[a:b]).lower()
+                first.setdefault(key, (doc_id, a, b))
+                found.append((doc_id, text, a, b, key, words))
+    out = []
+    marks = defaultdict(set)
+    for doc_id, text, a, b, key, words in found:
+        f = first[key]
+        if doc_id != f[0] or a >= f[2]:
+            marks[(doc_id, text)].add((a, b, words[a].start(), words[b - 1].end(), f[0]))
+    for (doc_id, _), spans in marks.items():
+        now = None
+        for a, b, start, stop, kept in sorted(spans, key=lambda x: x[:2]):
+            if now and a <= now[1]:
+                now[1], now[3] = max(now[1], b), max(now[3], stop)
+            else:
+                now = [a, b, start, stop, kept, doc_id]
+                out.append(now)
+    return [(doc_id, start, stop - start, b - a, kept) for a, b, start, stop, kept, doc_id in out if b - a >= marked]
+
+
+def sentences(seed, n):
+    """Sentences of five to fifteen words."""
+    words, rng, out = prose(seed, n).split(), random.Random(seed), []
+    while words:
+        size = rng.randint(5, 15)
+        out.append(" ".join(words[:size]).capitalize() + rng.choice(".!?"))
+        words = words[size:]
+    return " ".join(out)
+
+
+def test_passages(docs_of, odd_rows):
+    passage, other = sentences(4, 70), sentences(5, 60)
+    rows = odd_rows + [
+        (20, f"{sentences(6, 40)}\n{passage}\nshort"),
+        (21, f"head é {passage} tail goes on. {sentences(7, 30)}"),  # in the middle of a line
+        (22, f"{prose(8, 9)} {passage.upper().lower().capitalize()}\n{other}"),
+        (23, other), (23, other), (24, f"{passage}\n{passage}"), (None, f"x {passage}"), (25, sentences(4, 24)),
+        (26, ("spam " * 80).strip()), (27, "SHOUT! " * 80),
+    ]
     docs = docs_of(rows)
-    got = line_dedup.repeated_units(docs, 10)
-    assert Counter(map(tuple, got.drop("text_hash", "occurrences").collect())) == Counter(lines_to_cut(rows, 10))
-    out = line_dedup.kept_documents(docs, 10)
-    assert out.columns == docs.columns
-    texts = {r.doc_id: r for r in out.collect()}
-    assert texts[21].text == "head é" and texts[21].n_chars == 6 and texts[22].text == "\n\n" and texts[23].text == ""
-    assert texts[6].text == "" and len(out.collect()) == len(rows)
-    assert line_dedup.repeated_units(docs_of([])).collect() == []
+    got = line_dedup.repeated_units(docs)
+    assert Counter(map(tuple, got.collect())) == Counter(set(passages_to_cut(rows, line_dedup.PARAGRAPH, line_dedup.MARKED)))
+    texts = {r.doc_id: r for r in line_dedup.kept_documents(docs).collect()}
+    assert line_dedup.kept_documents(docs).columns == docs.columns and line_dedup.kept_documents(docs).count() == len(rows)
+    assert texts[20].text == rows[len(odd_rows)][1]
+    for doc_id in (21, 24):  # of 70 words less than a unit is left
+        left = texts[doc_id].text
+        assert passage[:200] not in left and texts[doc_id].n_chars == len(left)
+    assert texts[21].text.startswith("head é ") and texts[21].text.endswith(sentences(7, 30))
+    assert texts[6].text == "" and other[:200] not in texts[23].text and len(texts[23].text) < 100
+    assert line_dedup.repeated_units(docs_of([])).collect() == [] and line_dedup.kept_documents(docs_of([])).collect() == []
+
+
+def test_inline_passages_are_found_wherever_they_stand(docs_of):
+    passage = sentences(40, 60)
+    rows = [(i, f"{prose(50 + i, 7 + i)} {passage} {sentences(80 + i, 40)}") for i in range(12)]
+    got = {r.doc_id: r for r in line_dedup.repeated_units(docs_of(rows)).collect()}
+    assert set(got) == set(range(1, 12))
+    for i, r in got.items():
+        assert rows[i][1].find(passage) <= r.start + 1 and r.n_words >= 45 and r.kept_doc_id == 0
+
+
+def test_clashing_ids_cut_nothing_beyond_a_text(docs_of):
+    spans = docs_of([]).sparkSession.createDataFrame([(1, 5, 3), (1, 20, 4), (2, 0, 2)], "doc_id long, start long, length long")
+    got = line_dedup.without_spans(docs_of([(1, "0123456789"), (1, "0123"), (2, "ab"), (3, None), (2, None)]), spans).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter([(1, "0123489"), (1, "0123"), (2, ""), (3, None), (2, None)])
 
 
 # --- quality rules
