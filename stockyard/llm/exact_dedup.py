@@ -93,7 +93,8 @@ def _compared(docs: DataFrame, marks: DataFrame) -> DataFrame:
     rows = marks.groupBy(*mark, "doc_id", "n_points", "text_sha256").agg(F.count("*").alias("repeats"))
     rows = saved(rows)
     best = F.max(F.struct("n_points", -F.coalesce("doc_id", F.lit(2**63 - 1)), "text_sha256"))
-    groups = rows.groupBy(*mark).agg(best.alias("best"), F.sum("repeats").alias("size"), F.count("*").alias("distinct_rows"))
+    groups = rows.groupBy(*mark).agg(best.alias("best"), F.count("*").alias("distinct_rows"))
+    groups = saved(groups)  # a join of two stored sides is one that adaptive execution splits
     alone = groups.filter("distinct_rows = 1")
     settled = rows.join(alone.select(*mark), mark, "left_semi").withColumn("round", F.lit(0))
     open_rows = rows.join(groups.filter("distinct_rows > 1"), mark)
@@ -139,7 +140,7 @@ def _compared(docs: DataFrame, marks: DataFrame) -> DataFrame:
         if rest.isEmpty():
             return settled
         # Texts that only share a fingerprint: the next round has a leader of its own among them.
-        regrouped = rest.groupBy(*mark).agg(best.alias("best"), F.sum("repeats").alias("size"), F.count("*").alias("distinct_rows"))
+        regrouped = saved(rest.groupBy(*mark).agg(best.alias("best"), F.count("*").alias("distinct_rows")))
         open_rows = rest.join(regrouped, mark)
 
 
@@ -153,7 +154,7 @@ def exact_duplicates(docs: DataFrame, primes=PRIMES) -> DataFrame:
     settled = _compared(docs, fingerprinted(docs, primes))
     mark = ["f1", "f2", "n_bytes", "round"]
     best = F.max(F.struct("n_points", -F.coalesce("doc_id", F.lit(2**63 - 1)), "doc_id"))
-    groups = settled.groupBy(*mark).agg(best.alias("best"), F.sum("repeats").alias("group_size"))
+    groups = saved(settled.groupBy(*mark).agg(best.alias("best"), F.sum("repeats").alias("group_size")))
     each = settled.join(groups, mark).withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int"))))
     stays = (
         F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("n_points") == F.col("best.n_points")) & (F.col("nth") == 1)

@@ -87,14 +87,14 @@ def final_buckets(classes: DataFrame, runs: int, depth: int, bucket: int) -> Dat
     settled = None
     for level in range(1, depth + 1):
         key = f"k{level}"
-        counts = at.groupBy("run", key).agg(F.count("*").alias("n")).filter("n > 1")
+        counts = saved(at.groupBy("run", key).agg(F.count("*").alias("n")).filter("n > 1"))
         there = saved(at.join(counts, ["run", key]))
         done = F.col("n") <= bucket if level < depth else F.lit(True)
         if level < depth:
             # Is one child so large that the bucket's sets must be alike?
             child = there.filter(~done).groupBy("run", key, f"k{level + 1}", "n").agg(F.count("*").alias("c"))
             alike = child.groupBy("run", key, "n").agg(F.max("c").alias("most")).filter("2 * most > n").select("run", key, F.lit(True).alias("alike"))
-            there = there.join(alike, ["run", key], "left")
+            there = there.join(saved(alike), ["run", key], "left")
             done = done | F.coalesce("alike", F.lit(False))
         ready = there.filter(done).select("s1", "s2", "run", F.col(key).alias("bucket"), F.lit(level).alias("depth"), "n")
         settled = ready if settled is None else settled.unionByName(ready)
@@ -252,10 +252,11 @@ def similar(
     roots = roots.select("node.s1", "node.s2", "root")
     named = classes.select("s1", "s2", "head", "copies").join(roots, ["s1", "s2"], "left").join(sums, ["s1", "s2"], "left")
     named = saved(named.withColumn("root", F.coalesce("root", F.struct("s1", "s2"))))
-    firsts = named.groupBy("root").agg(F.min("head").alias("first"))
+    firsts = saved(named.groupBy("root").agg(F.min("head").alias("first")))
     settled = named.join(firsts, "root").select(
         "s1", "s2", F.col("first").alias("first"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
+    settled = saved(settled)  # joins of two stored sides are those that adaptive execution splits
     joined = rows.filter("size > 0").select("doc_id", "text_hash", "s1", "s2").join(settled, ["s1", "s2"])
     stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
     empty = rows.filter("size = 0").select(

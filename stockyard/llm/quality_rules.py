@@ -124,7 +124,7 @@ def judged(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, vari
     with one content). Columns other than doc_id, text and source are not read. No rows give no rows.
     """
     stats = saved(measured(docs).withColumn("_row", F.expr("uuid()")))
-    common = boilerplate(stats, min_docs, share, variety)
+    common = saved(boilerplate(stats, min_docs, share, variety))  # a join of two stored sides is one that adaptive execution splits
     cells = stats.select(
         "_row", "doc_id", "text_hash", "host",
         F.inline(F.arrays_zip(F.col("line_hashes").alias("line"), F.col("line_words").alias("words"), F.col("line_numbers").alias("unit"))),
