@@ -9,11 +9,11 @@ from __future__ import annotations
 
 import json
 import os
-import tempfile
 import time
+import uuid
 
 from stockyard.contract import operations, queries
-from stockyard.session import build_session
+from stockyard.session import build_session, shared_folder
 from stockyard.sources.store import SnapshotStore
 from stockyard.sources.tpch import load_tpch
 
@@ -42,7 +42,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
 
     source = load_tpch(spark, sf_dir)
-    store = SnapshotStore(spark, tempfile.mkdtemp(prefix="stockyard-bench-"))
+    store = SnapshotStore(spark, f"{shared_folder(spark)}/bench-{uuid.uuid4().hex}")
     begun = time.perf_counter()
     store.commit({name: getattr(source, name) for name in source.names})
     loaded = time.perf_counter() - begun
