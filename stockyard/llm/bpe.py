@@ -10,7 +10,6 @@ holds about ``KEPT`` of them and as many words.
 
 from __future__ import annotations
 
-import hashlib
 import heapq
 import json
 import re
@@ -187,7 +186,3 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
     )
-
-
-def sha256_of(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()

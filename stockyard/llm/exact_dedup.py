@@ -26,7 +26,6 @@ COMPARE_CHUNK = 65_536  # characters per compared row
 SALTED = 512
 PRIMES = (2_147_483_647, 2_147_483_629)
 BASES = (1_000_003, 1_299_709)
-_STRIP = str.maketrans("", "", BLANKS)
 
 
 def _powers(base: int, prime: int, n: int) -> np.ndarray:
