@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +18,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_OPEN: list[list[str]] = []
+
+
 def saved(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a compressed table in the shared checkpoint folder and read it from there.
 
@@ -26,9 +29,29 @@ def saved(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _OPEN:
+        _OPEN[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, *builds: Callable[[], DataFrame]) -> list[DataFrame]:
+    """What ``builds`` return, saved; the tables saved on the way are deleted."""
+    _OPEN.append([])
+    try:
+        results = [build() for build in builds]
+        kept, on_the_way = [], list(_OPEN[-1])
+        for df in results:
+            kept.append(saved(df))
+    finally:
+        made = _OPEN.pop()
+    for path in on_the_way:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    if _OPEN:
+        _OPEN[-1].extend(path for path in made if path not in on_the_way)
+    return kept
+
+
 def text_of(df: DataFrame) -> Column:
     """The text, null counted as empty."""
     return F.coalesce(df["text"].cast("string"), F.lit(""))

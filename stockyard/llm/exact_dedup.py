@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockyard.llm.common import BLANKS, saved, text_of, with_row
+from stockyard.llm.common import BLANKS, saved, settled, text_of, with_row
 
 HASH_CHUNK = 4096  # bytes; 255 * 2^31 * 4096 stays below 2^53, so float64 products are exact
 COMPARE_CHUNK = 65_536  # characters per compared row
@@ -95,7 +95,7 @@ def _compared(docs: DataFrame, marks: DataFrame) -> DataFrame:
     groups = rows.groupBy(*mark).agg(best.alias("best"), F.count("*").alias("distinct_rows"))
     groups = saved(groups)  # a join of two stored sides is one that adaptive execution splits
     alone = groups.filter("distinct_rows = 1")
-    settled = rows.join(alone.select(*mark), mark, "left_semi").withColumn("round", F.lit(0))
+    decided = rows.join(alone.select(*mark), mark, "left_semi").withColumn("round", F.lit(0))
     open_rows = rows.join(groups.filter("distinct_rows > 1"), mark)
     key = ["doc_id", "n_points", "text_sha256"]
 
@@ -134,10 +134,10 @@ def _compared(docs: DataFrame, marks: DataFrame) -> DataFrame:
         on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in [*mark, *key]]
         told = saved(open_rows.join(agree, on[0] & on[1] & on[2] & on[3] & on[4] & on[5], "left").select(open_rows["*"], F.coalesce("same", F.lit(0)).alias("same")))
         done = told.filter("same = 1").select(*rows.columns).withColumn("round", F.lit(number))
-        settled = settled.unionByName(done)
+        decided = decided.unionByName(done)
         rest = told.filter("same = 0").select(*rows.columns)
         if rest.isEmpty():
-            return settled
+            return decided
         # Texts that only share a fingerprint: the next round has a leader of its own among them.
         regrouped = saved(rest.groupBy(*mark).agg(best.alias("best"), F.count("*").alias("distinct_rows")))
         open_rows = rest.join(regrouped, mark)
@@ -150,11 +150,11 @@ def exact_duplicates(docs: DataFrame, primes=PRIMES) -> DataFrame:
     doc_id (null last) stays; of wholly repeated rows exactly one. Null text is empty; all empty texts are equal. No rows
     give no rows; other columns are not read.
     """
-    settled = _compared(docs, fingerprinted(docs, primes))
+    decided = _compared(docs, fingerprinted(docs, primes))
     mark = ["f1", "f2", "n_bytes", "round"]
     best = F.max(F.struct("n_points", -F.coalesce("doc_id", F.lit(2**63 - 1)), "doc_id"))
-    groups = saved(settled.groupBy(*mark).agg(best.alias("best"), F.sum("repeats").alias("group_size")))
-    each = settled.join(groups, mark).withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int"))))
+    groups = saved(decided.groupBy(*mark).agg(best.alias("best"), F.sum("repeats").alias("group_size")))
+    each = decided.join(groups, mark).withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int"))))
     stays = (
         F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("n_points") == F.col("best.n_points")) & (F.col("nth") == 1)
     )
@@ -166,8 +166,13 @@ def exact_duplicates(docs: DataFrame, primes=PRIMES) -> DataFrame:
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The rows that stay, with their columns: one of each class of equal texts."""
     text = text_of(docs)
-    told = exact_duplicates(docs).groupBy(F.col("doc_id").alias("told_id"), F.col("n_points").alias("told_points"), F.col("text_sha256").alias("told_sha"))
-    told = saved(told.agg(F.max("kept").alias("stays"), F.count("*").alias("repeats")).filter("not stays or repeats > 1"))
+
+    def found() -> DataFrame:
+        keys = F.col("doc_id").alias("told_id"), F.col("n_points").alias("told_points"), F.col("text_sha256").alias("told_sha")
+        told = exact_duplicates(docs).groupBy(*keys).agg(F.max("kept").alias("stays"), F.count("*").alias("repeats"))
+        return told.filter("not stays or repeats > 1")
+
+    (told,) = settled(docs.sparkSession, found)
     rows = with_row(docs, n_points=F.length(text).cast("long"), sha=F.sha2(F.translate(text, BLANKS, ""), 256))
     same = (
         F.col("doc_id").eqNullSafe(F.col("told_id")) & (F.col("n_points") == F.col("told_points")) & (F.col("sha") == F.col("told_sha"))

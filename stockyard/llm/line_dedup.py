@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stockyard.llm.common import saved, text_of, with_row
+from stockyard.llm.common import saved, settled, text_of, with_row
 from stockyard.llm.shingles import WordHashes, words_of
 
 #: Passages of over 50 words are to be found; of 51 words at least so many are marked, the rest is less than a unit.
@@ -196,4 +196,5 @@ def without_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
 
 def kept_documents(docs: DataFrame, min_words: int = MARKED) -> DataFrame:
     """All rows of ``docs`` with later occurrences of long passages cut out of their texts."""
-    return without_spans(docs, repeated_units(docs, min_words))
+    (spans,) = settled(docs.sparkSession, lambda: repeated_units(docs, min_words))
+    return without_spans(docs, spans)

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockyard.llm.common import saved, streamed_groups, text_of, without
+from stockyard.llm.common import saved, settled, streamed_groups, text_of, without
 from stockyard.llm.components import components
 from stockyard.llm.shingles import MIX, WordHashes, shingle_set, words_of
 
@@ -84,7 +84,7 @@ def final_buckets(classes: DataFrame, runs: int, depth: int, bucket: int) -> Dat
     """(s1, s2, run, bucket, depth, n): where each class is compared in each run; buckets of one class are left out."""
     level_keys = [F.element_at("keys", F.col("run") * depth + i + 1).alias(f"k{i + 1}") for i in range(depth)]
     at = classes.select("s1", "s2", "keys", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run")).select("s1", "s2", "run", *level_keys)
-    settled = None
+    decided = None
     for level in range(1, depth + 1):
         key = f"k{level}"
         counts = saved(at.groupBy("run", key).agg(F.count("*").alias("n")).filter("n > 1"))
@@ -97,9 +97,9 @@ def final_buckets(classes: DataFrame, runs: int, depth: int, bucket: int) -> Dat
             there = there.join(saved(alike), ["run", key], "left")
             done = done | F.coalesce("alike", F.lit(False))
         ready = there.filter(done).select("s1", "s2", "run", F.col(key).alias("bucket"), F.lit(level).alias("depth"), "n")
-        settled = ready if settled is None else settled.unionByName(ready)
+        decided = ready if decided is None else decided.unionByName(ready)
         at = there.filter(~done).select("s1", "s2", "run", *[f"k{i + 1}" for i in range(depth)])
-    return settled
+    return decided
 
 
 def used_runs(runs: int, found: list[tuple[int, int, int, int]], threshold: float, recall: float) -> list[tuple[int, int, int]]:
@@ -253,11 +253,11 @@ def similar(
     named = classes.select("s1", "s2", "head", "copies").join(roots, ["s1", "s2"], "left").join(sums, ["s1", "s2"], "left")
     named = saved(named.withColumn("root", F.coalesce("root", F.struct("s1", "s2"))))
     firsts = saved(named.groupBy("root").agg(F.min("head").alias("first")))
-    settled = named.join(firsts, "root").select(
+    labels = named.join(firsts, "root").select(
         "s1", "s2", F.col("first").alias("first"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
-    settled = saved(settled)  # joins of two stored sides are those that adaptive execution splits
-    joined = rows.filter("size > 0").select("doc_id", "text_hash", "s1", "s2").join(settled, ["s1", "s2"])
+    labels = saved(labels)  # joins of two stored sides are those that adaptive execution splits
+    joined = rows.filter("size > 0").select("doc_id", "text_hash", "s1", "s2").join(labels, ["s1", "s2"])
     stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
     empty = rows.filter("size = 0").select(
         "doc_id", "text_hash", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("kept")
@@ -267,4 +267,5 @@ def similar(
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text stands for its class."""
-    return without(docs, similar(docs).filter(~F.col("kept")))
+    (dropped,) = settled(docs.sparkSession, lambda: similar(docs).filter(~F.col("kept")).select("doc_id", "text_hash"))
+    return without(docs, dropped)

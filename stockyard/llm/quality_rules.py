@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockyard.llm.common import saved, text_of, without
+from stockyard.llm.common import saved, settled, text_of, without
 from stockyard.llm.line_dedup import without_lines
 from stockyard.llm.shingles import WordHashes, hash64, window_hashes, words_of
 
@@ -149,5 +149,11 @@ def judged(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, vari
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The documents that pass, with their columns, boilerplate lines cut out of the text."""
-    verdicts, removed = judged(docs)
-    return without_lines(without(docs, verdicts.filter(~F.col("kept"))), removed)
+    found: list[DataFrame] = []
+
+    def failed() -> DataFrame:
+        found.extend(judged(docs))
+        return found[0].filter(~F.col("kept")).select("doc_id", "text_hash")
+
+    dropped, removed = settled(docs.sparkSession, failed, lambda: found[1])
+    return without_lines(without(docs, dropped), removed)
