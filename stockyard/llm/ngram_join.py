@@ -138,7 +138,7 @@ def to_blocks(docs: DataFrame, words: int, runs: int, threshold: float, recall:
                         a, b = min(own, other), max(own, other)
                         out.append((number, bucket, a, b, own == a, s1, s2, copies, met, data))
                         held += len(data)
-                        if held > 32_000_000:
+                        if held > 8_000_000:
                             yield pd.DataFrame(out, columns=columns)
                             out, held = [], 0
             yield pd.DataFrame(out, columns=columns)

@@ -9,7 +9,7 @@ import numpy as np
 
 words_of = re.compile(r"[^\x20\x09-\x0D]+").findall
 MIX = np.uint64(0x9E3779B97F4A7C15)
-KEPT = 500_000
+KEPT = 250_000
 
 
 def hash64(data: str) -> int:
