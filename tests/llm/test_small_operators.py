@@ -5,13 +5,15 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from compare import difference, duckdb_rows, open_duckdb, spark_rows
 from llm_texts import prose
 from pyspark.sql import functions as F
+from test_large_operators import near_copies
 
 from stockyard.llm import common, entries, exact_dedup, line_dedup, quality_rules, url_filters
-from stockyard.llm.shingles import WordHashes
+from stockyard.llm.shingles import WordHashes, window_hashes
 
 BLANK = "\x20\x09\x0a\x0b\x0c\x0d"
 
@@ -237,6 +239,41 @@ def test_boilerplate_goes_and_copies_stay(docs_of):
     assert texts[3] == prose(103, 60) and texts[203].startswith(notice) and set(texts) == set(got) - {50, 51, 52}
 
 
+def lined(words, size=10):
+    words = words.split()
+    return "\n".join(" ".join(words[i : i + size]) for i in range(0, len(words), size))
+
+
+def test_sketches_equal_brute_force():
+    rng = random.Random(9)
+    for _ in range(20):
+        lines = [prose(rng.random(), rng.randint(1, 12)).split() for _ in range(rng.randint(0, 8))]
+        hashed = WordHashes().of([w for line in lines for w in line])
+        got = quality_rules.sketches(hashed, np.array([len(line) for line in lines], dtype=np.int64))
+        assert got.tolist() == [int(window_hashes(WordHashes().of(line), min(5, len(line))).min()) for line in lines]
+
+
+def test_large_blocks_are_boilerplate(docs_of):
+    rows = []
+    for part in (75, 80, 90, 95):  # percent of the words
+        block = lined(prose(part, 2 * part))
+        rows += [(1000 * part + i, f"{block}\n{lined(prose(1000 * part + i, 200 - 2 * part))}", "en", f"s{part}") for i in range(30)]
+    verdicts, _ = quality_rules.judged(docs_of(rows))
+    got = verdicts.collect()
+    assert len(got) == 120 and not any(g.kept or g.base_failed for g in got)
+
+
+def test_copies_count_once(docs_of):
+    notice = prose(1, 15)
+    rows = [(i, f"{notice}\n{lined(prose(100 + i, 60))}", "en", "s") for i in range(20)]
+    rows += [(100 + i, f"{notice}\n{lined(prose(7, 60))}", "en", "s") for i in range(45)]
+    rows += [(200 + i, lined(t, 30), "en", "s") for i, t in enumerate(near_copies(3, 40, 300, 1))]
+    rows += [(300 + i, lined(prose(8, 60)), "en", "s") for i in range(40)] + [(400, f"{lined(prose(8, 60))}\n{lined(prose(9, 60))}", "en", "s")]
+    verdicts, removed = quality_rules.judged(docs_of(rows))
+    assert {(r.doc_id, r.unit) for r in removed.collect()} == {(i, 0) for i in [*range(20), *range(100, 145)]}
+    assert all(v.kept for v in verdicts.collect())
+
+
 # --- helpers
 
 
