@@ -4,7 +4,7 @@ Texts fall into small units at line breaks, sentence ends, capital letters and,
 that a passage brings with it wherever it stands, also in the middle of another line. A *paragraph* is the shortest run of
 whole units with at least ``PARAGRAPH`` words that begins at a unit. Paragraphs are normalised (lower case, blanks
 collapsed) and hashed; digests are grouped globally by a min aggregate, which combines before the shuffle. The occurrence
-with the smallest (doc_id, position) stays. All others are marked, marks that touch are joined, and joined marks
+with the smallest (doc_id, hash of the text, position) stays: texts are told apart by both, as an id can be null or clash. All others are marked, marks that touch are joined, and joined marks
 of at least ``MARKED`` words are removed, with their offsets in the original text retained. The words behind a passage's
 last whole paragraph stay: fewer than one unit holds.
 
@@ -94,28 +94,34 @@ def paragraphs(text: str, known: WordHashes, least: int = PARAGRAPH) -> tuple[np
 
 
 def units(docs: DataFrame, least: int = PARAGRAPH) -> DataFrame:
-    """digest, doc_id, place and size of every paragraph: its first word and offset, and its words and code points, two in a number each."""
+    """digest, doc_id, text_hash, place and size of every paragraph: its first word and offset, and its words and code points, two in a number each."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
         for frame in frames:
-            ids = frame["doc_id"].astype("Int64")
+            ids = frame[["doc_id", "text_hash"]].astype({"doc_id": "Int64"})
             found = [paragraphs(t, known, least) for t in frame["text"]]
             if not found:
                 continue
             digest, lo, hi, start, stop = (np.concatenate([f[k] for f in found]) for k in range(5))
-            owner = ids.repeat([len(f[0]) for f in found]).reset_index(drop=True)
-            yield pd.DataFrame({"digest": digest, "doc_id": owner, "place": lo << 32 | start, "size": hi - lo << 32 | stop - start})
+            owner = ids.iloc[np.repeat(np.arange(len(found)), [len(f[0]) for f in found])].reset_index(drop=True)
+            yield pd.DataFrame({"digest": digest, "doc_id": owner["doc_id"], "text_hash": owner["text_hash"], "place": lo << 32 | start, "size": hi - lo << 32 | stop - start})
 
     text = text_of(docs)
-    return docs.select("doc_id", text.alias("text")).mapInPandas(run, "digest long, doc_id long, place long, size long")
+    rows = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    return rows.mapInPandas(run, "digest long, doc_id long, text_hash long, place long, size long")
 
 
 def repeated_units(docs: DataFrame, min_words: int = MARKED, least: int = PARAGRAPH) -> DataFrame:
-    """Passages to remove: doc_id, start, length, n_words, kept_doc_id.
+    """Passages to remove: those of ``repeated_passages`` without text_hash."""
+    return repeated_passages(docs, min_words, least).drop("text_hash")
+
+
+def repeated_passages(docs: DataFrame, min_words: int = MARKED, least: int = PARAGRAPH) -> DataFrame:
+    """Passages to remove: doc_id, text_hash, start, length, n_words, kept_doc_id.
 
     start and length are code points in the original text; kept_doc_id is the document that keeps the passage's beginning.
-    The earliest occurrence has the smallest doc_id (null last), then the smallest position; an occurrence that overlaps the
+    The earliest occurrence has the smallest doc_id (null last), then the smallest text_hash, then the smallest position; an occurrence that overlaps the
     earliest one in its own text is left alone. Repeated rows of one document tie and are one occurrence, so all of them keep
     it. Null and short texts have no paragraphs; no rows give no rows. Of ``docs`` only doc_id and text are read.
     """
@@ -125,28 +131,29 @@ def repeated_units(docs: DataFrame, min_words: int = MARKED, least: int = PARAGR
     own = F.coalesce("doc_id", F.lit(_LAST))
     known = saved(
         found.join(repeated, "digest").select(
-            "digest", "doc_id", own.alias("own"), F.shiftright("place", 32).alias("lo"), F.col("place").bitwiseAND(2**32 - 1).alias("start"),
+            "digest", "doc_id", "text_hash", own.alias("own"), F.shiftright("place", 32).alias("lo"), F.col("place").bitwiseAND(2**32 - 1).alias("start"),
             F.shiftright("size", 32).alias("words"), F.col("size").bitwiseAND(2**32 - 1).alias("length"),
         )
     )
-    groups = saved(known.groupBy("digest").agg(F.min(F.struct("own", "lo", "words")).alias("first")))
-    later = (F.col("own") > F.col("first.own")) | (F.col("lo") >= F.col("first.lo") + F.col("first.words"))
+    groups = saved(known.groupBy("digest").agg(F.min(F.struct("own", "text_hash", "lo", "words")).alias("first")))
+    same = (F.col("own") == F.col("first.own")) & (F.col("text_hash") == F.col("first.text_hash"))
+    later = ~same | (F.col("lo") >= F.col("first.lo") + F.col("first.words"))
     marks = (
         known.join(groups, "digest")
         .filter(later)
-        .select("doc_id", "lo", (F.col("lo") + F.col("words")).alias("hi"), "start", (F.col("start") + F.col("length")).alias("stop"), F.col("first.own").alias("kept"))
+        .select("doc_id", "text_hash", "lo", (F.col("lo") + F.col("words")).alias("hi"), "start", (F.col("start") + F.col("length")).alias("stop"), F.col("first.own").alias("kept"))
         .distinct()
     )
     # Marks of one text that touch or overlap are one passage: at most the paragraphs of a text in a window.
-    order = W.partitionBy("doc_id").orderBy("lo", "hi")
+    order = W.partitionBy("doc_id", "text_hash").orderBy("lo", "hi")
     before = F.max("hi").over(order.rowsBetween(W.unboundedPreceding, -1))
     opened = marks.withColumn("opens", F.coalesce(F.col("lo") > before, F.lit(True)).cast("int"))
     joined = opened.withColumn("passage", F.sum("opens").over(order.rowsBetween(W.unboundedPreceding, 0)))
-    spans = joined.groupBy("doc_id", "passage").agg(
+    spans = joined.groupBy("doc_id", "text_hash", "passage").agg(
         F.min("start").alias("start"), F.max("stop").alias("stop"), (F.max("hi") - F.min("lo")).alias("n_words"), F.min_by("kept", "lo").alias("kept")
     )
     return spans.filter(F.col("n_words") >= min_words).select(
-        "doc_id", "start", (F.col("stop") - F.col("start")).alias("length"), "n_words", F.nullif("kept", F.lit(_LAST)).alias("kept_doc_id")
+        "doc_id", "text_hash", "start", (F.col("stop") - F.col("start")).alias("length"), "n_words", F.nullif("kept", F.lit(_LAST)).alias("kept_doc_id")
     )
 
 
@@ -175,14 +182,18 @@ def without_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def without_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """``docs`` with its columns, the spans (doc_id, start, length; apart from each other) cut out of their texts.
+    """``docs`` with its columns, the spans (doc_id, text_hash, start, length; apart from each other) cut out of their texts.
 
-    A span beyond the end of a text that shares its doc_id with another cuts nothing.
+    Spans without text_hash go to every text of their doc_id; there one beyond the end of a text cuts nothing.
     """
-    cut = spans.groupBy(F.col("doc_id").alias("cut_id")).agg(
+    hashed = "text_hash" in spans.columns
+    keys = [F.col("doc_id").alias("cut_id"), *([F.col("text_hash").alias("cut_hash")] if hashed else [])]
+    cut = spans.groupBy(*keys).agg(
         F.array_sort(F.collect_set(F.struct("start", "length"))).alias("cut")  # at most the passages of one text
     )
-    joined = with_row(docs).join(cut, F.col("doc_id").eqNullSafe(F.col("cut_id")), "left")
+    same = F.col("doc_id").eqNullSafe(F.col("cut_id"))
+    same = same & (F.col("text_hash") == F.col("cut_hash")) if hashed else same
+    joined = with_row(docs, text_hash=F.xxhash64(text_of(docs))).join(cut, same, "left")
     # Between the end of one span and the start of the next.
     ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("cut", lambda s: s["start"] + s["length"]))
     begins = F.concat(F.transform("cut", lambda s: s["start"]), F.array(F.length("row.text").cast("long")))
@@ -196,4 +207,4 @@ def without_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
 
 def kept_documents(docs: DataFrame, min_words: int = MARKED) -> DataFrame:
     """All rows of ``docs`` with later occurrences of long passages cut out of their texts."""
-    return without_spans(docs, repeated_units(docs, min_words))
+    return without_spans(docs, repeated_passages(docs, min_words))

@@ -195,6 +195,17 @@ def test_clashing_ids_cut_nothing_beyond_a_text(docs_of):
     assert Counter((r.doc_id, r.text) for r in got) == Counter([(1, "0123489"), (1, "0123"), (2, ""), (3, None), (2, None)])
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_texts_of_one_id_are_told_apart(docs_of, doc_id):
+    passage = sentences(60, 70)
+    rows = [(doc_id, f"{passage} {sentences(61 + i, 40)}") for i in range(4)] + [(doc_id, sentences(70, 150)), (doc_id, f"{sentences(71, 30)}\n{passage}")]
+    left = [r.text for r in line_dedup.kept_documents(docs_of(rows)).collect()]
+    assert sum(passage in t for t in left) == 1 and sum(passage[100:200] in t for t in left) == 1
+    assert sentences(70, 150) in left and all(any(sentences(61 + i, 40)[100:] in t for t in left) for i in range(4))
+    got = line_dedup.repeated_units(docs_of(rows)).collect()
+    assert len(got) == 4 and all(g.kept_doc_id == doc_id for g in got)
+
+
 # --- quality rules
 
 
