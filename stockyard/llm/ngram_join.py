@@ -81,13 +81,16 @@ def profiles(docs: DataFrame, words: int, runs: int, depth: int) -> DataFrame:
 
 
 def final_buckets(classes: DataFrame, runs: int, depth: int, bucket: int) -> DataFrame:
-    """(s1, s2, run, bucket, depth, n): where each class is compared in each run; buckets of one class are left out."""
+    """(s1, s2, run, bucket, depth, n): where each class is compared in each run.
+
+    Classes alone at the first level are left out; one that is alone only after a split has a row with the depth it came to.
+    """
     level_keys = [F.element_at("keys", F.col("run") * depth + i + 1).alias(f"k{i + 1}") for i in range(depth)]
     at = classes.select("s1", "s2", "keys", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run")).select("s1", "s2", "run", *level_keys)
     settled = None
     for level in range(1, depth + 1):
         key = f"k{level}"
-        counts = saved(at.groupBy("run", key).agg(F.count("*").alias("n")).filter("n > 1"))
+        counts = saved(at.groupBy("run", key).agg(F.count("*").alias("n")).filter("n > 1" if level == 1 else "true"))
         there = saved(at.join(counts, ["run", key]))
         done = F.col("n") <= bucket if level < depth else F.lit(True)
         if level < depth:
@@ -103,7 +106,7 @@ def final_buckets(classes: DataFrame, runs: int, depth: int, bucket: int) -> Dat
 
 
 def used_runs(runs: int, found: list[tuple[int, int, int, int]], threshold: float, recall: float) -> list[tuple[int, int, int]]:
-    """(run, bucket, n) of the runs a class takes part in, until its recall is reached. Alone in a bucket: depth 1."""
+    """(run, bucket, n) of the runs a class takes part in, until its recall is reached. Alone from the start (no row): depth 1."""
     by_run = {r: (bucket, depth, n) for r, bucket, depth, n in found}
     miss, out = 1.0, []
     for run in range(runs):

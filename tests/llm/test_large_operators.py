@@ -83,6 +83,28 @@ def test_one_of_each_class_stays(docs_of, odd_rows):
     assert ngram_join.similar(docs_of([])).collect() == []
 
 
+def test_alone_after_a_split_counts_its_depth(spark):
+    """At 0.8 a partner was kept with probability 0.64 or 0.512 only."""
+    keys = {1: [1, 2, 3], 2: [1, 2, 4], 3: [1, 2, 5], 4: [1, 6, 7], 5: [1, 8, 9], 6: [1, 10, 11], 7: [12, 13, 14]}
+    classes = spark.createDataFrame([(s, s, k * 9) for s, k in keys.items()], "s1 long, s2 long, keys array<long>")
+    rows = ngram_join.final_buckets(classes, 9, 3, 2).collect()
+    assert {(r.s1, r.depth, r.n) for r in rows} == {(1, 3, 1), (2, 3, 1), (3, 3, 1), (4, 2, 1), (5, 2, 1), (6, 2, 1)} and len(rows) == 54
+    for s, depth in ((1, 3), (4, 2), (7, 1)):
+        runs = ngram_join.most_runs(recall=0.999, depth=depth)
+        met = [(r.run, r.bucket, r.depth, r.n) for r in rows if r.s1 == s and r.run < runs - 1] + [(runs - 1, 77, depth, 5)]
+        assert ngram_join.used_runs(30, met, 0.8, 0.999) == [(runs - 1, 77, 5)]  # the last run that is needed is not left out
+
+
+def test_recall_with_frequent_shingles(docs_of):
+    """Templates split every bucket; pairs at the threshold are found all the same."""
+    rows = []
+    for i in range(300):
+        own = f"{' '.join(prose(i % 3, 120).split()[:50])} {prose(1000 + i, 70)}".split()
+        rows += [(2 * i, " ".join(own)), (2 * i + 1, " ".join(own[:60] + ["x"] + own[60:90] + ["y"] + own[90:]))]
+    got = ngram_join.similar(docs_of(rows), bucket=8).collect()
+    assert sum(g.n_links == 1 for g in got) >= 0.999 * len(rows) and all(g.class_id == g.doc_id // 2 * 2 for g in got if g.n_links)
+
+
 # --- BPE
 
 TEXTS = [
