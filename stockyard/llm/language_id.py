@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from stockyard.llm.common import text_of
 
 ORDER = 4
-#: Bound of the training sample: whole texts of each language until about so many bytes, at most so many texts.
+#: Bound of the training sample: whole texts of each language until about so many bytes, at most so many texts. Texts over an eighth
+#: of the bytes come after the others: of at most eight of them the beginnings fill what is left.
 SAMPLE_BYTES, SAMPLE_TEXTS = 400_000, 2_000
 PIECE = 1_000_000  # bytes scored at once
 UNDETERMINED = "und"
@@ -36,33 +37,42 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_sample(docs: DataFrame, size: int = SAMPLE_BYTES, texts: int = SAMPLE_TEXTS) -> dict[str, list[bytes]]:
-    """A bounded sample of whole texts of every language, the same for the same rows.
+    """A bounded sample of texts of every language, the same for the same rows.
 
     Per language the ``texts`` rows with the least hash are found by a bounded aggregate in every task; of them at most ``size`` bytes are fetched.
+    Where texts of up to ``size // 8`` bytes do not fill ``size``, the beginnings of up to eight longer ones do.
     """
     usable = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), text_of(docs).alias("text"))
     usable = usable.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & (F.length("text") > 0))
-    # Only hash, length and id move; long texts are left to others so that the sample holds many.
-    marks = usable.filter(F.octet_length("text") <= size // 8).select(
-        "lang", F.xxhash64("doc_id", "text").alias("h"), F.octet_length("text").alias("n")
-    )
-    counts = {r["lang"]: r["c"] for r in marks.groupBy("lang").agg(F.count("*").alias("c")).collect()}  # a row per language
+    # Only hash, length and id move; short texts come first so that the sample holds many.
+    marks = usable.select("lang", F.xxhash64("doc_id", "text").alias("h"), F.octet_length("text").alias("n"))
+    short = F.col("n") <= size // 8
+    counts = {r["lang"]: r["longer"] for r in marks.groupBy("lang").agg(F.count_if(~short).alias("longer")).collect()}  # a row per language
     chosen = []
     for lang in sorted(counts):
-        own = marks.filter(F.col("lang") == lang).orderBy("h").limit(texts)
+        own = marks.filter((F.col("lang") == lang) & short).orderBy("h").limit(texts)
         total = 0
         for row in own.collect():
             if total >= size:
                 break
-            chosen.append((lang, row["h"]))
+            chosen.append((lang, row["h"], row["n"]))
             total += row["n"]
+        if total < size and counts[lang]:
+            longer = marks.filter((F.col("lang") == lang) & ~short).select("h", "n").distinct().orderBy("h").limit(min(8, texts)).collect()
+            for left, row in zip(range(len(longer), 0, -1), sorted(longer, key=lambda r: r["n"])):
+                part = min(row["n"], -(-(size - total) // left))
+                chosen.append((lang, row["h"], part))
+                total += part
     spark = docs.sparkSession
-    wanted = spark.createDataFrame(chosen, "lang string, h long") if chosen else None
+    wanted = spark.createDataFrame(chosen, "lang string, h long, part long") if chosen else None
     out: dict[str, list[bytes]] = {lang: [] for lang in sorted(counts)}
     if wanted is not None:
-        rows = usable.withColumn("h", F.xxhash64("doc_id", "text")).join(F.broadcast(wanted), ["lang", "h"]).select("lang", "h", "text").distinct()
+        rows = usable.withColumn("h", F.xxhash64("doc_id", "text")).join(F.broadcast(wanted), ["lang", "h"])
+        rows = rows.select("lang", "h", "part", F.left("text", F.col("part").cast("int")).alias("text")).distinct()
         for row in sorted(rows.collect(), key=lambda r: (r["lang"], r["h"])):
-            out[row["lang"]].append(row["text"].encode())
+            data = row["text"].encode()
+            whole = len(data) <= row["part"]
+            out[row["lang"]].append(data if whole else data[: row["part"]].decode(errors="ignore").encode())
     return {lang: texts for lang, texts in out.items() if texts}
 
 

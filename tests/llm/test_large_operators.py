@@ -231,6 +231,17 @@ def test_languages(spark, docs_of, odd_rows):
     assert language_id.identified(docs_of([])).collect() == []
 
 
+def test_languages_of_long_texts_are_learned(docs_of):
+    rows = [(i, prose(i, 40), "en") for i in range(30)] + [(100 + i, "où est l'été à la mer " * (60 + i), "fr") for i in range(12)]
+    docs = docs_of(rows)
+    sample = language_id.training_sample(docs, size=4_000)
+    assert set(sample) == {"en", "fr"} and all(3_900 <= sum(map(len, t)) <= 4_500 for t in sample.values())
+    assert len(sample["fr"]) == 7 or len(sample["fr"]) == 8
+    long = docs_of([(i, prose(i, 40), "en") for i in range(30)] + [(100 + i, "où est l'été à la mer " * 2_500, "fr") for i in range(9)])
+    got = {r.doc_id: r.lang_pred for r in language_id.identified(long).collect()}
+    assert all(got[i] == "en" for i in range(30)) and all(got[100 + i] == "fr" for i in range(9))
+
+
 # --- quality classifier
 
 
