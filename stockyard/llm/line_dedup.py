@@ -1,12 +1,17 @@
 """Substring dedup by paragraph hashing.
 
-Texts fall into small units at line breaks, sentence ends, capital letters and, in long units, at words picked by their hash: places
-that a passage brings with it wherever it stands, also in the middle of another line. A *paragraph* is the shortest run of
-whole units with at least ``PARAGRAPH`` words that begins at a unit. Paragraphs are normalised (lower case, blanks
-collapsed) and hashed; digests are grouped globally by a min aggregate, which combines before the shuffle. The occurrence
-with the smallest (doc_id, hash of the text, position) stays: texts are told apart by both, as an id can be null or clash. All others are marked, marks that touch are joined, and joined marks
-of at least ``MARKED`` words are removed, with their offsets in the original text retained. The words behind a passage's
-last whole paragraph stay: fewer than one unit holds.
+A *paragraph* is any ``PARAGRAPH`` words in a row, wherever they stand. Paragraphs are normalised (lower case, blanks
+collapsed) and hashed. Two passes find the repeated ones without a row for every word:
+
+1. *Anchors* are the paragraphs whose digest is the least of any ``MARKED - PARAGRAPH + 1`` neighbours. The choice depends on
+   nothing else, so a repeated passage of ``MARKED`` words brings an anchor with it and anchors in it overlap. Digests are
+   grouped globally by a min aggregate, which combines before the shuffle.
+2. A repeated anchor whose neighbour in its text is not repeated stands near a passage's end. There all paragraphs are
+   hashed, in all its occurrences, and grouped once more, so passages are found to their true ends.
+
+The occurrence with the smallest (doc_id, hash of the text, position) stays: texts are told apart by both, as an id can be
+null or clash. All others are marked, marks that touch are joined, and joined marks of at least ``MARKED`` words are
+removed, with their offsets in the original text retained.
 
 A passage held by a third of all documents is one partial row per task in the grouping, and the join back has two stored
 sides, which adaptive execution splits.
@@ -26,21 +31,15 @@ from pyspark.sql import functions as F
 from stockyard.llm.common import saved, text_of, with_row
 from stockyard.llm.shingles import WordHashes, words_of
 
-#: Passages of over 50 words are to be found; of 51 words at least so many are marked, the rest is less than a unit.
+#: Passages of over 50 words are to be found; joined marks are removed from so many words on.
 MARKED = 40
-#: Words of a hashed paragraph at least.
+#: Words of a hashed paragraph.
 PARAGRAPH = 25
-LONG_UNIT, PICKED = 16, np.uint64(8)
 _LAST = 2**63 - 1
 _BASE = 0x9E3779B97F4A7C15
 _BACK = pow(_BASE, -1, 2**64)
 
 
-@lru_cache(maxsize=1)
-def _capitals() -> np.ndarray:
-    return np.array([chr(c).isupper() for c in range(0x110000)])
-
-
 @lru_cache(maxsize=1)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse modulo 2^64."""
@@ -61,55 +60,116 @@ def word_spans(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def unit_starts(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """The words that begin a unit."""
-    breaks = np.cumsum(codes == 10)
-    capital = _capitals()
-    second = np.minimum(starts + 1, len(codes) - 1)
-    begins = capital[codes[starts]] & ~capital[codes[second]]  # not in texts that are all capitals
-    begins[0] = True
-    begins[1:] |= np.isin(codes[ends[:-1] - 1], [33, 46, 58, 59, 63]) | (breaks[starts[1:]] != breaks[ends[:-1] - 1])
-    begins[1:] &= hashes[1:] != hashes[:-1]  # nor at every repetition of a word
-    at = np.flatnonzero(begins)
-    long = np.repeat(np.diff(np.r_[at, len(starts)]) > LONG_UNIT, np.diff(np.r_[at, len(starts)]))
-    begins |= long & (hashes % PICKED == 0)
-    return np.flatnonzero(begins)
+    """The words that begin a paragraph: all of them, so that a passage is found wherever it stands."""
+    return np.arange(len(starts))
 
 
 def paragraphs(text: str, known: WordHashes, least: int = PARAGRAPH) -> tuple[np.ndarray, ...]:
-    """Digest, first word, word behind the last, start and end offset of every paragraph."""
+    """Digest, first word, start and end offset of every paragraph."""
     hashes = known.of(words_of(text.lower()))
     n = len(hashes)
     if n < least:
-        return tuple(np.zeros(0, dtype=np.int64) for _ in range(5))
+        return tuple(np.zeros(0, dtype=np.int64) for _ in range(4))
     codes, starts, ends = word_spans(text)
-    at = np.r_[unit_starts(codes, starts, ends, hashes), n]
-    forward = np.searchsorted(at, at[:-1] + least)  # the unit end that completes a run from each start
-    first = np.flatnonzero(forward < len(at))
-    a, b = at[first], at[forward[first]]
+    a = unit_starts(codes, starts, ends, hashes)[: n - least + 1]
     power, inverse = _powers(1 << max(16, int(n).bit_length()))
     sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(hashes * power[:n])])
-    digest = (sums[b] - sums[a]) * inverse[a]
-    digest = (digest ^ (digest >> np.uint64(32)) ^ (b - a).astype(np.uint64)) * np.uint64(_BASE)
-    return digest.astype(np.int64), a, b, starts[a], ends[b - 1]
+    digest = (sums[a + least] - sums[a]) * inverse[a]
+    digest = (digest ^ (digest >> np.uint64(32)) ^ np.uint64(least)) * np.uint64(_BASE)
+    return digest.astype(np.int64), a, starts[a], ends[a + least - 1]
+
+
+def picked(digest: np.ndarray, width: int) -> np.ndarray:
+    """The places of the first least value of any ``width`` in a row."""
+    if len(digest) <= width:
+        return np.array([np.argmin(digest)] if len(digest) else [], dtype=np.int64)
+    rows = np.lib.stride_tricks.sliding_window_view(digest, width)
+    return np.unique(rows.argmin(axis=1) + np.arange(len(rows)))
+
+
+def _hashed(docs: DataFrame) -> DataFrame:
+    text = text_of(docs)
+    return docs.select("doc_id", F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
-def units(docs: DataFrame, least: int = PARAGRAPH) -> DataFrame:
-    """digest, doc_id, text_hash, place and size of every paragraph: its first word and offset, and its words and code points, two in a number each."""
+def _found(frame: pd.DataFrame, found: list[tuple[np.ndarray, ...]]) -> pd.DataFrame:
+    """Rows of ``units`` from each text's digest, first word, start, end and gaps."""
+    digest, lo, start, stop, gaps = (np.concatenate([f[k] for f in found]) for k in range(5))
+    ids = frame[["doc_id", "text_hash"]].astype({"doc_id": "Int64"})
+    owner = ids.iloc[np.repeat(np.arange(len(found)), [len(f[0]) for f in found])].reset_index(drop=True)
+    return pd.concat([owner, pd.DataFrame({"digest": digest, "place": lo << 32 | start, "size": gaps << 32 | stop - start})], axis=1)
+
+
+_UNITS = "doc_id long, text_hash long, digest long, place long, size long"
+
+
+def units(docs: DataFrame, least: int = PARAGRAPH, width: int = MARKED - PARAGRAPH + 1) -> DataFrame:
+    """doc_id, text_hash, digest, place and size of every anchor.
+
+    place is its first word and offset, size the words from the anchor before, to the one behind (none: 0), and its code points.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
         for frame in frames:
-            ids = frame[["doc_id", "text_hash"]].astype({"doc_id": "Int64"})
-            found = [paragraphs(t, known, least) for t in frame["text"]]
-            if not found:
-                continue
-            digest, lo, hi, start, stop = (np.concatenate([f[k] for f in found]) for k in range(5))
-            owner = ids.iloc[np.repeat(np.arange(len(found)), [len(f[0]) for f in found])].reset_index(drop=True)
-            yield pd.DataFrame({"digest": digest, "doc_id": owner["doc_id"], "text_hash": owner["text_hash"], "place": lo << 32 | start, "size": hi - lo << 32 | stop - start})
+            found = []
+            for text in frame["text"]:
+                digest, lo, start, stop = paragraphs(text, known, least)
+                at = picked(digest, width)
+                gap = np.diff(at)
+                before, behind = np.r_[0, gap][: len(at)], np.r_[gap, 0][: len(at)]
+                found.append((digest[at], lo[at], start[at], stop[at], before << 16 | behind))
+            if found:
+                yield _found(frame, found)
 
-    text = text_of(docs)
-    rows = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    return rows.mapInPandas(run, "digest long, doc_id long, text_hash long, place long, size long")
+    return _hashed(docs).mapInPandas(run, _UNITS)
+
+
+def units_near(docs: DataFrame, places: DataFrame, least: int = PARAGRAPH, width: int = MARKED - PARAGRAPH + 1) -> DataFrame:
+    """Rows like those of ``units`` for all paragraphs under ``width`` words before or behind ``places`` (doc_id, text_hash, lo, first, last: which sides)."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = WordHashes()
+        for frame in frames:
+            found = []
+            for text, near in zip(frame["text"], frame["near"]):
+                digest, lo, start, stop = paragraphs(text, known, least)
+                edges = np.zeros(len(digest) + 1, dtype=np.int64)
+                place, first, last = np.array([(x["lo"], x["first"], x["last"]) for x in near], dtype=np.int64).T
+                np.add.at(edges, np.maximum(place - first * (width - 1), 0), 1)
+                np.add.at(edges, np.minimum(place + last * (width - 1) + 1, len(digest)), -1)
+                at = np.flatnonzero(np.cumsum(edges[:-1]) > 0)
+                found.append((digest[at], lo[at], start[at], stop[at], np.zeros(len(at), dtype=np.int64)))
+            if found:
+                yield _found(frame, found)
+
+    wanted = places.groupBy(F.col("doc_id").alias("near_id"), F.col("text_hash").alias("near_hash")).agg(
+        F.collect_set(F.struct("lo", "first", "last")).alias("near")  # at most the anchors of one text
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("near_id")) & (F.col("text_hash") == F.col("near_hash"))
+    rows = _hashed(docs).join(wanted, same).select("doc_id", "text_hash", "text", "near")
+    return rows.mapInPandas(run, _UNITS)
+
+
+def repeated(found: DataFrame) -> DataFrame:
+    """The stored rows of ``units`` whose digest others have, with their numbers apart."""
+    # Most paragraphs stand alone: they are counted out before anything but their digest is grouped.
+    digests = saved(found.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest"))
+    low = lambda c, bits: F.col(c).bitwiseAND(2**bits - 1)
+    return saved(
+        found.join(digests, "digest").select(
+            "digest", "doc_id", "text_hash", F.coalesce("doc_id", F.lit(_LAST)).alias("own"), F.shiftright("place", 32).alias("lo"),
+            low("place", 32).alias("start"), low("size", 32).alias("length"), F.shiftright("size", 48).alias("before"),
+            F.shiftright("size", 32).bitwiseAND(2**16 - 1).alias("behind"),
+        )
+    )
+
+
+def later(known: DataFrame, least: int) -> DataFrame:
+    """Those of the stored rows ``known`` that are not the earliest of their digest, with that one as ``first``."""
+    groups = saved(known.groupBy("digest").agg(F.min(F.struct("own", "text_hash", "lo")).alias("first")))
+    same = (F.col("own") == F.col("first.own")) & (F.col("text_hash") == F.col("first.text_hash"))
+    return known.join(groups, "digest").filter(~same | (F.col("lo") >= F.col("first.lo") + least))
 
 
 def repeated_units(docs: DataFrame, min_words: int = MARKED, least: int = PARAGRAPH) -> DataFrame:
@@ -125,23 +185,24 @@ def repeated_passages(docs: DataFrame, min_words: int = MARKED, least: int = PAR
     earliest one in its own text is left alone. Repeated rows of one document tie and are one occurrence, so all of them keep
     it. Null and short texts have no paragraphs; no rows give no rows. Of ``docs`` only doc_id and text are read.
     """
-    found = saved(units(docs, least))
-    # Most paragraphs stand alone: they are counted out before anything but their digest is grouped.
-    repeated = saved(found.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest"))
-    own = F.coalesce("doc_id", F.lit(_LAST))
-    known = saved(
-        found.join(repeated, "digest").select(
-            "digest", "doc_id", "text_hash", own.alias("own"), F.shiftright("place", 32).alias("lo"), F.col("place").bitwiseAND(2**32 - 1).alias("start"),
-            F.shiftright("size", 32).alias("words"), F.col("size").bitwiseAND(2**32 - 1).alias("length"),
-        )
-    )
-    groups = saved(known.groupBy("digest").agg(F.min(F.struct("own", "text_hash", "lo", "words")).alias("first")))
-    same = (F.col("own") == F.col("first.own")) & (F.col("text_hash") == F.col("first.text_hash"))
-    later = ~same | (F.col("lo") >= F.col("first.lo") + F.col("first.words"))
+    width = max(1, min_words - least + 1)
+    known = repeated(saved(units(docs, least, width)))
+    # A marked anchor whose neighbours are not both marked stands near an end.
+    order = W.partitionBy("doc_id", "text_hash").orderBy("lo")
+    anchors = later(known, least).select("digest", "doc_id", "text_hash", "lo", "before", "behind").repartition("doc_id", "text_hash").distinct()
+    first = F.coalesce(F.lag("lo").over(order) != F.col("lo") - F.col("before"), F.lit(True))
+    last = F.coalesce(F.lead("lo").over(order) != F.col("lo") + F.col("behind"), F.lit(True))
+    ends = anchors.select("digest", first.alias("first"), last.alias("last")).filter("first or last")
+    ends = saved(ends.groupBy("digest").agg(F.max("first").alias("first"), F.max("last").alias("last")))
+    places = saved(known.join(ends, "digest").select("doc_id", "text_hash", "lo", "first", "last"))
+    near = repeated(saved(units_near(docs, places, least, width)))
     marks = (
-        known.join(groups, "digest")
-        .filter(later)
-        .select("doc_id", "text_hash", "lo", (F.col("lo") + F.col("words")).alias("hi"), "start", (F.col("start") + F.col("length")).alias("stop"), F.col("first.own").alias("kept"))
+        later(known.unionByName(near), least)
+        .select(
+            "doc_id", "text_hash", "lo", (F.col("lo") + least).alias("hi"), "start", (F.col("start") + F.col("length")).alias("stop"),
+            F.col("first.own").alias("kept"),
+        )
+        .repartition("doc_id", "text_hash")  # one shuffle for all that follows
         .distinct()
     )
     # Marks of one text that touch or overlap are one passage: at most the paragraphs of a text in a window.

@@ -189,6 +189,20 @@ def test_inline_passages_are_found_wherever_they_stand(docs_of):
         assert rows[i][1].find(passage) <= r.start + 1 and r.n_words >= 45 and r.kept_doc_id == 0
 
 
+def test_passages_without_marks_are_found_to_their_ends(docs_of):
+    """Lower case, no punctuation, 51 to 60 words at any offset, also in a script without capitals."""
+    rng, rows, want = random.Random(5), [], {}
+    for k in range(60):
+        passage = prose(2000 + k, 51 + k % 10)
+        passage = "".join(chr(0x905 + ord(c) % 48) if c != " " else c for c in passage) if k % 3 == 0 else passage
+        for half in range(2):
+            head, tail = (prose(3000 + 4 * k + 2 * half + i, rng.randint(0, 40)) for i in range(2))
+            rows.append((2 * k + half, " ".join(x for x in (head, passage, tail) if x)))
+        want[2 * k + 1] = (rows[-1][1].index(passage), len(passage), len(passage.split()), 2 * k)
+    got = line_dedup.repeated_units(docs_of(rows)).collect()
+    assert {g.doc_id: (g.start, g.length, g.n_words, g.kept_doc_id) for g in got} == want and len(got) == 60
+
+
 def test_clashing_ids_cut_nothing_beyond_a_text(docs_of):
     spans = docs_of([]).sparkSession.createDataFrame([(1, 5, 3), (1, 20, 4), (2, 0, 2)], "doc_id long, start long, length long")
     got = line_dedup.without_spans(docs_of([(1, "0123456789"), (1, "0123"), (2, "ab"), (3, None), (2, None)]), spans).collect()
