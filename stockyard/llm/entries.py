@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockyard.llm import bpe, exact_dedup, html_extraction, language_id, line_dedup, ngram_join, packing, quality_classifier, quality_rules, url_filters
+from stockyard.llm import (
+    bpe,
+    embedding_dedup,
+    exact_dedup,
+    hard_negatives,
+    html_extraction,
+    language_id,
+    line_dedup,
+    ngram_join,
+    packing,
+    quality_classifier,
+    quality_rules,
+    ranked_search,
+    url_filters,
+)
 from stockyard.llm.common import table
 
 
@@ -48,6 +62,18 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.filter_urls(table(spark, sf_dir, "pages"), url_filters.rule_frame(spark))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mined(table(spark, sf_dir, "embeddings"))
+
+
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_bpe": op2_bpe,
@@ -59,8 +85,14 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_url_filters": op10_url_filters,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_embedding_near_dedup": op12_embedding_near_dedup,
+    "op13_ranked_search": op13_ranked_search,
 }
 ORACLE_SQL = {
     "op8_exact_dedup": exact_dedup.ORACLE,
     "op10_url_filters": url_filters.ORACLE,
+    "op11_hard_negatives": hard_negatives.ORACLE,
+    "op12_embedding_near_dedup": embedding_dedup.ORACLE,
+    "op13_ranked_search": ranked_search.ORACLE,
 }
