@@ -27,14 +27,14 @@ from stockyard.llm.common import text_of
 
 KEPT = 500_000
 #: Unicode White_Space; str.split() also splits at 1C to 1F.
-_SPACE = "\t-\r \x85\xa0  -     　"
-_RUNS = re.compile(f"[^{_SPACE}]+").findall
-_OTHER_BLANKS = re.compile("[\x1c-\x1f]").search
+SPACE = "\t-\r \x85\xa0  -     　"
+_RUNS = re.compile(f"[^{SPACE}]+").findall
+OTHER_BLANKS = re.compile("[\x1c-\x1f]").search
 
 
 def runs_of(text: str) -> list[str]:
     """What stands between white space."""
-    return _RUNS(text) if _OTHER_BLANKS(text) else text.split()
+    return _RUNS(text) if OTHER_BLANKS(text) else text.split()
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -71,7 +71,7 @@ class Bpe:
         self.strings = [""] * size
         for token, number in [*self.ids.items(), *special.items()]:
             self.strings[number] = token
-        split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace(r"\s", _SPACE)
+        split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace(r"\s", SPACE)
         self._any, self._ascii = regex.compile(split, regex.V0).findall, re.compile(_ascii_only(split), re.ASCII).findall
         symbols = byte_symbols()
         self.inner = [self.ids[s] for s in symbols]

@@ -1,7 +1,8 @@
 """Ids by the tokenizers library, with words remembered.
 
-Words repeat, so the library is asked once for each new word of a batch; the words of a request share one text, and the
-word-end mark of their last tokens tells them apart again.
+Texts are cut into words and the different words of a batch are numbered, both in Arrow. The library is asked once for each
+word that is not remembered; the words of a request share one text, and the word-end mark of their last tokens tells
+them apart again. Texts are put together from the ids of their words by number.
 """
 
 from __future__ import annotations
@@ -9,14 +10,39 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 
 from stockyard.llm import bpe
 
 _TOGETHER = 64
 _KEPT = 600_000
+#: Characters of the texts that are coded together; a longer text is alone.
+BATCH = 4_000_000
+
+
+def batches(texts: Iterable[str], size: int = BATCH) -> Iterator[list[str]]:
+    held, length = [], 0
+    for text in texts:
+        if held and length + len(text) > size:
+            yield held
+            held, length = [], 0
+        held.append(text)
+        length += len(text)
+    if held:
+        yield held
+
+
+def _class(pattern: str) -> str:
+    """The code points that ``pattern`` matches, as ranges that any pattern library reads alike."""
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    runs = ((run[0][0], run[0][-1]) for run in regex.finditer(f"(?:{pattern})+", every))
+    return "".join(f"\\x{{{ord(a):x}}}-\\x{{{ord(b):x}}}" for a, b in runs)
 
 
 class Recent(dict):
@@ -41,41 +67,62 @@ class Recent(dict):
 class Library:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.tokenizer, self.bare = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        for tokenizer in (self.tokenizer, self.bare):
+            tokenizer.no_truncation()
+            tokenizer.no_padding()
+        # Words come normalised and cut; what is left to do is the bytes and the merges.
+        self.bare.normalizer = normalizers.Sequence([])
+        cut = [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence(cut)
         own = bpe.load(path)
-        self.words_of, self.plain = own.words, own.plain
+        self.plain = own.plain
         self.special = re.compile("|".join(map(re.escape, own.special))).search
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[number for token, number in vocabulary.items() if token.endswith(own.end)]] = True
         self.known = Recent()
-
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        letters, digits = _class(r"\p{L}"), _class(r"\p{N}")
+        # The pattern of the vocabulary file; which alternative comes first is told by its first character.
+        self.cut = rf"[{letters}]+|[{digits}]|'(?:s|t|re|ve|m|ll|d)|[^{bpe.SPACE}{letters}{digits}]+"
 
     def _learn(self, words: list[str]) -> None:
         groups = [words[i : i + _TOGETHER] for i in range(0, len(words), _TOGETHER)]
-        for group, ids in zip(groups, self._ids([" ".join(g) for g in groups])):
+        found = self.bare.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
+        for group, ids in zip(groups, (e.ids for e in found)):
             data, ends = array("I", ids).tobytes(), (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
             if len(ends) != len(group):
                 raise ValueError("the vocabulary does not mark the ends of words")
             self.known.update((word, data[a:b]) for word, a, b in zip(group, [0, *ends], ends))
 
+    def _whole(self, text: str) -> bytes:
+        """By the library itself: texts that spell special tokens, and separators that only some call white space."""
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
     def encode_many(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        # A text that spells a special token goes to the library whole.
-        cut = [None if self.special(text) else self.words_of(self.plain(text)) for text in texts]
-        if fresh := self.known.absent({word for words in cut if words for word in words}):
+        """Ids of each text as little-endian unsigned 32-bit integers. Equal texts are coded once."""
+        coded = dict.fromkeys(texts)
+        odd = [text for text in coded if self.special(text) or bpe.OTHER_BLANKS(text)]
+        coded.update((text, self._whole(text)) for text in odd)
+        usual = [text for text, ids in coded.items() if ids is None]
+        plain = pa.array(map(self.plain, usual), pa.large_string(), size=len(usual))
+        words = pc.utf8_split_whitespace(pc.replace_substring_regex(plain, self.cut, r"\0 "))
+        numbered = words.flatten().dictionary_encode()
+        different, which = numbered.dictionary.to_pylist(), numbered.indices.to_numpy(zero_copy_only=False)
+        if fresh := self.known.absent({*different} - {""}):
             self._learn(list(fresh))
-        known = self.known.__getitem__
-        return [
-            array("I", self._ids([text])[0]).tobytes() if words is None else b"".join(map(known, words))
-            for text, words in zip(texts, cut)
-        ]
+        parts = [self.known[word] if word else b"" for word in different]
+        ids = np.frombuffer(b"".join(parts), dtype="<u4")
+        sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
+        starts = np.cumsum(sizes) - sizes
+        sizes, starts = sizes[which], starts[which]
+        ends = np.cumsum(sizes)
+        tokens = ids[np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        edges = np.r_[0, ends][words.offsets.to_numpy()].tolist()
+        coded.update((text, tokens[a:b].tobytes()) for text, a, b in zip(usual, edges, edges[1:]))
+        return [coded[text] for text in texts]
 
 
 @lru_cache(maxsize=4)

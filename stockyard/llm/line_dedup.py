@@ -59,11 +59,6 @@ def word_spans(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return codes, np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-def unit_starts(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """The words that begin a paragraph: all of them, so that a passage is found wherever it stands."""
-    return np.arange(len(starts))
-
-
 def paragraphs(text: str, known: WordHashes, least: int = PARAGRAPH) -> tuple[np.ndarray, ...]:
     """Digest, first word, start and end offset of every paragraph."""
     hashes = known.of(words_of(text.lower()))
@@ -71,7 +66,7 @@ def paragraphs(text: str, known: WordHashes, least: int = PARAGRAPH) -> tuple[np
     if n < least:
         return tuple(np.zeros(0, dtype=np.int64) for _ in range(4))
     codes, starts, ends = word_spans(text)
-    a = unit_starts(codes, starts, ends, hashes)[: n - least + 1]
+    a = np.arange(n - least + 1)
     power, inverse = _powers(1 << max(16, int(n).bit_length()))
     sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(hashes * power[:n])])
     digest = (sums[a + least] - sums[a]) * inverse[a]

@@ -30,7 +30,6 @@ from stockyard.llm.common import saved, text_of
 
 CAPACITY = 2048
 END = 0
-TEXTS = 500  # coded together
 NUMBERED = 50_000  # pieces of one length that are numbered in one group
 
 
@@ -138,8 +137,7 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -
         step = 4 * capacity
         for frame in frames:
             rows = []
-            texts = frame["text"].tolist()
-            coded = (ids for a in range(0, len(texts), TEXTS) for ids in coder.encode_many(texts[a : a + TEXTS]))
+            coded = (ids for texts in library_bpe.batches(frame["text"]) for ids in coder.encode_many(texts))
             for doc_id, ids in zip(frame["doc_id"].astype("Int64"), coded):
                 ids += end
                 for at in range(0, len(ids), step):
@@ -159,20 +157,21 @@ def packed(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     rows.
     """
     spark = cut.sparkSession
-    cut = saved(cut)
+    columns = cut.columns
+    cut = saved(cut.withColumn("_row", F.monotonically_increasing_id()))  # rows of one id, or of none, spread over buckets too
     histogram = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # capacity rows at most
     spread = [(length, -(-n // NUMBERED)) for length, n in histogram.items()]
     buckets = spark.createDataFrame(spread, "length long, _buckets long")
-    dealt = cut.join(F.broadcast(buckets), "length").withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.col("_buckets")))
+    dealt = cut.join(F.broadcast(buckets), "length").withColumn("_bucket", F.pmod(F.xxhash64("_row"), F.col("_buckets")))
     counts = dealt.groupBy("length", "_bucket").agg(F.count("*").alias("_n"))
     earlier = W.partitionBy("length").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)  # a row per bucket
     offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     runs = spark.sparkContext.broadcast(Plan(histogram, capacity).lookup())
-    inside = W.partitionBy("length", "_bucket").orderBy("doc_id", "piece")
+    inside = W.partitionBy("length", "_bucket").orderBy("_row")
     ranked = (
         dealt.withColumn("_nth", F.row_number().over(inside))
         .join(offsets.select("length", "_bucket", "_before"), ["length", "_bucket"])
-        .select(*cut.columns, (F.col("_before") + F.col("_nth") - 1).alias("_rank"))
+        .select(*columns, (F.col("_before") + F.col("_nth") - 1).alias("_rank"))
     )
 
     def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -188,7 +187,7 @@ def packed(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 offset[at] = own[:, 3] + nth % own[:, 2] * size
             yield frame.drop(columns="_rank").assign(sequence_id=bins, offset=offset)
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema.fields)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema.fields if f.name != "_row")
     return ranked.mapInPandas(place, f"{schema}, sequence_id long, offset long")
 
 

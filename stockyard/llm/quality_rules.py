@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stockyard.llm.bpe import OTHER_BLANKS
 from stockyard.llm.common import saved, text_of, without
 from stockyard.llm.line_dedup import without_lines
 from stockyard.llm.shingles import WordHashes, hash64, window_hashes, words_of
@@ -82,9 +83,10 @@ def measured(docs: DataFrame) -> DataFrame:
             for text in frame["text"]:
                 words = words_of(text)
                 hashed = known.of(words)
+                cut = str.split if text.isascii() and not OTHER_BLANKS(text) else words_of
                 seen, dup, hashes, counts, numbers = set(), 0, [], [], []
                 for number, line in enumerate(text.split("\n")):
-                    inner = line.split() if line.isascii() else words_of(line)
+                    inner = cut(line)
                     if not inner:
                         continue
                     dup += line in seen

@@ -135,6 +135,20 @@ def test_both_coders_agree():
     assert fast.encode_many(texts) == [own.encode(t) for t in texts] == [i for t in texts for i in fast.encode_many([t])]
 
 
+def test_both_coders_cut_every_character_alike():
+    """Each character alone, inside a word, doubled and beside digits; the library agrees."""
+    own, fast = bpe.load(bpe.vocabulary_path()), library_bpe.load(bpe.vocabulary_path())
+    points = [c for c in [*range(0x3000), *range(0x3000, 0x110000, 23)] if not 0xD800 <= c < 0xE000]
+    texts = [" ".join(f"{chr(c)} a{chr(c)}b 1{chr(c)}{chr(c)}'s" for c in points[i : i + 50]) for i in range(0, len(points), 50)]
+    assert fast.encode_many(texts) == [own.encode(t) for t in texts]
+    assert fast.encode_many(["x  y", "", "x  y", " "]) == [own.encode(t) for t in ("x  y", "", "x  y", " ")]
+
+
+def test_batches_hold_whole_texts():
+    assert list(library_bpe.batches(["aa", "b", "cccc", "", "d"], 3)) == [["aa", "b"], ["cccc"], ["", "d"]]
+    assert list(library_bpe.batches([], 3)) == []
+
+
 def test_memory_is_bounded():
     known = library_bpe.Recent(10)
     for i in range(100):

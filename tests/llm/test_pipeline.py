@@ -6,7 +6,7 @@ from collections import Counter
 import corpus_pipeline
 from llm_texts import prose
 from test_large_operators import near_copies, places, similar_by_force
-from test_small_operators import base_counts, passages_to_cut, sentences, squeezed
+from test_small_operators import SEPARATORS, base_counts, passages_to_cut, sentences, separated, squeezed
 
 from stockyard.llm import bpe, line_dedup
 
@@ -15,6 +15,7 @@ def test_stages(spark, docs_of, odd_rows, tmp_path):
     passage = sentences(900, 60)
     rows = odd_rows + [(100 + i, t, "en", "s") for i, t in enumerate(near_copies(3, 10, 150, 1))]
     rows += [(200 + i, f"{prose(500 + i, 40)}\n{passage}", "en", "s") for i in range(5)] + [(300, "spam " * 50, "en", "s")]
+    rows += [(400 + 10 * i + k, f"{text}\n{prose(700 + 10 * i + k, 40)}", "en", "s") for i, c in enumerate(SEPARATORS) for k, text in enumerate(separated(c))]
     docs = docs_of(rows)
     columns = docs.columns
     seen = [rows]

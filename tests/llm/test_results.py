@@ -19,6 +19,12 @@ PROMISED = {
     "op8_exact_dedup": ("documents", "doc_id:bigint keep_id:bigint group_size:bigint kept:boolean text_sha256:string"),
     "op9_substring_dedup": (None, "doc_id:bigint start:bigint length:bigint n_words:bigint kept_doc_id:bigint"),
     "op10_url_filters": ("pages", "page_id:bigint host:string path:string rule:string verdict:string"),
+    "op11_hard_negatives": (
+        None,
+        "anchor_id:bigint positive_id:bigint rank:int negative_id:bigint positive_score:bigint negative_score:bigint",
+    ),
+    "op12_embedding_near_dedup": ("embeddings", "vec_id:bigint n_links:bigint component_id:bigint kept:boolean"),
+    "op13_ranked_search": (None, "item_id:bigint rank:int doc_id:bigint score:bigint"),
 }
 
 

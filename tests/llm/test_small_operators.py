@@ -117,25 +117,18 @@ def passages_to_cut(rows, least, marked):
     first, found = {}, []
     order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
     for doc_id, text, *_ in order:
-        words = list(re.finditer(r"[^\x20\x09-\x0D]+", text or ""))
-        if not words:
-            continue
-        codes, starts, ends = line_dedup.word_spans(text)
-        assert [(m.start(), m.end()) for m in words] == list(zip(starts.tolist(), ends.tolist()))
-        known = WordHashes()
-        begins = line_dedup.unit_starts(codes, starts, ends, known.of([m[0] for m in re.finditer(r"[^\x20\x09-\x0D]+", text.lower())])).tolist()
-        for a in begins:
-            b = next((e for e in [*begins, len(words)] if e - a >= least), None)
-            if b:
-                key = " ".join(m[0] for m in words[a:b]).lower()
-                first.setdefault(key, (doc_id, a, b))
-                found.append((doc_id, text, a, b, key, words))
+        words = [(m.start(), m.end()) for m in re.finditer(r"[^\x20\x09-\x0D]+", text or "")]
+        lower = [text[a:b].lower() for a, b in words]
+        for a in range(len(words) - least + 1):
+            key = tuple(lower[a : a + least])
+            first.setdefault(key, (doc_id, a, a + least))
+            found.append((doc_id, text, a, key, words))
     out = []
     marks = defaultdict(set)
-    for doc_id, text, a, b, key, words in found:
+    for doc_id, text, a, key, words in found:
         f = first[key]
         if doc_id != f[0] or a >= f[2]:
-            marks[(doc_id, text)].add((a, b, words[a].start(), words[b - 1].end(), f[0]))
+            marks[(doc_id, text)].add((a, a + least, words[a][0], words[a + least - 1][1], f[0]))
     for (doc_id, _), spans in marks.items():
         now = None
         for a, b, start, stop, kept in sorted(spans, key=lambda x: x[:2]):
@@ -246,6 +239,26 @@ def test_base_counts(docs_of, odd_rows):
     assert quality_rules.judged(docs_of([]))[0].collect() == []
 
 
+SEPARATORS = "\x1c\x1d\x1e\x1f"
+
+
+def separated(c):
+    """The separator inside a word, alone on a line and at both ends of one."""
+    return [f"fine words here and there\na{c}b c", f"{c}\n{c}\nx", f"{c}start and end{c}\n{c}start and end{c}\n{c} {c}{c} x", f"é{c}\n{c}é {c}", c]
+
+
+def test_separators_are_parts_of_words(docs_of):
+    rows = [(10 * i + k, text, "en", "s") for i, c in enumerate(SEPARATORS) for k, text in enumerate(separated(c))]
+    got = quality_rules.judged(docs_of(rows))[0].collect()
+    want = Counter((r[0], *base_counts(r[1])) for r in rows)
+    assert Counter((g.doc_id, g.n_words, g.word_chars, g.n_symbols, g.n_dup_lines, g.n_repeat_words) for g in got) == want
+    assert {g.n_dup_lines for g in got if g.doc_id % 10 in (1, 2)} == {1}
+    notice = "kept\x1cby the owner of this site until further notice is given to all of its readers"
+    rows = [(i, f"{notice}\n{prose(100 + i, 60)}", "en", "s") for i in range(30)]
+    verdicts, removed = quality_rules.judged(docs_of(rows))
+    assert all(v.kept and v.n_removed_words == 16 for v in verdicts.collect()) and removed.count() == 30
+
+
 def test_boilerplate_goes_and_copies_stay(docs_of):
     notice = "all rights in this page and in whatever it links to are reserved by the owner of the site until further notice"
     copy = prose(7, 80)
