@@ -1,11 +1,12 @@
 """Ranked lexical search by exact inner products in sparse ball trees.
 
-A document is a sparse vector over the terms of the queries: a term's weight times what its frequency earns, so a query is the
-0/1 vector of its terms and the score their inner product. Documents are dealt to shards of bounded size; a task builds
-one shard's ball tree (nodes split between two distant documents, each with centroid and radius) and searches it for every
-query best first. No document below a node scores more than query . centroid + |query| * radius; that bound is rounded up by
-more than the arithmetic can lose, so a node is passed over only if it cannot hold one of the best. Leaves are scored in
-whole numbers. The best of the shards are merged.
+A document is a sparse vector over the terms of the queries, of what each term's frequency earns; a query is the vector of its
+terms' weights, and the score their inner product. Documents are dealt to shards of bounded size; a task builds one
+shard's ball tree (nodes split between two distant documents, each with centroid and radius) and searches it for every query
+best first. Terms that no document below a node holds add nothing there, so with q the query without them no document
+below scores more than q . centroid + |q| * radius; that bound is rounded up by more than the arithmetic can lose, so a node
+is passed over only if it cannot hold one of the best. Leaves are scored in whole numbers. The best of the shards are
+merged.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ TOP = 50
 #: Terms of queries that are searched in one pass; more are dealt to several passes over the documents' vectors.
 TERMS_A_PASS = 200_000
 SHARD_DOCS, SHARD_ENTRIES = 8192, 2_000_000
-LEAF = 64
+LEAF = 32
 #: What a bound is raised by, relative to the largest number that went into it.
 SLACK = 1e-9
 #: Every ASCII character but letters and digits ends a term; capitals A-Z become small.
@@ -106,24 +107,27 @@ class BallTree:
         pivot[terms[a:b]] = floats[a:b]
         return self._row_sums(value * pivot[local], inner)
 
-    def bounds(self, query: np.ndarray) -> np.ndarray:
+    def bounds(self, query: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """For each node, a number that no document below it scores above."""
-        cells = np.concatenate([np.arange(self.at[t], self.at[t + 1]) for t in query]) if len(query) else np.zeros(0, np.int64)
-        centre = np.bincount(self.of[cells], self.centre[cells], len(self.radius))
-        reach = centre + math.sqrt(len(query)) * self.radius
+        sizes = self.at[query + 1] - self.at[query]
+        cells = np.repeat(self.at[query], sizes) + _within(sizes)
+        nodes, own = self.of[cells], np.repeat(weights.astype(np.float64), sizes)
+        centre = np.bincount(nodes, self.centre[cells] * own, len(self.radius))
+        reach = centre + np.sqrt(np.bincount(nodes, own * own, len(self.radius))) * self.radius
         return reach * (1 + SLACK) + 1
 
     def scores(self, node: int, wanted: np.ndarray) -> np.ndarray:
-        """Whole-number scores of a leaf's documents; ``wanted``: the query as a 0/1 vector."""
+        """Whole-number scores of a leaf's documents; ``wanted``: the query as a full vector."""
         low, high = self.spans[node]
         a, b = self.starts[low], self.starts[high]
         return self._row_sums(self.values[a:b] * wanted[self.terms[a:b]], self.starts[low : high + 1] - a)
 
-    def best(self, query: np.ndarray, ids: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, int]:
-        """(positions, scores) of the query's best documents above zero, equal scores by ``ids``, and the leaves opened."""
+    def best(self, query: np.ndarray, weights: np.ndarray, ids: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """(positions, scores) of the best documents above zero for the terms ``query`` with ``weights``, equal scores by
+        ``ids``, and the number of leaves opened."""
         wanted = np.zeros(self.width, dtype=np.int64)
-        wanted[query] = 1
-        reach = self.bounds(query)
+        wanted[query] = weights
+        reach = self.bounds(query, weights)
         queue = [(-reach[0], 0)] if len(reach) else []
         found_at, found, least, opened = np.zeros(0, np.int64), np.zeros(0, np.int64), 1, 0
         while queue and -queue[0][0] >= least:  # an equal score may still win by its id
@@ -210,7 +214,7 @@ def _search_pass(docs: DataFrame, items: list, top: int) -> DataFrame:
             terms = np.concatenate(shard["terms"].to_numpy()).astype(np.int64)
             times = np.concatenate(shard["times"].to_numpy()).astype(np.int64)
             length = np.repeat(100 - 50 + (50 * shard["n_terms"].to_numpy() * n_docs) // all_terms, sizes)
-            values = weights[terms] * ((1_000_000_000 * times) // (1000 * times + 20 * length))
+            values = (1_000_000_000 * times) // (1000 * times + 20 * length)
             ids = shard["doc_id"].astype("Int64")
             order = ids.fillna(_NO_ID).to_numpy(dtype=np.int64)
             # the vectors' columns: only terms that the shard holds
@@ -220,7 +224,7 @@ def _search_pass(docs: DataFrame, items: list, top: int) -> DataFrame:
                 at = np.searchsorted(held, wanted)
                 at = at[(at < len(held)) & (held[np.minimum(at, max(0, len(held) - 1))] == wanted)] if len(held) else at[:0]
                 if len(at):
-                    found, score, _ = tree.best(at, order, top)
+                    found, score, _ = tree.best(at, weights[held[at]], order, top)
                     if len(found):
                         yield pd.DataFrame({"query": query, "doc_id": ids.iloc[found].to_numpy(), "score": score})
 
