@@ -7,7 +7,7 @@ import uuid
 from functools import reduce
 from weakref import WeakKeyDictionary
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockyard.contract.fixture_sql import mean, typed, with_tables
@@ -22,7 +22,8 @@ from stockyard.session import shared_folder
 from stockyard.sources.csv import as_dictionaries, load_folder, next_ids, read_csv, save_csv
 from stockyard.sources.store import LEDGER, LINES, ORDERS, SnapshotStore, repartition_ledger
 from stockyard.sources.tpch import SOURCE_SCHEMAS
-from stockyard.streaming import rules
+from stockyard.streaming import guard, rules
+from stockyard.streaming.tables import LiveTables
 
 
 def _fresh_folder(ds: Dataset) -> str:
@@ -409,38 +410,96 @@ def streamed_negative_stock(ds: Dataset) -> DataFrame:
     return _caught_up(ds, rules.negative_stock_stream(stream, ds.inventory), "negative_stock")
 
 
-def streamed_receipts(ds: Dataset) -> DataFrame:
-    """Purchase orders after all receipts came in by several micro-batches."""
-    store, folder = _fresh_store(ds), f"{_fresh_folder(ds)}/receipts"
-    names = ("purchase_orders", "purchase_order_items", "inventory", "inventory_movements")
-    store.commit({n: getattr(ds, n) for n in names})
-    asked = receipt_commands(ds)
-    asked.repartition(4).write.parquet(folder)
-    stream = ds.spark.readStream.schema(asked.schema).option("maxFilesPerTrigger", FILES_A_BATCH).parquet(folder)
-    rules.receive_stream(stream, store, f"{store.root}/progress", lambda: ds.as_of).awaitTermination()
-    return store.read("purchase_orders").select("po_id", "status", "actual_delivery_date")
-
-
-def streamed_reservations(ds: Dataset) -> DataFrame:
-    """Every sold line reserves stock, micro-batch by micro-batch."""
-    store = _fresh_store(ds)
-    store.commit({"inventory": ds.inventory, "sales_orders": ds.sales_orders})
-
-    def step(now: Dataset, rows: DataFrame) -> tuple[dict, dict]:
-        return {"inventory": commands.reserve_for_sales(now, rows)}, {}
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        rules.apply_once(store, "reserve", batch_id, batch, ds.as_of, step)
-
-    query = (
-        _line_stream(ds)
-        .writeStream.option("checkpointLocation", f"{store.root}/progress")
-        .trigger(availableNow=True)
-        .foreachBatch(each)
-        .start()
+def _in_files(ds: Dataset, rows: DataFrame, name: str, files: int, *order: Column) -> DataFrame:
+    """Rows as a file stream of several micro-batches."""
+    folder = f"{_fresh_folder(ds)}/{name}"
+    (rows.repartitionByRange(files, *order) if order else rows.repartition(files)).write.parquet(folder)
+    return ds.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES_A_BATCH).parquet(folder)
+
+
+_RECEIVED: WeakKeyDictionary[Dataset, LiveTables] = WeakKeyDictionary()
+_SOLD: WeakKeyDictionary[Dataset, LiveTables] = WeakKeyDictionary()
+STREAM_BUCKETS = 32
+
+
+def received(ds: Dataset) -> LiveTables:
+    """The live tables after all receipts came in by several micro-batches; once for each dataset."""
+    if ds not in _RECEIVED:
+        root = _fresh_folder(ds)
+        tables = LiveTables(ds.spark, root, STREAM_BUCKETS)
+        tables.create(ds)
+        stream = _in_files(ds, receipt_commands(ds), "receipts", 4)
+        rules.receive_stream(stream, tables, f"{root}/progress", lambda: ds.as_of).awaitTermination()
+        _RECEIVED[ds] = tables
+    return _RECEIVED[ds]
+
+
+def sold(ds: Dataset) -> LiveTables:
+    """The live tables after every sales line was sold once more by several micro-batches; a third of the orders become known
+    after the first batch only, so their lines wait."""
+    if ds not in _SOLD:
+        root = _fresh_folder(ds)
+        tables = LiveTables(ds.spark, root, STREAM_BUCKETS)
+        tables.create(ds)
+        asked = []
+
+        def orders() -> DataFrame:
+            asked.append(True)
+            return ds.sales_orders if len(asked) > 1 else ds.sales_orders.filter("so_id % 3 <> 0")
+
+        stream = _in_files(ds, ds.sales_order_items, "lines", 6)
+        rules.reserve_stream(stream, tables, orders, f"{root}/progress", lambda: ds.as_of).awaitTermination()
+        _SOLD[ds] = tables
+    return _SOLD[ds]
+
+
+def recorded_ids(ds: Dataset) -> DataFrame:
+    """What the recorded marks have given to the ledger rows of all batches."""
+    moves = received(ds).movements.rows()
+    return moves.agg(
+        F.count("*").alias("movements"), F.count_distinct("movement_id").alias("different_ids"), F.min("movement_id").alias("first_id"),
+        F.max("movement_id").alias("last_id"),
+    )
+
+
+def guarded_transfers(ds: Dataset) -> DataFrame:
+    """Both legs of every transfer as changes of stock, delivered out of order, the stream stopped once half-way."""
+    root = _fresh_folder(ds)
+    moves = ds.inventory_movements.filter("movement_type in ('transfer_out', 'transfer_in')")
+    changes = moves.select(
+        F.col("movement_id").alias("change_id"), F.col("movement_date").alias("changed_at"), "product_id", "warehouse_id",
+        F.col("quantity").alias("delta"),
+    )
+    delivered = F.expr("changed_at + make_dt_interval(cast(pmod(xxhash64(change_id), 20) as int))")
+    half = changes.agg(F.expr("timestampadd(SECOND, cast(timestampdiff(SECOND, min(changed_at), max(changed_at)) / 2 as bigint), min(changed_at))")).scalar()
+    tick = ds.spark.sql("select timestamp_ntz'2200-01-01' as changed_at")
+    late = changes.filter(delivered >= half).unionByName(tick, allowMissingColumns=True)
+    for part in (changes.filter(delivered < half), late):
+        part.repartitionByRange(2, delivered).write.mode("append").parquet(f"{root}/changes")
+        stream = ds.spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/changes")
+        guard.guard_stream(stream, ds.inventory, f"{root}/outcomes", f"{root}/progress", "40 days", slots=64).awaitTermination()
+    return guard.outcomes(ds.spark, f"{root}/outcomes").select("change_id", "accepted", "quantity_after", "reason")
+
+
+# One change of each product and warehouse after the other; NULL is a pair without a stock row.
+_CHANGES_IN_TURN = recursive(
+    typed(
+        "change_id:i accepted:b quantity_after:i reason:s",
+        """SELECT change_id, accepted, level AS quantity_after,
+                  CASE WHEN level IS NULL THEN 'no stock row' WHEN NOT accepted THEN 'stock would go negative' END AS reason
+           FROM fold WHERE n > 0""",
+        turn="""SELECT movement_id, product_id, warehouse_id, quantity,
+                       row_number() OVER (PARTITION BY product_id, warehouse_id ORDER BY movement_date, movement_id) AS n
+                FROM inventory_movements WHERE movement_type IN ('transfer_out', 'transfer_in')""",
+        fold="""SELECT t.product_id, t.warehouse_id, 0 AS n, NULL::BIGINT AS change_id, NULL::BOOLEAN AS accepted,
+                       i.quantity_on_hand::BIGINT AS level
+                FROM (SELECT DISTINCT product_id, warehouse_id FROM turn) t LEFT JOIN inventory i USING (product_id, warehouse_id)
+                UNION ALL
+                SELECT f.product_id, f.warehouse_id, f.n + 1, c.movement_id, coalesce(f.level + c.quantity >= 0, false),
+                       CASE WHEN f.level + c.quantity >= 0 THEN f.level + c.quantity ELSE f.level END
+                FROM fold f INNER JOIN turn c ON c.product_id = f.product_id AND c.warehouse_id = f.warehouse_id AND c.n = f.n + 1""",
     )
-    query.awaitTermination()
-    return store.read("inventory").select("product_id", "warehouse_id", "quantity_reserved")
+)
 
 
 STREAMS = {
@@ -462,9 +521,26 @@ STREAMS = {
                HAVING quantity_after < 0""",
         ),
     ),
-    "tpo_receive_stream": Entry(streamed_receipts, COMMANDS["tpo_purchase_completion"].check),
+    "tinv_guard_stream": Entry(guarded_transfers, _CHANGES_IN_TURN),
+    "tpo_receive_stream": Entry(
+        lambda ds: received(ds).purchase_orders.rows().select("po_id", "status", "actual_delivery_date"),
+        COMMANDS["tpo_purchase_completion"].check,
+    ),
+    "m6_stock_after_batches": Entry(
+        lambda ds: received(ds).inventory().select("product_id", "warehouse_id", "quantity_on_hand", "quantity_reserved"),
+        COMMANDS["m1_receive_inventory"].check,
+    ),
+    "m5_recorded_ids": Entry(
+        recorded_ids,
+        typed(
+            "movements:i different_ids:i first_id:i last_id:i",
+            """SELECT count(*) AS movements, count(*) AS different_ids, any_value(before) + 1 AS first_id, any_value(before) + count(*) AS last_id
+               FROM receipt, (SELECT max(movement_id) AS before FROM inventory_movements)""",
+            **_RECEIPTS,
+        ),
+    ),
     "tsale_reserve_stream": Entry(
-        streamed_reservations,
+        lambda ds: sold(ds).inventory().select("product_id", "warehouse_id", "quantity_reserved"),
         typed(
             "product_id:i warehouse_id:i quantity_reserved:i",
             """SELECT i.product_id, i.warehouse_id, i.quantity_reserved + coalesce(s.units, 0) AS quantity_reserved
@@ -473,6 +549,10 @@ STREAMS = {
                  USING (product_id, warehouse_id)""",
         ),
     ),
+    "tsale_stored_lines": Entry(
+        lambda ds: sold(ds).sold_lines.rows().select("so_item_id", "so_id", "product_id", "quantity"),
+        typed("so_item_id:i so_id:i product_id:i quantity:i", "SELECT so_item_id, so_id, product_id, quantity FROM sales_order_items"),
+    ),
 }
 
 # --- integrity -------------------------------------------------------------------------------

@@ -24,6 +24,7 @@ class Dataset:
         as_of: datetime,
         months_since: Callable[[str, Column], DataFrame] | None = None,
         origin: str | None = None,
+        last_ids: Mapping[str, int] | None = None,
     ):
         unknown = set(tables) - set(TABLES)
         if unknown:
@@ -31,6 +32,7 @@ class Dataset:
         self.spark = spark
         self.as_of = as_of
         self.origin = origin  # the folder of the source tables, for those who stream them
+        self.last_ids = last_ids or {}  # recorded highest ids, where the table itself need not be asked
         self._months_since = months_since
         self._sources = dict(tables)
         self._built: dict[str, DataFrame] = {}
@@ -55,7 +57,13 @@ class Dataset:
     def replace(self, **tables: DataFrame) -> Dataset:
         """The same dataset with some tables exchanged."""
         pruned = None if {"inventory_movements", "sales_orders", "sales_order_items"} & set(tables) else self._months_since
-        return Dataset(self.spark, {**self._sources, **self._built, **tables}, self.as_of, pruned, self.origin)
+        return Dataset(self.spark, {**self._sources, **self._built, **tables}, self.as_of, pruned, self.origin, self.last_ids)
+
+    def numbered(self, name: str) -> DataFrame:
+        """Rows whose highest id is the last one given out: the table, or one row with the recorded id."""
+        if name not in self.last_ids:
+            return getattr(self, name)
+        return self.spark.range(1).select(F.lit(self.last_ids[name]).cast("bigint").alias(TABLES[name].id_column))
 
     def movements_since(self, bound: Column) -> DataFrame:
         """Ledger rows strictly after an instant; a stored ledger opens only the months concerned."""

@@ -66,7 +66,7 @@ def merge_stock(ds: Dataset, deltas: DataFrame) -> DataFrame:
     fresh = summed.join(inventory.select(*STOCK_KEY), STOCK_KEY, "left_anti").select(
         *STOCK_KEY, F.col("delta").cast("int").alias("quantity_on_hand")
     )
-    fresh = assign_ids(fresh, "inventory_id", inventory, *[F.col(c).asc() for c in STOCK_KEY])
+    fresh = assign_ids(fresh, "inventory_id", ds.numbered("inventory"), *[F.col(c).asc() for c in STOCK_KEY])
     return updated.select(*inventory.columns).unionByName(with_defaults("inventory", fresh, ds))
 
 
@@ -133,7 +133,7 @@ def receive_inventory(ds: Dataset, commands: DataFrame) -> Changes:
             "command_id",
         ),
         "movement_id",
-        ds.inventory_movements,
+        ds.numbered("inventory_movements"),
         F.col("command_id").asc(),
     )
     moves = with_defaults("inventory_movements", moves.drop("command_id"), ds)
@@ -195,7 +195,7 @@ def transfer_stock(ds: Dataset, commands: DataFrame) -> Changes:
     done = done.filter("accepted").drop(SLOT)
     rejects = rejected.unionByName(short)
 
-    transfers = assign_ids(done, "transfer_id", ds.stock_transfers, F.col("command_ts").asc(), F.col("command_id").asc())
+    transfers = assign_ids(done, "transfer_id", ds.numbered("stock_transfers"), F.col("command_ts").asc(), F.col("command_id").asc())
     transfers = materialize(transfers)
     records = transfers.withColumns({"transfer_date": day(ds.as_of), "status": F.lit("completed")})
     records = with_defaults("stock_transfers", records, ds)
@@ -212,7 +212,7 @@ def transfer_stock(ds: Dataset, commands: DataFrame) -> Changes:
     moves = assign_ids(
         legs.withColumns({"reference_id": F.col("transfer_id"), "reference_type": F.lit("transfer")}),
         "movement_id",
-        ds.inventory_movements,
+        ds.numbered("inventory_movements"),
         F.col("transfer_id").asc(),
         F.col("movement_type").desc(),
     )
@@ -436,7 +436,7 @@ def create_purchase_orders(ds: Dataset, commands: DataFrame) -> Changes:
     headers = assign_ids(
         parsed.filter("reason is null").join(spoiled, "command_id", "left_anti"),
         "po_id",
-        ds.purchase_orders,
+        ds.numbered("purchase_orders"),
         F.col("command_id").asc(),
     ).select("command_id", "po_id", "supplier_id", "warehouse_id", "employee_id")
     headers = materialize(headers)
@@ -450,7 +450,7 @@ def create_purchase_orders(ds: Dataset, commands: DataFrame) -> Changes:
     lines = assign_ids(
         items.join(headers.select("command_id", "po_id"), "command_id"),
         "po_item_id",
-        ds.purchase_order_items,
+        ds.numbered("purchase_order_items"),
         F.col("po_id").asc(),
         F.col("item_no").asc(),
     )

@@ -3,9 +3,6 @@
 A commit writes new folders for the tables it changes and then publishes the next manifest, which fails if somebody else
 has published that version meanwhile. Readers see the state before or after, never half of it; a failed commit leaves
 folders nothing refers to.
-
-Rows that a stream appends go to a folder of their batch inside the table's added rows. The manifest records each stream's
-last batch, and later ones are not visible, so a batch writes as much as it holds and a repeated one replaces itself.
 """
 
 from __future__ import annotations
@@ -33,7 +30,6 @@ MONTHS = {LEDGER: MONTH, ORDERS: ORDER_MONTH, LINES: ORDER_MONTH}
 #: How the files of a month are sorted, so that row groups can be skipped.
 SORTED = {LEDGER: ("warehouse_id", "movement_date"), ORDERS: ("order_date", "so_id"), LINES: ("so_id",)}
 _MANIFEST = "_manifest-"
-STREAM, BATCH = "_of_stream", "_of_batch"
 
 
 class VersionConflict(RuntimeError):
@@ -56,12 +52,12 @@ class SnapshotStore:
     # --- reading ---------------------------------------------------------------------------
 
     def manifest(self) -> dict:
-        """``{"version": n, "tables": {name: path}, "added": {name: path}, "meta": {...}}``"""
+        """``{"version": n, "tables": {name: path}, "meta": {...}}``"""
         root, files = self._path(self.root), self._files()
         found = files.listStatus(root) if files.exists(root) else []
         last = max((s.getPath().getName() for s in found if s.getPath().getName().startswith(_MANIFEST)), default=None)
         if last is None:
-            return {"version": 0, "tables": {}, "added": {}, "meta": {}}
+            return {"version": 0, "tables": {}, "meta": {}}
         stream = files.open(self._path(f"{self.root}/{last}"))
         try:
             text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
@@ -76,26 +72,12 @@ class SnapshotStore:
         return self.spark.read.schema(_stored_schema(name)).parquet(path)
 
     def has(self, name: str) -> bool:
-        current = self.manifest()
-        return name in current["tables"] or name in current["added"]
+        return name in self.manifest()["tables"]
 
     def _visible(self, name: str, current: dict) -> DataFrame:
-        """A table with what streams have added to it, up to their recorded batches."""
-        base, added = current["tables"].get(name), current["added"].get(name)
-        if base is None and added is None:
+        if name not in current["tables"]:
             raise KeyError(f"{name} was never published in {self.root}")
-        if added is None:
-            return self.open(base, name)
-        reader = self.spark.read
-        if name in TABLES:
-            marks = [T.StructField(STREAM, T.StringType()), T.StructField(BATCH, T.LongType())]
-            reader = reader.schema(T.StructType([*_stored_schema(name).fields, *marks]))
-        done = F.lit(False)
-        for mark, batch in current["meta"].items():
-            if mark.startswith("stream_"):
-                done = done | ((F.col(STREAM) == mark.removeprefix("stream_")) & (F.col(BATCH) <= batch))
-        rows = reader.parquet(added).filter(done).drop(STREAM, BATCH)
-        return rows if base is None else self.open(base, name).unionByName(rows)
+        return self.open(current["tables"][name], name)
 
     def read(self, name: str) -> DataFrame:
         """The published version of a table or snapshot."""
@@ -104,7 +86,7 @@ class SnapshotStore:
     def dataset(self, as_of: datetime, current: dict | None = None) -> Dataset:
         """All published tables of the model, as of one manifest."""
         current = current or self.manifest()
-        tables = [n for n in TABLES if n in current["tables"] or n in current["added"]]
+        tables = [n for n in TABLES if n in current["tables"]]
         opened = {n: self._visible(n, current) for n in tables}  # folders are listed once
         frames = {n: self._shaped(n, df) for n, df in opened.items()}
 
@@ -140,20 +122,6 @@ class SnapshotStore:
             staged[name] = path
         return staged
 
-    def add(self, name: str, rows: DataFrame, stream: str, batch_id: int, current: dict) -> str:
-        """Write one batch's new rows beside a table; they show once a manifest records the batch.
-
-        Returns the folder of the table's added rows. Only the batch is written, and writing it again replaces it.
-        """
-        base = current["tables"].get(name, f"{self.root}/{name}/v{0:08d}")
-        folder = current["added"].get(name, f"{base}-added")
-        path = f"{folder}/{STREAM}={stream}/{BATCH}={batch_id}"
-        if name in MONTHS:
-            write_by_month(name, self._in_months(name, rows, None, current), path)
-        else:
-            _typed(name, rows).write.mode("overwrite").parquet(path)
-        return folder
-
     def _in_months(self, name: str, rows: DataFrame, orders: DataFrame | None, current: dict | None) -> DataFrame:
         """Rows with the month of their folder; a line without an order has none."""
         rows = _typed(name, rows)
@@ -162,27 +130,21 @@ class SnapshotStore:
         if name == ORDERS:
             return rows.withColumn(ORDER_MONTH, month_of("order_date"))
         current = current or self.manifest()
-        if orders is None and (ORDERS in current["tables"] or ORDERS in current["added"]):
+        if orders is None and ORDERS in current["tables"]:
             orders = self._visible(ORDERS, current)
         if orders is None:
             return rows.withColumn(ORDER_MONTH, F.lit(None).cast("date"))
         dates = orders.select("so_id", month_of("order_date").alias(ORDER_MONTH))
         return rows.join(dates, "so_id", "left").select(*rows.columns, ORDER_MONTH)
 
-    def publish(
-        self, staged: Staged, meta: Mapping[str, object] | None = None, added: Mapping[str, str] | None = None
-    ) -> int:
-        """Point the next manifest at staged folders; ``meta`` entries are merged.
-
-        A table that is staged whole holds all its rows; what was added to the old one is no longer read.
-        """
+    def publish(self, staged: Staged, meta: Mapping[str, object] | None = None) -> int:
+        """Point the next manifest at staged folders; ``meta`` entries are merged."""
         current = self.manifest()
         if current["version"] != staged.version:
             raise VersionConflict(f"{self.root} is at version {current['version']}, not {staged.version}")
         updated = {
             "version": staged.version + 1,
             "tables": {**current["tables"], **staged},
-            "added": {**{n: p for n, p in current["added"].items() if n not in staged}, **(added or {})},
             "meta": {**current["meta"], **(meta or {})},
         }
         jvm = self.spark._jvm
@@ -222,13 +184,12 @@ class SnapshotStore:
 
     def expire(self, names: Iterable[str] | None = None) -> list[str]:
         """Delete version folders the manifest does not name; run it when no reader is active."""
-        manifest = self.manifest()
-        current, files, removed = manifest["tables"], self._files(), []
+        current, files, removed = self.manifest()["tables"], self._files(), []
         for name in names or current:
-            used = {str(p).rsplit("/", 1)[1] for p in (current[name], manifest["added"].get(name, "/")) if p}
+            used = current[name].rsplit("/", 1)[1]
             for status in files.listStatus(self._path(f"{self.root}/{name}")):
                 path = status.getPath()
-                if path.getName() not in used:
+                if path.getName() != used:
                     files.delete(path, True)
                     removed.append(f"{self.root}/{name}/{path.getName()}")
         return removed

@@ -1,7 +1,7 @@
-"""The continuous rules: reservations, receipts, stock guard and live revenue.
+"""The continuous rules: reservations, receipts, stock reports and live revenue.
 
-Rules that change tables run per micro-batch and commit one manifest that also records the batch
-number, so a batch that is delivered again after a failure changes nothing.
+Rules that change tables run per micro-batch under its number, so a batch that is delivered again after a failure leaves
+what it would have left the first time.
 """
 
 from __future__ import annotations
@@ -14,47 +14,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stockyard.dataset import Dataset
 from stockyard.functions.dates import month_of
 from stockyard.functions.money import sum_net
-from stockyard.operators.commands import STOCK_KEY, receive_inventory, reserve_for_sales
-from stockyard.session import materialize
-from stockyard.sources.store import SnapshotStore
+from stockyard.operators.commands import STOCK_KEY
+from stockyard.streaming.tables import LiveTables
 
-#: Tables to replace, and rows to add to tables.
-Step = Callable[[Dataset, DataFrame], tuple[dict[str, DataFrame], dict[str, DataFrame]]]
 ALL_NOW = {"availableNow": True}
-WAITING = "lines_without_order"
 
 
-def apply_once(store: SnapshotStore, stream: str, batch_id: int, batch: DataFrame, as_of: datetime, step: Step) -> bool:
-    """Apply a micro-batch to the published tables unless its number is already recorded.
-
-    Added rows cost a write of the batch; tables are replaced only where the step says so. If another writer publishes first, the
-    step runs again on what that one has published.
-    """
-    mark = f"stream_{stream}"
-
-    def once(current: dict) -> int | None:
-        if current["meta"].get(mark, -1) >= batch_id:
-            return None
-        tables, added = step(store.dataset(as_of, current), batch)
-        staged = store.stage(tables, current)
-        folders = {name: store.add(name, rows, stream, batch_id, current) for name, rows in added.items()}
-        return store.publish(staged, {mark: batch_id}, folders)
-
-    return store.retried(once) is not None
-
-
-def _run(
-    source: DataFrame, store: SnapshotStore, stream: str, checkpoint: str, clock: Callable[[], datetime], step: Step,
-    trigger: dict,
-) -> StreamingQuery:
-    def each(batch: DataFrame, batch_id: int) -> None:
-        apply_once(store, stream, batch_id, batch, clock(), step)
-
+def _run(source: DataFrame, name: str, checkpoint: str, each: Callable[[DataFrame, int], None], trigger: dict) -> StreamingQuery:
     return (
-        source.writeStream.queryName(stream)
+        source.writeStream.queryName(name)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .foreachBatch(each)
@@ -63,36 +33,22 @@ def _run(
 
 
 def reserve_stream(
-    lines: DataFrame, store: SnapshotStore, checkpoint: str, clock: Callable[[], datetime], trigger: dict = ALL_NOW
-) -> StreamingQuery:
+    lines: DataFrame, tables: LiveTables, orders: Callable[[], DataFrame], checkpoint: str, clock: Callable[[], datetime],
+    trigger: dict = ALL_NOW,
+) -> StreamingQuery:
     """New sales lines are stored and reserve stock at their order's warehouse.
 
-    A line that comes before its order waits for it, in a table of its own, and is tried again with every batch.
+    ``orders`` gives the sales orders known at the time of a batch. A line that comes before its order waits for it and is
+    tried again with every batch.
     """
-
-    def step(ds: Dataset, batch: DataFrame) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-        arrived = batch.select(*ds.sales_order_items.columns)
-        if store.has(WAITING):
-            arrived = arrived.unionByName(store.read(WAITING))
-        orders = ds.sales_orders.select("so_id")
-        known = materialize(arrived.join(orders, "so_id", "left_semi"))
-        early = arrived.join(orders, "so_id", "left_anti")
-        return {"inventory": reserve_for_sales(ds, known), WAITING: early}, {"sales_order_items": known}
-
-    return _run(lines, store, "reserve", checkpoint, clock, step, trigger)
+    return _run(lines, "reserve", checkpoint, lambda batch, number: tables.sell(number, batch, orders(), clock()), trigger)
 
 
 def receive_stream(
-    receipts: DataFrame, store: SnapshotStore, checkpoint: str, clock: Callable[[], datetime], trigger: dict = ALL_NOW
+    receipts: DataFrame, tables: LiveTables, checkpoint: str, clock: Callable[[], datetime], trigger: dict = ALL_NOW
 ) -> StreamingQuery:
     """Receipts raise stock, extend the ledger and complete purchase orders; rejects are kept."""
-
-    def step(ds: Dataset, batch: DataFrame) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-        changes = receive_inventory(ds, batch)
-        added = {**changes.appended, "receive_rejects": changes.rejects}
-        return {name: df for name, df in changes.tables.items() if name not in added}, added
-
-    return _run(receipts, store, "receive", checkpoint, clock, step, trigger)
+    return _run(receipts, "receive", checkpoint, lambda batch, number: tables.receive(number, batch, clock()), trigger)
 
 
 def negative_stock_stream(deltas: DataFrame, inventory: DataFrame) -> DataFrame:

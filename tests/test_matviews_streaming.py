@@ -1,6 +1,9 @@
 """Summaries (full = incremental) and streaming rules (stream = batch, replay = nothing)."""
 
-from datetime import date
+import random
+from collections import Counter
+from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +12,8 @@ from stockyard.operators.commands import receive_inventory, reserve_for_sales
 from stockyard.plans import matviews, serving, views
 from stockyard.sources.store import SnapshotStore
 from stockyard.sources.tpch import load_tpch
-from stockyard.streaming import rules
+from stockyard.streaming import guard, rules
+from stockyard.streaming.tables import LiveTables
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -81,40 +85,117 @@ def files(df, folder, parts):
     return folder
 
 
+def folders(path):
+    return {str(f.parent) for f in path.rglob("*.parquet")}
+
+
 def test_reserve_stream_equals_batch_and_replays_safely(spark, ds, tmp_path):
-    store = SnapshotStore(spark, str(tmp_path / "s"))
-    old = ds.sales_order_items.filter("so_item_id % 2 = 0")
+    tables = LiveTables(spark, str(tmp_path / "s"), 8)
+    tables.create(ds)
     new = ds.sales_order_items.filter("so_item_id % 2 = 1")
-    start = {"inventory": ds.inventory, "sales_orders": ds.sales_orders, "sales_order_items": old}
-    store.commit(start)
     folder = files(new, str(tmp_path / "in"), 3)
     source = spark.readStream.schema(new.schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    clock = lambda: ds.as_of
-    rules.reserve_stream(source, store, str(tmp_path / "cp"), clock).awaitTermination()
+    rules.reserve_stream(source, tables, lambda: ds.sales_orders, str(tmp_path / "cp"), lambda: ds.as_of).awaitTermination()
     expected = reserve_for_sales(ds, new)
-    assert same(store.read("inventory"), expected)
-    assert store.read("sales_order_items").count() == 6000
-    assert store.manifest()["meta"]["stream_reserve"] == 2
-    again = rules.apply_once(store, "reserve", 2, new, ds.as_of, lambda d, b: ({"inventory": d.inventory.limit(0)}, {}))
-    assert not again and same(store.read("inventory"), expected)
+    assert same(tables.inventory(), expected)
+    assert same(tables.sold_lines.rows(), new)
+    batches = [spark.read.schema(new.schema).parquet(f"{folder}/{f.name}") for f in sorted((tmp_path / "in").glob("*.parquet"))]
+    for batch in batches:  # the last batch comes again
+        if same(batch, tables.sold_lines.of(2)):
+            tables.sell(2, batch, ds.sales_orders, ds.as_of)
+    assert same(tables.inventory(), expected) and same(tables.sold_lines.rows(), new)
+
+
+def test_lines_wait_for_their_order(spark, ds, tmp_path):
+    tables = LiveTables(spark, str(tmp_path / "s"), 8)
+    tables.create(ds)
+    of = lambda *ids: ds.sales_order_items.filter(F.col("so_id").isin(*ids))
+    tables.sell(0, of(5, 6), ds.sales_orders.filter("so_id != 5"), ds.as_of)
+    assert same(tables.sold_lines.rows(), of(6)) and same(tables.waiting.of(0), of(5))
+    for _ in range(2):
+        tables.sell(1, of(7), ds.sales_orders, ds.as_of)
+        assert same(tables.sold_lines.rows(), of(5, 6, 7)) and tables.waiting.last(2).count() == 0
+        assert same(tables.inventory(), reserve_for_sales(ds, of(5, 6, 7)))
 
 
 def test_receive_stream_equals_batch(spark, ds, tmp_path):
-    store = SnapshotStore(spark, str(tmp_path / "s"))
-    names = ("purchase_orders", "purchase_order_items", "inventory", "inventory_movements")
-    store.commit({n: getattr(ds, n) for n in names})
+    tables = LiveTables(spark, str(tmp_path / "s"), 8)
+    tables.create(ds)
     commands = ds.purchase_order_items.filter("quantity_received < quantity_ordered").selectExpr(
         "po_item_id as command_id", "po_item_id", "quantity_ordered - quantity_received as quantity"
     )
+    commands = commands.unionByName(spark.createDataFrame([(10**12, 10**12, 5)], commands.schema))
     folder = files(commands, str(tmp_path / "in"), 2)
     source = spark.readStream.schema(commands.schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    rules.receive_stream(source, store, str(tmp_path / "cp"), lambda: ds.as_of).awaitTermination()
+    rules.receive_stream(source, tables, str(tmp_path / "cp"), lambda: ds.as_of).awaitTermination()
     batch = receive_inventory(ds, commands)
-    for name in ("purchase_orders", "purchase_order_items"):
-        assert same(store.read(name), batch.tables[name]), name
-    assert same(store.read("inventory").drop("inventory_id"), batch.tables["inventory"].drop("inventory_id"))
-    assert store.read("inventory_movements").count() == batch.tables["inventory_movements"].count()
-    assert store.read("receive_rejects").count() == 0
+    assert same(tables.purchase_orders.rows(), batch.tables["purchase_orders"])
+    assert same(tables.purchase_order_items.rows(), batch.tables["purchase_order_items"])
+    assert same(tables.inventory().drop("inventory_id"), batch.tables["inventory"].drop("inventory_id"))
+    assert tables.inventory().select("inventory_id").distinct().count() == tables.inventory().count()
+    moves, known = tables.movements.rows(), batch.appended["inventory_movements"]
+    assert same(moves.drop("movement_id"), known.drop("movement_id"))
+    assert {r[0] for r in moves.select("movement_id").collect()} == {r[0] for r in known.select("movement_id").collect()}
+    assert [tuple(r) for r in tables.rejects.rows().collect()] == [(10**12, "unknown purchase line")]
+
+
+def test_a_small_batch_writes_few_buckets_and_a_lost_one_comes_again(spark, ds, tmp_path):
+    tables = LiveTables(spark, str(tmp_path / "s"), 200)
+    tables.create(ds)
+    before = {name: len(folders(tmp_path / "s" / name)) for name in ("levels", "purchase_orders", "purchase_order_items")}
+    orders = [r[0] for r in ds.purchase_orders.select("po_id").orderBy("po_id").limit(3).collect()]
+    batch = ds.purchase_order_items.filter(F.col("po_id").isin(orders)).selectExpr(
+        "po_item_id as command_id", "po_item_id", "quantity_ordered as quantity"
+    )
+    tables.receive(0, batch, ds.as_of)
+    for name, n in before.items():
+        assert 0 < len(folders(tmp_path / "s" / name)) - n <= max(3, 0.1 * n), name
+    expected = receive_inventory(ds, batch)
+    state = tables.inventory().collect()
+    for gone in [f for f in folders(tmp_path / "s" / "levels") if "_version=1" in f][:2]:
+        Path(gone).rename(tmp_path / Path(gone).parent.name)  # only a part of the batch had been published
+    tables.receive(0, batch, ds.as_of)
+    assert Counter(map(repr, tables.inventory().collect())) == Counter(map(repr, state))
+    assert same(tables.purchase_order_items.rows(), expected.tables["purchase_order_items"])
+    plan = tables.levels.rows(buckets=[3, 4])._jdf.queryExecution().toString()
+    assert "2 paths" in plan
+
+
+def changes_by_force(rows, levels):
+    out, levels = [], dict(levels)
+    for change_id, at, product, warehouse, delta in sorted(rows, key=lambda r: (r[1], r[0])):
+        level = levels.get((product, warehouse))
+        good = level is not None and level + delta >= 0
+        if good:
+            levels[(product, warehouse)] = level = level + delta
+        out.append((change_id, good, level))
+    return Counter(out)
+
+
+@pytest.mark.parametrize("split", [1, 3])
+def test_guard_refuses_in_turn_whatever_the_files_and_after_a_restart(spark, tmp_path, split):
+    rng, start = random.Random(3), datetime(2020, 1, 1)
+    rows = [(i, start + timedelta(hours=i // 2), 1 + i % 3 % 2, 1 + i % 5 // 4, rng.choice([-4, -2, 3])) for i in range(120)]
+    rows += [(500, start + timedelta(hours=7), 9, 9, 1)]
+    levels = {(1, 1): 5, (2, 1): 0, (1, 2): 3}
+    schema = "change_id long, changed_at timestamp_ntz, product_id long, warehouse_id long, delta int"
+    stock = spark.createDataFrame([(*k, v) for k, v in levels.items()], "product_id long, warehouse_id long, quantity_on_hand int")
+    order = sorted(rows, key=lambda r: (r[1] + timedelta(hours=rng.randrange(20))))
+    folder, out, progress = (str(tmp_path / name) for name in ("in", "out", "cp"))
+    ends = [0, *(len(order) * k // (2 * split) for k in range(1, 2 * split + 1))]
+    for half in range(2):
+        for a, b in list(zip(ends, ends[1:]))[half * split : (half + 1) * split]:
+            spark.createDataFrame(order[a:b], schema).coalesce(1).write.mode("append").parquet(folder)
+        if half:
+            spark.createDataFrame([(None, datetime(2200, 1, 1), None, None, None)], schema).coalesce(1).write.mode("append").parquet(folder)
+        source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        query = guard.guard_stream(source, stock, out, progress, "2 days", slots=3)
+        query.awaitTermination()
+        assert rules.dropped_lines(query) == 0
+    got = guard.outcomes(spark, out).collect()
+    assert Counter((r.change_id, r.accepted, r.quantity_after) for r in got) == changes_by_force(rows, levels)
+    assert {r.reason for r in got} == {None, guard.BELOW_ZERO, guard.NO_ROW}
+    assert (tmp_path / "out" / "accepted=false").exists()  # refused ones lie apart
 
 
 def run_to_table(df, mode, name):

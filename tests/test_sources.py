@@ -120,28 +120,6 @@ def test_recent_sales_open_recent_months_only(spark, tmp_path):
         assert list(map(tuple, result.collect())) == list(map(tuple, plan(ds).collect()))
 
 
-def written(folder):
-    return sum(f.stat().st_size for f in folder.rglob("*.parquet"))
-
-
-def test_a_batch_writes_what_it_holds(spark, tmp_path):
-    ds = load_tpch(spark, SMALL)
-    store = SnapshotStore(spark, str(tmp_path / "s"))
-    store.commit({LEDGER: ds.inventory_movements.coalesce(1)})
-    before, total = written(tmp_path), store.read(LEDGER).count()
-    current = store.manifest()
-    few = ds.inventory_movements.limit(3).withColumn("movement_id", F.col("movement_id") + 10**12)
-    for _ in range(2):  # written twice, as after a failure
-        folder = store.add(LEDGER, few, "receive", 0, current)
-        assert store.read(LEDGER).count() == total  # not published yet
-    store.publish(store.stage({}, current), {"stream_receive": 0}, {LEDGER: folder})
-    store.add(LEDGER, few, "receive", 1, store.manifest())  # a later batch is not visible
-    assert store.read(LEDGER).count() == total + 3
-    assert written(tmp_path) - before < 0.2 * before
-    store.commit({LEDGER: store.read(LEDGER)})  # gathers what was added
-    assert store.read(LEDGER).count() == total + 3 and not store.manifest()["added"]
-
-
 def test_second_writer_of_a_version_fails(spark, tmp_path):
     store = SnapshotStore(spark, str(tmp_path / "s"))
     store.commit({"numbers": spark.range(3)})
@@ -161,26 +139,3 @@ def test_second_writer_of_a_version_fails(spark, tmp_path):
 
     assert store.retried(step) == 4 and tries == [2, 3]
     assert store.read("numbers").count() == 11 and store.has("other")
-
-
-def test_lines_wait_for_their_order(spark, tmp_path):
-    from stockyard.streaming import rules
-
-    ds = load_tpch(spark, SMALL)
-    store = SnapshotStore(spark, str(tmp_path / "s"))
-    late = ds.sales_orders.filter("so_id = 5")
-    store.commit({"inventory": ds.inventory, "sales_orders": ds.sales_orders.filter("so_id != 5"), "sales_order_items": ds.sales_order_items.limit(0)})
-    lines = ds.sales_order_items.filter("so_id in (5, 6)")
-
-    def stream(rows, folder):
-        rows.write.mode("append").parquet(str(tmp_path / "in"))
-        source = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
-        rules.reserve_stream(source, store, str(tmp_path / "cp"), lambda: ds.as_of).awaitTermination()
-
-    stream(lines, 0)
-    assert {r.so_id for r in store.read("sales_order_items").select("so_id").distinct().collect()} == {6}
-    assert {r.so_id for r in store.read(rules.WAITING).collect()} == {5}
-    store.commit({"sales_orders": store.read("sales_orders").unionByName(late)})
-    stream(ds.sales_order_items.filter("so_id = 7"), 1)
-    assert {r.so_id for r in store.read("sales_order_items").select("so_id").distinct().collect()} == {5, 6, 7}
-    assert store.read(rules.WAITING).count() == 0
