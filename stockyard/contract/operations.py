@@ -672,7 +672,22 @@ def ledger_quarter(ds: Dataset) -> DataFrame:
     return store.ledger_between(*quarter)
 
 
+def breaks_in_quotes(ds: Dataset) -> DataFrame:
+    """Products with line breaks and quotes in their names, written as text and read block by block."""
+    path = f"{_fresh_folder(ds)}/products"
+    rows = ds.products.withColumn("name", F.concat(F.replace("name", F.lit(" "), F.lit("\n")), F.lit('\n"second", line')))
+    save_csv(rows, path)
+    return read_csv(ds.spark, "products", path, ds.as_of, multi_line=True).select("product_id", "sku", "name", "unit_price")
+
+
 FILES = {
+    "s1_line_breaks_in_quotes": Entry(
+        breaks_in_quotes,
+        typed(
+            "product_id:i sku:s name:s unit_price:f",
+            """SELECT product_id, sku, replace(name, ' ', chr(10)) || chr(10) || '"second", line' AS name, unit_price FROM products""",
+        ),
+    ),
     "s1_csv_round_trip": Entry(
         csv_round_trip,
         typed(

@@ -13,6 +13,7 @@ from stockyard.functions.dates import instant
 from stockyard.operators.quality import validate
 from stockyard.schema import LOAD_ORDER, NOW, TABLES, Table
 from stockyard.session import require_conf
+from stockyard.sources.quoted_lines import records
 from stockyard.sources.store import SnapshotStore
 
 # Stands for a quoted empty field while an unquoted one is read as NULL.
@@ -24,21 +25,23 @@ def read_csv(spark: SparkSession, table: str, path: str, as_of: datetime, multi_
 
     An unquoted empty field is NULL, a quoted one is an empty text. Columns the file lacks take
     their default; a NULL that is written out stays NULL. The first bad value fails the job.
-    ``multi_line`` accepts line breaks inside quotes, at the price of one task per file.
+    ``multi_line`` accepts line breaks inside quotes, at the price of reading the text twice; a quote inside a field has to be
+    doubled and the field quoted.
     """
     require_conf(spark)
     spec = TABLES[table]
-    options = {"header": True, "multiLine": multi_line, "escape": '"'}
+    options = {"header": True, "escape": '"'}
     header = spark.read.options(**options).csv(path).columns
     unknown = [c for c in header if c not in spec.column_names]
     if unknown:
         raise ValueError(f"{path}: {table} has no columns {unknown}")
     schema = T.StructType([T.StructField(c, spec.column(c).type, True) for c in header])
-    rows = (
-        spark.read.schema(schema)
-        .options(**options, nullValue="", emptyValue=_QUOTED_EMPTY, mode="FAILFAST", enforceSchema=False)
-        .csv(path)
-    )
+    strict = {"escape": '"', "nullValue": "", "emptyValue": _QUOTED_EMPTY, "mode": "FAILFAST"}
+    if multi_line:
+        parsed = F.from_csv("record", schema.simpleString(), strict)
+        rows = records(spark, path).select(parsed.alias("row")).select("row.*")
+    else:
+        rows = spark.read.schema(schema).options(**strict, header=True, enforceSchema=False).csv(path)
     return rows.select(*[_loaded(spec, name, name in header, as_of) for name in spec.column_names])
 
 

@@ -1,7 +1,9 @@
 """CSV rules, versioned store, month-partitioned ledger."""
 
+import random
 from datetime import date, datetime
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,6 +49,57 @@ def test_csv_bad_value_or_column_aborts(spark, tmp_path):
         read_csv(spark, "product_categories", unknown, NOW)
 
 
+@pytest.fixture
+def tiny_blocks(spark):
+    names = {"spark.sql.files.maxPartitionBytes": "97", "spark.sql.files.openCostInBytes": "0"}
+    old = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in old.items():
+        spark.conf.set(name, value)
+
+
+def quoted(text):
+    return '"' + text.replace('"', '""') + '"'
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_line_breaks_in_quotes_read_by_many_tasks(spark, tmp_path, tiny_blocks, end):
+    rng = random.Random(end)
+    for file in range(3):
+        rows = []
+        for i in range(40):
+            name = "".join(rng.choice(['a', 'é', '\n', '"', ',', ' ', 'word', '\n\n']) for _ in range(rng.choice([0, 3, 9, 200])))
+            rows.append(f"{100 * file + i},{quoted('x' + name + 'y') if i % 4 else 'plain'},{rng.choice(['', '7'])}")
+        path = tmp_path / "in" / f"{file}.csv"
+        path.parent.mkdir(exist_ok=True)
+        path.write_text(f"category_id,name,parent_category_id{end}" + end.join([*rows[:20], "", *rows[20:]]) + end * (file % 2), newline="")
+    folder = str(tmp_path / "in")
+    got = read_csv(spark, "product_categories", folder, NOW, multi_line=True)
+    plain = spark.read.csv(folder, schema="category_id long, name string, parent_category_id long", header=True, multiLine=True, escape='"')
+    rows = sorted(map(repr, got.select("category_id", "name", "parent_category_id").collect()))
+    assert rows == sorted(map(repr, plain.collect())) and len(rows) == 120
+    size = sum(f.stat().st_size for f in Path(folder).glob("*.csv"))
+    assert spark.read.text(folder).rdd.getNumPartitions() >= size // 97
+
+
+def test_bad_quoted_files_fail(spark, tmp_path, tiny_blocks):
+    bad = write(tmp_path / "bad.csv", 'category_id,name\n1,"x\ny"\nxx,"y\nz"\n')
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        read_csv(spark, "product_categories", bad, NOW, multi_line=True).collect()
+    unclosed = write(tmp_path / "unclosed.csv", 'category_id,name\n1,"x\ny\n2,z\n')
+    with pytest.raises(ValueError, match="stay open in 1 files"):
+        read_csv(spark, "product_categories", unclosed, NOW, multi_line=True)
+    (tmp_path / "two").mkdir()
+    write(tmp_path / "two" / "a.csv", "category_id,name\n1,x\n")
+    write(tmp_path / "two" / "b.csv", "category_id,parent_category_id\n2,3\n")
+    with pytest.raises(Exception, match="different headers"):
+        read_csv(spark, "product_categories", str(tmp_path / "two"), NOW, multi_line=True).collect()
+    empty = write(tmp_path / "empty.csv", "category_id,name\n")
+    assert read_csv(spark, "product_categories", empty, NOW, multi_line=True).collect() == []
+
+
 def test_load_is_all_or_nothing(spark, tmp_path):
     ds = load_tpch(spark, SMALL)
     good, bad = tmp_path / "good", tmp_path / "bad"
