@@ -17,6 +17,7 @@ from stockyard.dataset import Dataset
 from stockyard.operators import commands, quality
 from stockyard.functions.dates import month_label
 from stockyard.plans import benchmarks, cases, customer, inventory, kpi, matviews, sales, serving, supplier, warehouse
+from stockyard.plans.deltas import LiveSummaries, difference
 from stockyard.schema import LOAD_ORDER, TABLES
 from stockyard.session import shared_folder
 from stockyard.sources.csv import as_dictionaries, load_folder, next_ids, read_csv, save_csv
@@ -759,6 +760,47 @@ def incremental_sales(ds: Dataset) -> DataFrame:
     return store.read("mv_monthly_sales")
 
 
+def earlier(ds: Dataset) -> Dataset:
+    """A state before inserts, changes and deletes of every kind that the kept summaries follow."""
+    orders, lines, stock = ds.purchase_orders, ds.purchase_order_items, ds.inventory
+    other = 10**12
+    gone = orders.filter("po_id % 9 = 4").withColumns({"po_id": F.col("po_id") + other, "status": F.lit("received")})
+    gone_lines = lines.filter("po_id % 9 = 4").withColumns({"po_id": F.col("po_id") + other, "po_item_id": F.col("po_item_id") + other})
+    status = F.when(F.col("po_id") % 11 == 0, "received").when(F.col("po_id") % 11 == 1, "pending").otherwise(F.col("status"))
+    return ds.replace(
+        purchase_orders=orders.filter("po_id % 7 <> 0").withColumn("status", status).unionByName(gone),
+        purchase_order_items=lines.filter("po_item_id % 5 <> 0")
+        .withColumn("quantity_received", F.expr("quantity_received + cast(po_item_id % 3 as int)"))
+        .unionByName(gone_lines),
+        inventory=stock.filter("product_id % 5 <> 0")
+        .withColumn("quantity_on_hand", F.expr("quantity_on_hand + cast(if(product_id % 3 = 0, 40, 0) as int)"))
+        .unionByName(stock.filter("product_id % 5 = 1").withColumns({"product_id": F.col("product_id") - 1, "inventory_id": F.col("inventory_id") + other}).filter("product_id > 0")),
+        products=ds.products.withColumns(
+            {"unit_cost": F.expr("cast(unit_cost + product_id % 4 as decimal(10,2))"), "reorder_level": F.expr("cast(reorder_level + product_id % 2 as int)")}
+        ),
+        employees=ds.employees.withColumn("warehouse_id", F.expr("if(employee_id % 6 = 0, warehouse_id % 25 + 1, warehouse_id)")),
+        sales_orders=ds.sales_orders.filter("so_id % 10 <> 3").withColumn("status", F.expr("if(so_id % 8 = 0, 'cancelled', status)")),
+        warehouses=ds.warehouses.filter("warehouse_id <> 4"),
+    )
+
+
+_FOLLOWED: WeakKeyDictionary[Dataset, LiveSummaries] = WeakKeyDictionary()
+
+
+def followed(ds: Dataset) -> LiveSummaries:
+    """The kept summaries after two changes, the second of which comes twice."""
+    if ds not in _FOLLOWED:
+        old, summaries = earlier(ds), LiveSummaries(ds.spark, _fresh_folder(ds), STREAM_BUCKETS)
+        summaries.create(old)
+        middle = old.replace(purchase_orders=ds.purchase_orders, inventory=ds.inventory, employees=ds.employees, warehouses=ds.warehouses)
+        first = difference(old, middle, "purchase_orders", "inventory", "employees", "warehouses")
+        second = difference(middle, ds, "purchase_order_items", "products", "sales_orders")
+        for version, before, after, changes in ((1, old, middle, first), (2, middle, ds, second), (2, middle, ds, second)):
+            summaries.apply(version, before, after, changes)
+        _FOLLOWED[ds] = summaries
+    return _FOLLOWED[ds]
+
+
 def _unlimited(name: str, plan) -> dict[str, Entry]:
     """A top list without its limit."""
     check = {**QUERIES, **BENCHMARKS}[name].check
@@ -789,6 +831,9 @@ WHOLE = {
     ),
     "mv2_inventory_snapshot_stored": Entry(_served("mv_inventory_snapshot"), SUMMARIES["mv2_inventory_snapshot"].check),
     "mv5_warehouse_summary_stored": Entry(_served("mv_warehouse_summary"), SUMMARIES["mv5_warehouse_summary"].check),
+    "mv2_inventory_snapshot_by_changes": Entry(lambda ds: followed(ds).inventory_snapshot(), SUMMARIES["mv2_inventory_snapshot"].check),
+    "mv3_supplier_metrics_by_changes": Entry(lambda ds: followed(ds).supplier_metrics(ds), SUMMARIES["mv3_supplier_metrics"].check),
+    "mv5_warehouse_summary_by_changes": Entry(lambda ds: followed(ds).warehouse_summary(ds), SUMMARIES["mv5_warehouse_summary"].check),
     "mv1_monthly_sales_incremental": Entry(incremental_sales, typed("month:d revenue:f order_count:i", _MONTHS)),
     "b1_dead_stock_stored": Entry(
         lambda ds: benchmarks.dead_stock(stored(ds, "inventory", "products", LEDGER)), BENCHMARKS["b1_dead_stock"].check

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stockyard.operators.commands import receive_inventory, reserve_for_sales
-from stockyard.plans import matviews, serving, views
+from stockyard.plans import deltas, matviews, serving, views
 from stockyard.sources.store import SnapshotStore
 from stockyard.sources.tpch import load_tpch
 from stockyard.streaming import guard, rules
@@ -72,6 +72,33 @@ def test_incremental_equals_full(spark, ds, tmp_path):
     assert same(store.read("mv_warehouse_summary"), matviews.warehouse_summary(ds))
 
 
+def test_summaries_follow_changes_and_write_what_they_touch(spark, ds, tmp_path):
+    summaries = deltas.LiveSummaries(spark, str(tmp_path / "live"), 50)
+    summaries.create(ds)
+    one = ds.inventory.filter("product_id = 7")
+    emptied = one.withColumn("quantity_on_hand", F.lit(0))
+    stock = ds.inventory.filter("product_id != 7")
+    later = ds.replace(inventory=stock.unionByName(emptied))
+    written = summaries.apply(1, ds, later, {"inventory": deltas.Change(one, emptied)})
+    assert len(written["mv_inventory_snapshot"]) == 1 and "mv_supplier_metrics" not in written
+    assert same(summaries.inventory_snapshot(), matviews.inventory_snapshot(later))
+    assert same(summaries.warehouse_summary(later), matviews.warehouse_summary(later))
+    last = later.replace(
+        inventory=stock,  # the rows go, those of a supplier's orders too
+        purchase_orders=ds.purchase_orders.filter("supplier_id != 3"),
+        suppliers=ds.suppliers,
+    )
+    gone = ds.purchase_orders.filter("supplier_id = 3")
+    changes = {"inventory": deltas.Change(emptied, emptied.limit(0)), "purchase_orders": deltas.Change(gone, gone.limit(0))}
+    for _ in range(2):
+        written = summaries.apply(2, later, last, changes)
+        assert len(written["mv_supplier_metrics"]) == 1
+        assert same(summaries.inventory_snapshot(), matviews.inventory_snapshot(last))
+        assert same(summaries.supplier_metrics(last), matviews.supplier_metrics(last))
+        assert same(summaries.warehouse_summary(last), matviews.warehouse_summary(last))
+    assert summaries.supplier_metrics(last).filter("supplier_id = 3").count() == 0 < summaries.supplier_metrics(ds).count()
+
+
 def test_duplicate_key_is_not_published(spark, ds, tmp_path):
     store = SnapshotStore(spark, str(tmp_path / "s"))
     twice = ds.replace(inventory=ds.inventory.unionByName(ds.inventory))
