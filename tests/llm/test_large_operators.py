@@ -313,6 +313,36 @@ def test_pages(spark):
     assert extract(spark, []) == {}
 
 
+def texts_in(markup):
+    return [text for mark, text in html_extraction.blocks_of(markup) if mark == html_extraction.IN]
+
+
+@pytest.mark.parametrize("name", ["post no-sidebar", "post has-comments", "main share-price", "withoutNav", "entry-content", "list-2 row"])
+def test_names_that_say_no_part_keep_it(name):
+    assert texts_in(f'<article class="{name}"><p>a</p></article>') == ["a"]
+    assert texts_in(f'<main><div id="{name}"><p>a</p></div></main>') == ["a"]
+
+
+@pytest.mark.parametrize("name", ["site-footer", "cookie-notice-box", "shareButtons", "comments-area", "Ad", "x nav-menu", "sidebar_2"])
+def test_names_of_parts_take_them_out(name):
+    assert texts_in(f'<article><p>a</p><div class="{name}"><p>b</p></div><p>c</p></article>') == ["a", "c"]
+
+
+def test_hidden_is_an_attribute_of_its_own():
+    kept = ['style="overflow:hidden"', 'data-x="hiddenfruit"', "class='post-body'", 'aria-hidden="false"', 'title="class=ad"']
+    assert [texts_in(f"<article><p {a}>a</p></article>") for a in kept] == [["a"]] * len(kept)
+    gone = ["hidden", 'hidden=""', "aria-hidden=true", "ARIA-HIDDEN='true'", "role=navigation"]
+    assert [texts_in(f"<article><div {a}>a</div><p>b</p></article>") for a in gone] == [["b"]] * len(gone)
+    assert texts_in('<article><h1 class="entry-header">t</h1><p>a</p></article><article class="comment-body"><p>b</p></article>') == ["t", "a"]
+
+
+def test_excluded_elements_end_with_their_parent():
+    assert texts_in("<article><p>a</p><div><nav><ul><li>b</div><p>c</p></article><p>d</p>") == ["a", "c"]
+    assert texts_in("<body><nav><ul><li>b</ul><article><p>c</p><aside>x</article><article><p>d</p></article>") == ["c", "d"]
+    assert texts_in("<article><div class=ad><div>x</div>y</div>z<p class=ad>q<p>r</p></article>") == ["z", "r"]
+    assert texts_in("<article><b><div class=ad></b>x</div>y</article>") == ["y"]
+
+
 def test_repeats_decide_without_an_article(spark):
     notice = "this site uses small files to remember what you like best of all"
     rows = [(i, f"https://h.com/{i}", f"<div>{notice}</div><div>{prose(i, 20)} {notice}</div><p>short{i}</p>") for i in range(6)]
