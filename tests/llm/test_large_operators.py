@@ -1,6 +1,7 @@
 """Joins, tokens, models, pages and packing against brute force and on odd input."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -352,26 +353,64 @@ def test_repeats_decide_without_an_article(spark):
     assert got[9].text == notice and got[0].n_repeated == 2 * len(notice.split())
 
 
-def test_repeats_equal_brute_force():
-    rng = np.random.default_rng(3)
-    for _ in range(30):
-        streams = [rng.integers(0, 3, rng.integers(0, 40)).astype(np.uint64) for _ in range(5)]
-        where = defaultdict(set)
-        for s, stream in enumerate(streams):
-            for i in range(len(stream) - 5):
-                where[tuple(stream[i : i + 6])].add(s)
-        for stream, flag in zip(streams, html_extraction.repeated(streams, 6)):
-            want = np.zeros(len(stream), dtype=bool)
-            for i in range(len(stream) - 5):
-                if len(where[tuple(stream[i : i + 6])]) > 1:
-                    want[i : i + 6] = True
-            assert (flag == want).all()
-
-
-def test_hot_hosts_span_shares(spark):
+def texts_by_force(rows, long=8):
+    """Open texts by the definition, with whole runs in place of hashes."""
+    pages = [(r[0], r[1].split("/")[2], [t for _, t in html_extraction.blocks_of(r[2])], r[2]) for r in rows]
+    where = defaultdict(set)
+    for _, host, texts, content in pages:
+        words = " ".join(texts).split(" ")
+        for i in range(len(words) - long + 1):
+            where[(host, *words[i : i + long])].add(content)
+    out = {}
+    for page_id, host, texts, _ in pages:
+        words = " ".join(texts).split(" ")
+        gone = [False] * len(words)
+        for i in range(len(words) - long + 1):
+            if len(where[(host, *words[i : i + long])]) > 1:
+                gone[i : i + long] = [True] * long
+        left, at = [], 0
+        for text in texts:
+            n = len(text.split(" "))
+            left.append(" ".join(w for w, g in zip(words[at : at + n], gone[at : at + n]) if not g))
+            at += n
+        out[page_id] = "\n".join(t for t in left if t)
+    return out
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_repeats_equal_brute_force_whatever_the_partitions(spark, parts):
+    rng = random.Random(3)
+    phrases = [" ".join(rng.choice("abc") for _ in range(rng.randint(4, 14))) for _ in range(8)]
+    rows = []
+    for i in range(60):
+        blocks = [rng.choice(phrases) if rng.random() < 0.6 else prose(i, rng.randint(1, 9)) for _ in range(rng.randint(1, 5))]
+        rows.append((i, f"http://h{i % 3}/{i}", "".join(f"<p>{b}</p>" for b in blocks)))
+    rows.append((100, "http://h0/copy", rows[0][2]))  # a copy makes nothing boilerplate
+    rng.shuffle(rows)
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(parts)
+    got = {r.page_id: r.text for r in html_extraction.extracted(pages).collect()}
+    assert got == texts_by_force(rows) and got[100] == got[0]
+
+
+def test_repetition_decides_inside_articles(spark):
+    notice = "you read this because people like you pay for our small newsroom every month"
+    quoted = "to be or not to be that is the question asked here"
+    rows = [(i, f"http://h/{i}", f"<article><p>{prose(i, 20)}</p><p>{notice}</p><p>thanks all</p></article>") for i in range(20)]
+    rows += [(20 + i, f"http://h/{20 + i}", f"<article><p>{quoted}</p><p>{prose(50 + i, 20)}</p></article>") for i in range(12)]
+    rows += [(50 + i, f"http://few/{i}", f"<article><p>{notice}</p></article><p>{i}</p>") for i in range(10)]
+    rows += [(70 + i, "http://copies/", f"<article><p>{quoted}</p></article>") for i in range(40)]
+    for parts in (1, 9):
+        pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(parts)
+        got = {r.page_id: r for r in html_extraction.extracted(pages).collect()}
+        assert all(got[i].text == f"{prose(i, 20)}\nthanks all" and got[i].n_repeated == 14 for i in range(20))  # on 20 of 32 pages
+        assert all(got[20 + i].text == f"{quoted}\n{prose(50 + i, 20)}" for i in range(12))  # on 12 of 32
+        assert all(got[50 + i].text == notice for i in range(10)) and all(got[70 + i].text == quoted for i in range(40))
+
+
+def test_hot_hosts(spark):
     rows = [(i, "http://hot/", page(f"<article><p>{prose(i, 30)}</p></article>")) for i in range(200)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
-    got = {r.page_id: r.text for r in html_extraction.extracted(pages, share=2_000).collect()}
+    got = {r.page_id: r.text for r in html_extraction.extracted(pages).collect()}
     assert got == {i: prose(i, 30) for i in range(200)}
 
 
