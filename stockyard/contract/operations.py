@@ -23,7 +23,7 @@ from stockyard.session import shared_folder
 from stockyard.sources.csv import as_dictionaries, load_folder, next_ids, read_csv, save_csv
 from stockyard.sources.store import LEDGER, LINES, ORDERS, SnapshotStore, repartition_ledger
 from stockyard.sources.tpch import SOURCE_SCHEMAS
-from stockyard.streaming import guard, rules
+from stockyard.streaming import guard, movements, rules
 from stockyard.streaming.tables import LiveTables
 
 
@@ -482,6 +482,47 @@ def guarded_transfers(ds: Dataset) -> DataFrame:
     return guard.outcomes(ds.spark, f"{root}/outcomes").select("change_id", "accepted", "quantity_after", "reason")
 
 
+def change_log(ds: Dataset) -> dict[str, DataFrame]:
+    """Every order, line and transfer as rows with the time of a change: sales are told to be shipped and again to be delivered,
+    a third of the lines of purchases are known only after their receipt, and every row comes twice."""
+
+    def at(rows: DataFrame, when: str) -> DataFrame:
+        return rows.withColumn("changed_at", F.expr(f"cast({when} as timestamp_ntz)"))
+
+    def logged(rows: DataFrame) -> DataFrame:
+        twice = rows.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
+        return twice.withColumn("delivered_at", F.expr(f"changed_at + make_dt_interval(cast(pmod(xxhash64({rows.columns[0]}, copy, 7), 20) as int))")).drop("copy")
+
+    sales, purchases = ds.sales_orders, ds.purchase_orders
+    ordered = sales.select("so_id", F.col("order_date").alias("on"))
+    bought = purchases.select("po_id", F.coalesce(F.expr("if(po_id % 3 = 0, date_add(actual_delivery_date, 2), null)"), "order_date").alias("on"))
+    told = at(sales.filter("status = 'delivered'").withColumn("status", F.lit("shipped")), "ship_date")
+    later = at(sales, "if(status = 'delivered', date_add(ship_date, 3), coalesce(ship_date, order_date))")
+    return {
+        "purchase_orders": logged(at(purchases, "coalesce(actual_delivery_date, order_date)")),
+        "purchase_order_items": logged(at(ds.purchase_order_items.join(bought, "po_id"), "on").drop("on")),
+        "sales_orders": logged(told.unionByName(later)),
+        "sales_order_items": logged(at(ds.sales_order_items.join(ordered, "so_id"), "on").drop("on")),
+        "stock_transfers": logged(at(ds.stock_transfers, "transfer_date")),
+    }
+
+
+def streamed_ledger(ds: Dataset, parts: int = 3) -> DataFrame:
+    """The ledger from the change log, delivered out of order in parts; the stream is started anew for each part."""
+    root, log = _fresh_folder(ds), change_log(ds)
+    first, last = log["sales_orders"].agg(F.min("delivered_at"), F.max("delivered_at")).first()
+    edges = [first + (last - first) * n / parts for n in range(1, parts)]
+    for part in range(parts):
+        streams = {}
+        for name, rows in log.items():
+            after = F.lit(True) if part == 0 else F.col("delivered_at") >= F.lit(edges[part - 1])
+            until = F.lit(True) if part == parts - 1 else F.col("delivered_at") < F.lit(edges[part])
+            rows.filter(after & until).drop("delivered_at").write.mode("append").parquet(f"{root}/{name}")
+            streams[name] = ds.spark.readStream.schema(rows.drop("delivered_at").schema).parquet(f"{root}/{name}")
+        movements.movement_stream(streams, f"{root}/ledger", f"{root}/progress", "45 days", "60 days").awaitTermination()
+    return movements.ledger(ds.spark, f"{root}/ledger")
+
+
 # One change of each product and warehouse after the other; NULL is a pair without a stock row.
 _CHANGES_IN_TURN = recursive(
     typed(
@@ -523,6 +564,7 @@ STREAMS = {
         ),
     ),
     "tinv_guard_stream": Entry(guarded_transfers, _CHANGES_IN_TURN),
+    "l5_ledger_stream": Entry(streamed_ledger, QUERIES["l5_ledger"].check),
     "tpo_receive_stream": Entry(
         lambda ds: received(ds).purchase_orders.rows().select("po_id", "status", "actual_delivery_date"),
         COMMANDS["tpo_purchase_completion"].check,
