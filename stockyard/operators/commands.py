@@ -6,7 +6,7 @@ the appended rows and the rejected commands. A command is applied whole or not a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -18,7 +18,7 @@ from pyspark.sql.types import TimestampNTZType
 from stockyard.dataset import Dataset
 from stockyard.functions.dates import day, instant
 from stockyard.operators.ids import assign_ids
-from stockyard.operators.positions import SLOT, place, with_running_sums
+from stockyard.operators.positions import SLOT, place
 from stockyard.operators.quality import with_defaults
 from stockyard.session import materialize
 
@@ -174,8 +174,6 @@ def complete_purchase_orders(ds: Dataset, items: DataFrame, touched: DataFrame)
 
 # --- transfers -------------------------------------------------------------------------------
 
-_LEG_ORDER = ["phase", "command_ts", "command_id"]
-
 
 def transfer_stock(ds: Dataset, commands: DataFrame) -> Changes:
     """Transfers (command_id, command_ts, product_id, from_warehouse_id, to_warehouse_id, quantity,
@@ -184,13 +182,8 @@ def transfer_stock(ds: Dataset, commands: DataFrame) -> Changes:
     valid, rejected = _static_transfer_checks(ds, commands)
     placed = place(valid, *[F.col(c).asc() for c in ("product_id", "command_ts", "command_id")])
     placed = placed.select(*valid.columns, SLOT, F.lit(False).alias("accepted"))
-    needed = placed.select(
-        "product_id", F.explode(F.array("from_warehouse_id", "to_warehouse_id")).alias("warehouse_id")
-    ).distinct()
-    free = ds.inventory.select(
-        *STOCK_KEY, (F.col("quantity_on_hand") - F.col("quantity_reserved")).cast("bigint").alias("free")
-    ).join(needed, STOCK_KEY, "left_semi")
-    done = materialize(_settle(placed, materialize(free)))
+    free = ds.inventory.select(*STOCK_KEY, (F.col("quantity_on_hand") - F.col("quantity_reserved")).cast("bigint").alias("free"))
+    done = materialize(_settle(placed, free.join(placed.select("product_id").distinct(), "product_id", "left_semi")))
     short = done.filter("not accepted").select("command_id", F.lit("insufficient stock").alias("reason"))
     done = done.filter("accepted").drop(SLOT)
     rejects = rejected.unionByName(short)
@@ -251,62 +244,91 @@ def _static_transfer_checks(ds: Dataset, commands: DataFrame) -> tuple[DataFrame
     return valid, checked.filter("reason is not null").select("command_id", "reason")
 
 
-def _settle(opened: DataFrame, free: DataFrame) -> DataFrame:
+def _settle(placed: DataFrame, free: DataFrame) -> DataFrame:
     """All commands with their outcome in ``accepted``. Products are independent.
 
-    Commands lie in slots by (product, time, id). A round works off, for every product, the first
-    slot that still holds an open command, command by command from the exact stock at its start;
-    then the commands behind it are bracketed. So rounds are at most the slots one product spans
-    (one for most), whatever the commands do, and no task holds more than one slot of a product.
+    Commands lie in slots by (product, time, id). What a slot does is a function of the stock it opens with: its outcome holds
+    for a range of opening levels at each warehouse and changes beyond. Products within one slot open with the stock at hand;
+    the slots of the others get the levels that ``_openings`` finds. Then every slot is settled at once, in one pass.
     """
-    finished: list[DataFrame] = []
-    while True:
-        first = opened.filter("not accepted").groupBy("product_id").agg(F.min(SLOT).alias("first"))
-        waiting = materialize(opened.join(first, "product_id"))
-        if waiting.isEmpty():
-            return reduce(DataFrame.unionByName, finished, opened)
-        moved = waiting.filter(F.col("accepted") & (F.col(SLOT) < F.col("first"))).select(
-            "product_id", F.inline(F.array(_flow("from_warehouse_id", -1), _flow("to_warehouse_id", 1)))
-        )
-        opening = free.unionByName(moved).groupBy(*STOCK_KEY).agg(F.sum("free").alias("free"))
-        opening = opening.join(first.select("product_id"), "product_id", "left_semi")
-        folded = materialize(_fold(waiting.filter(F.col(SLOT) == F.col("first")).drop("first"), opening))
-        finished.append(folded.filter("not accepted"))
-        behind = waiting.filter(F.col(SLOT) != F.col("first")).drop("first")
-        live, over = _still_open(folded.filter("accepted").unionByName(behind), behind)
-        finished.append(over)
-        opened = materialize(live)
-        if not opened.isEmpty():
-            judged = materialize(_judge(opened, free))
-            finished.append(judged.filter("verdict = 'short'").drop("verdict"))
-            kept = judged.filter("verdict != 'short'").withColumn("accepted", F.expr("verdict = 'enough'")).drop("verdict")
-            live, over = _still_open(kept, kept)
-            finished.append(over)
-            opened = materialize(live)
+    touched = placed.select(
+        "product_id", SLOT, F.explode(F.array("from_warehouse_id", "to_warehouse_id")).alias("warehouse_id")
+    )
+    touched = materialize(touched.groupBy("product_id", SLOT, "warehouse_id").agg(F.count("*").alias("uses")))
+    spans = touched.groupBy("product_id").agg((F.max(SLOT) > F.min(SLOT)).alias("spans"))
+    touched = touched.drop("uses").join(spans, "product_id")
+    first = touched.filter("not spans").join(free, STOCK_KEY).select("product_id", SLOT, "warehouse_id", "free")
+    shared = materialize(touched.filter("spans").drop("spans"))
+    if not shared.isEmpty():
+        many = placed.join(shared.select("product_id").distinct(), "product_id", "left_semi")
+        first = first.unionByName(_openings(many, shared, free))
+    return _fold(placed, first, placed.schema, _outcomes(placed.columns))
 
 
-def _flow(warehouse: str, sign: int) -> Column:
-    return F.struct(F.col(warehouse).alias("warehouse_id"), (F.col("quantity").cast("bigint") * sign).alias("free"))
+_SUMMARY = f"product_id bigint, {SLOT} bigint, warehouse_id bigint, flow bigint, low bigint, high bigint"
+_OPENING = f"product_id bigint, {SLOT} bigint, warehouse_id bigint, free bigint, known boolean"
 
 
-def _still_open(commands: DataFrame, among: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Commands of products with an open command in ``among``, and those of the others."""
-    products = among.filter("not accepted").select("product_id").distinct()
-    return commands.join(products, "product_id", "left_semi"), commands.join(products, "product_id", "left_anti")
+def _openings(commands: DataFrame, touched: DataFrame, free: DataFrame) -> DataFrame:
+    """The level at each warehouse with which each slot opens, for products that span several slots.
 
+    A round walks through slots side by side and tells, for each warehouse, what flows and the range of opening levels for which
+    it would be the same. Ranges of all rounds are kept and composed over a product's slots; only slots that open outside
+    the ranges known of them are walked again. With every round the first of these comes right, so rounds are at most
+    the slots of a product; it takes as many as slots have ranges that matter, mostly two or three.
+    """
+    key = ["product_id", SLOT]
+    pieces = touched.join(free.withColumnRenamed("free", "before"), STOCK_KEY, "left")
+    summaries = commands.sparkSession.createDataFrame([], f"{_SUMMARY}, version int")
+    version = 0
+    while True:
+        told = pieces.join(summaries, [*key, "warehouse_id"], "left").fillna(-1, ["version"]).fillna(0)
+        opening = materialize(told.groupBy("product_id").applyInPandas(_composed, _OPENING))
+        wrong = opening.filter("not known")
+        if wrong.isEmpty():
+            return opening.drop("known")
+        asked = commands.join(wrong.select(*key).distinct(), key, "left_semi")
+        walked = _fold(asked, wrong.drop("known"), _SUMMARY, _summaries)
+        summaries = materialize(summaries.unionByName(walked.withColumn("version", F.lit(version))).repartition("product_id"))
+        version += 1
 
-def _fold(commands: DataFrame, opening: DataFrame) -> DataFrame:
-    """One slot of each product: its commands in order against the running stock.
 
-    A task streams its products one after the other and remembers the stock of one product only.
+def _composed(told: pd.DataFrame) -> pd.DataFrame:
+    """One product's slots in order, each by the range its opening lies in; where none is known the latest flows stand in.
+
+    Rows are slots times warehouses times ranges, however many commands there are.
+    """
+    levels: dict[int, int] = {}
+    out = []
+    for (product, slot), piece in told.groupby(["product_id", SLOT], sort=True):
+        for warehouse, before in zip(piece["warehouse_id"].tolist(), piece["before"].tolist()):
+            levels.setdefault(warehouse, before)
+        opening = {w: levels[w] for w in piece["warehouse_id"].tolist()}
+        known, flows = False, {}
+        for _, rows in piece[piece["version"] >= 0].groupby("version", sort=True):
+            flows = dict(zip(rows["warehouse_id"].tolist(), rows["flow"].tolist()))
+            ranges = zip(rows["warehouse_id"].tolist(), rows["low"].tolist(), rows["high"].tolist())
+            if all(low <= opening[w] <= high for w, low, high in ranges):
+                known = True
+                break
+        out += [(product, slot, w, level, known) for w, level in opening.items()]
+        for warehouse, flow in flows.items():
+            levels[warehouse] += flow
+    return pd.DataFrame(out, columns=["product_id", SLOT, "warehouse_id", "free", "known"])
+
+
+def _fold(commands: DataFrame, opening: DataFrame, schema, walk: Callable) -> DataFrame:
+    """Slots side by side, the commands of each in order behind its opening levels, handed to ``walk``.
+
+    A task streams its slots one after the other and remembers the levels of one only.
     """
-    columns = commands.columns
     blank = {f.name: F.lit(0).cast(f.dataType) for f in commands.schema.fields if f.dataType != TimestampNTZType()}
-    stock = opening.select(*STOCK_KEY, "free").withColumns(
+    stock = opening.select("product_id", SLOT, "warehouse_id", "free").withColumns(
         {
             **blank,
             "accepted": F.lit(False),
             "product_id": F.col("product_id"),
+            SLOT: F.col(SLOT),
             "from_warehouse_id": F.col("warehouse_id"),
             "phase": F.lit(0),
         }
@@ -314,80 +336,74 @@ def _fold(commands: DataFrame, opening: DataFrame) -> DataFrame:
     asked = commands.withColumns({"free": F.lit(0).cast("bigint"), "phase": F.lit(1)})
     queue = (
         asked.unionByName(stock.drop("warehouse_id"), allowMissingColumns=True)
-        .repartition("product_id")
-        .sortWithinPartitions("product_id", "phase", "command_ts", "command_id")
+        .repartition("product_id", SLOT)
+        .sortWithinPartitions("product_id", SLOT, "phase", "command_ts", "command_id")
     )
+    return queue.mapInPandas(walk, schema)
+
+
+_STEP = ("product_id", SLOT, "phase", "from_warehouse_id", "to_warehouse_id", "quantity", "free")
+
 
+def _outcomes(columns: list[str]) -> Callable:
     def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        product, left = None, {}
+        key, left = None, {}
         for batch in batches:
             verdicts = []
-            fields = ("product_id", "phase", "from_warehouse_id", "to_warehouse_id", "quantity", "free", "accepted")
-            for current, phase, source, target, quantity, stock, settled in zip(*(batch[f] for f in fields)):
-                if current != product:
-                    product, left = current, {}
+            for product, slot, phase, source, target, quantity, stock in zip(*(batch[f].tolist() for f in _STEP)):
+                if (product, slot) != key:
+                    key, left = (product, slot), {}
                 if phase == 0:
                     left[source] = stock
                     verdicts.append(False)
                     continue
-                enough = settled or left.get(source, 0) >= quantity
+                enough = left.get(source, 0) >= quantity
                 if enough:
-                    left[source] = left.get(source, 0) - quantity
+                    left[source] -= quantity
                     left[target] = left.get(target, 0) + quantity
                 verdicts.append(enough)
             yield batch.assign(accepted=verdicts).loc[batch["phase"] == 1, columns]
 
-    return queue.mapInPandas(settle, commands.schema)
+    return settle
 
 
-def _judge(opened: DataFrame, free: DataFrame) -> DataFrame:
-    """Verdict of each command: enough, short or open.
+_NO_BOUND = 1 << 62
 
-    The stock a command finds is at least what remains if all open earlier commands drain it and
-    none fills it, at most the reverse. A command outside this bracket is settled.
+
+def _summaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of each slot and warehouse: the flow, and the least and highest opening level with which every outcome is the same.
+
+    While outcomes stay, a level that opens higher is higher by as much at every command: accepted ones bound how far
+    it may fall, refused ones how far it may rise.
     """
-    command = F.struct(*opened.columns)
-    quantity = F.col("quantity").cast("bigint")
-    nothing = F.lit(0).cast("bigint")
-    if_settled = F.when(F.col("accepted"), quantity).otherwise(nothing)
-    drain = F.struct(
-        F.col("from_warehouse_id").alias("warehouse_id"),
-        (-quantity).alias("low"),
-        (-if_settled).alias("high"),
-        command.alias("command"),
-    )
-    fill = F.struct(
-        F.col("to_warehouse_id").alias("warehouse_id"),
-        if_settled.alias("low"),
-        quantity.alias("high"),
-        F.lit(None).cast(opened.select(command.alias("c")).schema["c"].dataType).alias("command"),
-    )
-    legs = opened.select(
-        "product_id", F.lit(1).alias("phase"), "command_ts", "command_id", F.inline(F.array(drain, fill))
-    )
-    blank = {f.name: f.dataType for f in legs.schema.fields}
-    opening = free.select(
-        "product_id",
-        F.lit(0).alias("phase"),
-        F.lit(None).cast(blank["command_ts"]).alias("command_ts"),
-        F.lit(None).cast(blank["command_id"]).alias("command_id"),
-        "warehouse_id",
-        F.col("free").alias("low"),
-        F.col("free").alias("high"),
-        F.lit(None).cast(blank["command"]).alias("command"),
-    )
-    flows = with_running_sums(legs.unionByName(opening), STOCK_KEY, _LEG_ORDER, ["low", "high"])
-    verdict = (
-        F.when(F.col("accepted") | (F.col("low_before") >= F.col("quantity")), "enough")
-        .when(F.col("high_before") < F.col("quantity"), "short")
-        .otherwise("open")
-    )
-    return (
-        flows.filter("command is not null")
-        .select("command.*", "low_before", "high_before")
-        .withColumn("verdict", verdict)
-        .drop("low_before", "high_before")
-    )
+    names = ["product_id", SLOT, "warehouse_id", "flow", "low", "high"]
+    key, start, left, fall, rise = None, {}, {}, {}, {}
+
+    def told() -> list[tuple]:
+        return [
+            (*key, w, left[w] - begun, max(begun - fall[w], -_NO_BOUND) if w in fall else -_NO_BOUND,
+             begun + rise[w] - 1 if w in rise else _NO_BOUND)
+            for w, begun in start.items()
+        ]
+
+    for batch in batches:
+        rows = []
+        for product, slot, phase, source, target, quantity, stock in zip(*(batch[f].tolist() for f in _STEP)):
+            if (product, slot) != key:
+                rows += told()
+                key, start, left, fall, rise = (product, slot), {}, {}, {}, {}
+            if phase == 0:
+                start[source] = left[source] = stock
+                continue
+            spare = left[source] - quantity  # every warehouse of a slot has an opening here
+            if spare >= 0:
+                left[source] = spare
+                left[target] += quantity
+                fall[source] = min(spare, fall.get(source, spare))
+            else:
+                rise[source] = min(-spare, rise.get(source, -spare))
+        yield pd.DataFrame(rows, columns=names)
+    yield pd.DataFrame(told(), columns=names)
 
 
 # --- purchase orders -------------------------------------------------------------------------
