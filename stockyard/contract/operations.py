@@ -4,22 +4,26 @@ from __future__ import annotations
 
 import re
 import uuid
+from datetime import date
 from functools import reduce
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stockyard.contract.fixture_sql import mean, typed, with_tables
 from stockyard.contract.queries import ENTRIES as QUERIES
 from stockyard.contract.queries import LEDGER_COLUMNS, LTV, NOW, PERFORMANCE, UTILIZATION, Entry, recursive
 from stockyard.dataset import Dataset
-from stockyard.operators import commands, quality
+from stockyard.operators import appends, commands, quality
 from stockyard.functions.dates import month_label
 from stockyard.plans import benchmarks, cases, customer, inventory, kpi, matviews, sales, serving, supplier, warehouse
+from stockyard.plans import distincts
 from stockyard.plans.deltas import LiveSummaries, difference
 from stockyard.schema import LOAD_ORDER, TABLES
 from stockyard.session import shared_folder
+from stockyard.sources.buckets import Batches
 from stockyard.sources.csv import as_dictionaries, load_folder, next_ids, read_csv, save_csv
 from stockyard.sources.store import LEDGER, LINES, ORDERS, SnapshotStore, repartition_ledger
 from stockyard.sources.tpch import SOURCE_SCHEMAS
@@ -544,7 +548,41 @@ _CHANGES_IN_TURN = recursive(
 )
 
 
+def late_daily_revenue(ds: Dataset) -> DataFrame:
+    """Revenue of days in update mode, state dropped behind the watermark: after the lines in order of time, a tenth of them once
+    more, too late for a day that has gone. The last row of a day holds; ``too_late`` tells whether lines were left out."""
+    root = _fresh_folder(ds)
+    dated = ds.sales_orders.select("so_id", F.col("order_date").cast("timestamp_ntz").alias("ordered_at"))
+    lines = ds.sales_order_items.join(dated, "so_id")
+    last = lines.agg(F.max("ordered_at")).scalar()
+    days = Batches(ds.spark, f"{root}/days", T.StructType.fromDDL("order_date date, revenue decimal(38,6)"))
+    late = lines.filter((F.col("so_item_id") % 10 == 0) & (F.col("ordered_at") < last - F.expr("interval 30 days")))
+    dropped = 0
+    for number, part in enumerate((lines, late)):
+        part.write.mode("append").parquet(f"{root}/lines")
+        stream = ds.spark.readStream.schema(lines.schema).parquet(f"{root}/lines")
+        query = (
+            rules.live_daily_revenue(stream, ds.sales_orders)
+            .writeStream.outputMode("update")
+            .option("checkpointLocation", f"{root}/progress")
+            .trigger(availableNow=True)
+            .foreachBatch(lambda batch, n: days.put(n, batch))
+            .start()
+        )
+        query.awaitTermination()
+        dropped += rules.dropped_lines(query)
+    newest = days.rows_by_number().groupBy("order_date").agg(F.max_by("revenue", "number").alias("revenue"))
+    return newest.withColumn("too_late", F.lit(dropped > 0))
+
+
 STREAMS = {
+    "tmv_daily_revenue_update_mode": Entry(
+        late_daily_revenue,
+        typed(
+            "order_date:d revenue:f too_late:b",
+            "SELECT order_date, sum(net) AS revenue, true AS too_late FROM live_sale GROUP BY order_date",
+        ),
+    ),
     "tmv_monthly_revenue_stream": Entry(
         lambda ds: _caught_up(ds, rules.live_monthly_revenue(_ordered_lines(ds), ds.sales_orders), "live_months"),
         typed("month:d revenue:f", "SELECT month, revenue FROM monthly"),
@@ -676,7 +714,90 @@ def _report(ds: Dataset) -> DataFrame:
 
 _REPORT_COLUMNS = "table_name:s rule:s kind:s violations:i sample_key:s"
 
+APPENDED = ("sales_order_items", "employees", "products")
+
+
+def appended_report(ds: Dataset) -> DataFrame:
+    """A tenth of three tables appended with shifted values, checked against the keys on record of the rest."""
+    parts = []
+    for name in APPENDED:
+        book, spec = appends.KeyBook(ds.spark, f"{_fresh_folder(ds)}/keys"), TABLES[name]
+        batch_row = F.col(spec.id_column) % 10 == 3
+        rows = getattr(ds, name)
+        kept = ds.replace(**{name: rows.filter(~batch_row)})
+        halves = F.col(spec.id_column) % 2 == 0
+        for number, half in enumerate((halves, ~halves)):
+            book.record(name, getattr(kept, name).filter(half), number)
+        for parent in {fk.table for fk in spec.foreign_keys} - {name}:
+            book.record(parent, getattr(kept, parent))
+        batch = getattr(damaged(ds.replace(**{name: rows.filter(batch_row)})), name)
+        parts.append(appends.check_append(kept, name, batch, book).withColumnRenamed("table", "table_name"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _appended_sql() -> str:
+    """The whole report of the three tables with their batches in them."""
+    damage = {name: _DAMAGE[name] for name in APPENDED}
+    known = ", ".join(f"'{name}'" for name in APPENDED)
+    return typed(
+        _REPORT_COLUMNS,
+        f"SELECT * FROM ({_rule_sql(damage)}) AS every_rule WHERE table_name IN ({known})",
+        **{
+            f"damaged_{name}": f"SELECT * FROM {name} WHERE {TABLES[name].id_column} % 10 <> 3 "
+            f"UNION ALL ({select} FROM {name} WHERE {TABLES[name].id_column} % 10 = 3)"
+            for name, select in damage.items()
+        },
+    )
+
+
+# What an absent column holds after an append, as the model states it.
+DEFAULTS = {
+    "products": {"reorder_level": 10, "reorder_qty": 50},
+    "purchase_orders": {"status": "pending"},
+    "purchase_order_items": {"quantity_received": 0},
+    "sales_orders": {"status": "pending"},
+    "sales_order_items": {"discount_pct": 0},
+    "inventory": {"quantity_on_hand": 0, "quantity_reserved": 0},
+    "stock_transfers": {"status": "pending"},
+}
+NOW_COLUMNS = {
+    "warehouses": "created_at", "suppliers": "created_at", "employees": "created_at", "products": "created_at", "customers": "created_at",
+    "purchase_orders": "created_at", "sales_orders": "created_at", "inventory": "last_updated", "inventory_movements": "movement_date",
+}
+
+
+def appended_defaults(ds: Dataset) -> DataFrame:
+    """Rows of every table appended without the columns that have a default, and what these hold then."""
+    parts = []
+    for name, spec in TABLES.items():
+        filled = [c.name for c in spec.columns if c.default is not None]
+        if not filled:
+            continue
+        rows = quality.with_defaults(name, getattr(ds, name).drop(*filled), ds)
+        values = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in filled]
+        told = rows.select(F.lit(name).alias("table_name"), F.inline(F.array(*values)))
+        parts.append(told.groupBy("table_name", "column_name", "value").agg(F.count("*").alias("rows")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _defaults_sql() -> str:
+    parts = []
+    for name in TABLES:
+        values = {c: f"'{v}'" for c, v in DEFAULTS.get(name, {}).items()}
+        if name == "sales_order_items":
+            values["discount_pct"] = "'0.00'"
+        if name in NOW_COLUMNS:
+            values[NOW_COLUMNS[name]] = f"strftime({NOW}, '%Y-%m-%d %H:%M:%S')"
+        parts += [
+            f"SELECT '{name}' AS table_name, '{column}' AS column_name, {value} AS value, count(*) AS rows FROM {name}"
+            for column, value in values.items()
+        ]
+    return typed("table_name:s column_name:s value:s rows:i", " UNION ALL ".join(parts))
+
+
 INTEGRITY = {
+    "k_append_report": Entry(appended_report, _appended_sql()),
+    "k9_defaults_on_append": Entry(appended_defaults, _defaults_sql()),
     "k_integrity_report": Entry(_report, typed(_REPORT_COLUMNS, _rule_sql({}))),
     "k_integrity_report_damaged": Entry(
         lambda ds: _report(damaged(ds)),
@@ -851,7 +972,42 @@ def _unlimited(name: str, plan) -> dict[str, Entry]:
     return {f"{name}_all": Entry(lambda ds: plan(ds, limit=None), whole)}
 
 
+_KEPT_MONTHS: WeakKeyDictionary[Dataset, str] = WeakKeyDictionary()
+
+
+def kept_months(ds: Dataset) -> DataFrame:
+    """Stored bitmaps of ids, of which the months of one year first lack some orders and are then written anew."""
+    if ds not in _KEPT_MONTHS:
+        path = f"{_fresh_folder(ds)}/ids"
+        year = F.year("order_date") == 1996
+        distincts.write_months(distincts.month_bitmaps(ds.sales_orders.filter(~year | (F.col("so_id") % 4 == 0)), "order_date"), path)
+        distincts.write_months(distincts.month_bitmaps(ds.sales_orders.filter(year), "order_date"), path)
+        _KEPT_MONTHS[ds] = path
+    return distincts.stored_months(ds.spark, _KEPT_MONTHS[ds])
+
+
+def _distinct_sql(period: str, where: str) -> str:
+    measures = " UNION ALL ".join(
+        f"SELECT {period} '{name}' AS measure, count(DISTINCT {column}) FILTER (WHERE {test}) AS distinct_ids FROM sales_orders {where}"
+        for name, (column, test) in distincts.SALES_MEASURES.items()
+    )
+    return f"SELECT * FROM ({measures}) WHERE distinct_ids > 0"
+
+
 WHOLE = {
+    "a3_distinct_by_quarter": Entry(
+        lambda ds: distincts.distinct_counts(kept_months(ds), by=F.trunc("month", "quarter")),
+        typed(
+            "period:d measure:s distinct_ids:i",
+            _distinct_sql("date_trunc('quarter', order_date)::DATE AS period,", "GROUP BY 1"),
+        ),
+    ),
+    "a7_distinct_in_range": Entry(
+        lambda ds: distincts.distinct_counts(kept_months(ds), date(1995, 11, 1), date(1997, 3, 1)),
+        typed(
+            "measure:s distinct_ids:i", _distinct_sql("", "WHERE order_date >= DATE '1995-11-01' AND order_date < DATE '1997-03-01'")
+        ),
+    ),
     **_unlimited("q07_best_sellers", sales.best_sellers),
     **_unlimited("q11_fast_movers", inventory.fast_movers),
     **_unlimited("q12_slow_movers", inventory.slow_movers),
@@ -920,6 +1076,13 @@ WHOLE = {
         with_tables("""SELECT CAST(to_json({'category_id': category_id, 'name': name, 'parent_category_id': parent_category_id}) AS VARCHAR)
                          AS value FROM product_categories"""),
     ),
+    "s8_transfers_as_json": Entry(
+        lambda ds: as_dictionaries(ds.stock_transfers),
+        with_tables("""SELECT CAST(to_json({'transfer_id': transfer_id, 'product_id': product_id, 'from_warehouse_id': from_warehouse_id,
+                                            'to_warehouse_id': to_warehouse_id, 'employee_id': employee_id, 'quantity': quantity,
+                                            'transfer_date': transfer_date, 'status': status}) AS VARCHAR) AS value
+                       FROM stock_transfers"""),
+    ),
     "k8_delete_purchase_orders": Entry(
         lambda ds: quality.delete_with_lines(
             ds, "purchase_orders", ds.purchase_orders.filter("status = 'cancelled'")

@@ -20,11 +20,11 @@ from stockyard.schema import NOW, TABLES, Table
 
 def validate(ds: Dataset) -> DataFrame:
     """One row per rule: table, rule, kind, violations, sample_key (one offending key)."""
-    parts = [_row_rules(TABLES[name], getattr(ds, name)) for name in ds.names]
+    parts = [row_rules(TABLES[name], getattr(ds, name)) for name in ds.names]
     return reduce(DataFrame.unionByName, [*parts, _unique_keys(ds), _references(ds)])
 
 
-def _row_rules(spec: Table, rows: DataFrame) -> DataFrame:
+def row_rules(spec: Table, rows: DataFrame) -> DataFrame:
     """Rules that concern one row: required values, text lengths and checks, in one pass."""
     broken: list[tuple[str, str, str]] = []
     for column in spec.columns:
@@ -63,11 +63,11 @@ def _unique_keys(ds: Dataset) -> DataFrame:
         for columns in (spec.primary_key, *spec.unique):
             kind = "primary_key" if columns == spec.primary_key else "unique"
             if len(columns) == 1 and isinstance(spec.column(columns[0]).type, (T.LongType, T.IntegerType)):
-                number_keys.append(_tagged(len(rules), F.col(columns[0]).cast("bigint")))
+                number_keys.append(tagged(len(rules), F.col(columns[0]).cast("bigint")))
             else:
                 known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
                 text = F.concat_ws(",", *[F.col(c).cast("string") for c in columns])
-                text_keys.append(_tagged(len(rules), F.when(known, text)))
+                text_keys.append(tagged(len(rules), F.when(known, text)))
             rules.append((name, "_".join(columns) + "_unique", kind))
         for keys, parts in ((number_keys, numbers), (text_keys, texts)):
             if keys:
@@ -96,8 +96,8 @@ def _references(ds: Dataset) -> DataFrame:
     for name in ds.names:
         for fk in TABLES[name].foreign_keys:
             if ds.has(fk.table):
-                wanted.setdefault(name, []).append(_tagged(len(rules), F.col(fk.column).cast("bigint")))
-                offered.setdefault(fk.table, []).append(_tagged(len(rules), F.col(fk.key).cast("bigint")))
+                wanted.setdefault(name, []).append(tagged(len(rules), F.col(fk.column).cast("bigint")))
+                offered.setdefault(fk.table, []).append(tagged(len(rules), F.col(fk.key).cast("bigint")))
                 rules.append((name, f"{fk.column}_exists", "foreign_key"))
     if not rules:
         return _with_all_rules(ds, rules, None)
@@ -115,7 +115,7 @@ def _references(ds: Dataset) -> DataFrame:
     return _with_all_rules(ds, rules, found)
 
 
-def _tagged(rule_no: int, key: Column) -> Column:
+def tagged(rule_no: int, key: Column) -> Column:
     return F.struct(F.lit(rule_no).alias("rule_no"), key.alias("key"))
 
 

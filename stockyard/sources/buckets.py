@@ -104,9 +104,13 @@ class Batches:
         return self.of(earlier[-1] if earlier else -1)
 
     def rows(self) -> DataFrame:
-        if not self._numbers():
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.path).select(*self.schema.names)
+        return self.rows_by_number().drop("number")
+
+    def rows_by_number(self) -> DataFrame:
+        """All rows with the number of their batch."""
+        full = T.StructType([*self.schema.fields, T.StructField(VERSION, T.LongType())])
+        rows = self.spark.read.schema(full).parquet(self.path) if self._numbers() else self.spark.createDataFrame([], full)
+        return rows.withColumnRenamed(VERSION, "number")
 
 
 def _files(spark: SparkSession, path: str):
