@@ -4,15 +4,14 @@ Products and warehouses are dealt to a fixed number of slots. A slot's state is
 that wait for the watermark. Once the watermark has passed a change nothing earlier can come, so waiting changes are
 settled in order of time and id, however they were delivered or split over files. Refused ones leave the level as it is
 and come out beside the accepted ones. A task holds the waiting changes of one slot: what comes in within the lateness
-allowed. Slots, not pairs, have timers and lists, so that a change costs a share of a call to the state, not several.
+allowed. Slots, not pairs, have timers, and rows are packed in the state, so that a change costs a share of a call to it, not several.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from collections.abc import Iterator
-from operator import itemgetter
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,24 +25,48 @@ OUTCOMES = (
     "accepted boolean, quantity_after bigint, reason string"
 )
 SLOTS = 256
+#: Parts of a slot's levels, and rows in one value of waiting changes or one frame of outcomes.
+BINS, PACKED_ROWS = 32, 50_000
 BELOW_ZERO, NO_ROW = "stock would go negative", "no stock row"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _COLUMNS = [part.split()[0] for part in OUTCOMES.split(", ")]
 
 
+def _unpacked(packed: bytes, columns: int) -> np.ndarray:
+    return np.frombuffer(packed, dtype="int64").reshape(-1, columns)
+
+
+def _by_bin(rows: np.ndarray, products: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Rows by the bin of their product, in the order they have."""
+    bins = products % BINS
+    order = np.argsort(bins, kind="stable")
+    numbers, starts = np.unique(bins[order], return_index=True)
+    yield from zip(numbers.tolist(), np.split(rows[order], starts[1:]))
+
+
+def _told(outcomes: list[tuple]) -> pd.DataFrame:
+    told = pd.DataFrame(outcomes, columns=_COLUMNS).astype({"quantity_after": "Int64", "reason": object})
+    return told.assign(changed_at=told["changed_at"].to_numpy().astype("datetime64[us]"))
+
+
 class StockGuard(StatefulProcessor):
-    """Levels and waiting changes of one slot; a single timer stands at the earliest of them."""
+    """Levels and waiting changes of one slot; a single timer stands at the earliest of them.
+
+    Both are kept as packed rows, since every call to the state is a message to the JVM: levels in ``BINS`` by product, of
+    which a batch opens those of its changes, waiting changes as they came in.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.levels = handle.getMapState("levels", "product_id bigint, warehouse_id bigint", "quantity bigint")
-        self.waiting = handle.getListState("waiting", "at bigint, change_id bigint, product_id bigint, warehouse_id bigint, delta bigint")
+        self.levels = handle.getMapState("levels", "bin bigint", "packed binary")
+        self.waiting = handle.getListState("waiting", "packed binary")
         self.timer = handle.getValueState("timer", "at bigint")
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        for product, warehouse, quantity in initialState[[*STOCK_KEY, "quantity_on_hand"]].itertuples(index=False):
-            self.levels.updateValue((int(product), int(warehouse)), (int(quantity),))
+        rows = initialState[[*STOCK_KEY, "quantity_on_hand"]].astype("int64").to_numpy()
+        for number, part in _by_bin(rows, rows[:, 0]):
+            self.levels.updateValue((number,), (self._packed_levels(number) + part.tobytes(),))  # a slot comes in several frames
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         earliest = self.timer.get()[0] if self.timer.exists() else None
@@ -54,7 +77,7 @@ class StockGuard(StatefulProcessor):
                 continue  # ticks
             at = frame["changed_at"].astype("datetime64[us]").astype("int64")
             rest = frame[["change_id", *STOCK_KEY, "delta"]].astype("int64")
-            self.waiting.appendList(list(zip(at.tolist(), *(rest[c].tolist() for c in rest))))
+            self.waiting.appendValue((np.column_stack([at, rest]).tobytes(),))
             first = int(at.min()) if first is None else min(first, int(at.min()))
         if first is not None and first != earliest:
             self._wake(earliest, first)
@@ -62,30 +85,45 @@ class StockGuard(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = 1000 * timerValues.getCurrentWatermarkInMs()
-        changes = sorted(self.waiting.get())
-        due = bisect_right(changes, passed, key=itemgetter(0))
-        levels: dict[tuple[int, int], int | None] = {}
-        out, moved = [], set()
-        for at, change_id, product, warehouse, delta in changes[:due]:
+        changes = np.concatenate([_unpacked(packed, 5) for (packed,) in self.waiting.get()])
+        due = changes[changes[:, 0] <= passed]
+        rest = changes[changes[:, 0] > passed]
+        self.waiting.clear()
+        self.timer.clear()
+        if len(rest):
+            for start in range(0, len(rest), PACKED_ROWS):
+                self.waiting.appendValue((rest[start : start + PACKED_ROWS].tobytes(),))
+            self._wake(None, int(rest[:, 0].min()))
+        due = due[np.lexsort(due.T[[4, 3, 2, 1, 0]])]  # time, id, and what else tells rows apart
+        out: list[tuple] = []
+        for number, part in _by_bin(due, due[:, 2]):
+            out += self._settled(number, part)
+            if len(out) >= PACKED_ROWS:
+                yield _told(out)
+                out = []
+        if out:
+            yield _told(out)
+
+    def _packed_levels(self, number: int) -> bytes:
+        found = self.levels.getValue((number,))
+        return bytes(found[0]) if found else b""
+
+    def _settled(self, number: int, changes: np.ndarray) -> list[tuple]:
+        """Outcomes of one bin's changes in their order; keeps the levels they leave."""
+        levels = {(product, warehouse): quantity for product, warehouse, quantity in _unpacked(self._packed_levels(number), 3).tolist()}
+        out, moved = [], False
+        for at, change_id, product, warehouse, delta in changes.tolist():
             pair = (product, warehouse)
-            if pair not in levels:
-                found = self.levels.getValue(pair)
-                levels[pair] = found[0] if found else None
-            level = levels[pair]
+            level = levels.get(pair)
             reason = NO_ROW if level is None else BELOW_ZERO if level + delta < 0 else None
             if reason is None:
                 levels[pair] = level = level + delta
-                moved.add(pair)
-            out.append((*pair, change_id, pd.Timestamp(at, unit="us"), delta, reason is None, level, reason))
-        for pair in moved:
-            self.levels.updateValue(pair, (levels[pair],))
-        self.waiting.clear()
-        self.timer.clear()
-        if due < len(changes):
-            self.waiting.appendList(changes[due:])
-            self._wake(None, changes[due][0])
-        if out:
-            yield pd.DataFrame(out, columns=_COLUMNS).astype({"quantity_after": "Int64", "reason": object})
+                moved = True
+            out.append((*pair, change_id, at, delta, reason is None, level, reason))
+        if moved:
+            packed = np.array([(*pair, level) for pair, level in levels.items()], dtype="int64")
+            self.levels.updateValue((number,), (packed.tobytes(),))
+        return out
 
     def _wake(self, before: int | None, at: int) -> None:
         """Timers count whole milliseconds; the one before goes."""

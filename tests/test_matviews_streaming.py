@@ -5,6 +5,7 @@ from collections import Counter
 from datetime import date, datetime, timedelta
 from pathlib import Path
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -249,3 +250,79 @@ def test_negative_stock_stream(spark, ds, tmp_path):
     stock = spark.createDataFrame([(1, 1, 5), (2, 2, 7)], "product_id long, warehouse_id long, quantity_on_hand int")
     out = run_to_table(rules.negative_stock_stream(source, stock), "update", "negative_stock").collect()
     assert [(r.product_id, r.quantity_after) for r in out] == [(2, -99_983)]
+
+
+class _CountedState:
+    """State of one slot in memory; counts the calls to it."""
+
+    def __init__(self):
+        self.calls, self.kept, self.items = 0, {}, []
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.kept.get(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.kept[key] = value
+
+    def get(self):
+        self.calls += 1
+        return iter(list(self.items))
+
+    def appendValue(self, value):
+        self.calls += 1
+        self.items.append(value)
+
+    def clear(self):
+        self.calls += 1
+        self.items = []
+
+
+class _CountedHandle:
+    def __init__(self):
+        self.states = {}
+
+    def getMapState(self, name, *_):
+        return self.states.setdefault(name, _CountedState())
+
+    getListState = getMapState
+
+    def getValueState(self, name, _):
+        class Timer:
+            at = None
+            exists = lambda self: self.at is not None
+            get = lambda self: self.at
+
+            def update(self, value):
+                self.at = value
+
+            def clear(self):
+                self.at = None
+
+        return Timer()
+
+    def registerTimer(self, at):
+        pass
+
+    deleteTimer = registerTimer
+
+
+def test_guard_packs_its_state_and_levels_come_in_several_frames():
+    """The cost of a slot in calls to the state does not follow its pairs or changes."""
+    handle, pairs = _CountedHandle(), 3_000
+    slot = guard.StockGuard()
+    slot.init(handle)
+    stock = pd.DataFrame({"product_id": range(pairs), "warehouse_id": 1, "quantity_on_hand": 1})
+    for frame in (stock[:1000], stock[1000:]):
+        slot.handleInitialState((0,), frame, None)
+    changes = pd.DataFrame(
+        {"change_id": range(2 * pairs), "product_id": [*range(pairs)] * 2, "warehouse_id": 1, "delta": -1,
+         "changed_at": pd.Timestamp(2024, 1, 2)}
+    )
+    assert list(slot.handleInputRows((0,), iter([changes]), None)) == []
+    now = type("Now", (), {"getCurrentWatermarkInMs": lambda self: pd.Timestamp(2024, 1, 3).value // 10**6})()
+    told = pd.concat(slot.handleExpiredTimer((0,), now, None))
+    assert told.groupby("change_id")["accepted"].first().tolist() == [True] * pairs + [False] * pairs
+    assert (told["quantity_after"] == 0).all()
+    assert sum(state.calls for state in handle.states.values()) < 10 * guard.BINS
