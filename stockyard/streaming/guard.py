@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from stockyard.operators.commands import STOCK_KEY
-from stockyard.streaming.rules import ALL_NOW
+from stockyard.streaming.rules import ALL_NOW, state_in_files
 
 OUTCOMES = (
     "product_id bigint, warehouse_id bigint, change_id bigint, changed_at timestamp_ltz, delta bigint, "
@@ -28,8 +28,6 @@ SLOTS = 256
 #: Parts of a slot's levels, and rows in one value of waiting changes or one frame of outcomes.
 BINS, PACKED_ROWS = 32, 50_000
 BELOW_ZERO, NO_ROW = "stock would go negative", "no stock row"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _COLUMNS = [part.split()[0] for part in OUTCOMES.split(", ")]
 
 
@@ -159,7 +157,7 @@ def guard_stream(
 ) -> StreamingQuery:
     """Write the outcomes to ``folder``, accepted and refused ones apart, each once whatever fails in between."""
     spark = changes.sparkSession
-    with _state_in_files(spark):
+    with state_in_files(spark):
         return (
             guarded_stock(changes, inventory, lateness, slots)
             .writeStream.queryName("guard")
@@ -174,19 +172,3 @@ def guard_stream(
 
 def outcomes(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(OUTCOMES).parquet(folder)
-
-
-class _state_in_files:
-    """State of this kind needs the provider that keeps it outside the heap; a query holds on to the setting it starts with."""
-
-    def __init__(self, spark: SparkSession):
-        self.spark, self.before = spark, spark.conf.get(_PROVIDER, None)
-
-    def __enter__(self) -> None:
-        self.spark.conf.set(_PROVIDER, _ROCKS)
-
-    def __exit__(self, *_) -> None:
-        if self.before is None:
-            self.spark.conf.unset(_PROVIDER)
-        else:
-            self.spark.conf.set(_PROVIDER, self.before)

@@ -93,3 +93,11 @@ def test_month_folders(spark, tmp_path):
     deliver(spark, root, sales_orders=[sale(1, "shipped", START)], sales_order_items=[line(1, 1, START)])
     plan = spark.read.parquet(f"{root}/ledger").filter(F.col("month") == "2024_01")
     assert plan.count() == 1 and "PartitionFilters: [isnotnull(month" in plan._jdf.queryExecution().toString()
+
+
+def test_waiting_rows_are_not_kept_on_the_heap(spark, tmp_path):
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    deliver(spark, str(tmp_path), sales_order_items=[line(10, 1, START)])
+    kept = {file.suffix for file in (tmp_path / "cp" / "state").rglob("*.*") if not file.name.startswith(".")}
+    assert ".delta" not in kept and kept & {".zip", ".changelog"}
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) == before
