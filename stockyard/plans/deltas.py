@@ -9,7 +9,7 @@ touches; a count that has come down to nothing stays as a row of nothing and doe
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -38,15 +38,29 @@ class Change:
         return self.before.withColumn(SIGN, F.lit(-1)).unionByName(self.after.withColumn(SIGN, F.lit(1)))
 
 
-Changes = Mapping[str, Change]
+@dataclass(frozen=True)
+class Net:
+    """A change by its different rows, each with the number of times it came less those it went."""
+
+    rows: DataFrame
+
+    def signed(self) -> DataFrame:
+        return self.rows
 
 
-def difference(old: Dataset, new: Dataset, *tables: str) -> dict[str, Change]:
-    """The changes between two states, by comparing whole tables: for loads without a feed of changes."""
+Changes = Mapping[str, Change | Net]
+
+
+def difference(old: Dataset, new: Dataset, *tables: str) -> dict[str, Net]:
+    """The changes between two states, by comparing whole tables: for loads without a feed of changes.
+
+    Both are read once and meet in one shuffle.
+    """
     found = {}
     for name in tables:
-        before, after = getattr(old, name), getattr(new, name)
-        found[name] = Change(materialize(before.exceptAll(after)), materialize(after.exceptAll(before)))
+        both = Change(getattr(old, name), getattr(new, name)).signed()
+        net = both.groupBy(*getattr(old, name).columns).agg(F.sum(SIGN).alias(SIGN)).filter(f"{SIGN} <> 0")
+        found[name] = Net(materialize(net))
     return found
 
 
@@ -160,6 +174,7 @@ class Kept:
     key: tuple[str, ...]
     fields: Mapping[str, T.DataType]
     by: str
+    follows: tuple[str, ...]  # the tables whose changes it meets
 
     def schema(self) -> T.StructType:
         keys = {"needs_reorder": T.BooleanType(), "quantity_on_hand": T.IntegerType(), "quantity_available": T.IntegerType()}
@@ -181,30 +196,35 @@ KEPT = {
     "mv_supplier_metrics": Kept(
         supplier_parts, ("supplier_id",),
         {"orders": _LONG, "timed": _LONG, "days": _LONG, "on_time": _LONG, "lines": _LONG, "spend": _MONEY}, "supplier_id",
+        ("purchase_orders", "purchase_order_items"),
     ),
     "mv_warehouse_summary": Kept(
         warehouse_parts, ("warehouse_id",),
         {"units": _LONG, "valued": _LONG, "value": _MONEY, "staff": _LONG, "orders": _LONG}, "warehouse_id",
+        ("inventory", "products", "employees", "sales_orders"),
+    ),
+    "mv_inventory_snapshot": Kept(
+        snapshot_parts, tuple(_SNAPSHOT), {"copies": _LONG}, "product_id", ("inventory", "products", "warehouses"),
     ),
-    "mv_inventory_snapshot": Kept(snapshot_parts, tuple(_SNAPSHOT), {"copies": _LONG}, "product_id"),
 }
 
 
 class LiveSummaries:
-    """The three summaries whose figures are means, shares and joins; ``n``: buckets of each."""
+    """The three summaries whose figures are means, shares and joins, or some of them; ``n``: buckets of each."""
 
-    def __init__(self, spark: SparkSession, root: str, n: int = 64):
-        self.tables = {name: Buckets(spark, f"{root}/{name}", kept.schema(), kept.by, n) for name, kept in KEPT.items()}
+    def __init__(self, spark: SparkSession, root: str, n: int = 64, names: Iterable[str] = tuple(KEPT)):
+        self.kept = {name: KEPT[name] for name in names}
+        self.tables = {name: Buckets(spark, f"{root}/{name}", kept.schema(), kept.by, n) for name, kept in self.kept.items()}
 
     def create(self, ds: Dataset) -> None:
-        for name, kept in KEPT.items():
+        for name, kept in self.kept.items():
             self.tables[name].create(kept.merged(kept.parts(None, ds)))
 
     def apply(self, version: int, old: Dataset, new: Dataset, changes: Changes) -> dict[str, list[int]]:
         """Bring all summaries from ``old`` to ``new``; returns the buckets written. Versions count up from 1, and one that
         comes again leaves what it left before."""
         written = {}
-        for name, kept in KEPT.items():
+        for name, kept in self.kept.items():
             parts = kept.parts(old, new, changes)
             if parts:
                 delta = materialize(kept.merged(parts))

@@ -6,7 +6,9 @@ no join and at most one shuffle (line numbering) to a plan, and none where the l
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 
 from stockyard.dataset import Dataset
 from stockyard.operators.ledger import derive_movements, movement_code
-from stockyard.session import require_conf
+from stockyard.session import require_conf, shared_folder
 
 AS_OF = datetime(2001, 8, 2)
 WAREHOUSES = 25
@@ -57,6 +59,34 @@ def load_tpch(spark: SparkSession, path: str, as_of: datetime = AS_OF) -> Datase
     return _Mapping(spark, path.rstrip("/")).dataset(as_of)
 
 
+_NUMBERED: WeakKeyDictionary[Dataset, Dataset] = WeakKeyDictionary()
+
+
+def with_stored_lines(ds: Dataset) -> Dataset:
+    """The tables of ``ds.origin`` over lines that are numbered and stored once for each dataset.
+
+    For plans that read ids of lines more than once, directly or by the ledger. The tables are those ``load_tpch`` gives.
+    """
+    if ds not in _NUMBERED:
+        mapping = _Mapping(ds.spark, ds.origin)
+        mapping.store_lines()
+        _NUMBERED[ds] = mapping.dataset(ds.as_of)
+    return _NUMBERED[ds]
+
+
+def _with_ids(placed: DataFrame, room: DataFrame) -> DataFrame:
+    line_id = (F.col("l_orderkey") * F.col("parts") + F.col("part")) * room.scalar() + F.col("place") - 1
+    return placed.withColumn("line_id", line_id).selectExpr(
+        "line_id",
+        "l_orderkey",
+        "l_orderkey + 1 as order_id",
+        "l_partkey + 1 as product_id",
+        "cast(l_quantity as int) as quantity",
+        "cast(round(l_extendedprice * 100) as bigint) div cast(l_quantity as bigint) as cents",
+        "l_discount",
+    )
+
+
 class _Mapping:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -238,32 +268,36 @@ class _Mapping:
             "cast((cents * 6 div 10) * 0.01 as decimal(10,2)) as unit_cost",
         )
 
+    def _placed(self) -> DataFrame:
+        """Lines with their part, the number of parts, and their place inside the part."""
+        lines = self._read("lineitem")
+        largest = lines.groupBy("l_orderkey").agg(F.count("*").alias("n")).agg(
+            F.greatest(F.lit(LEAST_PARTS), F.max("n").cast("bigint") / LINES_PER_PART + 1).cast("bigint")
+        )
+        parts = F.coalesce(largest.scalar(), F.lit(LEAST_PARTS)).cast("bigint")
+        marked = lines.withColumn("part", F.pmod(F.expr(LINE_MARK), parts)).withColumn("parts", parts)
+        place = F.row_number().over(W.partitionBy("l_orderkey", "part").orderBy(*LINE_ORDER)).cast("bigint")
+        return marked.withColumn("place", place)
+
     def _lines(self) -> DataFrame:
         """Lines with their id and whole-cent price.
 
         The two counts that lay ids out are scalar subqueries: a plan that drops the id runs neither them nor the window.
         """
         if "lines" not in self._frames:
-            lines = self._read("lineitem")
-            largest = lines.groupBy("l_orderkey").agg(F.count("*").alias("n")).agg(
-                F.greatest(F.lit(LEAST_PARTS), F.max("n").cast("bigint") / LINES_PER_PART + 1).cast("bigint")
-            )
-            parts = F.coalesce(largest.scalar(), F.lit(LEAST_PARTS)).cast("bigint")
-            marked = lines.withColumn("part", F.pmod(F.expr(LINE_MARK), parts)).withColumn("parts", parts)
-            room = marked.groupBy("l_orderkey", "part").agg(F.count("*").alias("n")).agg(F.max("n"))
-            place = F.row_number().over(W.partitionBy("l_orderkey", "part").orderBy(*LINE_ORDER)).cast("bigint")
-            line_id = (F.col("l_orderkey") * F.col("parts") + F.col("part")) * room.scalar() + place - 1
-            self._frames["lines"] = marked.withColumn("line_id", line_id).selectExpr(
-                "line_id",
-                "l_orderkey",
-                "l_orderkey + 1 as order_id",
-                "l_partkey + 1 as product_id",
-                "cast(l_quantity as int) as quantity",
-                "cast(round(l_extendedprice * 100) as bigint) div cast(l_quantity as bigint) as cents",
-                "l_discount",
-            )
+            placed = self._placed()
+            room = placed.groupBy("l_orderkey", "part").agg(F.count("*").alias("n")).agg(F.max("n"))
+            self._frames["lines"] = _with_ids(placed, room)
         return self._frames["lines"]
 
+    def store_lines(self) -> None:
+        """Number the lines once, into the shared folder: each plan that reads ids sorts all lines anew otherwise."""
+        placed = self._placed().select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "part", "parts", "place")
+        folder = f"{shared_folder(self.spark)}/stockyard-{uuid.uuid4().hex}"
+        placed.write.parquet(folder)
+        stored = self.spark.read.schema(placed.schema).parquet(folder)
+        self._frames["lines"] = _with_ids(stored, stored.agg(F.max("place")))
+
     def _inventory(self) -> DataFrame:
         """Each part is stocked at five warehouses, every fifth beginning with ``part % 5``."""
         return (

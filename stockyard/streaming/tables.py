@@ -52,10 +52,12 @@ class LiveTables:
         self.sold_lines = batches("sales_order_items", TABLES["sales_order_items"].schema)
         self.waiting = batches("lines_without_order", TABLES["sales_order_items"].schema)
 
-    def create(self, ds: Dataset) -> None:
-        """Take over stock, purchase orders and the highest ids of a dataset."""
+    def create(self, ds: Dataset, purchases: bool = True) -> None:
+        """Take over stock, and, if there will be receipts, purchase orders and the highest ids of a dataset."""
         self.levels.create(ds.inventory)
         self.reserved.create(ds.inventory.select(*STOCK_KEY, "quantity_reserved", F.lit(None).alias("reserved_at")))
+        if not purchases:
+            return
         self.purchase_orders.create(ds.purchase_orders)
         self.purchase_order_items.create(ds.purchase_order_items)
         self.order_of_line.create(ds.purchase_order_items.select("po_item_id", "po_id"))
