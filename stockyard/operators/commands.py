@@ -104,11 +104,13 @@ def receive_inventory(ds: Dataset, commands: DataFrame) -> Changes:
     whose lines are all received become received.
     """
     lines = ds.purchase_order_items.select("po_item_id", "po_id", "product_id")
-    located = lines.join(ds.purchase_orders.select("po_id", "warehouse_id"), "po_id")
+    asked = lines.join(commands.select("po_item_id"), "po_item_id", "left_semi")
+    located = asked.join(ds.purchase_orders.select("po_id", "warehouse_id"), "po_id")
     resolved = commands.join(located, "po_item_id", "left").withColumn(
         "reason",
         _reasons((F.col("po_id").isNull(), "unknown purchase line"), (F.col("quantity") < 0, "negative quantity")),
     )
+    resolved = materialize(resolved)
     accepted = resolved.filter("reason is null")
 
     per_line = accepted.groupBy("po_item_id").agg(F.sum("quantity").alias("arrived"))
