@@ -4,6 +4,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from stockyard.operators.commands import negative_stock
 from stockyard.plans import serving
 from stockyard.session import require_conf
 from stockyard.sources.tpch import SOURCE_SCHEMAS, load_tpch
@@ -23,3 +24,23 @@ def test_stock_rows_of_a_compressed_table_are_not_broadcast(spark, tmp_path):
     plan = serving.below_reorder(load_tpch(spark, root, datetime(2001, 8, 2)))._jdf.queryExecution().executedPlan().toString()
     joined = next(line for line in plan.splitlines() if "Join [product_id" in line)
     assert "SortMergeJoin" in joined
+
+
+def test_one_column_of_stock_rows_is_not_broadcast_either(spark, tmp_path):
+    root = str(tmp_path)
+    part = spark.range(200_000).select(
+        F.col("id").alias("p_partkey"), F.lit("a part").alias("p_name"), F.lit("Brand#11").alias("p_brand"),
+        F.lit("STEEL").alias("p_type"), F.lit(1).alias("p_size"), F.lit(9.5).alias("p_retailprice"),
+    )
+    part.coalesce(1).write.parquet(f"{root}/part.parquet")
+    ds = load_tpch(spark, root, datetime(2001, 8, 2))
+    deltas = spark.range(5_000_000).selectExpr("id as product_id", "id % 25 + 1 as warehouse_id", "-1 as delta")
+    plan = negative_stock(ds.inventory, deltas)._jdf.queryExecution().executedPlan().toString()
+    joined = next(line for line in plan.splitlines() if "Join [product_id" in line)
+    assert "SortMergeJoin" in joined
+
+
+def test_tasks_of_any_session_read_pieces_of_a_bounded_size(spark):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    require_conf(spark)
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
