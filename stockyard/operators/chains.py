@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from stockyard.operators.positions import SLOT, carry_in, earlier_slots, place
 
 _COUNT = "decimal(38,0)"  # overflow is an error, never a wrong count
+_SHORT = "bigint"  # chains of one or two rows of a key: at most the square of its rows
 _CHUNK = 10_000
 
 
@@ -29,31 +30,27 @@ def chain_reach(
 ) -> DataFrame:
     """One row per (key, instant): ``reach_2`` … ``reach_<steps>``."""
     counted = events.groupBy(*keys, instant).agg(
-        F.count("*").cast(_COUNT).alias("rows"),
-        F.count(F.when(starts, True)).cast(_COUNT).alias("begun"),
+        F.count("*").alias("rows"),
+        F.count(F.when(starts, True)).alias("begun"),
     )
     placed = place(counted, *[F.col(c).asc() for c in (*keys, instant)])
-    before = W.partitionBy(SLOT, *keys).orderBy(instant).rowsBetween(W.unboundedPreceding, -1)
     last = steps - 1
-
-    # Inside a slot: plain_i counts i-step chains of any rows, local_i those begun in the slot.
-    grown = placed
-    for step in range(1, last + 1):
-        feeds = {f"local_{step}": F.col("begun") if step == 1 else F.col("rows") * F.col(f"local_{step - 1}")}
-        if step < last:
-            feeds[f"plain_{step}"] = F.col("rows") if step == 1 else F.col("rows") * F.col(f"plain_{step - 1}")
-        grown = grown.select("*", *[_sum_before(feed, before).alias(name) for name, feed in feeds.items()])
+    grown = _grown(placed, keys, instant, last)
 
     totals = {"all_local_1": _total(F.col("begun"))}
     for step in range(2, last + 1):
-        totals[f"all_local_{step}"] = _total(F.col("rows") * F.col(f"local_{step - 1}"))
+        totals[f"all_local_{step}"] = _total(_times("rows", f"local_{step - 1}"))
     if last > 1:
         totals["all_plain_1"] = _total(F.col("rows"))
     for step in range(2, last):
-        totals[f"all_plain_{step}"] = _total(F.col("rows") * F.col(f"plain_{step - 1}"))
-
-    # Across slots: fold the totals of the same key, one or two rows per slot.
-    folded = carry_in(grown, keys, totals)
+        totals[f"all_plain_{step}"] = _total(_times("rows", f"plain_{step - 1}"))
+
+    # Across slots: fold the totals of the same key, one or two rows per slot. Only the first and the last key of a slot can
+    # lie in others too, so chains are counted for these alone.
+    ends = placed.groupBy(SLOT).agg(*[f(F.struct(*keys)).alias(n) for n, f in (("_head", F.min), ("_tail", F.max))])
+    key = F.struct(*keys)
+    outer = placed.join(F.broadcast(ends), SLOT).filter(key.eqNullSafe(F.col("_head")) | key.eqNullSafe(F.col("_tail")))
+    folded = carry_in(_grown(outer.drop("_head", "_tail"), keys, instant, last), keys, totals)
     earlier = earlier_slots(keys)
     for step in range(1, last + 1):
         passed = F.col(f"all_local_{step}")
@@ -65,13 +62,26 @@ def chain_reach(
     joined = grown.join(F.broadcast(carried), [SLOT, *keys], "left")
     reach = []
     for step in range(1, last + 1):
-        total = F.col(f"local_{step}") + _or_zero(f"carry_{step}")
+        total = F.col(f"local_{step}").cast(_COUNT) + _or_zero(f"carry_{step}")
         for back in range(1, step):
-            total = total + _or_zero(f"carry_{step - back}") * F.col(f"plain_{back}")
+            total = total + _or_zero(f"carry_{step - back}") * F.col(f"plain_{back}").cast(_COUNT)
         reach.append(total.cast(_COUNT).alias(f"reach_{step + 1}"))
     return joined.select(*keys, instant, *reach)
 
 
+def _grown(placed: DataFrame, keys: Sequence[str], instant: str, last: int) -> DataFrame:
+    """Inside a slot: plain_i counts i-step chains of any rows, local_i those begun in the slot."""
+    before = W.partitionBy(SLOT, *keys).orderBy(instant).rowsBetween(W.unboundedPreceding, -1)
+    grown = placed
+    for step in range(1, last + 1):
+        kind = _SHORT if step < 3 else _COUNT
+        feeds = {f"local_{step}": F.col("begun") if step == 1 else _times("rows", f"local_{step - 1}", kind)}
+        if step < last:
+            feeds[f"plain_{step}"] = F.col("rows") if step == 1 else _times("rows", f"plain_{step - 1}", kind)
+        grown = grown.select("*", *[_sum_before(feed, before, kind).alias(name) for name, feed in feeds.items()])
+    return grown
+
+
 def chain_rows(
     events: DataFrame, keys: Sequence[str], instant: str, starts: Column, steps: int = 5
 ) -> DataFrame:
@@ -100,8 +110,12 @@ def repeat_rows(df: DataFrame, times: str) -> DataFrame:
     )
 
 
-def _sum_before(value: Column, window) -> Column:
-    return F.coalesce(F.sum(value.cast(_COUNT)).over(window), F.lit(0)).cast(_COUNT)
+def _times(a: str, b: str, kind: str = _COUNT) -> Column:
+    return F.col(a).cast(kind) * F.col(b).cast(kind)
+
+
+def _sum_before(value: Column, window, kind: str = _COUNT) -> Column:
+    return F.coalesce(F.sum(value.cast(kind)).over(window), F.lit(0)).cast(kind)
 
 
 def _total(value: Column) -> Column:

@@ -1,12 +1,13 @@
 """Positions, ranks, running sums, chains and trees against brute force, with one key dominating."""
 
 import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from stockyard.operators.chains import chain_rows, repeat_rows
+from stockyard.operators.chains import chain_reach, chain_rows, repeat_rows
 from stockyard.operators.hierarchy import rooted
 from stockyard.operators.positions import cume_dist, ntile, percent_rank, rank, with_ranks, with_running_sums
 
@@ -87,6 +88,13 @@ def test_chains_equal_enumeration(spark, no_coalescing, seed):
     assert {(r.id, r.step): int(r.occurrences) for r in rows} == brute_chains(events, 5)
 
 
+def test_chains_are_counted_once_but_for_the_ends_of_slots(spark):
+    df = spark.createDataFrame([(1, "k", datetime(2024, 1, 1), True)], "id long, key string, at timestamp_ntz, starts boolean")
+    plan = chain_reach(df, ["key"], "at", F.col("starts"), steps=5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_tail" in plan  # the second count of chains reads the first and the last key of a slot
+    assert re.search(r"local_2#\d+L", plan)  # short chains as whole numbers
+
+
 def test_repeat_rows(spark):
     df = spark.createDataFrame([(1, 3), (2, 25_000), (3, 10_000)], "id int, n int")
     counts = {r.id: r["count"] for r in repeat_rows(df, "n").groupBy("id").count().collect()}
