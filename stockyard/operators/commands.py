@@ -96,15 +96,25 @@ def update_stock(ds: Dataset, deltas: DataFrame) -> Changes:
 # --- receipts --------------------------------------------------------------------------------
 
 
-def receive_inventory(ds: Dataset, commands: DataFrame) -> Changes:
+def receive_inventory(
+    ds: Dataset,
+    commands: DataFrame,
+    lines: DataFrame | None = None,
+    keep: Callable[[DataFrame], DataFrame] = lambda items: items,
+) -> Changes:
     """Receipts (command_id, po_item_id, quantity) against purchase lines.
 
     Adding is free of order, so the batch is summed per line and per stock row. Receiving more than
     ordered is allowed, a negative or unknown quantity and an unknown line are not. Purchase orders
     whose lines are all received become received.
+
+    ``lines``: (po_item_id, po_id, product_id) of the lines that the commands name, if they are known already. ``keep`` may
+    store the new lines; what it returns tells which orders are complete.
     """
-    lines = ds.purchase_order_items.select("po_item_id", "po_id", "product_id")
-    asked = lines.join(commands.select("po_item_id"), "po_item_id", "left_semi")
+    asked = lines
+    if asked is None:
+        known = ds.purchase_order_items.select("po_item_id", "po_id", "product_id")
+        asked = known.join(commands.select("po_item_id"), "po_item_id", "left_semi")
     located = asked.join(ds.purchase_orders.select("po_id", "warehouse_id"), "po_id")
     resolved = commands.join(located, "po_item_id", "left").withColumn(
         "reason",
@@ -121,6 +131,7 @@ def receive_inventory(ds: Dataset, commands: DataFrame) -> Changes:
         )
         .select(*ds.purchase_order_items.columns)
     )
+    items = keep(items)
     touched = accepted.select("po_id").distinct()
     orders = complete_purchase_orders(ds, items, touched)
 
@@ -154,12 +165,7 @@ def receive_inventory(ds: Dataset, commands: DataFrame) -> Changes:
 def complete_purchase_orders(ds: Dataset, items: DataFrame, touched: DataFrame) -> DataFrame:
     """Headers after completion: touched orders whose every line is received, of any prior status."""
     full = F.bool_and(F.col("quantity_received") >= F.col("quantity_ordered"))
-    done = (
-        items.join(touched, "po_id", "left_semi")
-        .groupBy("po_id")
-        .agg(full.alias("full"))
-        .filter("full")
-    )
+    done = items.groupBy("po_id").agg(full.alias("full")).filter("full").join(touched, "po_id", "left_semi")
     completes = F.coalesce(F.col("full"), F.lit(False)) & (F.col("status") != "received")
     delivered = F.coalesce(F.col("actual_delivery_date"), day(ds.as_of))
     return (

@@ -23,7 +23,7 @@ from stockyard.sources.buckets import Batches, Buckets
 
 _PAIR = [T.StructField(c, T.LongType()) for c in STOCK_KEY]
 _RESERVED = T.StructType([*_PAIR, T.StructField("quantity_reserved", T.IntegerType()), T.StructField("reserved_at", T.TimestampNTZType())])
-_LINE = T.StructType([T.StructField(c, T.LongType()) for c in ("po_item_id", "po_id")])
+_LINE = T.StructType([T.StructField(c, T.LongType()) for c in ("po_item_id", "po_id", "product_id")])
 _MARK = T.StructType([T.StructField("name", T.StringType()), T.StructField("last_id", T.LongType())])
 _REJECT = T.StructType([T.StructField("command_id", T.LongType()), T.StructField("reason", T.StringType())])
 _NUMBERED = ("inventory", "inventory_movements")
@@ -60,7 +60,7 @@ class LiveTables:
             return
         self.purchase_orders.create(ds.purchase_orders)
         self.purchase_order_items.create(ds.purchase_order_items)
-        self.order_of_line.create(ds.purchase_order_items.select("po_item_id", "po_id"))
+        self.order_of_line.create(ds.purchase_order_items.select(*_LINE.names))
         one = self.spark.range(1)
         marks = [one.select(F.lit(name).alias("name"), last_id(getattr(ds, name), TABLES[name].id_column).alias("last_id")) for name in _NUMBERED]
         self.marks.create(marks[0].unionByName(marks[1]))
@@ -108,29 +108,31 @@ class LiveTables:
         """
         version = batch_id + 1
         places = self.order_of_line.rows(buckets=self.order_of_line.touched(receipts))
-        orders = materialize(places.join(receipts.select("po_item_id"), "po_item_id", "left_semi").select("po_id"))
-        touched = self.purchase_orders.touched(orders)
-        lines = self.purchase_order_items.rows(version, touched)
-        products = lines.join(receipts.select("po_item_id"), "po_item_id", "left_semi").select("product_id")
+        named = materialize(places.join(receipts.select("po_item_id"), "po_item_id", "left_semi"))
+        touched, stocked = self.purchase_orders.touched(named), self.levels.touched(named)
         marks = {row["name"]: row["last_id"] for row in self.marks.rows(version).collect()}  # a row for each numbered table
         part = Dataset(
             self.spark,
             {
                 "purchase_orders": self.purchase_orders.rows(version, touched),
-                "purchase_order_items": lines,
-                "inventory": self.levels.rows(version, self.levels.touched(products)),
+                "purchase_order_items": self.purchase_order_items.rows(version, touched),
+                "inventory": self.levels.rows(version, stocked),
                 "inventory_movements": self.spark.createDataFrame([], self.movements.schema),
             },
             as_of,
             last_ids=marks,
         )
-        changes = receive_inventory(part, receipts)
-        self.purchase_order_items.write(changes.tables["purchase_order_items"], version)
+
+        def keep(items: DataFrame) -> DataFrame:
+            self.purchase_order_items.write(items, version)
+            return self.purchase_order_items.rows(version + 1, touched)
+
+        changes = receive_inventory(part, receipts, named, keep)
         self.purchase_orders.write(changes.tables["purchase_orders"], version)
         self.levels.write(changes.tables["inventory"], version)
         self.movements.put(batch_id, changes.appended["inventory_movements"])
         self.rejects.put(batch_id, changes.rejects)
         moved = self.movements.of(batch_id).agg(F.max("movement_id")).first()[0]
-        stocked = self.levels.rows(version + 1, self.levels.touched(products)).agg(F.max("inventory_id")).first()[0]
-        now = [("inventory", max(marks["inventory"], stocked or 0)), ("inventory_movements", max(marks["inventory_movements"], moved or 0))]
+        highest = self.levels.rows(version + 1, stocked).agg(F.max("inventory_id")).first()[0]
+        now = [("inventory", max(marks["inventory"], highest or 0)), ("inventory_movements", max(marks["inventory_movements"], moved or 0))]
         self.marks.write(self.spark.createDataFrame(now, _MARK), version)

@@ -3,9 +3,13 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
+from stockyard.contract import operations
+from stockyard.operators import commands
 from stockyard.plans import deltas, matviews
 from stockyard.sources.tpch import SOURCE_SCHEMAS, load_tpch, with_stored_lines
+from stockyard.streaming.tables import LiveTables
 
 DAY = datetime(2000, 1, 1)
 ROWS = {
@@ -60,3 +64,44 @@ def test_one_summary_can_be_kept_alone(spark, small, tmp_path):
     summaries.apply(1, old, small, deltas.difference(old, small, "inventory"))
     assert [p.name for p in (tmp_path / "live").iterdir()] == ["mv_inventory_snapshot"]
     assert counted(summaries.inventory_snapshot()) == counted(matviews.inventory_snapshot(small).select(*deltas._SNAPSHOT))
+
+
+def test_a_whole_load_numbers_lines_once(small, monkeypatch):
+    class Saved(Exception):
+        pass
+
+    def stop(*_):
+        raise Saved
+
+    plans = []
+    monkeypatch.setattr(operations, "save_csv", lambda rows, path: plans.append(plan_of(rows)))
+    monkeypatch.setattr(operations, "load_folder", stop)
+    with pytest.raises(Saved):
+        operations.whole_load(small)
+    assert len(plans) == 12 and not any("Window" in plan for plan in plans)
+
+
+def test_receipts_go_by_lines_found_before_and_orders_by_lines_kept(spark, small):
+    ds = with_stored_lines(small)
+    asked = ds.purchase_order_items.filter("po_id = 2").selectExpr("po_item_id as command_id", "po_item_id", "1000 as quantity")
+    found = ds.purchase_order_items.select("po_item_id", "po_id", "product_id")
+    kept = []
+
+    def keep(items):
+        kept.append(items)
+        return items.withColumn("quantity_received", F.lit(0))
+
+    judged = commands.receive_inventory(ds, asked, found.filter("po_id = 2"), keep)
+    as_ever = commands.receive_inventory(ds, asked)
+    assert counted(kept[0]) == counted(as_ever.tables["purchase_order_items"])
+    assert counted(judged.tables["inventory"]) == counted(as_ever.tables["inventory"])
+    assert counted(judged.tables["purchase_orders"]) == counted(ds.purchase_orders)
+    assert counted(as_ever.tables["purchase_orders"]) != counted(ds.purchase_orders)
+    assert commands.receive_inventory(ds, asked, found.limit(0)).rejects.count() == asked.count()
+
+
+def test_lines_of_receipts_tell_their_product_without_the_lines_table(spark, small, tmp_path):
+    tables = LiveTables(spark, str(tmp_path / "live"), 2)
+    tables.create(with_stored_lines(small))
+    found = small.purchase_order_items.select("po_item_id", "po_id", "product_id")
+    assert counted(tables.order_of_line.rows()) == counted(found)
