@@ -76,14 +76,17 @@ class Buckets:
 
 
 class Batches:
-    """Rows added by numbered batches, a folder each; writing a batch again replaces it."""
+    """Rows added by numbered batches, a folder each; writing a batch again replaces it.
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+    ``apart``: columns whose values lie in folders of their own inside a batch, so that rows of one kind are read without the others.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, apart: Iterable[str] = ()):
+        self.spark, self.path, self.schema, self.apart = spark, path.rstrip("/"), schema, [*apart]
 
     def put(self, number: int, rows: DataFrame) -> None:
         typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
-        typed.write.mode("overwrite").parquet(f"{self.path}/{VERSION}={number}")
+        typed.write.mode("overwrite").partitionBy(*self.apart).parquet(f"{self.path}/{VERSION}={number}")
 
     def _numbers(self) -> list[int]:
         files, path = _files(self.spark, self.path)
@@ -113,6 +116,25 @@ class Batches:
         return rows.withColumnRenamed(VERSION, "number")
 
 
+class Kind:
+    """The rows of numbered batches that fulfil a condition, with some of their columns."""
+
+    def __init__(self, batches: Batches, condition: str, columns: Iterable[str]):
+        self.batches, self.condition, self.columns = batches, condition, [*columns]
+
+    def _chosen(self, rows: DataFrame) -> DataFrame:
+        return rows.filter(self.condition).select(*self.columns)
+
+    def of(self, number: int) -> DataFrame:
+        return self._chosen(self.batches.of(number))
+
+    def last(self, before: int) -> DataFrame:
+        return self._chosen(self.batches.last(before))
+
+    def rows(self) -> DataFrame:
+        return self._chosen(self.batches.rows())
+
+
 def _files(spark: SparkSession, path: str):
     found = spark._jvm.org.apache.hadoop.fs.Path(path)
     return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found

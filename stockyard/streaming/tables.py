@@ -19,13 +19,15 @@ from stockyard.operators.commands import STOCK_KEY, receive_inventory
 from stockyard.operators.ids import last_id
 from stockyard.schema import TABLES
 from stockyard.session import materialize
-from stockyard.sources.buckets import Batches, Buckets
+from stockyard.sources.buckets import Batches, Buckets, Kind
 
 _PAIR = [T.StructField(c, T.LongType()) for c in STOCK_KEY]
 _RESERVED = T.StructType([*_PAIR, T.StructField("quantity_reserved", T.IntegerType()), T.StructField("reserved_at", T.TimestampNTZType())])
 _LINE = T.StructType([T.StructField(c, T.LongType()) for c in ("po_item_id", "po_id", "product_id")])
 _MARK = T.StructType([T.StructField("name", T.StringType()), T.StructField("last_id", T.LongType())])
 _REJECT = T.StructType([T.StructField("command_id", T.LongType()), T.StructField("reason", T.StringType())])
+_SOLD = TABLES["sales_order_items"].schema
+_PLACED = T.StructType([*_SOLD.fields, T.StructField("warehouse_id", T.LongType()), T.StructField("waits", T.BooleanType())])
 _NUMBERED = ("inventory", "inventory_movements")
 
 
@@ -49,8 +51,9 @@ class LiveTables:
         self.marks = buckets("marks", _MARK, "name", 1)
         self.movements = batches("inventory_movements", TABLES["inventory_movements"].schema)
         self.rejects = batches("rejects", _REJECT)
-        self.sold_lines = batches("sales_order_items", TABLES["sales_order_items"].schema)
-        self.waiting = batches("lines_without_order", TABLES["sales_order_items"].schema)
+        self.placed_lines = Batches(spark, f"{root}/sales_order_items", _PLACED, ["waits"])
+        self.sold_lines = Kind(self.placed_lines, "not waits", _SOLD.names)
+        self.waiting = Kind(self.placed_lines, "waits", _SOLD.names)
 
     def create(self, ds: Dataset, purchases: bool = True) -> None:
         """Take over stock, and, if there will be receipts, purchase orders and the highest ids of a dataset."""
@@ -81,13 +84,12 @@ class LiveTables:
     def sell(self, batch_id: int, lines: DataFrame, orders: DataFrame, as_of: datetime) -> None:
         """Store new sales lines and reserve stock at their order's warehouse; lines without an order wait for it.
 
-        Nothing is reserved where there is no stock row.
+        Nothing is reserved where there is no stock row. A line is written once, with its warehouse, and read back from there.
         """
-        arrived = lines.select(*self.sold_lines.schema.names).unionByName(self.waiting.last(batch_id))
-        placed = materialize(arrived.join(orders.select("so_id", "warehouse_id"), "so_id", "left"))
-        known = placed.filter("warehouse_id is not null")
-        self.sold_lines.put(batch_id, known)
-        self.waiting.put(batch_id, placed.filter("warehouse_id is null"))
+        arrived = lines.select(*_SOLD.names).unionByName(self.waiting.last(batch_id))
+        placed = arrived.join(orders.select("so_id", "warehouse_id"), "so_id", "left")
+        self.placed_lines.put(batch_id, placed.withColumn("waits", F.col("warehouse_id").isNull()))
+        known = self.placed_lines.of(batch_id).filter("not waits")
         wanted = known.groupBy(*STOCK_KEY).agg(F.sum("quantity").alias("wanted"))
         stocked = self.levels.rows(buckets=self.levels.touched(known)).select(*STOCK_KEY)
 

@@ -105,3 +105,30 @@ def test_lines_of_receipts_tell_their_product_without_the_lines_table(spark, sma
     tables.create(with_stored_lines(small))
     found = small.purchase_order_items.select("po_item_id", "po_id", "product_id")
     assert counted(tables.order_of_line.rows()) == counted(found)
+
+
+def test_sold_lines_are_shuffled_for_their_order_and_written_once(spark, small, tmp_path, monkeypatch):
+    def never(*_, **__):
+        raise AssertionError("lines are stored beside the table")
+
+    tables = LiveTables(spark, str(tmp_path / "live"), 2)
+    tables.create(small, purchases=False)
+    monkeypatch.setattr("pyspark.sql.DataFrame.checkpoint", never)
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.checkpoint", never)
+    lines, orders = small.sales_order_items, small.sales_orders
+    tables.sell(0, lines, orders.filter("so_id % 3 <> 0"), small.as_of)
+    assert tables.waiting.of(0).count() == lines.filter("so_id % 3 = 0").count() > 0
+    for _ in range(2):
+        tables.sell(1, lines.limit(0), orders, small.as_of)
+        assert counted(tables.sold_lines.rows()) == counted(lines) and tables.waiting.last(2).count() == 0
+        held = commands.reserve_for_sales(small, lines).select("product_id", "warehouse_id", "quantity_reserved")
+        assert counted(tables.inventory().select(*held.columns)) == counted(held)
+
+
+def test_lines_of_a_stream_are_written_without_being_dealt_anew(spark, small, monkeypatch):
+    plans = []
+    write = type(small.sales_order_items).write
+    monkeypatch.setattr(type(small.sales_order_items), "write", property(lambda df: plans.append(plan_of(df)) or write.fget(df)))
+    tables = operations.sold(small)
+    assert len(tables.placed_lines._numbers()) >= 2 and counted(tables.sold_lines.rows()) == counted(small.sales_order_items)
+    assert plans and not any("RoundRobin" in plan for plan in plans)
