@@ -392,6 +392,36 @@ def test_repeats_equal_brute_force_whatever_the_partitions(spark, parts):
     assert got == texts_by_force(rows) and got[100] == got[0]
 
 
+def test_suffix_array_of_a_host(spark):
+    rng = random.Random(5)
+    words = {i: [rng.choice("abc") for _ in range(40)] + [f"w{i}"] for i in range(9)}
+    rows = [(i, "h" if i < 6 else "k", i % 8, [" ".join(words[i % 8])]) for i in range(9)]  # the last has the html of the first
+    blocks = spark.createDataFrame(rows, "row long, host string, content long, texts array<string>").repartition(3)
+    known = html_extraction.WordHashes()
+    expected = sorted({
+        (host, tuple(map(int, known.of(words[c][at : at + 3]))), c) for _, host, c, _ in rows for at in range(len(words[c]) - 2)
+    })
+    array = html_extraction.suffix_array(blocks, 3)
+    got = [(r.host, tuple(np.frombuffer(r.tokens, ">u8").tolist()), r.content) for r in array.collect()]
+    assert got == expected
+    held = defaultdict(set)
+    for host, tokens, content in expected:
+        held[host, tokens].add(content)
+    lists = np.array([tokens for _, tokens, _ in got], dtype=np.uint64)
+    shared = html_extraction.common_prefixes(np.array([host for host, _, _ in got], dtype=object), lists)
+    pairs = zip(got, got[1:])
+    assert shared.tolist() == [0, *(0 if a[0] != b[0] else next((n for n in range(3) if a[1][n] != b[1][n]), 3) for a, b in pairs)]
+    runs = {(host, int(html_extraction.window_hashes(np.array(t, dtype=np.uint64), 3).astype(np.int64)[0])) for (host, t), on in held.items() if len(on) > 1}
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    try:
+        for rows_a_piece in ("2", "1000"):  # intervals that go on in the next piece, and whole ones
+            spark.conf.set(size, rows_a_piece)
+            assert {tuple(r) for r in html_extraction.intervals(array, 3).collect()} == runs and len(runs) > 20
+    finally:
+        spark.conf.set(size, before)
+
+
 def test_repetition_decides_inside_articles(spark):
     notice = "you read this because people like you pay for our small newsroom every month"
     quoted = "to be or not to be that is the question asked here"
