@@ -5,7 +5,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from stockyard.operators.commands import negative_stock
-from stockyard.plans import serving
+from stockyard.plans import matviews, serving
 from stockyard.session import require_conf
 from stockyard.sources.tpch import SOURCE_SCHEMAS, load_tpch
 
@@ -44,3 +44,29 @@ def test_tasks_of_any_session_read_pieces_of_a_bounded_size(spark):
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
     require_conf(spark)
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+
+
+def test_orders_behind_supplier_metrics_are_not_broadcast(spark, tmp_path):
+    def joined():
+        plan = matviews.supplier_metrics(ds)._jdf.queryExecution().executedPlan().toString()
+        return next(line for line in plan.splitlines() if "Join [po_id" in line)
+
+    root, day = str(tmp_path), datetime(2000, 1, 1)
+    orders = spark.range(200_000).select(
+        F.col("id").alias("o_orderkey"), F.lit(1).cast("long").alias("o_custkey"), F.lit("O").alias("o_orderstatus"),
+        F.lit(1.0).alias("o_totalprice"), F.lit(day).cast("timestamp_ntz").alias("o_orderdate"), F.lit("1").alias("o_orderpriority"),
+    )
+    lines = spark.range(200_000).select(
+        F.col("id").alias("l_orderkey"), *[F.lit(1).cast("long").alias(c) for c in ("l_partkey", "l_suppkey")], F.lit(1).alias("l_linenumber"),
+        *[F.lit(1.0).alias(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")],
+        *[F.lit("N").alias(c) for c in ("l_returnflag", "l_linestatus")], F.lit(day).cast("timestamp_ntz").alias("l_shipdate"),
+    )
+    orders.coalesce(1).write.parquet(f"{root}/orders.parquet")
+    lines.coalesce(1).write.parquet(f"{root}/lineitem.parquet")
+    for name in ("region", "nation", "supplier", "customer"):
+        spark.createDataFrame([], SOURCE_SCHEMAS[name]).write.parquet(f"{root}/{name}.parquet")
+    ds = load_tpch(spark, root, datetime(2001, 8, 2))
+    spark.conf.set("spark.sql.sources.fileCompressionFactor", "1.0")  # as it was: 200,000 orders pass for small
+    assert "BroadcastHashJoin" in joined()
+    require_conf(spark)
+    assert "SortMergeJoin" in joined()
