@@ -101,3 +101,8 @@ def test_waiting_rows_are_not_kept_on_the_heap(spark, tmp_path):
     kept = {file.suffix for file in (tmp_path / "cp" / "state").rglob("*.*") if not file.name.startswith(".")}
     assert ".delta" not in kept and kept & {".zip", ".changelog"}
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) == before
+
+
+def test_a_batch_commits_its_changes_alone(spark, tmp_path):
+    deliver(spark, str(tmp_path), sales_order_items=[line(10, 1, START)])
+    assert list((tmp_path / "cp" / "state").rglob("*.changelog")) and not list((tmp_path / "cp" / "state").rglob("*.sst"))

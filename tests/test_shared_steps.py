@@ -132,3 +132,8 @@ def test_lines_of_a_stream_are_written_without_being_dealt_anew(spark, small, mo
     tables = operations.sold(small)
     assert len(tables.placed_lines._numbers()) >= 2 and counted(tables.sold_lines.rows()) == counted(small.sales_order_items)
     assert plans and not any("RoundRobin" in plan for plan in plans)
+
+
+def test_lines_of_the_change_log_meet_their_orders_once(small):
+    log = operations.change_log(small)
+    assert not [name for name, rows in log.items() if "Join" in plan_of(rows) or "Window" in plan_of(rows)]
