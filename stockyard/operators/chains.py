@@ -7,12 +7,15 @@ The number of chains that reach an event in step s depends only on its instant:
     reach[s](t) = sum over earlier instants u of rows(u) * reach[s-1](u)
 
 so running sums over (key, instant) replace the self-joins, whose output grows with the s-th power
-of a key's events. Keys that span several slots are finished from per-slot totals.
+of a key's events. Events are dealt once, by their key, and summed where they lie. Keys that one task should not hold are
+placed by ranges instead; those that span several slots are finished from per-slot totals.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -23,6 +26,8 @@ from stockyard.operators.positions import SLOT, carry_in, earlier_slots, place
 _COUNT = "decimal(38,0)"  # overflow is an error, never a wrong count
 _SHORT = "bigint"  # chains of one or two rows of a key: at most the square of its rows
 _CHUNK = 10_000
+#: Keys are counted by this many hashes; those of a hash with more than so many events are placed by ranges.
+_HASHES, HOT_ROWS = 65_536, 1_000_000
 
 
 def chain_reach(
@@ -85,18 +90,42 @@ def _grown(placed: DataFrame, keys: Sequence[str], instant: str, last: int) -> D
 def chain_rows(
     events: DataFrame, keys: Sequence[str], instant: str, starts: Column, steps: int = 5
 ) -> DataFrame:
-    """Each event with every ``step`` it takes part in and in how many chains (``occurrences``)."""
-    reach = chain_reach(events, keys, instant, starts, steps)
+    """Each event with every ``step`` it takes part in and in how many chains (``occurrences``).
+
+    Events without a key or an instant take part in none.
+    """
+    known = events.filter(reduce(and_, [F.col(c).isNotNull() for c in (*keys, instant)]))
+    hashed = F.pmod(F.xxhash64(*keys), F.lit(_HASHES)).alias("_hash")
+    hot = [r["_hash"] for r in known.groupBy(hashed).count().filter(F.col("count") > HOT_ROWS).select("_hash").collect()]
+    if not hot:
+        return _steps(events.columns, _walked(known, keys, instant, starts, steps), starts, steps)
+    is_hot = hashed.isin(hot)
+    reach = chain_reach(known.filter(is_hot), keys, instant, starts, steps)
+    placed = known.filter(is_hot).join(reach, [*keys, instant])
+    walked = _walked(known.filter(~is_hot), keys, instant, starts, steps)
+    return _steps(events.columns, placed.unionByName(walked), starts, steps)
+
+
+def _steps(columns: Sequence[str], reached: DataFrame, starts: Column, steps: int) -> DataFrame:
     first = F.when(starts, F.lit(1)).otherwise(0).cast(_COUNT)
     options = [F.struct(F.lit(1).alias("step"), first.alias("occurrences"))]
     options += [
         F.struct(F.lit(s).alias("step"), F.col(f"reach_{s}").alias("occurrences")) for s in range(2, steps + 1)
     ]
-    return (
-        events.join(reach, [*keys, instant])
-        .select(*events.columns, F.inline(F.array(*options)))
-        .filter("occurrences > 0")
-    )
+    return reached.select(*columns, F.inline(F.array(*options))).filter("occurrences > 0")
+
+
+def _walked(events: DataFrame, keys: Sequence[str], instant: str, starts: Column, steps: int) -> DataFrame:
+    """Events with ``reach_2`` … ``reach_<steps>``, by sums over a key's events in order: up to an instant less those at it."""
+    until = W.partitionBy(*keys).orderBy(instant).rangeBetween(W.unboundedPreceding, W.currentRow)
+    at = W.partitionBy(*keys, instant)
+    reached = events.withColumn("reach_1", F.when(starts, F.lit(1)).otherwise(0).cast(_SHORT))
+    for step in range(2, steps + 1):
+        kind = _SHORT if step < 4 else _COUNT
+        fed = F.col(f"reach_{step - 1}").cast(kind)
+        reached = reached.withColumn(f"reach_{step}", (F.sum(fed).over(until) - F.sum(fed).over(at)).cast(kind))
+    columns = [F.col(f"reach_{s}").cast(_COUNT).alias(f"reach_{s}") for s in range(2, steps + 1)]
+    return reached.select(*events.columns, *columns)
 
 
 def repeat_rows(df: DataFrame, times: str) -> DataFrame:

@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from stockyard.operators import chains
 from stockyard.operators.chains import chain_reach, chain_rows, repeat_rows
 from stockyard.operators.hierarchy import rooted
 from stockyard.operators.positions import cume_dist, ntile, percent_rank, rank, with_ranks, with_running_sums
@@ -95,6 +96,24 @@ def test_chains_are_counted_once_but_for_the_ends_of_slots(spark):
     assert re.search(r"local_2#\d+L", plan)  # short chains as whole numbers
 
 
+@pytest.mark.parametrize("most", [0, 9, 1000])
+def test_chains_of_keys_placed_by_ranges_and_dealt_by_key(spark, no_coalescing, monkeypatch, most):
+    monkeypatch.setattr(chains, "HOT_ROWS", most)  # all keys, one key, none by ranges
+    rng = random.Random(7)
+    start = datetime(2024, 1, 1)
+    events = [(i, "hot" if i % 3 else f"k{i % 4}", start + timedelta(hours=rng.randint(0, 12)), rng.random() < 0.4) for i in range(28)]
+    odd = [(90, None, start, True), (91, "hot", None, True), (92, "k1", start, None)]
+    df = spark.createDataFrame(events + odd, "id long, key string, at timestamp_ntz, starts boolean").repartition(3)
+    rows = chain_rows(df, ["key"], "at", F.col("starts"), steps=5).collect()
+    assert {(r.id, r.step): int(r.occurrences) for r in rows} == brute_chains(events + odd[2:], 5)
+
+
+def test_chains_take_one_shuffle_of_the_events(spark):
+    df = spark.range(0, 8, 1, 2).selectExpr("id", "id % 2 as key", "id as at", "true as starts")
+    plan = chain_rows(df, ["key"], "at", F.col("starts"), steps=5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
 def test_repeat_rows(spark):
     df = spark.createDataFrame([(1, 3), (2, 25_000), (3, 10_000)], "id int, n int")
     counts = {r.id: r["count"] for r in repeat_rows(df, "n").groupBy("id").count().collect()}
