@@ -437,6 +437,16 @@ def test_repetition_decides_inside_articles(spark):
         assert all(got[50 + i].text == notice for i in range(10)) and all(got[70 + i].text == quoted for i in range(40))
 
 
+def test_runs_of_all_pages_are_found_whatever_their_markup(spark):
+    rows = [(i, f"http://h/{i}", f"<nav>{prose(90, 9)}</nav><article><p>{prose(i, 20)}</p><p>{prose(80 + i % 2, 12)}</p></article>") for i in range(4)]
+    rows += [(9, "http://h/copy", rows[0][2]), (10, "http://one/1", rows[0][2])]
+    blocks = html_extraction.parsed(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {len(r.repeated) for r in html_extraction.repeated_runs(blocks).collect()} == {2 + 5}  # windows of 9 and of 12 words
+    got = extract(spark, rows)
+    assert [got[i].n_shared for i in (0, 1, 2, 3, 9, 10)] == [9 + 12] * 5 + [0]
+    assert all(got[i].text == f"{prose(i, 20)}\n{prose(80 + i % 2, 12)}" and got[i].n_repeated == 0 for i in range(4))
+
+
 def test_hot_hosts(spark):
     rows = [(i, "http://hot/", page(f"<article><p>{prose(i, 30)}</p></article>")) for i in range(200)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
