@@ -92,9 +92,9 @@ def chain_rows(
 ) -> DataFrame:
     """Each event with every ``step`` it takes part in and in how many chains (``occurrences``).
 
-    Events without a key or an instant take part in none.
+    Events without a key take part in none. Those without an instant come before all others of their key, and are left out here.
     """
-    known = events.filter(reduce(and_, [F.col(c).isNotNull() for c in (*keys, instant)]))
+    known = events.filter(reduce(and_, [F.col(c).isNotNull() for c in keys]))
     hashed = F.pmod(F.xxhash64(*keys), F.lit(_HASHES)).alias("_hash")
     hot = [r["_hash"] for r in known.groupBy(hashed).count().filter(F.col("count") > HOT_ROWS).select("_hash").collect()]
     if not hot:
@@ -125,7 +125,7 @@ def _walked(events: DataFrame, keys: Sequence[str], instant: str, starts: Column
         fed = F.col(f"reach_{step - 1}").cast(kind)
         reached = reached.withColumn(f"reach_{step}", (F.sum(fed).over(until) - F.sum(fed).over(at)).cast(kind))
     columns = [F.col(f"reach_{s}").cast(_COUNT).alias(f"reach_{s}") for s in range(2, steps + 1)]
-    return reached.select(*events.columns, *columns)
+    return reached.filter(F.col(instant).isNotNull()).select(*events.columns, *columns)
 
 
 def repeat_rows(df: DataFrame, times: str) -> DataFrame:
